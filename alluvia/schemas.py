@@ -4,72 +4,78 @@ from __future__ import annotations
 
 from pyspark.sql import types as T
 
+STRING, INT, LONG, DOUBLE = T.StringType(), T.IntegerType(), T.LongType(), T.DoubleType()
+BOOLEAN, TIMESTAMP = T.BooleanType(), T.TimestampType()
 
-def _ddl(text: str) -> T.StructType:
-    return T.StructType.fromDDL(" ".join(text.split()))
 
+def record(*groups: tuple[T.DataType, str]) -> T.StructType:
+    """A struct from (type, "name name ...") groups, in the given order."""
+    return T.StructType([T.StructField(name, kind) for kind, names in groups for name in names.split()])
 
-ENVELOPE = _ddl("key STRING, value STRING, timestamp TIMESTAMP")
 
-MATCH = _ddl("""
-    match_id STRING, gameId BIGINT, game_datetime DOUBLE, game_length DOUBLE, game_version STRING,
-    tft_game_type STRING, tft_set_core_name STRING, tft_set_number INT""")
+def many(kind: T.DataType) -> T.ArrayType:
+    return T.ArrayType(kind)
 
-PARTICIPANT = _ddl("""
-    match_id STRING, gameId BIGINT, puuid STRING, placement INT, gold_left INT, last_round INT, level INT,
-    players_eliminated INT, total_damage_to_players INT""")
 
-UNIT_USE = _ddl("""
-    match_id STRING, gameId BIGINT, puuid STRING, character_id STRING, tier INT,
-    item1 STRING, item2 STRING, item3 STRING""")
+ENVELOPE = record((STRING, "key value"), (TIMESTAMP, "timestamp"))
 
-SUMMONER = _ddl("""
-    puuid STRING, region STRING, tier STRING, rank STRING, leaguePoints INT, wins INT, losses INT,
-    ingest_ts TIMESTAMP""")
-
-MATCH_DOCUMENT = _ddl("""
-    metadata STRUCT<match_id: STRING>,
-    info STRUCT<gameId: BIGINT, game_datetime: DOUBLE, game_length: DOUBLE, game_version: STRING,
-        tft_game_type: STRING, tft_set_core_name: STRING, tft_set_number: INT,
-        participants: ARRAY<STRUCT<puuid: STRING, placement: INT, gold_left: INT, last_round: INT, level: INT,
-            players_eliminated: INT, total_damage_to_players: INT,
-            units: ARRAY<STRUCT<character_id: STRING, tier: INT, itemNames: ARRAY<STRING>>>>>>""")
-
-LEAGUE_ENTRY = _ddl("puuid STRING, tier STRING, rank STRING, leaguePoints INT, wins INT, losses INT")
-LEAGUE_PAGE = T.StructType([
-    T.StructField("tier", T.StringType()),
-    T.StructField("entries", T.ArrayType(LEAGUE_ENTRY)),
-])
+MATCH = record(
+    (STRING, "match_id"), (LONG, "gameId"), (DOUBLE, "game_datetime game_length"),
+    (STRING, "game_version tft_game_type tft_set_core_name"), (INT, "tft_set_number"),
+)
+PARTICIPANT_FACTS = "placement gold_left last_round level players_eliminated total_damage_to_players"
+PARTICIPANT = record((STRING, "match_id"), (LONG, "gameId"), (STRING, "puuid"), (INT, PARTICIPANT_FACTS))
+UNIT_USE = record(
+    (STRING, "match_id"), (LONG, "gameId"), (STRING, "puuid character_id"), (INT, "tier"), (STRING, "item1 item2 item3")
+)
+LEAGUE_ENTRY = record((STRING, "puuid tier rank"), (INT, "leaguePoints wins losses"))
+SUMMONER = record(
+    (STRING, "puuid region tier rank"), (INT, "leaguePoints wins losses"), (TIMESTAMP, "ingest_ts")
+)
 
-STATIC_DATA = _ddl("""
-    sets MAP<STRING, STRUCT<
-        champions: ARRAY<STRUCT<apiName: STRING, name: STRING, cost: INT, traits: ARRAY<STRING>,
-            stats: STRUCT<hp: DOUBLE, armor: DOUBLE, magicResist: DOUBLE, damage: DOUBLE, attackSpeed: DOUBLE,
-                range: DOUBLE, initialMana: DOUBLE, mana: DOUBLE, critChance: DOUBLE, critMultiplier: DOUBLE>,
-            ability: STRUCT<name: STRING, desc: STRING>>>,
-        traits: ARRAY<STRUCT<apiName: STRING, name: STRING, desc: STRING, icon: STRING,
-            effects: ARRAY<STRUCT<minUnits: INT, maxUnits: INT, style: INT>>>>>>,
-    items ARRAY<STRUCT<apiName: STRING, name: STRING, desc: STRING, icon: STRING, composition: ARRAY<STRING>,
-        unique: BOOLEAN, associatedTraits: ARRAY<STRING>>>""")
+UNIT_DOCUMENT = record((STRING, "character_id"), (INT, "tier"), (many(STRING), "itemNames"))
+PARTICIPANT_DOCUMENT = record((STRING, "puuid"), (INT, PARTICIPANT_FACTS), (many(UNIT_DOCUMENT), "units"))
+MATCH_DOCUMENT = record(
+    (record((STRING, "match_id")), "metadata"),
+    (T.StructType([*MATCH.fields[1:], T.StructField("participants", many(PARTICIPANT_DOCUMENT))]), "info"),
+)
 
-UNITS_CSV = _ddl("""
-    set INT, unit_id STRING, unit_name STRING, cost INT, trait1 STRING, trait2 STRING, trait3 STRING, trait4 STRING,
-    num_traits INT, all_traits STRING, ability_name STRING, ability_desc STRING, health DOUBLE, armor DOUBLE,
-    magic_resist DOUBLE, attack_damage DOUBLE, attack_speed DOUBLE, attack_range DOUBLE, mana_start DOUBLE,
-    mana_max DOUBLE, crit_chance DOUBLE, crit_multiplier DOUBLE""")
+LEAGUE_PAGE = record((STRING, "tier"), (many(LEAGUE_ENTRY), "entries"))
 
-ITEMS_CSV = _ddl("""
-    set INT, item_id STRING, item_name STRING, item_desc STRING, icon STRING, component1 STRING, component2 STRING,
-    num_components INT, unique BOOLEAN""")
+CHAMPION_DOCUMENT = record(
+    (STRING, "apiName name"), (INT, "cost"), (many(STRING), "traits"),
+    (record((DOUBLE, "hp armor magicResist damage attackSpeed range initialMana mana critChance critMultiplier")), "stats"),
+    (record((STRING, "name desc")), "ability"),
+)
+TRAIT_DOCUMENT = record(
+    (STRING, "apiName name desc icon"), (many(record((INT, "minUnits maxUnits style"))), "effects")
+)
+ITEM_DOCUMENT = record(
+    (STRING, "apiName name desc icon"), (many(STRING), "composition"), (BOOLEAN, "unique"),
+    (many(STRING), "associatedTraits"),
+)
+STATIC_DATA = record(
+    (T.MapType(STRING, record((many(CHAMPION_DOCUMENT), "champions"), (many(TRAIT_DOCUMENT), "traits"))), "sets"),
+    (many(ITEM_DOCUMENT), "items"),
+)
 
+UNITS_CSV = record(
+    (INT, "set"), (STRING, "unit_id unit_name"), (INT, "cost"), (STRING, "trait1 trait2 trait3 trait4"),
+    (INT, "num_traits"), (STRING, "all_traits ability_name ability_desc"),
+    (DOUBLE, "health armor magic_resist attack_damage attack_speed attack_range mana_start mana_max crit_chance"
+             " crit_multiplier"),
+)
+ITEMS_CSV = record(
+    (INT, "set"), (STRING, "item_id item_name item_desc icon component1 component2"), (INT, "num_components"),
+    (BOOLEAN, "unique"),
+)
 TRAIT_TIERS = 5
-TRAITS_CSV = _ddl(
-    "set INT, trait_id STRING, trait_name STRING, trait_desc STRING, icon STRING, "
-    + ", ".join(f"tier{n}_{part} INT" for n in range(1, TRAIT_TIERS + 1) for part in ("min", "max", "style"))
+TRAITS_CSV = record(
+    (INT, "set"), (STRING, "trait_id trait_name trait_desc icon"),
+    *[(INT, f"tier{n}_min tier{n}_max tier{n}_style") for n in range(1, TRAIT_TIERS + 1)],
+)
+AUGMENTS_CSV = record(
+    (INT, "set"), (STRING, "augment_id augment_name augment_desc tier icon associated_traits")
 )
 
-AUGMENTS_CSV = _ddl("""
-    set INT, augment_id STRING, augment_name STRING, augment_desc STRING, tier STRING, icon STRING,
-    associated_traits STRING""")
-
-DEMO_EVENT = _ddl("id INT, name STRING, event_type STRING, amount INT, ingest_ts TIMESTAMP")
+DEMO_EVENT = record((INT, "id"), (STRING, "name event_type"), (INT, "amount"), (TIMESTAMP, "ingest_ts"))
