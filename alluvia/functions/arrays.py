@@ -2,10 +2,20 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+def unnest(df: DataFrame, items: Column | str, into: str | tuple[str, str], *keep: Column | str) -> DataFrame:
+    """One row per non-NULL element (or map entry); rows with an empty or NULL array disappear.
+
+    Same rows as ``explode``, but ``explode`` makes the optimizer add a ``size(..) > 0`` filter, which moves
+    below the projection that parses the document and so parses every document once more per filter term.
+    """
+    names = (into,) if isinstance(into, str) else into
+    return df.select(*keep, F.explode_outer(items).alias(*names)).filter(F.col(names[0]).isNotNull())
+
+
 def element_columns(items: Column, prefix: str, count: int, fill: str | None = None) -> list[Column]:
     """``prefix1 .. prefixN`` from the first ``count`` elements; short or NULL arrays are padded."""
     def at(position: int) -> Column:

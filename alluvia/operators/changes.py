@@ -14,9 +14,16 @@ from pyspark.sql import functions as F
 HASH = "hash_key"
 
 
-def current_for_batch(current: DataFrame, batch: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Current rows whose full business key occurs in the batch."""
-    return current.join(batch.select(*keys).distinct(), list(keys), "left_semi")
+def current_for_batch(
+    current: DataFrame, batch: DataFrame, keys: Sequence[str], unique: bool = False
+) -> DataFrame:
+    """Current rows whose full business key occurs in the batch.
+
+    Pass ``unique`` when the batch has one row per key already; otherwise its keys are made distinct, so a
+    key with many copies is reduced in the map tasks.
+    """
+    wanted = batch.select(*keys)
+    return current.join(wanted if unique else wanted.distinct(), list(keys), "left_semi")
 
 
 def change_detect(incoming: DataFrame, current: DataFrame, keys: Sequence[str], kind: str | None = "change") -> DataFrame:

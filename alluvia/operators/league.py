@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from alluvia.functions.arrays import unnest
 from alluvia.functions.audit import moment
 from alluvia.schemas import LEAGUE_ENTRY, LEAGUE_PAGE
 
@@ -27,11 +28,11 @@ def summoner_rows(responses: DataFrame, ingest_ts: datetime | Column | None = No
     opening = F.substring(F.ltrim("body"), 1, 1)
     page = F.when(paged & (opening == "{"), F.from_json("body", LEAGUE_PAGE))
     bare = F.when(~paged & (opening == "["), F.from_json("body", T.ArrayType(LEAGUE_ENTRY)))
-    requested = F.upper("tier")
-    opened = responses.select(
-        F.coalesce(page["tier"], requested).alias("_tier"),
+    parsed = responses.select("tier", "division", page.alias("_page"), bare.alias("_bare"))
+    opened = unnest(
+        parsed, F.coalesce("_page.entries", "_bare"), "e",
+        F.coalesce("_page.tier", F.upper("tier")).alias("_tier"),
         F.coalesce(F.nullif("division", F.lit("")), F.lit(TOP_RANK)).alias("_division"),
-        F.explode(F.coalesce(page["entries"], bare)).alias("e"),
     )
     return opened.select(
         F.coalesce("e.puuid", F.lit("")).alias("puuid"),

@@ -5,25 +5,25 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from alluvia.functions.arrays import element_columns
-from alluvia.schemas import MATCH_DOCUMENT
+from alluvia.functions.arrays import element_columns, unnest
+from alluvia.schemas import MATCH, MATCH_DOCUMENT, MATCH_HEADER_DOCUMENT
 
 PARENT = ["match_id", "gameId"]
 
 
-def parse_match_documents(raw: DataFrame, column: str = "body") -> DataFrame:
-    """JSON text to ``metadata`` / ``info`` structs."""
-    return raw.select(F.from_json(F.col(column), MATCH_DOCUMENT).alias("_doc")).select("_doc.*")
+def parse_match_documents(raw: DataFrame, column: str = "body", header_only: bool = False) -> DataFrame:
+    """JSON text to ``metadata`` / ``info`` structs; ``header_only`` skips over the participants."""
+    schema = MATCH_HEADER_DOCUMENT if header_only else MATCH_DOCUMENT
+    return raw.select(F.from_json(F.col(column), schema).alias("_doc")).select("_doc.*")
 
 
 def match_rows(documents: DataFrame) -> DataFrame:
     """One header row per document; missing paths are NULL."""
-    header = [f.name for f in MATCH_DOCUMENT["info"].dataType.fields if f.name != "participants"]
-    return documents.select("metadata.match_id", *[f"info.{name}" for name in header])
+    return documents.select("metadata.match_id", *[f"info.{name}" for name in MATCH.names[1:]])
 
 
 def _participants(documents: DataFrame) -> DataFrame:
-    return documents.select("metadata.match_id", "info.gameId", F.explode("info.participants").alias("_p"))
+    return unnest(documents, "info.participants", "_p", "metadata.match_id", "info.gameId")
 
 
 def participant_rows(documents: DataFrame) -> DataFrame:
@@ -36,6 +36,6 @@ def participant_rows(documents: DataFrame) -> DataFrame:
 
 def unit_rows(documents: DataFrame) -> DataFrame:
     """One row per unit of each participant, its first three items as columns."""
-    units = _participants(documents).select(*PARENT, "_p.puuid", F.explode("_p.units").alias("_u"))
+    units = unnest(_participants(documents), "_p.units", "_u", *PARENT, "_p.puuid")
     items = element_columns(F.col("_u.itemNames"), "item", 3)
     return units.select(*PARENT, "puuid", "_u.character_id", "_u.tier", *items)

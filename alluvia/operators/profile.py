@@ -9,10 +9,19 @@ SUB_KEYS = 5  # fixed values: how many member names a sample shows
 ITEM_KEYS = 10
 
 
-def _member_names(value: Column) -> Column:
+def _members(value: Column) -> Column:
+    """Member names of an object, NULL for anything else."""
     return F.map_keys(F.try_variant_get(value, "$", "map<string,variant>"))
 
 
+def _elements(value: Column) -> Column:
+    return F.try_variant_get(value, "$", "array<variant>")
+
+
+def _listed(names: Column, most: int) -> Column:
+    return F.array_join(F.slice(names, 1, most), ", ")
+
+
 def json_key_profile(documents: DataFrame, column: str = "body") -> DataFrame:
     """Per top-level key and kind: documents, smallest and largest size, and a sample.
 
@@ -20,17 +29,17 @@ def json_key_profile(documents: DataFrame, column: str = "body") -> DataFrame:
     sample names the first members of a dict, the members of a list's first element, or a scalar's type.
     Malformed documents are skipped. Tasks aggregate before the shuffle, which carries keys, not documents.
     """
+    value = F.col("_v")
     fields = documents.select(F.explode(F.from_json(column, "map<string,variant>")).alias("key", "_v"))
-    value, shape = F.col("_v"), F.schema_of_variant("_v")
-    elements = F.try_variant_get(value, "$", "array<variant>")
-    is_dict, is_list = shape.startswith("OBJECT"), shape.startswith("ARRAY")
-    described = fields.select(
+    opened = fields.select("key", "_v", _members(value).alias("_names"), _elements(value).alias("_elements"))
+    is_dict, is_list = F.col("_names").isNotNull(), F.col("_elements").isNotNull()
+    described = opened.select(
         "key",
         F.when(is_dict, "dict").when(is_list, "list").otherwise("scalar").alias("kind"),
-        F.when(is_dict, F.size(_member_names(value))).when(is_list, F.size(elements)).alias("_size"),
-        F.when(is_dict, F.array_join(F.slice(_member_names(value), 1, SUB_KEYS), ", "))
-        .when(is_list, F.array_join(F.slice(_member_names(F.get(elements, 0)), 1, ITEM_KEYS), ", "))
-        .otherwise(F.lower(shape))
+        F.when(is_dict, F.size("_names")).when(is_list, F.size("_elements")).alias("_size"),
+        F.when(is_dict, _listed(F.col("_names"), SUB_KEYS))
+        .when(is_list, _listed(_members(F.get("_elements", 0)), ITEM_KEYS))
+        .otherwise(F.lower(F.schema_of_variant(value)))
         .alias("_sample"),
     )
     return described.groupBy("key", "kind").agg(

@@ -52,10 +52,15 @@ SUMMONERS = HistorySpec(
 )
 
 
-def last_of_batch(batch: DataFrame, spec: HistorySpec) -> DataFrame:
-    """Rows with complete keys, the last one per key."""
-    present = required_keys(batch, spec.keys)
-    return latest_per_key(present, spec.keys, [c for c in spec.order if c in batch.columns])
+def last_of_batch(batch: DataFrame, spec: HistorySpec, *per: str) -> DataFrame:
+    """Rows with complete keys, the last one per key (and per value of the ``per`` columns).
+
+    Columns the history does not store are dropped before anything is sorted or shuffled.
+    """
+    order = [c for c in spec.order if c in batch.columns]
+    needed = dict.fromkeys([*per, *spec.columns, *spec.carried, *order])
+    present = required_keys(batch.select(*needed), spec.keys)
+    return latest_per_key(present, [*spec.keys, *per], order)
 
 
 def stamp(batch: DataFrame, spec: HistorySpec, batch_ts: datetime | Column) -> DataFrame:
@@ -76,7 +81,7 @@ def stamp(batch: DataFrame, spec: HistorySpec, batch_ts: datetime | Column) -> D
 def versions_to_insert(batch: DataFrame, current: DataFrame, spec: HistorySpec, batch_ts: datetime | Column) -> DataFrame:
     """Rows of the batch that open a new version: keys without a current row, or with another hash."""
     incoming = stamp(last_of_batch(batch, spec), spec, batch_ts)
-    stored = current_for_batch(current.filter("is_current"), incoming, spec.keys)
+    stored = current_for_batch(current.filter("is_current"), incoming, spec.keys, unique=True)
     return change_detect(incoming, stored, spec.keys, kind=None)
 
 
@@ -114,8 +119,7 @@ def rebuild_history(
     (for example its month): then not even those rows of one key meet in one task.
     """
     keys = list(spec.keys)
-    last = latest_per_key(required_keys(log, keys), [*keys, effective], [c for c in spec.order if c in log.columns])
-    hashed = last.withColumn(HASH, row_hash(spec.tracked, strict=spec.strict_hash))
+    hashed = last_of_batch(log, spec, effective).withColumn(HASH, row_hash(spec.tracked, strict=spec.strict_hash))
     compared = with_neighbour(hashed, keys, [effective], HASH, "_before", segment=segment)
     opened = compared.filter(F.col("_before").isNull() | (F.col(HASH) != F.col("_before")))
     closed = with_neighbour(opened, keys, [effective], effective, "end_date", previous=False, segment=segment)

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from alluvia.functions.arrays import array_text, element_columns, safe_size, struct_columns
+from alluvia.functions.arrays import array_text, element_columns, safe_size, struct_columns, unnest
 from alluvia.functions.labels import contains_any, first_label, is_whole_number
 from alluvia.functions.text import leading_number, strip_markup
 from alluvia.operators.rows import excluding, routed
@@ -35,8 +35,8 @@ def text_or_empty(column: str) -> Column:
 
 def set_members(documents: DataFrame, member: str) -> DataFrame:
     """(set, member struct) rows from the numbered entries of the ``sets`` map."""
-    sets = documents.select(F.explode("sets").alias("_key", "_set")).filter(is_whole_number(F.col("_key")))
-    return sets.select(F.col("_key").try_cast("int").alias("set"), F.explode(f"_set.{member}").alias("m"))
+    sets = unnest(documents, "sets", ("_key", "_set")).filter(is_whole_number(F.col("_key")))
+    return unnest(sets, f"_set.{member}", "m", F.col("_key").try_cast("int").alias("set"))
 
 
 def unit_dimension(documents: DataFrame, non_playable: Sequence[str] = NON_PLAYABLE) -> DataFrame:
@@ -78,7 +78,7 @@ def trait_dimension(documents: DataFrame) -> DataFrame:
 
 def items_and_augments(documents: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Split the item list: augments carry the mark in their id, everything else is an item."""
-    listed = documents.select(F.explode("items").alias("m"))
+    listed = unnest(documents, "items", "m")
     augments, items = routed(listed, F.col("m.apiName").contains(AUGMENT_MARK))
     return items, augments
 

@@ -19,6 +19,7 @@ class Outcome:
     optimized: list[str] = field(default_factory=list)
     skipped: list[str] = field(default_factory=list)
     failed: dict[str, str] = field(default_factory=dict)
+    reports: dict[str, dict[str, object]] = field(default_factory=dict)
 
 
 def optimize_table(
@@ -52,7 +53,8 @@ def optimize_bronze(
         home = config.paths("bronze", f"{plan.table}_optimized").data
         target = f"{home}/v={max(numbered(spark, home, 'v'), default=0) + 1:010d}"
         try:
-            optimize_table(spark, source, target, plan.cluster_by, target_bytes)
+            report = optimize_table(spark, source, target, plan.cluster_by, target_bytes)
+            outcome.reports[plan.table] = report.first().asDict()  # a single row
             outcome.optimized.append(plan.table)
         except Exception as problem:  # reported per table, the others still run
             outcome.failed[plan.table] = str(problem)

@@ -8,6 +8,7 @@ from alluvia.functions.audit import with_audit
 from alluvia.operators import envelope, profile, reports, rows
 from alluvia.queries.registry import query, table
 from alluvia.schemas import LONG, STRING, record
+from alluvia.session import spread
 from alluvia.sources.streams import events_from_rate
 
 # The reference bounds of the revenue tiers are far above the test values; these split them evenly.
@@ -169,7 +170,7 @@ def json_envelope_parse(spark, folder):
 def json_key_profile(spark, folder):
     letters = F.split("event_type", "")
     parts = F.transform(letters, lambda c, i: F.struct(c.alias("letter"), i.alias("place")))
-    documents = table(spark, folder, "events").select(F.to_json(F.struct(
+    documents = spread(table(spark, folder, "events")).select(F.to_json(F.struct(
         F.col("event_id").alias("id"),
         F.col("event_type").alias("type"),
         F.from_json("props", "k BIGINT").alias("props"),

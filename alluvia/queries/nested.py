@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from alluvia.operators import nested
 from alluvia.operators.league import summoner_rows
 from alluvia.queries.registry import query, table
+from alluvia.session import spread
 
 
 def match_documents(spark, folder, name="orders"):
@@ -51,11 +52,11 @@ def match_documents(spark, folder, name="orders"):
         F.when(status != "P", F.transform(F.sequence(F.lit(1), players), player)).alias("participants"),
     )
     metadata = F.struct(F.concat(F.lit("VN2_"), key.cast("string")).alias("match_id"))
-    return table(spark, folder, name).select(F.to_json(F.struct(metadata.alias("metadata"), info.alias("info"))).alias("body"))
+    return spread(table(spark, folder, name)).select(F.to_json(F.struct(metadata.alias("metadata"), info.alias("info"))).alias("body"))
 
 
-def parsed(spark, folder):
-    return nested.parse_match_documents(match_documents(spark, folder))
+def parsed(spark, folder, header_only=False):
+    return nested.parse_match_documents(match_documents(spark, folder), header_only=header_only)
 
 
 @query("nested_header", """
@@ -65,7 +66,7 @@ def parsed(spark, folder):
            CAST(substr(o_orderpriority, 1, 1) AS INTEGER) AS tft_set_number
     FROM orders""")
 def nested_header(spark, folder):
-    return nested.match_rows(parsed(spark, folder))
+    return nested.match_rows(parsed(spark, folder, header_only=True))
 
 
 PLAYERS_SQL = """

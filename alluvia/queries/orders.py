@@ -9,7 +9,7 @@ from alluvia.functions import (
 )
 from alluvia.operators import envelope, reports, rows
 from alluvia.queries.registry import query, table
-from alluvia.session import shared_folder
+from alluvia.session import shared_folder, spread
 from alluvia.sinks.messages import write_message_files
 from alluvia.sources.files import read_lines
 
@@ -54,7 +54,7 @@ def agg_count_if(spark, folder):
            '[\s\p{Z}\x0B\x1C-\x1F\x{85}]+', ' ', 'g')), '') AS body
     FROM pages""")
 def html_clean(spark, folder):
-    return table(spark, folder, "pages").select("page_id", strip_markup(F.col("html")).alias("body"))
+    return spread(table(spark, folder, "pages")).select("page_id", strip_markup(F.col("html")).alias("body"))
 
 
 @query("regex_capture_int", """

@@ -35,6 +35,7 @@ SUMMONER = record(
 
 UNIT_DOCUMENT = record((STRING, "character_id"), (INT, "tier"), (many(STRING), "itemNames"))
 PARTICIPANT_DOCUMENT = record((STRING, "puuid"), (INT, PARTICIPANT_FACTS), (many(UNIT_DOCUMENT), "units"))
+MATCH_HEADER_DOCUMENT = record((record((STRING, "match_id")), "metadata"), (T.StructType(MATCH.fields[1:]), "info"))
 MATCH_DOCUMENT = record(
     (record((STRING, "match_id")), "metadata"),
     (T.StructType([*MATCH.fields[1:], T.StructField("participants", many(PARTICIPANT_DOCUMENT))]), "info"),

@@ -2,14 +2,15 @@
 
 Layout below the table path::
 
-    tail/seq=<n>/writer_id=<w>/batch_id=<b>/   versions opened by one batch (append only)
-    open/upto=<n>/                             rows current as of seq n
-    closed/upto=<n>/year=/month=/day=/         rows closed by the fold at n, never rewritten
+    tail/seq=<n>/writer_id=<w>/batch_id=<b>/                         versions opened by one batch
+    folded/upto=<n>/is_current=<true|false>/year=/month=/day=/       rows current as of seq n, and rows
+                                                                     that this fold found closed
 
 Applying a batch reads keys and hashes of the current rows, and writes nothing but the versions it opens.
 ``is_current`` and ``end_date`` of recently touched keys follow from the tail at read time; ``fold`` makes
-them physical from time to time. One write per batch also means there is no moment at which a key has
-been closed but not reopened. One writer per table at a time.
+them physical from time to time, in one write, and rows once folded as closed are never rewritten. Since
+every state change is a single Spark write, there is no moment at which a key is closed but not reopened.
+One writer per table at a time.
 """
 
 from __future__ import annotations
@@ -25,7 +26,8 @@ from alluvia.operators.scd2 import HistorySpec, last_of_batch, stamp
 from alluvia.sinks.folders import committed, numbered
 from alluvia.sinks.tables import write_new
 
-DATE_PARTITIONS = ("year", "month", "day")
+FOLD_PARTITIONS = ("is_current", "year", "month", "day")
+Batches = dict[int, tuple[str, int, str]]  # seq -> (writer, batch, directory)
 
 
 class HistoryTable:
@@ -34,119 +36,129 @@ class HistoryTable:
         self.path = path.rstrip("/")
         self.spec = spec
 
-    # -- state ---------------------------------------------------------------------------------
+    # -- what is committed ---------------------------------------------------------------------
 
-    def _tail(self) -> dict[int, tuple[str, int, str]]:
-        """Committed batches: seq -> (writer, batch, directory)."""
-        batches = {}
+    def _batches(self) -> Batches:
+        found: Batches = {}
         for place in committed(self.spark, f"{self.path}/tail/seq=*/writer_id=*/batch_id=*"):
             parts = dict(piece.split("=", 1) for piece in place.split("/")[-3:])
-            batches[int(parts["seq"])] = (parts["writer_id"], int(parts["batch_id"]), place)
-        return batches
+            found[int(parts["seq"])] = (parts["writer_id"], int(parts["batch_id"]), place)
+        return found
 
-    def _folded(self) -> int:
-        return max(numbered(self.spark, f"{self.path}/open", "upto"), default=0)
+    def _folds(self) -> int:
+        """The seq up to which the table is folded, 0 when it never was."""
+        return max(numbered(self.spark, f"{self.path}/folded", "upto"), default=0)
 
     def exists(self) -> bool:
-        return bool(self._tail()) or self._folded() > 0
-
-    # -- write ---------------------------------------------------------------------------------
-
-    def apply(
-        self, batch: DataFrame, batch_ts: datetime | Column, batch_id: int, writer_id: str = "batch"
-    ) -> bool:
-        """Apply one micro-batch; False when this writer's batch was applied before (a replay)."""
-        tail = self._tail()
-        done = max((b for w, b, _ in tail.values() if w == writer_id), default=-1)
-        if batch_id <= done:
-            return False
-        incoming = stamp(last_of_batch(batch, self.spec), self.spec, batch_ts)
-        if self.exists():
-            keys = list(self.spec.keys)
-            incoming = incoming.persist()
-            stored = self._latest_hashes(current_for_batch(self._current_hashes(tail), incoming, keys))
-            opened = change_detect(incoming, stored, keys, kind=None)
-        else:
-            opened = incoming
-        seq = max(max(tail, default=0), self._folded()) + 1
-        write_new(opened, f"{self.path}/tail/seq={seq}/writer_id={writer_id}/batch_id={batch_id}")
-        incoming.unpersist()
-        return True
-
-    def _unfolded(self, tail: dict[int, tuple[str, int, str]], folded: int) -> DataFrame | None:
-        places = [place for seq, (_, _, place) in sorted(tail.items()) if seq > folded]
+        return bool(self._batches()) or self._folds() > 0
+
+    # -- rows ----------------------------------------------------------------------------------
+
+    def _folded(self, upto: int) -> DataFrame:
+        """Everything folded so far, with ``upto``; ``is_current`` and the dates prune directories."""
+        home = f"{self.path}/folded"
+        seen = self.spark.read.parquet(f"{home}/upto={upto}").schema
+        kinds = {f.name: f.dataType for f in seen.fields} | {"is_current": T.BooleanType(), "upto": T.LongType()}
+        schema = T.StructType([T.StructField(name, kind) for name, kind in kinds.items()])
+        return self.spark.read.schema(schema).parquet(home).filter(F.col("upto") <= upto)
+
+    def _open(self, upto: int) -> DataFrame:
+        """The rows that were current at the last fold, one per key."""
+        rows = self._folded(upto).filter((F.col("upto") == upto) & F.col("is_current"))
+        return rows.withColumn("seq", F.col("upto"))
+
+    def _tail(self, batches: Batches, upto: int) -> DataFrame | None:
+        """The versions opened since the last fold."""
+        places = [place for seq, (_, _, place) in sorted(batches.items()) if seq > upto]
         if not places:
             return None
         rows = self.spark.read.option("basePath", f"{self.path}/tail").parquet(*places)
         return rows.drop("writer_id", "batch_id").withColumn("seq", F.col("seq").cast("long"))
 
-    def _current_hashes(self, tail: dict[int, tuple[str, int, str]]) -> DataFrame:
-        """Narrow (keys, hash, seq) rows holding at least the latest version of every key."""
-        folded = self._folded()
-        narrow = [*self.spec.keys, HASH, "seq"]
-        parts = []
-        if folded:
-            base = self.spark.read.parquet(f"{self.path}/open/upto={folded}")
-            parts.append(base.withColumn("seq", F.lit(folded).cast("long")).select(*narrow))
-        recent = self._unfolded(tail, folded)
-        if recent is not None:
-            parts.append(recent.select(*narrow))
-        return stack(*parts)
-
-    def _latest_hashes(self, candidates: DataFrame) -> DataFrame:
-        return candidates.groupBy(*self.spec.keys).agg(F.max_by(HASH, "seq").alias(HASH))
+    def _resolved(self, batches: Batches, upto: int) -> DataFrame:
+        """Rows current at the last fold and all versions since, with their ends worked out.
 
-    def fold(self) -> int:
-        """Write closed rows to their final place and the current rows as a new ``open``; returns the seq.
-
-        A crash between the two writes leaves the old state live, and the next fold repeats both.
-        """
-        tail, folded = self._tail(), self._folded()
-        upto = max(tail, default=0)
-        if upto <= folded:
-            return folded
-        resolved = self._resolved(tail, folded)
-        write_new(resolved.filter("NOT is_current"), f"{self.path}/closed/upto={upto}", DATE_PARTITIONS)
-        write_new(resolved.filter("is_current"), f"{self.path}/open/upto={upto}")
-        return upto
-
-    # -- read ----------------------------------------------------------------------------------
-
-    def _resolved(self, tail: dict[int, tuple[str, int, str]], folded: int) -> DataFrame:
-        """Current rows as of the last fold plus all versions opened since, with ends worked out.
-
-        A key has one row per batch that changed it since the last fold, so folding bounds the window.
+        The window holds one row per batch that changed the key since the last fold, so folding bounds it.
         """
         layout = self.spec.layout
-        parts = []
-        if folded:
-            base = self.spark.read.parquet(f"{self.path}/open/upto={folded}")
-            parts.append(base.withColumn("seq", F.lit(folded).cast("long")).select(*layout, "seq"))
-        recent = self._unfolded(tail, folded)
-        if recent is None:
-            return stack(*parts).select(*layout)
-        parts.append(recent.select(*layout, "seq"))
+        tail = self._tail(batches, upto)
+        if tail is None:
+            return self._open(upto).select(*layout)
+        rows = tail.select(*layout, "seq")
+        if upto:
+            rows = stack(self._open(upto).select(*layout, "seq"), rows)
         versions = Window.partitionBy(*self.spec.keys).orderBy("seq")
         return (
-            stack(*parts)
-            .withColumn("end_date", F.lead("effective_date").over(versions))
+            rows.withColumn("end_date", F.lead("effective_date").over(versions))
             .withColumn("is_current", F.col("end_date").isNull())
             .select(*layout)
         )
 
+    def _stored_hashes(self, batches: Batches, upto: int, incoming: DataFrame) -> DataFrame:
+        """Current hash of each incoming key that is stored.
+
+        Only keys and hashes are read. They are cut down to the incoming keys first: a small batch is
+        broadcast, so the stored rows are filtered where they lie and only matches are shuffled.
+        """
+        keys = list(self.spec.keys)
+        narrow = [*keys, HASH, "seq"]
+        tail = self._tail(batches, upto)
+        if tail is None:
+            return current_for_batch(self._open(upto).select(*narrow), incoming, keys, unique=True)
+        rows = tail.select(*narrow)
+        if upto:
+            rows = stack(self._open(upto).select(*narrow), rows)
+        matched = current_for_batch(rows, incoming, keys, unique=True)
+        return matched.groupBy(*keys).agg(F.max_by(HASH, "seq").alias(HASH))
+
+    # -- write ---------------------------------------------------------------------------------
+
+    def apply(self, batch: DataFrame, batch_ts: datetime | Column, batch_id: int, writer_id: str = "batch") -> bool:
+        """Apply one micro-batch; False when this writer's batch was applied before (a replay)."""
+        batches, upto = self._batches(), self._folds()
+        done = max((number for writer, number, _ in batches.values() if writer == writer_id), default=-1)
+        if batch_id <= done:
+            return False
+        seq = max(max(batches, default=0), upto) + 1
+        target = f"{self.path}/tail/seq={seq}/writer_id={writer_id}/batch_id={batch_id}"
+        incoming = stamp(last_of_batch(batch, self.spec), self.spec, batch_ts)
+        if seq == 1:
+            write_new(incoming, target)
+            return True
+        incoming.persist()
+        try:
+            stored = self._stored_hashes(batches, upto, incoming)
+            write_new(change_detect(incoming, stored, self.spec.keys, kind=None), target)
+        finally:
+            incoming.unpersist()
+        return True
+
+    def fold(self) -> int:
+        """Make the ends of all versions physical; returns the seq the table is now folded up to."""
+        batches, upto = self._batches(), self._folds()
+        last = max(batches, default=0)
+        if last <= upto:
+            return upto
+        write_new(self._resolved(batches, upto), f"{self.path}/folded/upto={last}", FOLD_PARTITIONS)
+        return last
+
+    # -- read ----------------------------------------------------------------------------------
+
+    def _state(self) -> tuple[Batches, int]:
+        batches, upto = self._batches(), self._folds()
+        if not (batches or upto):
+            raise FileNotFoundError(f"no committed batch under {self.path}")
+        return batches, upto
+
     def read(self) -> DataFrame:
         """Every version of every key."""
-        tail, folded = self._tail(), self._folded()
-        if not (tail or folded):
-            raise FileNotFoundError(f"no committed batch under {self.path}")
-        resolved = self._resolved(tail, folded)
-        if not folded:
+        batches, upto = self._state()
+        resolved = self._resolved(batches, upto)
+        if not upto:
             return resolved
-        # The schema is given because a fold that closed nothing leaves a directory without files.
-        schema = T.StructType([*resolved.schema.fields, T.StructField("upto", T.LongType())])
-        closed = self.spark.read.schema(schema).parquet(f"{self.path}/closed").filter(F.col("upto") <= folded)
+        closed = self._folded(upto).filter(~F.col("is_current"))
         return stack(closed.select(*self.spec.layout), resolved)
 
     def current(self) -> DataFrame:
-        """Current rows only; never touches the closed history."""
-        return self._resolved(self._tail(), self._folded()).filter("is_current")
+        """Current rows only; the closed history is not touched."""
+        return self._resolved(*self._state()).filter("is_current")

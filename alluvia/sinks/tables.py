@@ -9,7 +9,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 from alluvia.operators.changes import stack, upsert_merge
 from alluvia.operators.rows import latest_per_key
@@ -41,6 +43,23 @@ def overwrite_table(df: DataFrame, path: str, partition_by: Sequence[str] = ())
     return write_new(df, f"{path}/v={max(taken, default=0) + 1:010d}", partition_by)
 
 
+def ensure_table(spark: SparkSession, path: str, schema: T.StructType, partition_by: Sequence[str] = ()) -> str:
+    """Directory of the live version; an absent table, or one without any column, is created empty."""
+    location = live_version(spark, path)
+    if location is not None and _has_columns(spark, location):
+        return location
+    return overwrite_table(spark.createDataFrame([], schema), path, partition_by)
+
+
+def _has_columns(spark: SparkSession, location: str) -> bool:
+    try:
+        return bool(spark.read.parquet(location).columns)
+    except AnalysisException as problem:
+        if problem.getCondition() != "UNABLE_TO_INFER_SCHEMA":
+            raise
+        return False
+
+
 def load_table(spark: SparkSession, path: str) -> DataFrame:
     location = live_version(spark, path)
     if location is None:

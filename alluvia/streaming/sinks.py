@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from alluvia.functions.audit import with_audit
-from alluvia.operators.rows import dedup_batch, required_keys
+from alluvia.operators.changes import current_for_batch
+from alluvia.operators.rows import dedup_batch, required_keys, unseen
 from alluvia.sinks.history import HistoryTable
 from alluvia.sinks.tables import append_batch, has_batches, load_appended
 
@@ -105,9 +106,16 @@ def append_handler(
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        rows = required_keys(batch.select(*columns, *[c for c in order if c in batch.columns]), keys)
-        stored = load_appended(spark, path) if cross_batch and has_batches(spark, path) else None
-        kept = dedup_batch(rows, keys, order, stored).select(*columns)
-        append_batch(with_audit(kept, batch_time(batch, batch_id)), path, batch_id, stream_id(batch), partition_by)
+        rows = required_keys(batch.select(*dict.fromkeys([*columns, *[c for c in order if c in batch.columns]])), keys)
+        kept = dedup_batch(rows, keys, order).select(*columns).persist()
+        try:
+            fresh = kept
+            if cross_batch and has_batches(spark, path):
+                # Only the stored keys that occur in this batch take part in the anti join.
+                fresh = unseen(kept, current_for_batch(load_appended(spark, path), kept, keys, unique=True), keys)
+            stamped = with_audit(fresh, batch_time(batch, batch_id))
+            append_batch(stamped, path, batch_id, stream_id(batch), partition_by)
+        finally:
+            kept.unpersist()
 
     return handle
