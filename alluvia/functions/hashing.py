@@ -25,4 +25,4 @@ def surrogate_key(keys: Sequence[str], effective: Column) -> Column:
     """``key_.._yyyyMMddHHmmssSSS_<hash>``: a pure function of key and time, so a replay repeats it."""
     stamp = F.date_format(effective, "yyyyMMddHHmmssSSS")
     suffix = F.hex(F.xxhash64(*[F.col(k) for k in keys], effective))
-    return F.concat_ws("_", *[F.col(k).cast("string") for k in keys], stamp, suffix)
+    return F.concat_ws("_", *[F.coalesce(F.col(k).cast("string"), F.lit("None")) for k in keys], stamp, suffix)

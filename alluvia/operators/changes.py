@@ -11,11 +11,13 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from alluvia.operators.rows import key_join
+
 HASH = "hash_key"
 
 
 def current_for_batch(
-    current: DataFrame, batch: DataFrame, keys: Sequence[str], unique: bool = False
+    current: DataFrame, batch: DataFrame, keys: Sequence[str], unique: bool = False, nullable: Sequence[str] = ()
 ) -> DataFrame:
     """Current rows whose full business key occurs in the batch.
 
@@ -23,16 +25,19 @@ def current_for_batch(
     key with many copies is reduced in the map tasks.
     """
     wanted = batch.select(*keys)
-    return current.join(wanted if unique else wanted.distinct(), list(keys), "left_semi")
+    return key_join(current, wanted if unique else wanted.distinct(), keys, "left_semi", nullable)
 
 
-def change_detect(incoming: DataFrame, current: DataFrame, keys: Sequence[str], kind: str | None = "change") -> DataFrame:
+def change_detect(
+    incoming: DataFrame, current: DataFrame, keys: Sequence[str], kind: str | None = "change",
+    nullable: Sequence[str] = (),
+) -> DataFrame:
     """Incoming rows that are new or differ from their current row, in one left join.
 
     ``kind`` names the added column ('new' / 'changed'); None leaves it out.
     """
     stored = current.select(*keys, F.col(HASH).alias("_stored"), F.lit(True).alias("_known"))
-    compared = incoming.join(stored, list(keys), "left").filter(
+    compared = key_join(incoming, stored, keys, "left", nullable).filter(
         F.col("_known").isNull() | (F.col(HASH) != F.col("_stored"))
     )
     columns = [F.col(c) for c in incoming.columns]

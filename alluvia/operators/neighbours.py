@@ -12,6 +12,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from alluvia.operators.rows import key_join
+
 
 def with_neighbour(
     df: DataFrame,
@@ -21,10 +23,12 @@ def with_neighbour(
     into: str,
     previous: bool = True,
     segment: Column | None = None,
+    nullable: Sequence[str] = (),
 ) -> DataFrame:
     """Add ``into``: the value of ``column`` in the previous (or next) row of the key, NULL at the end.
 
     ``order`` must be total within a key, and ``segment`` must not decrease along it.
+    Name key columns that may be NULL in ``nullable``.
     """
     step = F.lag if previous else F.lead
     if segment is None:
@@ -46,7 +50,7 @@ def with_neighbour(
         .select(*group, F.col("_across.value").alias("_across"))
     )
     return (
-        local.join(edges, group, "left")
+        key_join(local, edges, group, "left", nullable)
         .withColumn(into, F.when(F.col("_edge"), F.col("_across")).otherwise(F.col(into)))
         .select(*df.columns, into)
     )

@@ -13,6 +13,19 @@ UNIT_KEYS = ["match_id", "gameId", "puuid", "character_id"]
 SUMMONER_KEYS = ["puuid", "region"]
 
 
+def key_join(
+    left: DataFrame, right: DataFrame, keys: Sequence[str], how: str, nullable: Sequence[str] = ()
+) -> DataFrame:
+    """Equi-join on the keys, keeping the left side's key columns. ``nullable`` keys also match NULL with NULL."""
+    if not nullable:
+        return left.join(right, list(keys), how)
+    other = {k: f"_other_{k}" for k in keys}
+    conditions = [
+        F.col(k).eqNullSafe(F.col(other[k])) if k in nullable else F.col(k) == F.col(other[k]) for k in keys
+    ]
+    return left.join(right.withColumnsRenamed(other), conditions, how).drop(*other.values())
+
+
 def required_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df.dropna(how="any", subset=list(keys))
 
@@ -46,10 +59,10 @@ def dedup_batch(
     return kept if stored is None else unseen(kept, stored, keys)
 
 
-def unseen(df: DataFrame, seen: DataFrame, keys: Sequence[str]) -> DataFrame:
+def unseen(df: DataFrame, seen: DataFrame, keys: Sequence[str], nullable: Sequence[str] = ()) -> DataFrame:
     """Rows whose key is not in ``seen``. The seen side is made distinct first, so that a key with
     many copies there is reduced in the map tasks instead of landing in one join task."""
-    return df.join(distinct_keys(seen, keys), list(keys), "left_anti")
+    return key_join(df, distinct_keys(seen, keys), keys, "left_anti", nullable)
 
 
 def unseen_ids(incoming: DataFrame, seen: DataFrame, keys: Sequence[str]) -> DataFrame:

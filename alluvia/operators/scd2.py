@@ -13,18 +13,31 @@ from alluvia.functions.audit import date_parts, moment
 from alluvia.functions.hashing import row_hash, surrogate_key
 from alluvia.operators.changes import HASH, change_detect, current_for_batch, stack
 from alluvia.operators.neighbours import with_neighbour
-from alluvia.operators.rows import latest_per_key, required_keys
+from alluvia.operators.rows import key_join, latest_per_key, required_keys
 
 
 @dataclass(frozen=True)
 class HistorySpec:
-    """What identifies a row, which attributes open a new version, and what is merely carried along."""
+    """What identifies a row, which attributes open a new version, and what is merely carried along.
+
+    Rows without a value in the ``required`` keys are dropped (default: all keys). In the other keys NULL is
+    a value like any other.
+    """
 
     keys: tuple[str, ...]
     tracked: tuple[str, ...]
     carried: tuple[str, ...] = ()
     order: tuple[str, ...] = ()
     strict_hash: bool = False
+    required: tuple[str, ...] | None = None
+
+    @property
+    def needed_keys(self) -> tuple[str, ...]:
+        return self.keys if self.required is None else self.required
+
+    @property
+    def nullable(self) -> list[str]:
+        return [k for k in self.keys if k not in self.needed_keys]
 
     @property
     def columns(self) -> list[str]:
@@ -43,6 +56,7 @@ MATCHES = HistorySpec(
     keys=("match_id", "gameId"),
     tracked=("game_datetime", "game_length", "game_version", "tft_game_type", "tft_set_core_name", "tft_set_number"),
     order=("kafka_timestamp",),
+    required=("gameId",),
 )
 SUMMONERS = HistorySpec(
     keys=("puuid", "region"),
@@ -53,13 +67,13 @@ SUMMONERS = HistorySpec(
 
 
 def last_of_batch(batch: DataFrame, spec: HistorySpec, *per: str) -> DataFrame:
-    """Rows with complete keys, the last one per key (and per value of the ``per`` columns).
+    """Rows with their required keys, the last one per key (and per value of the ``per`` columns).
 
     Columns the history does not store are dropped before anything is sorted or shuffled.
     """
     order = [c for c in spec.order if c in batch.columns]
     needed = dict.fromkeys([*per, *spec.columns, *spec.carried, *order])
-    present = required_keys(batch.select(*needed), spec.keys)
+    present = required_keys(batch.select(*needed), spec.needed_keys)
     return latest_per_key(present, [*spec.keys, *per], order)
 
 
@@ -81,16 +95,18 @@ def stamp(batch: DataFrame, spec: HistorySpec, batch_ts: datetime | Column) -> D
 def versions_to_insert(batch: DataFrame, current: DataFrame, spec: HistorySpec, batch_ts: datetime | Column) -> DataFrame:
     """Rows of the batch that open a new version: keys without a current row, or with another hash."""
     incoming = stamp(last_of_batch(batch, spec), spec, batch_ts)
-    stored = current_for_batch(current.filter("is_current"), incoming, spec.keys, unique=True)
-    return change_detect(incoming, stored, spec.keys, kind=None)
+    stored = current_for_batch(current.filter("is_current"), incoming, spec.keys, True, spec.nullable)
+    return change_detect(incoming, stored, spec.keys, None, spec.nullable)
 
 
-def close_versions(history: DataFrame, inserted: DataFrame, keys: Sequence[str]) -> DataFrame:
+def close_versions(
+    history: DataFrame, inserted: DataFrame, keys: Sequence[str], nullable: Sequence[str] = ()
+) -> DataFrame:
     """The history with the current row of every inserted key closed at that key's new effective date."""
     fresh = inserted.select(*keys, F.col("effective_date").alias("_closed_at"))
     closing = F.col("is_current") & F.col("_closed_at").isNotNull()
     return (
-        history.join(fresh, list(keys), "left")
+        key_join(history, fresh, keys, "left", nullable)
         .withColumns({
             "end_date": F.when(closing, F.col("_closed_at")).otherwise(F.col("end_date")),
             "is_current": F.col("is_current") & ~closing,
@@ -102,7 +118,7 @@ def close_versions(history: DataFrame, inserted: DataFrame, keys: Sequence[str])
 def apply_batch(history: DataFrame, batch: DataFrame, spec: HistorySpec, batch_ts: datetime | Column) -> DataFrame:
     """The history after one batch: close, then insert."""
     inserted = versions_to_insert(batch, history, spec, batch_ts)
-    return stack(close_versions(history, inserted, spec.keys), inserted)
+    return stack(close_versions(history, inserted, spec.keys, spec.nullable), inserted)
 
 
 def rebuild_history(
@@ -120,9 +136,9 @@ def rebuild_history(
     """
     keys = list(spec.keys)
     hashed = last_of_batch(log, spec, effective).withColumn(HASH, row_hash(spec.tracked, strict=spec.strict_hash))
-    compared = with_neighbour(hashed, keys, [effective], HASH, "_before", segment=segment)
+    compared = with_neighbour(hashed, keys, [effective], HASH, "_before", True, segment, spec.nullable)
     opened = compared.filter(F.col("_before").isNull() | (F.col(HASH) != F.col("_before")))
-    closed = with_neighbour(opened, keys, [effective], effective, "end_date", previous=False, segment=segment)
+    closed = with_neighbour(opened, keys, [effective], effective, "end_date", False, segment, spec.nullable)
     at = F.col(effective)
     return closed.withColumns({
         "processed_ts": at,

@@ -45,7 +45,9 @@ def append_table_stream(
     plan = APPENDS[kind]
     paths = config.paths("silver", plan.table)
     rows = _bronze(spark, config, plan.source, max_bytes)
-    handler = append_handler(paths.data, plan.keys, plan.columns, batch_time=batch_time, cross_batch=cross_batch)
+    handler = append_handler(
+        paths.data, plan.keys, plan.columns, required=plan.required, batch_time=batch_time, cross_batch=cross_batch
+    )
     return batch_stream(rows, handler, paths.checkpoint, every, name=f"silver_{plan.table}")
 
 

@@ -45,11 +45,11 @@ class HistoryPlan:
     rename: tuple[tuple[str, str], ...] = ()
 
     def project(self, bronze: DataFrame) -> DataFrame:
-        """Needed columns under their silver names; all rows without a complete key are dropped."""
+        """Needed columns under their silver names; rows without their required keys are dropped."""
         names = dict(self.rename)
         wanted = [*self.spec.columns, *self.spec.carried, *self.spec.order]
         selected = bronze.select(*[F.col(names.get(c, c)).alias(c) for c in wanted])
-        return rows.required_keys(selected, self.spec.keys)
+        return rows.required_keys(selected, self.spec.needed_keys)
 
 
 HISTORIES = {
@@ -67,14 +67,19 @@ class AppendPlan:
     source: str
     table: str
     keys: tuple[str, ...]
+    required: tuple[str, ...]
     columns: tuple[str, ...]
 
 
 APPENDS = {
     "participant": AppendPlan(
-        "participant", "tft_match_participants", tuple(rows.PARTICIPANT_KEYS), tuple(schemas.PARTICIPANT.names)
+        "participant", "tft_match_participants", tuple(rows.PARTICIPANT_KEYS), ("gameId", "puuid"),
+        tuple(schemas.PARTICIPANT.names),
+    ),
+    "unit": AppendPlan(
+        "unit", "tft_participant_units", tuple(rows.UNIT_KEYS), ("gameId", "puuid", "character_id"),
+        tuple(schemas.UNIT_USE.names),
     ),
-    "unit": AppendPlan("unit", "tft_participant_units", tuple(rows.UNIT_KEYS), tuple(schemas.UNIT_USE.names)),
 }
 
 

@@ -104,11 +104,11 @@ class HistoryTable:
         narrow = [*keys, HASH, "seq"]
         tail = self._tail(batches, upto)
         if tail is None:
-            return current_for_batch(self._open(upto).select(*narrow), incoming, keys, unique=True)
+            return current_for_batch(self._open(upto).select(*narrow), incoming, keys, True, self.spec.nullable)
         rows = tail.select(*narrow)
         if upto:
             rows = stack(self._open(upto).select(*narrow), rows)
-        matched = current_for_batch(rows, incoming, keys, unique=True)
+        matched = current_for_batch(rows, incoming, keys, True, self.spec.nullable)
         return matched.groupBy(*keys).agg(F.max_by(HASH, "seq").alias(HASH))
 
     # -- write ---------------------------------------------------------------------------------
@@ -128,7 +128,7 @@ class HistoryTable:
         incoming.persist()
         try:
             stored = self._stored_hashes(batches, upto, incoming)
-            write_new(change_detect(incoming, stored, self.spec.keys, kind=None), target)
+            write_new(change_detect(incoming, stored, self.spec.keys, None, self.spec.nullable), target)
         finally:
             incoming.unpersist()
         return True

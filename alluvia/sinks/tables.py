@@ -18,13 +18,17 @@ from alluvia.operators.rows import latest_per_key
 from alluvia.sinks.folders import exists, is_complete, numbered
 
 
+COMMIT_MARKER = "mapreduce.fileoutputcommitter.marksuccessfuljobs"
+
+
 def balanced(df: DataFrame, partition_by: Sequence[str] = ()) -> DataFrame:
     """Let AQE size the output: small partitions merge, a hot one is split over several tasks and files."""
     return df.hint("rebalance", *partition_by) if partition_by else df
 
 
 def write_new(df: DataFrame, location: str, partition_by: Sequence[str] = ()) -> str:
-    writer = balanced(df, partition_by).write.mode("overwrite")
+    """Fill one directory; Spark marks it as complete when the job has committed."""
+    writer = balanced(df, partition_by).write.mode("overwrite").option(COMMIT_MARKER, "true")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(location)

@@ -97,22 +97,30 @@ def append_handler(
     partition_by: Sequence[str] = ("year", "month", "day"),
     batch_time=clock,
     cross_batch: bool = False,
+    required: Sequence[str] | None = None,
 ) -> BatchHandler:
     """Deduplicate each micro-batch on its keys and append it once.
 
+    Rows lacking one of the ``required`` keys (default: all keys) are dropped; NULL in another key is a value.
+
     By default, keys repeat across batches, as rows of an append log do. ``cross_batch`` also drops keys
     that are already stored.
     """
 
+    needed = list(keys if required is None else required)
+    nullable = [k for k in keys if k not in needed]
+
     def handle(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        rows = required_keys(batch.select(*dict.fromkeys([*columns, *[c for c in order if c in batch.columns]])), keys)
+        selected = batch.select(*dict.fromkeys([*columns, *[c for c in order if c in batch.columns]]))
+        rows = required_keys(selected, needed)
         kept = dedup_batch(rows, keys, order).select(*columns).persist()
         try:
             fresh = kept
             if cross_batch and has_batches(spark, path):
                 # Only the stored keys that occur in this batch take part in the anti join.
-                fresh = unseen(kept, current_for_batch(load_appended(spark, path), kept, keys, unique=True), keys)
+                stored = current_for_batch(load_appended(spark, path), kept, keys, True, nullable)
+                fresh = unseen(kept, stored, keys, nullable)
             stamped = with_audit(fresh, batch_time(batch, batch_id))
             append_batch(stamped, path, batch_id, stream_id(batch), partition_by)
         finally:
