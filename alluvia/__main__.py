@@ -16,7 +16,8 @@ PROFILE = {"bronze": "bronze", "silver": "silver", "optimize": "bronze", "demo":
 
 def main(arguments: list[str] | None = None) -> int:
     parser = argparse.ArgumentParser(prog="alluvia")
-    parser.add_argument("job", choices=["bronze", "silver", "static-to-csv", "load-dimensions", "optimize", "demo"])
+    jobs = ["bronze", "silver", "static-to-csv", "load-dimensions", "register", "optimize", "demo"]
+    parser.add_argument("job", choices=jobs)
     parser.add_argument("--root", required=True, help="root URI of the lake")
     parser.add_argument("--brokers", help="Kafka bootstrap servers; without it messages come from files")
     parser.add_argument("--messages", help="root of message directories, one per topic")
@@ -44,6 +45,8 @@ def main(arguments: list[str] | None = None) -> int:
         outcome = dimensions.load_dimensions(spark, config, given.folder)
         print(outcome)
         return dimensions.exit_code(outcome)
+    elif given.job == "register":
+        print(bronze.register_bronze(spark, config) + silver.register_silver(spark, config))
     elif given.job == "optimize":
         outcome = maintenance.optimize_bronze(spark, config, kinds)
         print(outcome)

@@ -37,12 +37,13 @@ def table_stats(spark: SparkSession, location: str) -> DataFrame:
 
 def compare_stats(before: DataFrame, after: DataFrame) -> DataFrame:
     """One row on what a rewrite saved; the reduction is NULL for an empty table."""
-    old = before.select(*[F.col(c).alias(f"before_{c}") for c in before.columns])
-    new = after.select(*[F.col(c).alias(f"after_{c}") for c in after.columns])
+    both = before.withColumn("_when", F.lit("before")).unionByName(after.withColumn("_when", F.lit("after")))
+    sides = both.agg(*[
+        F.max(F.when(F.col("_when") == when, F.col(c))).alias(f"{when}_{c}")
+        for when in ("before", "after") for c in before.columns
+    ])
     saved = F.col("before_num_files") - F.col("after_num_files")
-    # Both sides are single rows; the constant key makes that an ordinary 1:1 join.
-    joined = old.withColumn("_one", F.lit(1)).join(new.withColumn("_one", F.lit(1)), "_one").drop("_one")
-    return joined.withColumns({
+    return sides.withColumns({
         "files_saved": saved,
         "files_saved_pct": F.round(F.try_divide(saved * 100.0, F.col("before_num_files")), 2),
         "mb_saved": F.round(F.col("before_size_in_mb") - F.col("after_size_in_mb"), 2),

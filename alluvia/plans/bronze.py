@@ -11,6 +11,8 @@ from alluvia.config import LakeConfig
 from alluvia.functions.audit import with_audit
 from alluvia.operators.envelope import decode_messages
 from alluvia.plans.tables import MESSAGE_TABLES
+from alluvia.sinks.catalog import ensure_database, register_table
+from alluvia.sinks.folders import exists
 from alluvia.streaming.lifecycle import run_together
 from alluvia.streaming.sinks import append_stream
 
@@ -25,8 +27,20 @@ def bronze_stream(config: LakeConfig, source: Source, kind: str, every: str | No
     return append_stream(rows, paths.data, paths.checkpoint, every, name=f"bronze_{plan.table}")
 
 
+def register_bronze(spark: SparkSession, config: LakeConfig) -> list[str]:
+    """Make every bronze message table that holds data known to the catalog; returns their names."""
+    known = []
+    for plan in MESSAGE_TABLES.values():
+        paths = config.paths("bronze", plan.table)
+        if exists(spark, paths.data):
+            ensure_database(spark, paths.database)
+            register_table(spark, paths.name, paths.data)
+            known.append(paths.name)
+    return known
+
+
 def run_bronze(
     spark: SparkSession, config: LakeConfig, source: Source, kinds: Sequence[str] = ("match", "participant", "unit")
 ) -> None:
-    """All message streams in one session, until one of them ends. Tables are registered once they hold data."""
+    """All message streams in one session, until one of them ends."""
     run_together(spark, [lambda kind=kind: bronze_stream(config, source, kind) for kind in kinds])

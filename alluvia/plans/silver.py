@@ -7,9 +7,11 @@ from collections.abc import Sequence
 from pyspark.sql import SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from alluvia.config import LakeConfig
+from alluvia.config import LakeConfig, TablePaths
 from alluvia.plans.tables import APPENDS, HISTORIES, MESSAGE_TABLES
+from alluvia.sinks.catalog import ensure_database, register_view
 from alluvia.sinks.history import HistoryTable
+from alluvia.sinks.tables import has_batches
 from alluvia.sources.streams import stream_table
 from alluvia.streaming.lifecycle import run_in_turn, run_together
 from alluvia.streaming.sinks import append_handler, batch_stream, clock, history_handler
@@ -51,6 +53,27 @@ def append_table_stream(
     return batch_stream(rows, handler, paths.checkpoint, every, name=f"silver_{plan.table}")
 
 
+def register_silver(spark: SparkSession, config: LakeConfig) -> list[str]:
+    """Make every silver table that holds data known to the catalog; returns their names."""
+    known = []
+    for kind, history in HISTORIES.items():
+        table = history_table(spark, config, kind)
+        if table.exists():
+            known.append(_view(spark, config.paths("silver", history.table), table.view_sql()))
+    for appended in APPENDS.values():
+        paths = config.paths("silver", appended.table)
+        if has_batches(spark, paths.data):
+            columns = ", ".join([*appended.columns, "processed_ts", "year", "month", "day"])
+            known.append(_view(spark, paths, f"SELECT {columns} FROM parquet.`{paths.data}`"))
+    return known
+
+
+def _view(spark: SparkSession, paths: TablePaths, select: str) -> str:
+    ensure_database(spark, paths.database)
+    register_view(spark, paths.name, select)
+    return paths.name
+
+
 def silver_stream(spark: SparkSession, config: LakeConfig, kind: str, every: str | None = "60 seconds") -> StreamingQuery:
     start = history_stream if kind in HISTORIES else append_table_stream
     return start(spark, config, kind, every)

@@ -40,6 +40,13 @@ def register_table(spark: SparkSession, name: str, location: str, replace: bool
         spark.catalog.recoverPartitions(name)
 
 
+def register_view(spark: SparkSession, name: str, select: str) -> None:
+    """A stored view; it replaces a table or view of that name, never any data."""
+    if spark.catalog.tableExists(name) and spark.catalog.getTable(name).tableType != "VIEW":
+        spark.sql(f"DROP TABLE {quoted(name)}")
+    spark.sql(f"CREATE OR REPLACE VIEW {quoted(name)} AS {select}")
+
+
 def create_empty_table(spark: SparkSession, name: str, columns: str, location: str, properties: dict[str, str]) -> None:
     """Create or replace an external table with the given DDL columns; written data is left alone."""
     listed = ", ".join(f"'{key}' = '{value}'" for key, value in properties.items())

@@ -162,3 +162,23 @@ class HistoryTable:
     def current(self) -> DataFrame:
         """Current rows only; the closed history is not touched."""
         return self._resolved(*self._state()).filter("is_current")
+
+    def view_sql(self) -> str:
+        """The same rows as ``read`` as a SELECT over the directories, for a view other sessions can query.
+
+        It names the fold it builds on, and finds later batches by itself: it stays right without being
+        renewed, and is worth renewing after a fold so that the window stays small.
+        """
+        _, upto = self._state()
+        layout = ", ".join(f"`{c}`" for c in self.spec.layout)
+        kept = ", ".join(f"`{c}`" for c in self.spec.layout if c not in ("is_current", "end_date"))
+        keys = ", ".join(f"`{k}`" for k in self.spec.keys)
+        recent = f"SELECT {kept}, CAST(seq AS BIGINT) AS seq FROM parquet.`{self.path}/tail` WHERE seq > {upto}"
+        closed = ""
+        if upto:
+            folded = f"parquet.`{self.path}/folded`"
+            recent = f"SELECT {kept}, upto AS seq FROM {folded} WHERE upto = {upto} AND is_current = 'true' UNION ALL {recent}"
+            past = layout.replace("`is_current`", "false AS is_current")
+            closed = f" UNION ALL SELECT {past} FROM {folded} WHERE upto <= {upto} AND is_current = 'false'"
+        ended = f"SELECT *, lead(effective_date) OVER (PARTITION BY {keys} ORDER BY seq) AS end_date FROM ({recent})"
+        return f"SELECT {layout.replace('`is_current`', 'end_date IS NULL AS is_current')} FROM ({ended}){closed}"

@@ -215,6 +215,22 @@ def test_a_failing_batch_keeps_the_table(spark, here):
     assert facts(table.read()) == before
 
 
+def test_view_needs_no_renewal(spark, here):
+    table = stored(spark, f"{here}/h", BATCHES[:2])
+    plain = table.view_sql()
+    table.fold()
+    folded = table.view_sql()
+    for number in (2, 3, 4):
+        table.apply(spark.createDataFrame(BATCHES[number], DDL), at(number), number)
+    wanted = table.read()
+    for select in (plain, folded, table.view_sql()):
+        view = spark.sql(select)
+        assert view.columns == SPEC.layout
+        assert view.exceptAll(wanted).count() == 0 and wanted.exceptAll(view).count() == 0
+    table.fold()
+    assert facts(spark.sql(table.view_sql())) == facts(spark.sql(plain)) == by_hand(BATCHES)
+
+
 def test_untouched_rows_stay_where_they_are(spark, here):
     table = stored(spark, f"{here}/h", BATCHES, fold_after=(3,))
     folded = spark.read.parquet(f"{here}/h/folded/upto=4")

@@ -32,7 +32,7 @@ def catch_up(spark, here, lake):
 
 
 def test_messages_to_silver(spark, here):
-    lake = LakeConfig(f"{here}/lake")
+    lake = LakeConfig(f"{here}/lake", databases={"bronze": "t_bronze", "silver": "t_silver"})
     send(spark, here, MATCH_BODIES + MATCH_BODIES[:1])
     catch_up(spark, here, lake)
     send(spark, here, [MATCH_BODIES[0].replace('"gameId":1', '"gameId":1,"game_length":9.5'), *MATCH_BODIES[1:3]])
@@ -58,6 +58,14 @@ def test_messages_to_silver(spark, here):
     units = load_appended(spark, lake.paths("silver", "tft_participant_units").data)
     assert units.filter("character_id = 'c1'").first().item3 == "c"
 
+    assert len(bronze.register_bronze(spark, lake)) == 3 and len(silver.register_silver(spark, lake)) == 3
+    assert spark.sql("SELECT count(*) FROM t_bronze.tft_matches").first()[0] == 8
+    assert spark.table("t_silver.tft_matches_scd2").exceptAll(history).count() == 0
+    assert spark.sql("SELECT game_length FROM t_silver.tft_matches_scd2 WHERE is_current AND gameId = 1").first()[0] == 9.5
+    assert spark.table("t_silver.tft_match_participants").columns == players.columns
+    assert silver.register_silver(spark, lake) and bronze.register_bronze(spark, lake)
+    assert spark.table("t_bronze.tft_matches").count() == 8
+
 
 def test_summoner_history(spark, here):
     lake = LakeConfig(f"{here}/lake")
