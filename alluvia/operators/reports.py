@@ -93,6 +93,7 @@ def top_rows(df: DataFrame, order: Sequence[str], count: int = 10, descending: b
 
 
 def sorted_rows(df: DataFrame, order: Sequence[str]) -> DataFrame:
-    """Globally sorted; the other columns break ties so that equal sort keys can spread over tasks."""
+    """Globally sorted. All other columns and then the input partition break ties, so that equal sort keys,
+    and even exact copies of a row, can spread over several sorting tasks."""
     rest = [c for c in df.columns if c not in order]
-    return df.orderBy(*order, *rest)
+    return df.withColumn("_from", F.spark_partition_id()).orderBy(*order, *rest, "_from").drop("_from")

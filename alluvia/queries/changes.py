@@ -9,6 +9,7 @@ from alluvia.operators import changes, rows
 from alluvia.queries.registry import query, table
 from alluvia.session import shared_folder
 from alluvia.sinks.tables import live_version, overwrite_table, upsert_table
+from alluvia.sinks.upserts import UpsertTable
 
 TRACKED = ["o_orderstatus", "amount", "o_orderpriority"]
 KEYS = ["o_orderkey", "o_custkey"]
@@ -106,3 +107,13 @@ def upsert_into_table(spark, folder):
     overwrite_table(stored_orders(spark, folder), path)
     upsert_table(incoming_orders(spark, folder), path, KEYS)
     return spark.read.parquet(live_version(spark, path))
+
+
+@query("upsert_batches", UPSERT_SQL)
+def upsert_batches(spark, folder):
+    """The same upsert without rewriting the target, and once more after a fold."""
+    stored = UpsertTable(spark, shared_folder(spark, "upserts"), KEYS, partition_by=["o_orderpriority"])
+    stored.upsert(stored_orders(spark, folder), 0)
+    stored.fold()
+    stored.upsert(incoming_orders(spark, folder), 1)
+    return stored.read()

@@ -1,0 +1,97 @@
+"""What stored tables that grow by batches have in common.
+
+Layout below the table path::
+
+    tail/seq=<n>/writer_id=<w>/batch_id=<b>/    what one batch added
+    folded/upto=<n>/                            the table's state as of seq n, made physical
+
+A batch only ever adds its own directory, so its cost follows the batch. Folding from time to time keeps
+the tail short. Each change of state is a single Spark write that becomes visible when it commits: a killed
+job leaves the earlier state, and a retry repeats the whole step. One writer per table at a time.
+"""
+
+from __future__ import annotations
+
+from typing import NamedTuple
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from alluvia.sinks.folders import RETENTION_HOURS, committed, numbered, retire
+from alluvia.sinks.tables import write_new
+
+
+class Batch(NamedTuple):
+    writer: str
+    number: int
+    place: str
+
+
+class State(NamedTuple):
+    batches: dict[int, Batch]  # by seq
+    upto: int  # the seq up to which the table is folded, 0 when it never was
+
+    @property
+    def last(self) -> int:
+        return max(max(self.batches, default=0), self.upto)
+
+
+class BatchLog:
+    fold_partitions: tuple[str, ...] = ()
+
+    def __init__(self, spark: SparkSession, path: str):
+        self.spark = spark
+        self.path = path.rstrip("/")
+
+    def state(self) -> State:
+        batches = {}
+        for place in committed(self.spark, f"{self.path}/tail/seq=*/writer_id=*/batch_id=*"):
+            parts = dict(piece.split("=", 1) for piece in place.split("/")[-3:])
+            batches[int(parts["seq"])] = Batch(parts["writer_id"], int(parts["batch_id"]), place)
+        return State(batches, max(numbered(self.spark, f"{self.path}/folded", "upto"), default=0))
+
+    def stored_state(self) -> State:
+        state = self.state()
+        if not state.last:
+            raise FileNotFoundError(f"no committed batch under {self.path}")
+        return state
+
+    def exists(self) -> bool:
+        return self.state().last > 0
+
+    def was_applied(self, state: State, batch_id: int, writer_id: str) -> bool:
+        return any(b.writer == writer_id and b.number >= batch_id for b in state.batches.values())
+
+    def add(self, rows: DataFrame, state: State, batch_id: int, writer_id: str) -> None:
+        write_new(rows, f"{self.path}/tail/seq={state.last + 1}/writer_id={writer_id}/batch_id={batch_id}")
+
+    def tail(self, state: State) -> DataFrame | None:
+        """Rows added since the last fold, with their ``seq``."""
+        places = [batch.place for seq, batch in sorted(state.batches.items()) if seq > state.upto]
+        if not places:
+            return None
+        rows = self.spark.read.option("basePath", f"{self.path}/tail").parquet(*places)
+        return rows.drop("writer_id", "batch_id").withColumn("seq", F.col("seq").cast("long"))
+
+    def resolved(self, state: State) -> DataFrame:
+        """The rows a fold writes."""
+        raise NotImplementedError
+
+    def fold(self) -> int:
+        """Make the present state physical; returns the seq the table is now folded up to."""
+        state = self.state()
+        if state.last > state.upto:
+            write_new(self.resolved(state), f"{self.path}/folded/upto={state.last}", self.fold_partitions)
+        return state.last
+
+    def retire_folded(self, retention_hours: float = RETENTION_HOURS) -> list[str]:
+        """Delete batches that are part of the last fold. Each writer's latest batch stays, to know a replay."""
+        state = self.state()
+        latest: dict[str, int] = {}
+        for batch in state.batches.values():
+            latest[batch.writer] = max(batch.number, latest.get(batch.writer, -1))
+        stale = [
+            batch.place for seq, batch in state.batches.items()
+            if seq <= state.upto and batch.number < latest[batch.writer]
+        ]
+        return retire(self.spark, stale, retention_hours)

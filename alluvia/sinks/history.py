@@ -1,16 +1,9 @@
-"""A stored type-2 table whose cost per micro-batch follows the batch, not the table.
+"""A stored type-2 table.
 
-Layout below the table path::
-
-    tail/seq=<n>/writer_id=<w>/batch_id=<b>/                         versions opened by one batch
-    folded/upto=<n>/is_current=<true|false>/year=/month=/day=/       rows current as of seq n, and rows
-                                                                     that this fold found closed
-
-Applying a batch reads keys and hashes of the current rows, and writes nothing but the versions it opens.
-``is_current`` and ``end_date`` of recently touched keys follow from the tail at read time; ``fold`` makes
-them physical from time to time, in one write, and rows once folded as closed are never rewritten. Since
-every state change is a single Spark write, there is no moment at which a key is closed but not reopened.
-One writer per table at a time.
+A batch adds the versions it opens, nothing else: ``is_current`` and ``end_date`` of recently touched keys
+follow from the tail at read time, so there is no moment at which a key is closed but not reopened. A fold
+writes the rows that are current, and those it found closed, under
+``is_current=<true|false>/year=/month=/day=``; rows once folded as closed are never rewritten.
 """
 
 from __future__ import annotations
@@ -23,35 +16,16 @@ from pyspark.sql import types as T
 
 from alluvia.operators.changes import HASH, change_detect, current_for_batch, stack
 from alluvia.operators.scd2 import HistorySpec, last_of_batch, stamp
-from alluvia.sinks.folders import committed, numbered
-from alluvia.sinks.tables import write_new
+from alluvia.sinks.batchlog import BatchLog, State
 
-FOLD_PARTITIONS = ("is_current", "year", "month", "day")
-Batches = dict[int, tuple[str, int, str]]  # seq -> (writer, batch, directory)
 
+class HistoryTable(BatchLog):
+    fold_partitions = ("is_current", "year", "month", "day")
 
-class HistoryTable:
     def __init__(self, spark: SparkSession, path: str, spec: HistorySpec):
-        self.spark = spark
-        self.path = path.rstrip("/")
+        super().__init__(spark, path)
         self.spec = spec
 
-    # -- what is committed ---------------------------------------------------------------------
-
-    def _batches(self) -> Batches:
-        found: Batches = {}
-        for place in committed(self.spark, f"{self.path}/tail/seq=*/writer_id=*/batch_id=*"):
-            parts = dict(piece.split("=", 1) for piece in place.split("/")[-3:])
-            found[int(parts["seq"])] = (parts["writer_id"], int(parts["batch_id"]), place)
-        return found
-
-    def _folds(self) -> int:
-        """The seq up to which the table is folded, 0 when it never was."""
-        return max(numbered(self.spark, f"{self.path}/folded", "upto"), default=0)
-
-    def exists(self) -> bool:
-        return bool(self._batches()) or self._folds() > 0
-
     # -- rows ----------------------------------------------------------------------------------
 
     def _folded(self, upto: int) -> DataFrame:
@@ -67,26 +41,22 @@ class HistoryTable:
         rows = self._folded(upto).filter((F.col("upto") == upto) & F.col("is_current"))
         return rows.withColumn("seq", F.col("upto"))
 
-    def _tail(self, batches: Batches, upto: int) -> DataFrame | None:
-        """The versions opened since the last fold."""
-        places = [place for seq, (_, _, place) in sorted(batches.items()) if seq > upto]
-        if not places:
-            return None
-        rows = self.spark.read.option("basePath", f"{self.path}/tail").parquet(*places)
-        return rows.drop("writer_id", "batch_id").withColumn("seq", F.col("seq").cast("long"))
+    def _candidates(self, state: State, columns: list[str]) -> DataFrame:
+        """The rows current at the last fold and all versions since."""
+        tail = self.tail(state)
+        parts = [self._open(state.upto)] if state.upto else []
+        parts += [tail] if tail is not None else []
+        return stack(*[rows.select(*columns) for rows in parts])
 
-    def _resolved(self, batches: Batches, upto: int) -> DataFrame:
-        """Rows current at the last fold and all versions since, with their ends worked out.
+    def resolved(self, state: State) -> DataFrame:
+        """Those rows with their ends worked out.
 
         The window holds one row per batch that changed the key since the last fold, so folding bounds it.
         """
         layout = self.spec.layout
-        tail = self._tail(batches, upto)
-        if tail is None:
-            return self._open(upto).select(*layout)
-        rows = tail.select(*layout, "seq")
-        if upto:
-            rows = stack(self._open(upto).select(*layout, "seq"), rows)
+        rows = self._candidates(state, [*layout, "seq"])
+        if state.last == state.upto:
+            return rows.select(*layout)
         versions = Window.partitionBy(*self.spec.keys).orderBy("seq")
         return (
             rows.withColumn("end_date", F.lead("effective_date").over(versions))
@@ -94,82 +64,61 @@ class HistoryTable:
             .select(*layout)
         )
 
-    def _stored_hashes(self, batches: Batches, upto: int, incoming: DataFrame) -> DataFrame:
+    def _stored_hashes(self, state: State, incoming: DataFrame) -> DataFrame:
         """Current hash of each incoming key that is stored.
 
         Only keys and hashes are read. They are cut down to the incoming keys first: a small batch is
         broadcast, so the stored rows are filtered where they lie and only matches are shuffled.
         """
         keys = list(self.spec.keys)
-        narrow = [*keys, HASH, "seq"]
-        tail = self._tail(batches, upto)
-        if tail is None:
-            return current_for_batch(self._open(upto).select(*narrow), incoming, keys, True, self.spec.nullable)
-        rows = tail.select(*narrow)
-        if upto:
-            rows = stack(self._open(upto).select(*narrow), rows)
-        matched = current_for_batch(rows, incoming, keys, True, self.spec.nullable)
+        rows = self._candidates(state, [*keys, HASH, "seq"])
+        matched = current_for_batch(rows, incoming, keys, unique=True, nullable=self.spec.nullable)
+        if state.last == state.upto:
+            return matched
         return matched.groupBy(*keys).agg(F.max_by(HASH, "seq").alias(HASH))
 
     # -- write ---------------------------------------------------------------------------------
 
     def apply(self, batch: DataFrame, batch_ts: datetime | Column, batch_id: int, writer_id: str = "batch") -> bool:
         """Apply one micro-batch; False when this writer's batch was applied before (a replay)."""
-        batches, upto = self._batches(), self._folds()
-        done = max((number for writer, number, _ in batches.values() if writer == writer_id), default=-1)
-        if batch_id <= done:
+        state = self.state()
+        if self.was_applied(state, batch_id, writer_id):
             return False
-        seq = max(max(batches, default=0), upto) + 1
-        target = f"{self.path}/tail/seq={seq}/writer_id={writer_id}/batch_id={batch_id}"
         incoming = stamp(last_of_batch(batch, self.spec), self.spec, batch_ts)
-        if seq == 1:
-            write_new(incoming, target)
+        if not state.last:
+            self.add(incoming, state, batch_id, writer_id)
             return True
         incoming.persist()
         try:
-            stored = self._stored_hashes(batches, upto, incoming)
-            write_new(change_detect(incoming, stored, self.spec.keys, None, self.spec.nullable), target)
+            stored = self._stored_hashes(state, incoming)
+            opened = change_detect(incoming, stored, self.spec.keys, kind=None, nullable=self.spec.nullable)
+            self.add(opened, state, batch_id, writer_id)
         finally:
             incoming.unpersist()
         return True
 
-    def fold(self) -> int:
-        """Make the ends of all versions physical; returns the seq the table is now folded up to."""
-        batches, upto = self._batches(), self._folds()
-        last = max(batches, default=0)
-        if last <= upto:
-            return upto
-        write_new(self._resolved(batches, upto), f"{self.path}/folded/upto={last}", FOLD_PARTITIONS)
-        return last
-
     # -- read ----------------------------------------------------------------------------------
 
-    def _state(self) -> tuple[Batches, int]:
-        batches, upto = self._batches(), self._folds()
-        if not (batches or upto):
-            raise FileNotFoundError(f"no committed batch under {self.path}")
-        return batches, upto
-
     def read(self) -> DataFrame:
         """Every version of every key."""
-        batches, upto = self._state()
-        resolved = self._resolved(batches, upto)
-        if not upto:
+        state = self.stored_state()
+        resolved = self.resolved(state)
+        if not state.upto:
             return resolved
-        closed = self._folded(upto).filter(~F.col("is_current"))
+        closed = self._folded(state.upto).filter(~F.col("is_current"))
         return stack(closed.select(*self.spec.layout), resolved)
 
     def current(self) -> DataFrame:
         """Current rows only; the closed history is not touched."""
-        return self._resolved(*self._state()).filter("is_current")
+        return self.resolved(self.stored_state()).filter("is_current")
 
     def view_sql(self) -> str:
         """The same rows as ``read`` as a SELECT over the directories, for a view other sessions can query.
 
-        It names the fold it builds on, and finds later batches by itself: it stays right without being
-        renewed, and is worth renewing after a fold so that the window stays small.
+        It names the fold it builds on and finds later batches by itself. Renew it after a fold: the window
+        stays small, and batches may be retired only when no view builds on an earlier fold.
         """
-        _, upto = self._state()
+        upto = self.stored_state().upto
         layout = ", ".join(f"`{c}`" for c in self.spec.layout)
         kept = ", ".join(f"`{c}`" for c in self.spec.layout if c not in ("is_current", "end_date"))
         keys = ", ".join(f"`{k}`" for k in self.spec.keys)

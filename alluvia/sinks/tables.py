@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 
 from alluvia.operators.changes import stack, upsert_merge
 from alluvia.operators.rows import latest_per_key
-from alluvia.sinks.folders import exists, is_complete, numbered
+from alluvia.sinks.folders import RETENTION_HOURS, exists, is_complete, numbered, retire
 
 
 COMMIT_MARKER = "mapreduce.fileoutputcommitter.marksuccessfuljobs"
@@ -76,9 +76,10 @@ def upsert_table(
 ) -> str:
     """Update matching rows, insert the others; create the table when it does not exist yet.
 
-    Existence is tested, never guessed from an exception: an error keeps the stored table as it is.
-    The target is streamed past the source keys; a small source is broadcast by AQE and then the target
-    is not shuffled at all.
+    Existence is tested, never guessed from an exception: an error keeps the stored table as it is. This
+    form writes a whole new version, which suits tables that are small next to their changes;
+    ``UpsertTable`` is for large ones. The target is streamed past the source keys: AQE broadcasts a small
+    source, and then the target is not shuffled.
     """
     spark = df.sparkSession
     source = latest_per_key(df, keys, order)
@@ -88,6 +89,12 @@ def upsert_table(
     return overwrite_table(upsert_merge(spark.read.parquet(stored), source, keys), path, partition_by)
 
 
+def retire_versions(spark: SparkSession, path: str, retention_hours: float = RETENTION_HOURS) -> list[str]:
+    """Delete versions that were replaced, once they are old enough; the live one always stays."""
+    versions = numbered(spark, path, "v")
+    return retire(spark, [versions[n] for n in sorted(versions)[:-1]], retention_hours)
+
+
 def append_batch(
     df: DataFrame, path: str, batch_id: int, writer_id: str = "batch", partition_by: Sequence[str] = ()
 ) -> bool:

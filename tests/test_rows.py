@@ -193,3 +193,14 @@ def test_reports(spark):
     assert [r[0] for r in reports.distinct_sorted(df, "k").collect()] == ["a", "b"]
     assert tuple(reports.value_range(df, "v", "v").first()) == (7.0 / 3, 1.0, 4.0)
     assert "TakeOrderedAndProject" in plan(reports.top_rows(df, ["v"], 2))
+
+
+def test_sorting_spreads_exact_copies(spark):
+    copies = spark.range(0, 40_000, 1, 8).select(F.lit(1).alias("a"), F.lit("x").alias("b"))
+    from alluvia.operators.layout import settings
+
+    with settings(spark, {"spark.sql.adaptive.enabled": "false"}):
+        sizes = reports.sorted_rows(copies, ["a"]).groupBy(F.spark_partition_id()).count().collect()
+        assert max(s["count"] for s in sizes) < 20_000
+    mixed = spark.createDataFrame([(3, "c"), (1, "b"), (1, "a"), (2, "z")], "n int, t string")
+    assert [tuple(r) for r in reports.sorted_rows(mixed, ["n"]).collect()] == [(1, "a"), (1, "b"), (2, "z"), (3, "c")]

@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 from alluvia.operators import layout
 from alluvia.schemas import INT, STRING, record
 from alluvia.sinks import catalog, tables
+from alluvia.sinks.upserts import UpsertTable
 
 
 def rows(spark, count, value="a"):
@@ -42,6 +43,38 @@ def test_upsert_table(spark, here):
     assert tables.load_table(spark, f"{here}/p").count() == 3
 
 
+def test_upsert_batches(spark, here):
+    table = UpsertTable(spark, f"{here}/u", ["id"])
+    with pytest.raises(FileNotFoundError):
+        table.read()
+    ddl = "id int, name string"
+
+    def put(rows, number):
+        return table.upsert(spark.createDataFrame(rows, ddl), number)
+
+    def seen():
+        return sorted(map(tuple, table.read().collect()))
+
+    assert put([(1, "a"), (2, "b")], 0) and put([(2, "c"), (3, "d"), (3, "d")], 1)
+    assert seen() == [(1, "a"), (2, "c"), (3, "d")]
+    assert not put([(2, "late")], 1)
+    assert table.fold() == 2 and seen() == [(1, "a"), (2, "c"), (3, "d")]
+    assert put([(1, "z"), (4, "e")], 2)
+    assert seen() == [(1, "z"), (2, "c"), (3, "d"), (4, "e")]
+    assert table.retire_folded(retention_hours=1) == []
+    assert len(table.retire_folded(retention_hours=0)) == 2
+    assert not put([(9, "replay")], 2) and put([(5, "f")], 3)
+    assert table.fold() == 4 and len(seen()) == 5
+
+
+def test_retired_versions(spark, here):
+    for n in range(3):
+        tables.overwrite_table(rows(spark, n + 1), f"{here}/t")
+    assert tables.retire_versions(spark, f"{here}/t") == []
+    assert len(tables.retire_versions(spark, f"{here}/t", retention_hours=0)) == 2
+    assert tables.load_table(spark, f"{here}/t").count() == 3
+
+
 def test_append_replay(spark, here):
     assert tables.append_batch(rows(spark, 4), f"{here}/a", 0, "w", ["part"])
     assert not tables.append_batch(rows(spark, 4), f"{here}/a", 0, "w", ["part"])
