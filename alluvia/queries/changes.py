@@ -24,7 +24,9 @@ ORDERS_SQL = """
     altered AS (SELECT * REPLACE (CASE WHEN o_orderkey % 5 = 0 THEN 'X' ELSE o_orderstatus END AS o_orderstatus)
                 FROM base WHERE o_orderdate >= TIMESTAMP '1999-01-01'),
     incoming AS (SELECT *, sha256(concat_ws('||', o_orderstatus, CAST(amount AS VARCHAR), o_orderpriority)) AS hash_key
-                 FROM altered)"""
+                 FROM altered),
+    shown_stored AS (SELECT * REPLACE (CAST(amount AS DOUBLE) AS amount) FROM stored),
+    shown_incoming AS (SELECT * REPLACE (CAST(amount AS DOUBLE) AS amount) FROM incoming)"""
 
 
 def _orders(spark, folder):
@@ -34,6 +36,11 @@ def _orders(spark, folder):
     )
 
 
+def shown(df):
+    """Amounts are decimals for the hash, and doubles in the result."""
+    return df.withColumn("amount", F.col("amount").cast("double"))
+
+
 def stored_orders(spark, folder):
     old = _orders(spark, folder).filter(F.col("o_orderdate") < F.lit(STORED_UNTIL).cast("timestamp_ntz"))
     return old.withColumn("hash_key", row_hash(TRACKED))
@@ -47,38 +54,38 @@ def incoming_orders(spark, folder):
 
 @query("current_for_batch", f"""
     WITH {ORDERS_SQL}
-    SELECT * FROM stored s WHERE EXISTS (
+    SELECT * FROM shown_stored s WHERE EXISTS (
         SELECT 1 FROM incoming i WHERE i.o_orderkey = s.o_orderkey AND i.o_custkey = s.o_custkey)""")
 def current_for_batch(spark, folder):
-    return changes.current_for_batch(stored_orders(spark, folder), incoming_orders(spark, folder), KEYS)
+    return shown(changes.current_for_batch(stored_orders(spark, folder), incoming_orders(spark, folder), KEYS))
 
 
 @query("change_detect", f"""
     WITH {ORDERS_SQL}
     SELECT i.*, CASE WHEN s.hash_key IS NULL THEN 'new' ELSE 'changed' END AS "change"
-    FROM incoming i LEFT JOIN stored s USING (o_orderkey, o_custkey)
+    FROM shown_incoming i LEFT JOIN stored s USING (o_orderkey, o_custkey)
     WHERE s.hash_key IS NULL OR s.hash_key <> i.hash_key""")
 def change_detect(spark, folder):
-    return changes.change_detect(incoming_orders(spark, folder), stored_orders(spark, folder), KEYS)
+    return shown(changes.change_detect(incoming_orders(spark, folder), stored_orders(spark, folder), KEYS))
 
 
 @query("changed_and_new", f"""
     WITH {ORDERS_SQL}
-    SELECT i.* FROM incoming i LEFT JOIN stored s USING (o_orderkey, o_custkey)
+    SELECT i.* FROM shown_incoming i LEFT JOIN stored s USING (o_orderkey, o_custkey)
     WHERE s.hash_key IS NULL OR s.hash_key <> i.hash_key""")
 def changed_and_new(spark, folder):
     stored, incoming = stored_orders(spark, folder), incoming_orders(spark, folder)
-    return changes.stack(
+    return shown(changes.stack(
         changes.changed_rows(incoming, stored, KEYS), changes.new_rows(incoming, stored, KEYS)
-    )
+    ))
 
 
 @query("new_keys", f"""
     WITH {ORDERS_SQL}
-    SELECT * FROM incoming i WHERE NOT EXISTS (
+    SELECT * FROM shown_incoming i WHERE NOT EXISTS (
         SELECT 1 FROM stored s WHERE i.o_orderkey = s.o_orderkey AND i.o_custkey = s.o_custkey)""")
 def new_keys(spark, folder):
-    return changes.new_rows(incoming_orders(spark, folder), stored_orders(spark, folder), KEYS)
+    return shown(changes.new_rows(incoming_orders(spark, folder), stored_orders(spark, folder), KEYS))
 
 
 @query("unseen_ids", """
@@ -91,14 +98,14 @@ def unseen_ids(spark, folder):
 
 UPSERT_SQL = f"""
     WITH {ORDERS_SQL}
-    SELECT * FROM incoming UNION ALL
-    SELECT * FROM stored s WHERE NOT EXISTS (
+    SELECT * FROM shown_incoming UNION ALL
+    SELECT * FROM shown_stored s WHERE NOT EXISTS (
         SELECT 1 FROM incoming i WHERE i.o_orderkey = s.o_orderkey AND i.o_custkey = s.o_custkey)"""
 
 
 @query("upsert_merge", UPSERT_SQL)
 def upsert_merge(spark, folder):
-    return changes.upsert_merge(stored_orders(spark, folder), incoming_orders(spark, folder), KEYS)
+    return shown(changes.upsert_merge(stored_orders(spark, folder), incoming_orders(spark, folder), KEYS))
 
 
 @query("upsert_table", UPSERT_SQL)
@@ -106,7 +113,7 @@ def upsert_into_table(spark, folder):
     path = shared_folder(spark, "upsert")
     overwrite_table(stored_orders(spark, folder), path)
     upsert_table(incoming_orders(spark, folder), path, KEYS)
-    return spark.read.parquet(live_version(spark, path))
+    return shown(spark.read.parquet(live_version(spark, path)))
 
 
 @query("upsert_batches", UPSERT_SQL)
@@ -116,4 +123,4 @@ def upsert_batches(spark, folder):
     stored.upsert(stored_orders(spark, folder), 0)
     stored.fold()
     stored.upsert(incoming_orders(spark, folder), 1)
-    return stored.read()
+    return shown(stored.read())

@@ -42,32 +42,34 @@ PERIOD_SQL = history_sql(
 )
 
 
-def change_log(spark, folder):
-    """Events with the number of their five-day period."""
-    period = F.floor(F.datediff("ts", F.expr(ORIGIN)) / PERIOD_DAYS).cast("int")
-    return table(spark, folder, "events").withColumn("period", period)
-
-
 def period_start(number: int):
     return F.expr(f"{ORIGIN} + INTERVAL '{number * PERIOD_DAYS}' DAY")
 
 
-def last_period(log) -> int:
-    return log.agg(F.max("period")).first()[0]
+def in_period(events, number: int):
+    """Events of one five-day period; the bounds on ``ts`` reach the scan."""
+    return events.filter((F.col("ts") >= period_start(number)) & (F.col("ts") < period_start(number + 1)))
+
+
+def periods(events) -> range:
+    days = events.agg(F.max(F.datediff("ts", F.expr(ORIGIN)))).first()[0]
+    return range(days // PERIOD_DAYS + 1)
+
+
+def daily_log(spark, folder):
+    return table(spark, folder, "events").withColumn("at", F.to_date("ts").cast("timestamp_ntz"))
 
 
 @query("scd2_history", DAILY_SQL)
 def scd2_history(spark, folder):
-    log = table(spark, folder, "events").withColumn("at", F.date_trunc("day", "ts").cast("timestamp_ntz"))
-    return scd2.rebuild_history(log, USERS, "at").select(*SHOWN)
+    return scd2.rebuild_history(daily_log(spark, folder), USERS, "at").select(*SHOWN)
 
 
 @query("scd2_history_segmented", DAILY_SQL)
 def scd2_history_segmented(spark, folder):
     """The same rows by way of week segments, for logs where one key has too many batches for one task."""
-    log = table(spark, folder, "events").withColumn("at", F.date_trunc("day", "ts").cast("timestamp_ntz"))
     weeks = F.floor(F.datediff("at", F.expr(ORIGIN)) / 7)
-    return scd2.rebuild_history(log, USERS, "at", segment=weeks).select(*SHOWN)
+    return scd2.rebuild_history(daily_log(spark, folder), USERS, "at", segment=weeks).select(*SHOWN)
 
 
 def two_batches(spark, folder):
@@ -98,10 +100,10 @@ def scd2_insert(spark, folder):
 @query("scd2_incremental", PERIOD_SQL)
 def scd2_incremental(spark, folder):
     """Period after period into a stored table, folding on the way."""
-    log = change_log(spark, folder)
+    events = table(spark, folder, "events")
     stored = HistoryTable(spark, shared_folder(spark, "history"), USERS)
-    for number in range(last_period(log) + 1):
-        stored.apply(log.filter(F.col("period") == number), period_start(number), number)
+    for number in periods(events):
+        stored.apply(in_period(events, number), period_start(number), number)
         if number == 2:
             stored.fold()
     return stored.read().select(*SHOWN)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from alluvia.operators.envelope import decode_messages, to_messages
-from alluvia.queries.history import PERIOD_SQL, SHOWN, USERS, change_log, last_period, period_start
+from alluvia.queries.history import PERIOD_SQL, SHOWN, USERS, in_period, period_start, periods
 from alluvia.queries.registry import query, table
 from alluvia.session import shared_folder
 from alluvia.sinks.history import HistoryTable
@@ -41,25 +41,25 @@ def stream_append(spark, folder):
     return spark.read.parquet(f"{home}/out").select("message_key", "user_id", "event_type", "value")
 
 
-def staged_runs(log, home, start):
+def staged_runs(events, home, start):
     """Stage one period after the other and let the stream catch up each time: one micro-batch per period,
     and a restart from the checkpoint in between."""
-    for number in range(last_period(log) + 1):
-        log.filter(F.col("period") == number).write.mode("append").parquet(f"{home}/in")
+    for number in periods(events):
+        in_period(events, number).write.mode("append").parquet(f"{home}/in")
         start().awaitTermination()
 
 
 @query("scd2_stream", PERIOD_SQL)
 def scd2_stream(spark, folder):
     home = shared_folder(spark, "scd2")
-    log = change_log(spark, folder)
+    events = table(spark, folder, "events")
     stored = HistoryTable(spark, f"{home}/history", USERS)
     handler = history_handler(stored, batch_time=lambda batch, number: period_start(number), fold_every=4)
 
     def start():
-        return batch_stream(stream_table(spark, f"{home}/in", log.schema), handler, f"{home}/checkpoint", every=None)
+        return batch_stream(stream_table(spark, f"{home}/in", events.schema), handler, f"{home}/checkpoint", every=None)
 
-    staged_runs(log, home, start)
+    staged_runs(events, home, start)
     return stored.read().select(*SHOWN)
 
 
@@ -72,14 +72,14 @@ def scd2_stream(spark, folder):
 def partitioned_append(spark, folder):
     """Each micro-batch deduplicated on (user, type) and appended below its date."""
     home = shared_folder(spark, "dedup")
-    log = change_log(spark, folder)
+    events = table(spark, folder, "events")
     handler = append_handler(
         f"{home}/out", ["user_id", "event_type"], ["user_id", "event_type", "ts", "event_id"], order=("ts",),
         batch_time=lambda batch, number: period_start(number),
     )
 
     def start():
-        return batch_stream(stream_table(spark, f"{home}/in", log.schema), handler, f"{home}/checkpoint", every=None)
+        return batch_stream(stream_table(spark, f"{home}/in", events.schema), handler, f"{home}/checkpoint", every=None)
 
-    staged_runs(log, home, start)
+    staged_runs(events, home, start)
     return load_appended(spark, f"{home}/out").drop("processed_ts")
