@@ -1,8 +1,8 @@
 """Previous / next row of a key, without ever putting a whole key into one task.
 
-A plain ``lag`` over a key sorts all rows of that key in one task. With a ``segment`` the work is done
-per (key, segment), and only the edge row of each segment travels on to be matched with the
-neighbouring segment, so a key's largest group is one segment, plus one row per segment.
+A plain ``lag`` over a key sorts all rows of that key in one task. With a ``segment`` that happens per
+(key, segment); only the edge row of each segment, which carries the value its neighbouring segment asks
+for, goes through a window over the key. A key's largest group is then one segment, or one row per segment.
 """
 
 from __future__ import annotations
@@ -12,8 +12,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from alluvia.operators.rows import key_join
-
 
 def with_neighbour(
     df: DataFrame,
@@ -23,34 +21,24 @@ def with_neighbour(
     into: str,
     previous: bool = True,
     segment: Column | None = None,
-    nullable: Sequence[str] = (),
 ) -> DataFrame:
     """Add ``into``: the value of ``column`` in the previous (or next) row of the key, NULL at the end.
 
     ``order`` must be total within a key, and ``segment`` must not decrease along it.
-    Name key columns that may be NULL in ``nullable``.
     """
     step = F.lag if previous else F.lead
     if segment is None:
         return df.withColumn(into, step(column).over(Window.partitionBy(*keys).orderBy(*order)))
 
-    cut = df.withColumn("_segment", segment)
-    group = [*keys, "_segment"]
-    inside = Window.partitionBy(*group).orderBy(*order)
-    # _edge marks the row whose neighbour lies in another segment.
-    local = cut.withColumns({
+    inside = Window.partitionBy(*keys, "_segment").orderBy(*order)
+    whole = inside.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    offered = F.last_value if previous else F.first_value
+    local = df.withColumn("_segment", segment).withColumns({
         into: step(column).over(inside),
         "_edge": step(F.lit(True)).over(inside).isNull(),
+        "_offer": offered(F.col(column)).over(whole),
     })
-    outermost = F.max_by if previous else F.min_by
-    edges = (
-        cut.groupBy(*group)
-        .agg(outermost(F.struct(F.col(column).alias("value")), F.struct(*order)).alias("_own"))
-        .withColumn("_across", step("_own").over(Window.partitionBy(*keys).orderBy("_segment")))
-        .select(*group, F.col("_across.value").alias("_across"))
-    )
-    return (
-        key_join(local, edges, group, "left", nullable)
-        .withColumn(into, F.when(F.col("_edge"), F.col("_across")).otherwise(F.col(into)))
-        .select(*df.columns, into)
-    )
+    # Both branches read the same shuffle. Each segment has one edge row per key.
+    inner = local.filter(~F.col("_edge"))
+    edges = local.filter("_edge").withColumn(into, step("_offer").over(Window.partitionBy(*keys).orderBy("_segment")))
+    return inner.unionByName(edges).select(*df.columns, into)
