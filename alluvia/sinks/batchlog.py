@@ -66,12 +66,15 @@ class BatchLog:
         write_new(rows, f"{self.path}/tail/seq={state.last + 1}/writer_id={writer_id}/batch_id={batch_id}")
 
     def tail(self, state: State) -> DataFrame | None:
-        """Rows added since the last fold, with their ``seq``."""
+        """Rows added since the last fold, with their ``seq``; columns may differ between batches."""
         places = [batch.place for seq, batch in sorted(state.batches.items()) if seq > state.upto]
         if not places:
             return None
-        rows = self.spark.read.option("basePath", f"{self.path}/tail").parquet(*places)
-        return rows.drop("writer_id", "batch_id").withColumn("seq", F.col("seq").cast("long"))
+        return self.read_tail(places).drop("writer_id", "batch_id").withColumn("seq", F.col("seq").cast("long"))
+
+    def read_tail(self, places: list[str]) -> DataFrame:
+        reader = self.spark.read.option("basePath", f"{self.path}/tail").option("mergeSchema", "true")
+        return reader.parquet(*places)
 
     def resolved(self, state: State) -> DataFrame:
         """The rows a fold writes."""

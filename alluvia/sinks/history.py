@@ -25,15 +25,26 @@ class HistoryTable(BatchLog):
     def __init__(self, spark: SparkSession, path: str, spec: HistorySpec):
         super().__init__(spark, path)
         self.spec = spec
+        self._columns: T.StructType | None = None
 
     # -- rows ----------------------------------------------------------------------------------
 
+    def _schema(self, place: str) -> T.StructType:
+        """The stored columns. They are the same in every file, so one look saves a job per later read."""
+        if self._columns is None:
+            found = self.spark.read.parquet(place).schema
+            kinds = {f.name: f.dataType for f in found.fields} | {"is_current": T.BooleanType()}
+            self._columns = T.StructType([T.StructField(name, kinds[name]) for name in self.spec.layout])
+        return self._columns
+
+    def read_tail(self, places: list[str]) -> DataFrame:
+        schema = T.StructType([*self._schema(places[0]).fields, T.StructField("seq", T.LongType())])
+        return self.spark.read.schema(schema).option("basePath", f"{self.path}/tail").parquet(*places)
+
     def _folded(self, upto: int) -> DataFrame:
         """Everything folded so far, with ``upto``; ``is_current`` and the dates prune directories."""
         home = f"{self.path}/folded"
-        seen = self.spark.read.parquet(f"{home}/upto={upto}").schema
-        kinds = {f.name: f.dataType for f in seen.fields} | {"is_current": T.BooleanType(), "upto": T.LongType()}
-        schema = T.StructType([T.StructField(name, kind) for name, kind in kinds.items()])
+        schema = T.StructType([*self._schema(f"{home}/upto={upto}").fields, T.StructField("upto", T.LongType())])
         return self.spark.read.schema(schema).parquet(home).filter(F.col("upto") <= upto)
 
     def _open(self, upto: int) -> DataFrame:
