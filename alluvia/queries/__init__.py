@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from alluvia.queries import (  # noqa: F401  (imported for their registrations)
-    changes, events, history, maintenance, nested, orders, static, streams,
+    changes, events, history, lake, maintenance, nested, orders, static, streams,
 )
 from alluvia.queries.registry import ORACLES, QUERIES
 

@@ -14,7 +14,7 @@ from alluvia.queries.registry import query, table
 from alluvia.session import spread
 
 
-def match_documents(spark, folder, name="orders"):
+def match_documents(orders):
     """JSON match documents (column ``body``) from orders."""
     key, status = F.col("o_orderkey"), F.col("o_orderstatus")
     players = F.substring("o_orderpriority", 1, 1).cast("int")
@@ -52,11 +52,12 @@ def match_documents(spark, folder, name="orders"):
         F.when(status != "P", F.transform(F.sequence(F.lit(1), players), player)).alias("participants"),
     )
     metadata = F.struct(F.concat(F.lit("VN2_"), key.cast("string")).alias("match_id"))
-    return spread(table(spark, folder, name)).select(F.to_json(F.struct(metadata.alias("metadata"), info.alias("info"))).alias("body"))
+    document = F.struct(metadata.alias("metadata"), info.alias("info"))
+    return spread(orders).select(F.to_json(document).alias("body"))
 
 
 def parsed(spark, folder, header_only=False):
-    return nested.parse_match_documents(match_documents(spark, folder), header_only=header_only)
+    return nested.parse_match_documents(match_documents(table(spark, folder, "orders")), header_only=header_only)
 
 
 @query("nested_header", """
@@ -106,6 +107,10 @@ def nested_explode2(spark, folder):
            0 AS losses, TIMESTAMP '2024-02-01 00:00:00' AS ingest_ts
     FROM asked, unnest([1, 2]) AS e(n) WHERE c_custkey % 10 <> 0""")
 def league_normalize(spark, folder):
+    return summoner_rows(league_responses(table(spark, folder, "customer")), F.expr("TIMESTAMP_NTZ '2024-02-01 00:00:00'"))
+
+
+def league_responses(customers):
     """Customers answer as league entries: the full one and one with most fields missing. Every tenth
     response has the shape of the other kind of tier, and is skipped."""
     segments = {"AUTOMOBILE": "CHALLENGER", "BUILDING": "Master", "FURNITURE": "GRANDMASTER", "HOUSEHOLD": "GOLD"}
@@ -124,12 +129,11 @@ def league_normalize(spark, folder):
             missing.cast("int").alias("leaguePoints"), wins,
         ),
     )
-    asked = table(spark, folder, "customer").withColumn("tier", tier)
+    asked = customers.withColumn("tier", tier)
     is_page = F.lower("tier").isin("challenger", "master", "grandmaster") != (F.col("c_custkey") % 10 == 0)
-    responses = asked.select(
+    return asked.select(
         "tier",
         F.when(F.col("c_nationkey") % 2 == 0, "II").otherwise("").alias("division"),
         F.when(is_page, F.to_json(F.struct(F.upper("tier").alias("tier"), entries.alias("entries"))))
         .otherwise(F.to_json(entries)).alias("body"),
     )
-    return summoner_rows(responses, F.expr("TIMESTAMP_NTZ '2024-02-01 00:00:00'"))
