@@ -112,7 +112,8 @@ def append_batch(
 
 
 def load_appended(spark: SparkSession, path: str, evolve: bool = False) -> DataFrame:
-    """All committed batches. Batches whose writer died before committing leave no visible files."""
+    """The rows of all batches. Files of a running job are out of sight until it commits, and a batch that
+    died while committing is overwritten by its retry."""
     reader = spark.read.option("basePath", path).option("mergeSchema", str(evolve).lower())
     return reader.parquet(path).drop("writer_id", "batch_id")
 
