@@ -34,9 +34,14 @@ def message_key(parts: Sequence[Column], null_text: str = "None") -> Column:
     return F.concat_ws("_", *[F.coalesce(p.cast("string"), F.lit(null_text)) for p in parts])
 
 
-def to_messages(rows: DataFrame, key: Column, timestamp: Column | None = None) -> DataFrame:
-    """(key, value[, timestamp]) rows ready for a message sink; NULL fields stay in the JSON text."""
-    value = F.to_json(F.struct(*rows.columns), {"ignoreNullFields": "false"})
+def to_messages(
+    rows: DataFrame, key: Column, timestamp: Column | None = None, fields: Sequence[str] | None = None
+) -> DataFrame:
+    """(key, value[, timestamp]) rows ready for a message sink; NULL fields stay in the JSON text.
+
+    ``fields`` names the columns of the payload, by default all.
+    """
+    value = F.to_json(F.struct(*(fields or rows.columns)), {"ignoreNullFields": "false"})
     columns = [key.alias("key"), value.alias("value")]
     if timestamp is not None:
         columns.append(timestamp.alias("timestamp"))

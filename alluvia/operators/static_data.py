@@ -1,4 +1,4 @@
-"""Reference documents (sets with champions and traits, items with augments) to dimension rows."""
+"""Static documents (sets with champions and traits, items with augments) to dimension rows."""
 
 from __future__ import annotations
 

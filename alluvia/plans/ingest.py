@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from alluvia.operators import envelope, league, nested
+from alluvia.schemas import SUMMONER
 
 
 def match_messages(documents: DataFrame) -> dict[str, DataFrame]:
@@ -19,7 +20,7 @@ def match_messages(documents: DataFrame) -> dict[str, DataFrame]:
 
 
 def summoner_messages(responses: DataFrame) -> DataFrame:
-    """One message per league entry, keyed by player, tier, division and time."""
-    rows = league.summoner_rows(responses)
-    key = envelope.summoner_key(F.col("tier"), F.col("rank"), F.col("ingest_ts"))
-    return envelope.to_messages(rows, key, F.col("ingest_ts"))
+    """One message per league entry, keyed by player, requested tier and division, and time."""
+    rows = league.summoner_rows(responses, with_request=True)
+    key = envelope.summoner_key(F.col("asked_tier"), F.col("asked_division"), F.col("ingest_ts"))
+    return envelope.to_messages(rows, key, F.col("ingest_ts"), fields=SUMMONER.names)

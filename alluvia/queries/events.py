@@ -11,7 +11,7 @@ from alluvia.schemas import LONG, STRING, record
 from alluvia.session import spread
 from alluvia.sources.streams import events_from_rate
 
-# The reference bounds of the revenue tiers are far above the test values; these split them evenly.
+# The usual bounds of the revenue tiers are far above the test values; these split them evenly.
 BOUNDS = [(20, "low"), (60, "medium"), (90, "high")]
 BATCH_TS = "TIMESTAMP_NTZ '2024-02-01 00:00:00'"
 

@@ -178,6 +178,20 @@ def test_league_shapes(spark):
     ]
 
 
+def test_summoner_messages_carry_the_request_in_their_key(spark):
+    from alluvia.plans.ingest import summoner_messages
+    from alluvia.schemas import SUMMONER
+
+    answers = [("gold", "II", '[{"puuid":"a","tier":"SILVER","rank":"IV"}]'), ("master", None, '{"entries":[{"puuid":"b"}]}')]
+    made = summoner_messages(spark.createDataFrame(answers, "tier string, division string, body string"))
+    assert made.columns == ["key", "value", "timestamp"]
+    keys = sorted(r.key for r in made.collect())
+    assert keys[0].startswith("a_gold_II_2") and keys[1].startswith("b_master_None_2")
+    payload = made.select(F.from_json("value", SUMMONER).alias("p")).select("p.*")
+    assert {(r.puuid, r.tier, r.rank) for r in payload.collect()} == {("a", "SILVER", "IV"), ("b", "MASTER", "I")}
+    assert payload.filter("ingest_ts IS NULL").count() == 0
+
+
 def test_json_profile(spark):
     bodies = ['{"a":{"x":1,"y":2},"b":[{"p":1}],"c":"{text"}', '{"a":{"x":1},"b":[],"c":5}', "{bad", None]
     found = profile.json_key_profile(spark.createDataFrame([(b,) for b in bodies], "body string"))
