@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -51,16 +50,12 @@ def build_session(app: str, profile: str = "batch", extra: dict[str, str] | None
 
 
 def shared_folder(spark: SparkSession, purpose: str) -> str:
-    """A fresh directory for written intermediates, below the folder named by ``spark.checkpoint.dir``.
+    """A fresh directory for written intermediates: below ``spark.checkpoint.dir``, or the warehouse where that is unset.
 
-    Only a ``local[...]`` session may fall back to the machine's own temporary folder: on a cluster the
-    executors would each see a different one.
+    Both are places that all executors see; a machine's own temporary folder never is.
     """
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
-        base = tempfile.mkdtemp(prefix="alluvia-")
+    base = base or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_intermediate"
     return f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
 
 
