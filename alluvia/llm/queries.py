@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
-from alluvia.llm import chat, quality
+from alluvia.llm import chat, html, mixing, quality, tokens
 
 QUERIES = {
     "op1_quality_rules": quality.op1_quality_rules,
     "op2_chat_format": chat.op2_chat_format,
+    "op4_token_counts": tokens.op4_token_counts,
+    "op5_html_extraction": html.op5_html_extraction,
+    "op6_source_mixing": mixing.op6_source_mixing,
 }
 
 ORACLES = {
     "op1_quality_rules": quality.OP1_SQL,
     "op2_chat_format": chat.OP2_SQL,
+    "op6_source_mixing": mixing.OP6_SQL,
 }
