@@ -21,6 +21,8 @@ CHUNK_BYTES = 2_000_000
 
 _IS_SEPARATOR = np.zeros(256, bool)
 _IS_SEPARATOR[list(SEPARATORS)] = True
+#: The gaps between runs of letters, digits and non-ASCII characters.
+NOT_LETTERS = np.array([b < 0x80 and not (chr(b).isdigit() or chr(b).isalpha()) for b in range(256)])
 #: Lower-cases A-Z and nothing else.
 FOLD = np.arange(256, dtype=np.uint8)
 FOLD[65:91] += 32
@@ -68,7 +70,7 @@ class Spans:
 class Words:
     """The words of some texts: ``starts``/``ends`` in ``data``, and the range of words of each text."""
 
-    def __init__(self, texts: list[str | None], fold: bool = False):
+    def __init__(self, texts: list[str | None], fold: bool = False, gaps: np.ndarray = _IS_SEPARATOR):
         parts = [b"" if t is None else t.encode("utf-8", "surrogatepass") for t in texts]
         self.n_texts = len(parts)
         raw = np.frombuffer(b"\n".join(parts) + b"\n", np.uint8)
@@ -76,7 +78,7 @@ class Words:
         lengths = np.fromiter(map(len, parts), np.int64, len(parts))
         self.text_starts = np.concatenate([[0], np.cumsum(lengths + 1)[:-1]]) if parts else np.zeros(0, np.int64)
         self.text_ends = self.text_starts + lengths
-        gap = _IS_SEPARATOR[raw]
+        gap = gaps[raw]
         edges = np.diff(np.concatenate([[True], gap]).view(np.int8))
         self.starts = np.flatnonzero(edges == -1)
         self.ends = np.flatnonzero(edges == 1)
