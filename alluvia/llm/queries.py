@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from alluvia.llm import chat, html, licenses, maxent, mixing, quality, tokens, toxicity
+from alluvia.llm import chat, decontamination, html, licenses, maxent, mixing, quality, tokens, toxicity
 
 QUERIES = {
     "op1_quality_rules": quality.op1_quality_rules,
@@ -10,6 +10,7 @@ QUERIES = {
     "op4_token_counts": tokens.op4_token_counts,
     "op5_html_extraction": html.op5_html_extraction,
     "op6_source_mixing": mixing.op6_source_mixing,
+    "op7_decontamination": decontamination.op7_decontamination,
     "op8_license_scan": licenses.op8_license_scan,
     "op9_toxicity": toxicity.op9_toxicity,
     "op10_lm_score": maxent.op10_lm_score,
