@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from alluvia.llm.words import NOT_LETTERS, Words, map_texts, mixed
+from alluvia.llm.words import NOT_LETTERS, Words, chunks, map_texts, mixed
 from alluvia.queries.registry import table
 
 
@@ -44,7 +44,6 @@ class Settings:
     decay: float = 1e-4
     seed: int = 7
     few_labels: int = 30
-    skewed_start: float = 0.05
 
 
 def word_ids(texts: list[str | None], settings: Settings) -> tuple[np.ndarray, np.ndarray]:
@@ -168,7 +167,10 @@ def learn(texts: list[str | None], wanted: np.ndarray, languages: list[str | Non
     wanted = wanted.astype(np.float64)
     if not len(wanted) or wanted.min() == wanted.max():
         return pickle.dumps({"constant": float(wanted.mean()) if len(wanted) else 0.0, "thresholds": {None: 0.5}})
-    ids, counts = word_ids(texts, settings)
+    sizes = np.array([len(t or "") for t in texts])
+    parts = [word_ids(texts[a:b], settings) for a, b in chunks(sizes)]  # only row numbers stay in memory, 20 bytes a word
+    ids, counts = np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts])
+    del parts
     network = Network(settings)
     network.fit(ids, counts, wanted)
     logits = np.concatenate([network.logits(ids[b - n:b], np.array([n])) for b, n in zip(np.cumsum(counts), counts, strict=True)])
