@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
-from alluvia.llm import chat, decontamination, html, licenses, maxent, mixing, quality, tokens, toxicity
+from alluvia.llm import chat, decontamination, html, licenses, maxent, mixing, near_dedup, quality, tokens, toxicity
+from alluvia.llm.workers import reachable
 
-QUERIES = {
+
+_OPERATORS = {
     "op1_quality_rules": quality.op1_quality_rules,
     "op2_chat_format": chat.op2_chat_format,
+    "op3_near_dedup": near_dedup.op3_near_dedup,
     "op4_token_counts": tokens.op4_token_counts,
     "op5_html_extraction": html.op5_html_extraction,
     "op6_source_mixing": mixing.op6_source_mixing,
@@ -16,6 +19,8 @@ QUERIES = {
     "op10_lm_score": maxent.op10_lm_score,
 }
 
+QUERIES = {name: (lambda spark, sf_dir, run=run: run(reachable(spark), sf_dir)) for name, run in _OPERATORS.items()}
+
 ORACLES = {
     "op1_quality_rules": quality.OP1_SQL,
     "op2_chat_format": chat.OP2_SQL,
