@@ -109,15 +109,29 @@ def item_windows(items: DataFrame, settings: Settings, key: str, text: str) -> D
     return counted.select("item", "item_words", "size", "n_windows", F.posexplode("hashes").alias("at", "hash")).filter("hash IS NOT NULL")
 
 
+def version(text: Column) -> Column:
+    """Tells texts of one id apart."""
+    return F.xxhash64(F.coalesce(text, F.lit("")))
+
+
 def leaks(docs: DataFrame, items: DataFrame, settings: Settings = Settings(), key: str = "doc_id", text: str = "text",
           item_key: str = "item_id", item_text: str = "text") -> DataFrame:
     """(key, item_key, matched, n_windows, verbatim, n_slots) of every document and item that it leaks."""
+    return leaking_texts(docs, items, settings, key, text, item_key, item_text).groupBy(
+        F.col("id").alias(key), F.col("item").alias(item_key)).agg(
+        F.max("matched").alias("matched"), F.max("n_windows").alias("n_windows"), F.max("verbatim").alias("verbatim"),
+        F.max("n_slots").alias("n_slots"))
+
+
+def leaking_texts(docs: DataFrame, items: DataFrame, settings: Settings = Settings(), key: str = "doc_id", text: str = "text",
+                  item_key: str = "item_id", item_text: str = "text") -> DataFrame:
+    """(id, version, item, matched, n_windows, verbatim, n_slots) of every leak."""
     bench = stored(item_windows(items, settings, item_key, item_text), "leak-items")
     hashes = bench.select(F.col("at").alias("item_at"), "hash", "item", "size")
     sizes = [r["size"] for r in bench.select("size").distinct().collect()]  # of at most ``window`` values
     if bench.count() <= settings.broadcast_rows:
         hashes = F.broadcast(hashes)
-    texts = docs.select(F.col(key).alias("id"), F.xxhash64(F.coalesce(F.col(text), F.lit(""))).alias("version"), F.col(text).alias("text"))
+    texts = docs.select(F.col(key).alias("id"), version(F.col(text)).alias("version"), F.col(text).alias("text"))
     kinds = with_kinds(texts, "text", "id", "version")
     met = None
     for size in sizes:
@@ -153,9 +167,7 @@ def leaks(docs: DataFrame, items: DataFrame, settings: Settings = Settings(), ke
         F.max(F.when(F.col("verbatim"), F.col("n_covered")).otherwise(0)).alias("longest"))
     found = per_window.groupBy("id", "version", "item", "n_windows").agg(
         F.count(F.lit(1)).alias("matched"), F.min("verbatim").alias("verbatim"), F.max("n_slots").alias("n_slots"), F.max("longest").alias("longest"))
-    leaking = found.filter((F.col("matched") >= settings.min_share * F.col("n_windows")) | (F.col("longest") >= settings.min_words))
-    return leaking.groupBy(F.col("id").alias(key), F.col("item").alias(item_key)).agg(
-        F.max("matched").alias("matched"), F.max("n_windows").alias("n_windows"), F.max("verbatim").alias("verbatim"), F.max("n_slots").alias("n_slots"))
+    return found.filter((F.col("matched") >= settings.min_share * F.col("n_windows")) | (F.col("longest") >= settings.min_words))
 
 
 def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
