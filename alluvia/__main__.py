@@ -5,21 +5,37 @@ from __future__ import annotations
 import argparse
 import sys
 
-from alluvia.config import BrokerConfig, LakeConfig
+from alluvia.config import LAYERS, LakeConfig
 from alluvia.plans import bronze, demo, dimensions, maintenance, silver
 from alluvia.session import build_session
 from alluvia.sources.streams import read_topic, stream_messages
-from alluvia.streaming.lifecycle import StopOnSignal, wait_all
+from alluvia.streaming.lifecycle import StopOnSignal, watch
 
 PROFILE = {"bronze": "bronze", "silver": "silver", "optimize": "bronze", "demo": "bronze"}
 
 
+def named(text: str) -> tuple[str, str]:
+    name, mark, value = text.partition("=")
+    if not (name and mark):
+        raise argparse.ArgumentTypeError(f"not NAME=VALUE: {text!r}")
+    return name, value
+
+
+def broker_options(servers: str, given: list[tuple[str, str]]) -> dict[str, str]:
+    """The option map that reaches the Kafka reader."""
+    return {"kafka.bootstrap.servers": servers, **dict(given)}
+
+
 def main(arguments: list[str] | None = None) -> int:
     parser = argparse.ArgumentParser(prog="alluvia")
     jobs = ["bronze", "silver", "static-to-csv", "load-dimensions", "register", "optimize", "demo"]
     parser.add_argument("job", choices=jobs)
     parser.add_argument("--root", required=True, help="root URI of the lake")
+    for layer in LAYERS:
+        parser.add_argument(f"--{layer}-root", help=f"root URI of the {layer} layer, where it is not below the lake's")
     parser.add_argument("--brokers", help="Kafka bootstrap servers; without it messages come from files")
+    parser.add_argument("--broker-option", action="append", default=[], metavar="NAME=VALUE", type=named,
+                        help="option of the Kafka connector, such as kafka.security.protocol=SASL_SSL; repeatable")
     parser.add_argument("--messages", help="root of message directories, one per topic")
     parser.add_argument("--kinds", default="match,participant,unit")
     parser.add_argument("--in-turn", action="store_true", help="silver: one stream after the other")
@@ -28,12 +44,13 @@ def main(arguments: list[str] | None = None) -> int:
     given = parser.parse_args(arguments)
 
     spark = build_session(f"alluvia-{given.job}", PROFILE.get(given.job, "batch"))
-    config = LakeConfig(given.root)
+    own_roots = {layer: getattr(given, f"{layer}_root") for layer in LAYERS}
+    config = LakeConfig(given.root, {layer: root for layer, root in own_roots.items() if root})
     kinds = given.kinds.split(",")
     if given.job == "bronze":
         if given.brokers:
-            broker = BrokerConfig(given.brokers)
-            source = lambda topic: read_topic(spark, broker, topic, f"bronze-{topic}")
+            broker = broker_options(given.brokers, given.broker_option)
+            source = lambda topic: read_topic(spark, topic, broker)
         else:
             source = lambda topic: stream_messages(spark, f"{given.messages}/{topic}")
         bronze.run_bronze(spark, config, source, kinds)
@@ -54,7 +71,7 @@ def main(arguments: list[str] | None = None) -> int:
     else:
         running = [demo.produce_events(spark, config)]
         with StopOnSignal(*running):
-            wait_all(*running)
+            watch(spark, running)
     return 0
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 def unnest(df: DataFrame, items: Column | str, into: str | tuple[str, str], *keep: Column | str) -> DataFrame:
     """One row per non-NULL element (or map entry); rows with an empty or NULL array disappear.
 
-    Same rows as ``explode``, but ``explode`` makes the optimizer add a ``size(..) > 0`` filter, which moves
+    The rows of ``explode`` without its NULL elements; but ``explode`` makes the optimizer add a ``size(..) > 0`` filter, which moves
     below the projection that parses the document and so parses every document once more per filter term.
     """
     names = (into,) if isinstance(into, str) else into

@@ -49,25 +49,15 @@ def count_by(df: DataFrame, keys: Sequence[str], name: str = "count", by_count:
     return grouped.orderBy(*([F.desc(name)] if by_count else []), *keys)
 
 
-def mean(value: Column, scale: int | None = None) -> Column:
-    """Average; with ``scale`` through an exact decimal sum, so that the order of additions cannot show."""
-    if scale is None:
-        return F.avg(value)
-    exact = value.cast(f"decimal(18,{scale})")
-    return F.sum(exact).cast("double") / F.count(exact)
-
-
-def tier_stats(df: DataFrame, tier: str, value: str, scale: int | None = None) -> DataFrame:
+def tier_stats(df: DataFrame, tier: str, value: str) -> DataFrame:
     """Count and average per tier, the highest average first."""
-    stats = df.groupBy(tier).agg(
-        F.count(F.lit(1)).alias("count"), mean(F.col(value), scale).alias("avg_amount")
-    )
+    stats = df.groupBy(tier).agg(F.count(F.lit(1)).alias("count"), F.avg(value).alias("avg_amount"))
     return stats.orderBy(F.desc("avg_amount"), tier)
 
 
-def value_range(df: DataFrame, value: str, label: str, scale: int | None = None) -> DataFrame:
+def value_range(df: DataFrame, value: str, label: str) -> DataFrame:
     return df.agg(
-        mean(F.col(value), scale).alias(f"avg_{label}"),
+        F.avg(value).alias(f"avg_{label}"),
         F.min(value).alias(f"min_{label}"),
         F.max(value).alias(f"max_{label}"),
     )

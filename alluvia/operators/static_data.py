@@ -76,6 +76,19 @@ def trait_dimension(documents: DataFrame) -> DataFrame:
     )
 
 
+def trait_tier_rows(documents: DataFrame) -> DataFrame:
+    """(set, trait_id, tier, min, max, style): one row per effect, however many a trait has.
+
+    The wide dimension has columns for the first tiers only; this table has all.
+    """
+    traits = set_members(documents, "traits").select("set", text_or_empty("m.apiName").alias("trait_id"), "m.effects")
+    listed = traits.select("set", "trait_id", F.posexplode("effects").alias("_at", "e")).filter(F.col("e").isNotNull())
+    return listed.select(
+        "set", "trait_id", (F.col("_at") + 1).alias("tier"), F.col("e.minUnits").alias("min"), F.col("e.maxUnits").alias("max"),
+        F.col("e.style").alias("style"),
+    )
+
+
 def items_and_augments(documents: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Split the item list: augments carry the mark in their id, everything else is an item."""
     listed = unnest(documents, "items", "m")

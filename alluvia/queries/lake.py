@@ -109,18 +109,37 @@ def lake_participants(spark, folder):
         SELECT *, c_nationkey AS points, TIMESTAMP '2024-02-01' AS effective_date,
                CASE WHEN c_custkey % 3 = 0 THEN TIMESTAMP '2024-02-02' END AS end_date FROM customer
         UNION ALL
-        SELECT *, c_nationkey + 1 AS points, TIMESTAMP '2024-02-02', NULL FROM customer WHERE c_custkey % 3 = 0)
+        SELECT *, c_nationkey + 1 AS points, TIMESTAMP '2024-02-02', NULL FROM customer WHERE c_custkey % 3 = 0),
+    blanks AS (
+        SELECT effective_date, CASE c_mktsegment WHEN 'AUTOMOBILE' THEN 'CHALLENGER' WHEN 'BUILDING' THEN 'MASTER'
+                   WHEN 'FURNITURE' THEN 'GRANDMASTER' WHEN 'HOUSEHOLD' THEN 'GOLD' ELSE 'IRON' END AS tier,
+               CASE WHEN points % 2 = 0 THEN 'II' ELSE 'I' END AS "rank", CAST(c_custkey % 100 AS INTEGER) AS wins
+        FROM opened WHERE c_custkey % 10 <> 0),
+    last_blanks AS (
+        SELECT * FROM blanks
+        QUALIFY row_number() OVER (PARTITION BY effective_date ORDER BY tier DESC, "rank" DESC, wins DESC) = 1),
+    changed_blanks AS (
+        SELECT * FROM last_blanks
+        QUALIFY (tier, "rank", wins) IS DISTINCT FROM lag((tier, "rank", wins)) OVER (ORDER BY effective_date)),
+    blank_versions AS (
+        SELECT '' AS puuid, 'VN2' AS region, tier, "rank", 0 AS leaguepoints, wins, 0 AS losses, effective_date,
+               lead(effective_date) OVER (ORDER BY effective_date) AS end_date,
+               lead(effective_date) OVER (ORDER BY effective_date) IS NULL AS is_current
+        FROM changed_blanks)
     SELECT c_name AS puuid, 'VN2' AS region, 'OWN' AS tier, 'IV' AS "rank", points AS leaguepoints,
            CAST(c_custkey % 100 AS INTEGER) AS wins, 0 AS losses, effective_date, end_date, end_date IS NULL AS is_current
-    FROM opened WHERE c_custkey % 10 <> 0""")
+    FROM opened WHERE c_custkey % 10 <> 0
+    UNION ALL SELECT * FROM blank_versions""")
 def lake_summoner_history(spark, folder):
-    """All full entries first; then every third player has won a point."""
+    """All entries first; then every third player has won a point.
+
+    Half of the entries have no player id: they share one key, and are one player, whose last entry is the greatest in
+    all other columns.
+    """
     lake, customers = Delivery(spark), table(spark, folder, "customer")
     better = customers.filter("c_custkey % 3 = 0").withColumn("c_nationkey", F.col("c_nationkey") + 1)
     for answers, at in ((customers, FIRST), (better, SECOND)):
-        messages = ingest.summoner_messages(league_responses(answers))
-        # Entries without a player id all share one key and would be one player.
-        lake.deliver("summoner", messages.filter(F.get_json_object("value", "$.puuid") != ""), at)
+        lake.deliver("summoner", ingest.summoner_messages(league_responses(answers)), at)
     history = silver.history_table(spark, lake.config, "summoner").read()
     return history.select(
         "puuid", "region", "tier", "rank", "leaguepoints", "wins", "losses", "effective_date", "end_date", "is_current"

@@ -11,7 +11,6 @@ from pyspark.sql import functions as F
 from alluvia.operators import nested
 from alluvia.operators.league import summoner_rows
 from alluvia.queries.registry import query, table
-from alluvia.session import spread
 
 
 def match_documents(orders):
@@ -53,7 +52,7 @@ def match_documents(orders):
     )
     metadata = F.struct(F.concat(F.lit("VN2_"), key.cast("string")).alias("match_id"))
     document = F.struct(metadata.alias("metadata"), info.alias("info"))
-    return spread(orders).select(F.to_json(document).alias("body"))
+    return orders.select(F.to_json(document).alias("body"))
 
 
 def parsed(spark, folder, header_only=False):

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from alluvia.operators import static_data
 from alluvia.queries.registry import query, table
 from alluvia.schemas import STATIC_DATA
-from alluvia.session import shared_folder, spread
+from alluvia.session import shared_folder
 from alluvia.sinks.messages import write_csv
 from alluvia.sources.files import read_csv_strict
 
@@ -68,7 +68,7 @@ def static_documents(spark, folder):
     body = F.to_json(F.struct(
         F.create_map(size.cast("string"), members, F.lit("mutators"), members).alias("sets"), items.alias("items")
     ))
-    texts = spread(table(spark, folder, "part")).select(body.alias("body"))
+    texts = table(spark, folder, "part").select(body.alias("body"))
     return texts.select(F.from_json("body", STATIC_DATA).alias("d")).select("d.*")
 
 
@@ -110,6 +110,14 @@ def struct_array_wide(spark, folder):
     return static_data.trait_dimension(static_documents(spark, folder))
 
 
+@query("trait_tier_rows", """
+    SELECT p_size AS "set", 'TFT' || p_size || '_Trait' || p_partkey AS trait_id, CAST(n AS INTEGER) AS tier,
+           CAST(n AS INTEGER) AS "min", CAST(n + 1 AS INTEGER) AS "max", CAST(n % 3 AS INTEGER) AS style
+    FROM part, unnest(generate_series(1, 6)) AS tiers(n) WHERE p_partkey % 7 >= n""")
+def trait_tier_rows(spark, folder):
+    return static_data.trait_tier_rows(static_documents(spark, folder))
+
+
 @query("item_rows", f"""
     SELECT CASE WHEN p_partkey % 3 <> 0 THEN nullif(p_size, 0) END AS "set",
            CASE WHEN p_partkey % 3 = 0 THEN 'Base_' ELSE 'TFT' || p_size || '_' END || 'Item' || p_partkey AS item_id,

@@ -79,4 +79,4 @@ AUGMENTS_CSV = record(
     (INT, "set"), (STRING, "augment_id augment_name augment_desc tier icon associated_traits")
 )
 
-DEMO_EVENT = record((INT, "id"), (STRING, "name event_type"), (INT, "amount"), (TIMESTAMP, "ingest_ts"))
+DEMO_EVENT = record((LONG, "id"), (STRING, "name event_type"), (INT, "amount"), (TIMESTAMP, "ingest_ts"))

@@ -5,13 +5,8 @@ A directory counts once the job that wrote it has committed, which Spark marks w
 
 from __future__ import annotations
 
-import time
-
 from pyspark.sql import SparkSession
 
-RETENTION_HOURS = 168  # fixed value: a week, long enough for running readers to finish
-
-
 def _path(spark: SparkSession, location: str):
     path = spark._jvm.org.apache.hadoop.fs.Path(location)
     return path, path.getFileSystem(spark._jsc.hadoopConfiguration())
@@ -36,15 +31,3 @@ def numbered(spark: SparkSession, location: str, label: str) -> dict[int, str]:
     """Committed ``label=<number>`` children of a directory, by number."""
     places = committed(spark, f"{location}/{label}=*")
     return {int(place.rsplit("=", 1)[1]): place for place in places}
-
-
-def retire(spark: SparkSession, locations: list[str], retention_hours: float = RETENTION_HOURS) -> list[str]:
-    """Delete committed directories that no state refers to any more, once they are old enough."""
-    limit = (time.time() - retention_hours * 3600) * 1000
-    gone = []
-    for location in locations:
-        marker, fs = _path(spark, f"{location}/_SUCCESS")
-        if fs.getFileStatus(marker).getModificationTime() <= limit:
-            fs.delete(marker.getParent(), True)
-            gone.append(location)
-    return gone

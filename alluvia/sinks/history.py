@@ -127,7 +127,7 @@ class HistoryTable(BatchLog):
         """The same rows as ``read`` as a SELECT over the directories, for a view other sessions can query.
 
         It names the fold it builds on and finds later batches by itself. Renew it after a fold: the window
-        stays small, and batches may be retired only when no view builds on an earlier fold.
+        stays small, and a view keeps reading the state it was made from.
         """
         upto = self.stored_state().upto
         layout = ", ".join(f"`{c}`" for c in self.spec.layout)

@@ -2,11 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
 
-from alluvia.config import BrokerConfig
 from alluvia.operators.reports import sorted_rows
 
 
@@ -16,10 +15,9 @@ def write_message_files(messages: DataFrame, path: str) -> str:
     return path
 
 
-def publish_messages(messages: DataFrame, broker: BrokerConfig, topic: str) -> None:
+def publish_messages(messages: DataFrame, broker: Mapping[str, str], topic: str) -> None:
     """Messages to a topic; needs the Kafka connector on the class path."""
-    options = broker.connection_options() | {"topic": topic}
-    messages.select("key", "value").write.format("kafka").options(**options).save()
+    messages.select("key", "value").write.format("kafka").options(**broker, topic=topic).save()
 
 
 def write_csv(df: DataFrame, path: str, order: Sequence[str] = ()) -> str:

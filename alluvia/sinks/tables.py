@@ -13,9 +13,9 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from alluvia.operators.changes import stack, upsert_merge
+from alluvia.operators.changes import upsert_merge
 from alluvia.operators.rows import latest_per_key
-from alluvia.sinks.folders import RETENTION_HOURS, exists, is_complete, numbered, retire
+from alluvia.sinks.folders import committed, is_complete, numbered
 
 
 COMMIT_MARKER = "mapreduce.fileoutputcommitter.marksuccessfuljobs"
@@ -26,9 +26,9 @@ def balanced(df: DataFrame, partition_by: Sequence[str] = ()) -> DataFrame:
     return df.hint("rebalance", *partition_by) if partition_by else df
 
 
-def write_new(df: DataFrame, location: str, partition_by: Sequence[str] = ()) -> str:
+def write_new(df: DataFrame, location: str, partition_by: Sequence[str] = (), balance: bool = True) -> str:
     """Fill one directory; Spark marks it as complete when the job has committed."""
-    writer = balanced(df, partition_by).write.mode("overwrite").option(COMMIT_MARKER, "true")
+    writer = (balanced(df, partition_by) if balance else df).write.mode("overwrite").option(COMMIT_MARKER, "true")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(location)
@@ -89,39 +89,31 @@ def upsert_table(
     return overwrite_table(upsert_merge(spark.read.parquet(stored), source, keys), path, partition_by)
 
 
-def retire_versions(spark: SparkSession, path: str, retention_hours: float = RETENTION_HOURS) -> list[str]:
-    """Delete versions that were replaced, once they are old enough; the live one always stays."""
-    versions = numbered(spark, path, "v")
-    return retire(spark, [versions[n] for n in sorted(versions)[:-1]], retention_hours)
-
-
 def append_batch(
-    df: DataFrame, path: str, batch_id: int, writer_id: str = "batch", partition_by: Sequence[str] = ()
+    df: DataFrame, path: str, batch_id: int, writer_id: str = "batch", partition_by: Sequence[str] = (), balance: bool = False
 ) -> bool:
     """Append one batch under its own ``writer_id=/batch_id=`` directory.
 
     A replayed batch finds its committed directory and writes nothing, so at-least-once delivery does
     not duplicate rows. ``writer_id`` separates streams whose batch numbers start anew. Returns False
-    for a replay.
+    for a replay. ``balance`` deals the rows anew by partition value, which a batch with one value each (the
+    date of the batch) does not need.
     """
     location = f"{path}/writer_id={writer_id}/batch_id={batch_id}"
     if is_complete(df.sparkSession, location):
         return False
-    write_new(df, location, partition_by)
+    write_new(df, location, partition_by, balance)
     return True
 
 
 def load_appended(spark: SparkSession, path: str, evolve: bool = False) -> DataFrame:
-    """The rows of all batches. Files of a running job are out of sight until it commits, and a batch that
-    died while committing is overwritten by its retry."""
+    """The rows of all committed batches; a batch that died while committing is out of sight until its retry."""
     reader = spark.read.option("basePath", path).option("mergeSchema", str(evolve).lower())
-    return reader.parquet(path).drop("writer_id", "batch_id")
+    places = committed(spark, f"{path}/writer_id=*/batch_id=*")
+    if not places:
+        raise FileNotFoundError(f"no committed batch under {path}")
+    return reader.parquet(*places).drop("writer_id", "batch_id")
 
 
 def has_batches(spark: SparkSession, path: str) -> bool:
-    return exists(spark, path)
-
-
-def append_evolving(df: DataFrame, stored: DataFrame) -> DataFrame:
-    """Rows of both sides with the union of their columns."""
-    return stack(stored, df)
+    return bool(committed(spark, f"{path}/writer_id=*/batch_id=*"))

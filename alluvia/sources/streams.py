@@ -2,36 +2,25 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from alluvia.config import BrokerConfig
 from alluvia.schemas import ENVELOPE
 
 
-def topic_options(
-    broker: BrokerConfig,
-    topic: str,
-    job: str,
-    starting_offsets: str = "earliest",
-    fail_on_data_loss: bool = False,
-    max_offsets_per_trigger: int | None = None,
-) -> dict[str, str]:
-    options = broker.connection_options() | {
-        "subscribe": topic,
-        "startingOffsets": starting_offsets,
-        "failOnDataLoss": str(fail_on_data_loss).lower(),
-        "kafka.group.id": broker.group_for(job),
-    }
-    if max_offsets_per_trigger is not None:
-        options["maxOffsetsPerTrigger"] = str(max_offsets_per_trigger)
-    return options
-
-
-def read_topic(spark: SparkSession, broker: BrokerConfig, topic: str, job: str, **bounds) -> DataFrame:
+def topic_options(topic: str, broker: Mapping[str, str]) -> dict[str, str]:
+    """Options of the Kafka reader. ``broker`` has the connector's own option names and has the last word, so security,
+    offsets, consumer group and rate limits are whatever the user gives."""
+    usual = {"subscribe": topic, "startingOffsets": "earliest", "failOnDataLoss": "false"}
+    return usual | dict(broker)
+
+
+def read_topic(spark: SparkSession, topic: str, broker: Mapping[str, str]) -> DataFrame:
     """One topic as a stream of (key, value, timestamp); needs the Kafka connector on the class path."""
-    source = spark.readStream.format("kafka").options(**topic_options(broker, topic, job, **bounds)).load()
+    source = spark.readStream.format("kafka").options(**topic_options(topic, broker)).load()
     return source.select("key", "value", "timestamp")
 
 
@@ -71,7 +60,7 @@ def events_from_rate(ticks: DataFrame, amount: Column | None = None) -> DataFram
     value = F.col("value")
     kind = F.when(value % 3 == 0, "purchase").when(value % 3 == 1, "view").otherwise("click")
     return ticks.select(
-        value.cast("int").alias("id"),
+        value.cast("long").alias("id"),
         F.concat(F.lit("User_"), value.cast("string")).alias("name"),
         kind.alias("event_type"),
         (F.floor(F.rand() * 1000) if amount is None else amount).cast("int").alias("amount"),

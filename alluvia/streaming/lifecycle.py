@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import json
 import signal
+import time
 from collections.abc import Callable, Iterable
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
@@ -53,21 +55,38 @@ class StopOnSignal:
         stop_all(self.queries)
 
 
-def wait_all(*queries: StreamingQuery, on_error: Callable[[Exception], None] | None = None) -> None:
-    """Wait until every query has ended. When one fails, or on Ctrl-C, the others are stopped too.
+def ended_badly(queries: Iterable[StreamingQuery]) -> Exception | None:
+    """The failure of a query that has ended with one."""
+    return next((problem for q in queries if not q.isActive and (problem := q.exception()) is not None), None)
 
-    A failure goes to ``on_error``; without one it is raised.
+
+def watch(
+    spark: SparkSession, queries: Iterable[StreamingQuery], on_failure: Callable[[Exception], None] | None = None,
+    look_every: float = 5,
+) -> None:
+    """Return once none of the queries is active. The first failure, whichever query has it, stops the others at once.
+
+    The session reports that *some* query has ended, so no query is waited for in particular: each report is followed by a look at
+    all of them. Queries of the session that are not watched may end meanwhile. A failure is raised unless ``on_failure`` takes it.
     """
+    watched = list(queries)
     try:
-        for query in queries:
-            query.awaitTermination()
-    except KeyboardInterrupt:
-        stop_all(queries)
-    except Exception as problem:
-        stop_all(queries)
-        if on_error is None:
-            raise
-        on_error(problem)
+        while any(q.isActive for q in watched) and ended_badly(watched) is None:
+            spark.streams.resetTerminated()
+            if all(q.isActive for q in watched):  # else one ended before the reset and would not be reported again
+                try:
+                    spark.streams.awaitAnyTermination(look_every)
+                except StreamingQueryException:
+                    continue  # found by the look at all queries, if it is one of them
+            else:
+                time.sleep(min(look_every, 0.2))
+    finally:
+        stop_all(watched)
+    problem = ended_badly(watched)
+    if problem is not None:
+        if on_failure is None:
+            raise problem
+        on_failure(problem)
 
 
 def run_together(spark: SparkSession, starters: Iterable[Callable[[], StreamingQuery]]) -> None:

@@ -114,15 +114,20 @@ def append_handler(
         spark = batch.sparkSession
         selected = batch.select(*dict.fromkeys([*columns, *[c for c in order if c in batch.columns]]))
         rows = required_keys(selected, needed)
-        kept = dedup_batch(rows, keys, order).select(*columns).persist()
+        kept = dedup_batch(rows, keys, order).select(*columns)
+
+        def append(fresh: DataFrame) -> None:
+            # The audit date is one value for the whole batch, so there is nothing to balance by it.
+            append_batch(with_audit(fresh, batch_time(batch, batch_id)), path, batch_id, stream_id(batch), partition_by)
+
+        if not (cross_batch and has_batches(spark, path)):
+            append(kept)
+            return
+        kept.persist()  # used twice
         try:
-            fresh = kept
-            if cross_batch and has_batches(spark, path):
-                # Only the stored keys that occur in this batch take part in the anti join.
-                stored = current_for_batch(load_appended(spark, path), kept, keys, True, nullable)
-                fresh = unseen(kept, stored, keys, nullable)
-            stamped = with_audit(fresh, batch_time(batch, batch_id))
-            append_batch(stamped, path, batch_id, stream_id(batch), partition_by)
+            # Only the stored keys that occur in this batch take part in the anti join.
+            stored = current_for_batch(load_appended(spark, path), kept, keys, True, nullable)
+            append(unseen(kept, stored, keys, nullable))
         finally:
             kept.unpersist()
 

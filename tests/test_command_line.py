@@ -5,6 +5,8 @@ import subprocess
 import sys
 from pathlib import Path
 
+from alluvia.__main__ import broker_options, named
+from alluvia.sources.streams import topic_options
 from tests.test_rows import STATIC_BODY
 
 ROOT = Path(__file__).resolve().parents[1]
@@ -18,6 +20,14 @@ def run(folder, *arguments):
     return done.returncode, done.stdout
 
 
+def test_broker_options_reach_the_reader():
+    options = broker_options("b:1", [named("kafka.security.protocol=SASL_SSL"), named("startingOffsets=latest")])
+    assert topic_options("t", options) == {
+        "kafka.bootstrap.servers": "b:1", "kafka.security.protocol": "SASL_SSL", "subscribe": "t", "startingOffsets": "latest",
+        "failOnDataLoss": "false",
+    }
+
+
 def test_static_document_to_dimensions(here):
     with open(f"{here}/static.json", "w") as out:
         out.write(STATIC_BODY)

@@ -188,15 +188,6 @@ def test_replay_changes_nothing(spark, here):
     assert facts(table.read()) == before
 
 
-def test_retired_batches_keep_the_history(spark, here):
-    table = stored(spark, f"{here}/h", BATCHES[:4], fold_after=(2,))
-    assert len(table.retire_folded(retention_hours=0)) == 3
-    assert facts(table.read()) == by_hand(BATCHES[:4])
-    assert not table.apply(spark.createDataFrame(BATCHES[2], DDL), at(2), 2)
-    assert table.apply(spark.createDataFrame(BATCHES[4], DDL), at(4), 4)
-    assert facts(table.read()) == by_hand(BATCHES)
-
-
 def test_a_new_writer_starts_its_own_numbers(spark, here):
     table = stored(spark, f"{here}/h", BATCHES[:2])
     assert table.apply(spark.createDataFrame([(1, "a", "new", 5, "n", 1)], DDL), at(7), 0, writer_id="other")

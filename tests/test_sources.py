@@ -3,10 +3,10 @@ from datetime import datetime
 import pytest
 from pyspark.sql import functions as F
 
-from alluvia.config import BrokerConfig, LakeConfig
+from alluvia.config import LakeConfig
 from alluvia.operators.envelope import decode_messages, match_key, participant_key, summoner_key, to_messages
 from alluvia.schemas import ITEMS_CSV, MATCH, TRAITS_CSV, record, STRING, INT
-from alluvia.session import PROFILES, profile_settings, shared_folder, spread
+from alluvia.session import PROFILES, profile_settings, shared_folder
 from alluvia.sinks.messages import write_csv
 from alluvia.sources.files import read_csv_strict, read_documents, read_lines
 from alluvia.sources.streams import events_from_rate, read_rate_events, stream_table, topic_options
@@ -35,16 +35,16 @@ def test_lake_from_session(spark):
 
 
 def test_topic_options():
-    plain = topic_options(BrokerConfig("b:1"), "t", "job", max_offsets_per_trigger=9)
-    assert plain == {
-        "kafka.bootstrap.servers": "b:1", "kafka.security.protocol": "PLAINTEXT", "subscribe": "t",
-        "startingOffsets": "earliest", "failOnDataLoss": "false", "kafka.group.id": "lakehouse-job",
-        "maxOffsetsPerTrigger": "9",
+    assert topic_options("t", {"kafka.bootstrap.servers": "b:1"}) == {
+        "kafka.bootstrap.servers": "b:1", "subscribe": "t", "startingOffsets": "earliest", "failOnDataLoss": "false",
     }
-    secured = BrokerConfig("b:1", "SASL_SSL", "g", "PLAIN", "me", "secret").connection_options()
-    assert secured["kafka.sasl.mechanism"] == "PLAIN"
-    assert 'username="me"' in secured["kafka.sasl.jaas.config"]
-    assert "kafka.sasl.jaas.config" not in BrokerConfig("b:1", sasl_username="me").connection_options()
+    given = {"startingOffsets": "latest", "kafka.sasl.mechanism": "PLAIN", "maxOffsetsPerTrigger": "9"}
+    assert given.items() <= topic_options("t", given).items()
+
+
+def test_ids_above_32_bits(spark):
+    ticks = spark.sql("SELECT CAST(4294967296 AS BIGINT) AS value, TIMESTAMP '2024-01-01' AS timestamp")
+    assert events_from_rate(ticks).first().id == 2**32
 
 
 def test_profiles_set_no_broadcast_hints_and_keep_aqe():
@@ -60,12 +60,6 @@ def test_shared_folder_comes_from_the_session(spark):
     assert one != two and one.startswith(spark.conf.get("spark.checkpoint.dir"))
 
 
-def test_spread_leaves_large_inputs_alone(spark):
-    assert spread(spark.range(0, 10, 1, 1)).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
-    many = spark.range(0, 100, 1, 50)
-    assert spread(many) is many
-
-
 ENVELOPE = "key string, value string, timestamp timestamp"
 
 

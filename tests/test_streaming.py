@@ -101,14 +101,16 @@ def test_append_handler(spark, here):
 
 def test_fan_out_reads_the_source_once(spark, here):
     feed(spark, f"{here}/in", [(1, "a"), (2, "b")])
-    counted = spark.sparkContext.accumulator(0)
     first, second = [], []
     handler = sinks.fan_out(
         lambda batch, number: first.extend(r.k for r in batch.collect()),
         lambda batch, number: second.append(batch.count()),
     )
-    sinks.batch_stream(source(spark, here), handler, f"{here}/c", None).awaitTermination()
-    assert (sorted(first), second, counted.value) == ([1, 2], [2], 0)
+    query = sinks.batch_stream(source(spark, here), handler, f"{here}/c", None)
+    query.awaitTermination()
+    # Rows that a second action reads again from the source are counted again.
+    read = sum(update["numInputRows"] for update in query.recentProgress)
+    assert (sorted(first), second, read) == ([1, 2], [2], 2)
 
 
 def test_memory_sink_and_rate_source(spark, here):
@@ -149,13 +151,14 @@ def test_signal_stops_the_registered_queries(spark, here):
     with lifecycle.StopOnSignal(endless(spark, here, "one")) as guard:
         guard.add(endless(spark, here, "two"))
         os.kill(os.getpid(), signal.SIGTERM)
-        lifecycle.wait_all(*guard.queries)
+        lifecycle.watch(spark, guard.queries, look_every=1)
         assert guard.received == signal.SIGTERM
         assert not any(q.isActive for q in guard.queries)
     assert signal.getsignal(signal.SIGTERM) is before
 
 
-def test_one_failure_stops_the_others(spark, here):
+@pytest.mark.parametrize("bad_first", [True, False])
+def test_one_failure_stops_the_others(spark, here, bad_first):
     feed(spark, f"{here}/in", [(1, "a")])
     good = endless(spark, here, "good")
 
@@ -164,8 +167,19 @@ def test_one_failure_stops_the_others(spark, here):
 
     bad = sinks.batch_stream(source(spark, here), fail, f"{here}/c_bad", None)
     problems = []
-    lifecycle.wait_all(bad, good, on_error=problems.append)
-    assert "bad batch" in str(problems[0]) and not good.isActive
+    lifecycle.watch(spark, (bad, good) if bad_first else (good, bad), on_failure=problems.append, look_every=1)
+    assert "bad batch" in str(problems[0]) and not good.isActive and not bad.isActive
+
+
+def test_watch_raises_without_a_handler(spark, here):
+    feed(spark, f"{here}/in", [(1, "a")])
+
+    def fail(batch, number):
+        raise RuntimeError("bad batch")
+
+    good = endless(spark, here, "good")
+    with pytest.raises(Exception, match="bad batch"):
+        lifecycle.watch(spark, [good, sinks.batch_stream(source(spark, here), fail, f"{here}/c_bad", None)], look_every=1)
     with pytest.raises(Exception, match="bad batch"):
         lifecycle.run_together(
             spark,

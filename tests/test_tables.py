@@ -61,18 +61,15 @@ def test_upsert_batches(spark, here):
     assert table.fold() == 2 and seen() == [(1, "a"), (2, "c"), (3, "d")]
     assert put([(1, "z"), (4, "e")], 2)
     assert seen() == [(1, "z"), (2, "c"), (3, "d"), (4, "e")]
-    assert table.retire_folded(retention_hours=1) == []
-    assert len(table.retire_folded(retention_hours=0)) == 2
     assert not put([(9, "replay")], 2) and put([(5, "f")], 3)
     assert table.fold() == 4 and len(seen()) == 5
 
 
-def test_retired_versions(spark, here):
-    for n in range(3):
-        tables.overwrite_table(rows(spark, n + 1), f"{here}/t")
-    assert tables.retire_versions(spark, f"{here}/t") == []
-    assert len(tables.retire_versions(spark, f"{here}/t", retention_hours=0)) == 2
-    assert tables.load_table(spark, f"{here}/t").count() == 3
+def test_uncommitted_batches_are_not_read(spark, here):
+    tables.append_batch(spark.range(10), f"{here}/log", 0)
+    spark.range(10).write.option(tables.COMMIT_MARKER, "false").parquet(f"{here}/log/writer_id=batch/batch_id=1")
+    assert tables.load_appended(spark, f"{here}/log").count() == 10
+    assert not tables.has_batches(spark, f"{here}/nothing")
 
 
 def test_append_replay(spark, here):
