@@ -13,7 +13,7 @@ little to be searched. A window needs ``literals`` words (half of a short one's)
 Benchmark windows are broadcast only when they are counted and at most ``broadcast_rows``; beyond that the join shuffles. Texts stay
 where they are: windows leave a document as (id, hash of the text, position, hash), and only texts that met a window are read again.
 
-Null and empty texts leak nothing. Documents with one id are told apart by their text; equal rows report once. An empty
+Null and empty texts leak nothing; items without an id are not searched. Documents with one id are told apart by their text; equal rows report once. An empty
 benchmark or an empty table gives an empty result; columns that are not asked for are not looked at.
 """
 
@@ -95,18 +95,20 @@ def windows(kinds: Column, any_typed: Column, size: int, literals: int) -> Colum
 
 
 def item_windows(items: DataFrame, settings: Settings, key: str, text: str) -> DataFrame:
-    """(item_id, item words, size, n_windows, at, hash) of the benchmark."""
-    rows = with_kinds(items, text, F.col(key).alias("item"), words_of(F.col(text)).alias("item_words"))
-    rows = rows.filter(F.size("item_words") >= settings.shortest).dropDuplicates(["item", "item_words"])
+    """(item, edition, size, words, windows, n_windows, typed) of the benchmark: of windows that an item repeats, the first.
+
+    ``typed`` says whether a window at that place has a placeholder.
+    """
+    rows = with_kinds(items, text, F.col(key).alias("item"), words_of(F.col(text)).alias("words"))
+    rows = rows.filter(F.size("words") >= settings.shortest).withColumn("edition", F.xxhash64("words")).dropDuplicates(["item", "edition"])
     parts = []
     for size in range(settings.shortest, settings.window + 1):
-        own = rows.filter(F.size("item_words") >= size if size == settings.window else F.size("item_words") == size)
-        parts.append(own.select("item", "item_words", F.lit(size).alias("size"), windows(F.col("kinds"), F.col("typed"), size, settings.literals).alias("hashes")))
+        own = rows.filter(F.size("words") >= size if size == settings.window else F.size("words") == size)
+        parts.append(own.select("item", "edition", F.lit(size).alias("size"), "words", "typed", windows(F.col("kinds"), F.col("typed"), size, settings.literals).alias("windows")))
     every = parts[0]
     for part in parts[1:]:
         every = every.unionByName(part)
-    counted = every.withColumn("n_windows", F.size(F.array_compact("hashes")))
-    return counted.select("item", "item_words", "size", "n_windows", F.posexplode("hashes").alias("at", "hash")).filter("hash IS NOT NULL")
+    return every.withColumn("n_windows", F.size(F.array_distinct(F.array_compact("windows"))))
 
 
 def version(text: Column) -> Column:
@@ -126,46 +128,54 @@ def leaks(docs: DataFrame, items: DataFrame, settings: Settings = Settings(), ke
 def leaking_texts(docs: DataFrame, items: DataFrame, settings: Settings = Settings(), key: str = "doc_id", text: str = "text",
                   item_key: str = "item_id", item_text: str = "text") -> DataFrame:
     """(id, version, item, matched, n_windows, verbatim, n_slots) of every leak."""
-    bench = stored(item_windows(items, settings, item_key, item_text), "leak-items")
-    hashes = bench.select(F.col("at").alias("item_at"), "hash", "item", "size")
-    sizes = [r["size"] for r in bench.select("size").distinct().collect()]  # of at most ``window`` values
-    if bench.count() <= settings.broadcast_rows:
+    item_rows = stored(item_windows(items, settings, item_key, item_text), "leak-items")
+    hashes = stored(
+        item_rows.select("item", "edition", "size", F.posexplode("windows").alias("item_at", "hash")).filter("hash IS NOT NULL")
+        .groupBy("item", "edition", "size", "hash").agg(F.min("item_at").alias("item_at")), "leak-windows")
+    sizes = [r["size"] for r in hashes.select("size").distinct().collect()]  # of at most ``window`` values
+    if hashes.count() <= settings.broadcast_rows:
         hashes = F.broadcast(hashes)
     texts = docs.select(F.col(key).alias("id"), version(F.col(text)).alias("version"), F.col(text).alias("text"))
     kinds = with_kinds(texts, "text", "id", "version")
     met = None
     for size in sizes:
         own = kinds.select("id", "version", F.posexplode(windows(F.col("kinds"), F.col("typed"), size, settings.literals)).alias("at", "hash"))
-        own = own.join(hashes.filter(F.col("size") == size), "hash").select("id", "version", "at", "item", "item_at", "size")
+        own = own.join(hashes.filter(F.col("size") == size), "hash").select("id", "version", "at", "item", "edition", "item_at", "size")
         met = own if met is None else met.unionByName(own)
     if met is None:
-        met = kinds.select("id", "version", F.lit(0).alias("at")).join(hashes, F.lit(False)).select("id", "version", "at", "item", "item_at", "size")
+        met = kinds.select("id", "version", F.lit(0).alias("at")).join(hashes, F.lit(False)).select("id", "version", "at", "item", "edition", "item_at", "size")
     aligned = stored(
-        met.groupBy("id", "version", "item", "size", (F.col("at") - F.col("item_at")).alias("shift"))
+        met.groupBy("id", "version", "item", "edition", "size", (F.col("at") - F.col("item_at")).alias("shift"))
         .agg(F.array_sort(F.collect_set("item_at")).alias("item_ats")), "leak-met")  # at most the windows of one item
-    # Only texts that met a window are looked at again, for their words at the slots.
+    told = aligned.join(item_rows.select("item", "edition", "n_windows", "typed"), ["item", "edition"])
+    covered = lambda ats, size: F.array_distinct(F.flatten(F.transform(ats, lambda i: F.sequence(i + 1, i + size))))
+    # Without placeholders in the item, equal templates are equal words.
+    literal = told.filter(~F.col("typed")).select(
+        "id", "version", "item", "edition", "n_windows", "item_ats", F.size(covered(F.col("item_ats"), F.col("size"))).alias("n_covered"),
+        F.lit(0).alias("n_slots"), F.lit(True).alias("verbatim"))
+    # The others are looked at again, in the texts that met them, for their words at the slots.
+    open_rows = told.filter("typed")
     again = texts.alias("t").join(
-        aligned.select(F.col("id").alias("met_id"), F.col("version").alias("met_version")).distinct().alias("m"),
+        open_rows.select(F.col("id").alias("met_id"), F.col("version").alias("met_version")).distinct().alias("m"),
         F.col("t.id").eqNullSafe(F.col("m.met_id")) & (F.col("t.version") == F.col("m.met_version")), "left_semi")
     again = again.dropDuplicates(["id", "version"]).select("id", "version", words_of(F.col("text")).alias("words"))
-    item_rows = bench.select("item", "item_words", "size", "n_windows").distinct()
-    pairs = aligned.alias("a").join(again.alias("w"), F.col("a.id").eqNullSafe(F.col("w.id")) & (F.col("a.version") == F.col("w.version")))
-    pairs = pairs.select("a.*", "w.words").join(item_rows, ["item", "size"])
+    pairs = open_rows.alias("a").join(again.alias("w"), F.col("a.id").eqNullSafe(F.col("w.id")) & (F.col("a.version") == F.col("w.version")))
+    pairs = pairs.select("a.*", "w.words").join(item_rows.select("item", "edition", F.col("words").alias("item_words")), ["item", "edition"])
     typed = lambda w: F.startswith(w, F.lit(NAME)) | F.startswith(w, F.lit(UNIT)) | F.rlike(w, F.lit("^[0-9]"))
-    covered = F.array_distinct(F.flatten(F.transform("item_ats", lambda i: F.sequence(i + 1, i + F.col("size")))))
+    places = covered(F.col("item_ats"), F.col("size"))
     values = F.array_distinct(F.transform(
-        F.filter(covered, lambda i: typed(F.get("item_words", i - 1))),
+        F.filter(places, lambda i: typed(F.get("item_words", i - 1))),
         lambda i: F.struct(F.get("item_words", i - 1).alias("theirs"), F.get("words", i - 1 + F.col("shift")).alias("ours"))))
-    slots = pairs.select("id", "version", "item", "size", "n_windows", "item_ats", F.size(covered).alias("n_covered"), values.alias("slots"))
+    slots = pairs.select("id", "version", "item", "edition", "n_windows", "item_ats", F.size(places).alias("n_covered"), values.alias("slots"))
     one_to_one = (F.size(F.array_distinct(F.transform("slots", lambda s: s["theirs"]))) == F.size("slots")) & (
         F.size(F.array_distinct(F.transform("slots", lambda s: s["ours"]))) == F.size("slots"))
-    occurrences = slots.filter(one_to_one).select(
-        "id", "version", "item", "size", "n_windows", "item_ats", "n_covered", F.size("slots").alias("n_slots"),
-        (~F.exists("slots", lambda s: s["theirs"] != s["ours"])).alias("verbatim"))
-    per_window = occurrences.withColumn("item_at", F.explode("item_ats")).groupBy("id", "version", "item", "n_windows", "item_at").agg(
+    occurrences = literal.unionByName(slots.filter(one_to_one).select(
+        "id", "version", "item", "edition", "n_windows", "item_ats", "n_covered", F.size("slots").alias("n_slots"),
+        (~F.exists("slots", lambda s: s["theirs"] != s["ours"])).alias("verbatim")))
+    per_window = occurrences.withColumn("item_at", F.explode("item_ats")).groupBy("id", "version", "item", "edition", "n_windows", "item_at").agg(
         F.max("verbatim").alias("verbatim"), F.max("n_slots").alias("n_slots"),
         F.max(F.when(F.col("verbatim"), F.col("n_covered")).otherwise(0)).alias("longest"))
-    found = per_window.groupBy("id", "version", "item", "n_windows").agg(
+    found = per_window.groupBy("id", "version", "item", "edition", "n_windows").agg(
         F.count(F.lit(1)).alias("matched"), F.min("verbatim").alias("verbatim"), F.max("n_slots").alias("n_slots"), F.max("longest").alias("longest"))
     return found.filter((F.col("matched") >= settings.min_share * F.col("n_windows")) | (F.col("longest") >= settings.min_words))
 
