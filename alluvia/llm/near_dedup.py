@@ -2,7 +2,7 @@
 
 * Shingles are five words (A-Z lower-cased); the j-th repetition of a shingle in a text is an element of its own, so term frequency
   is a matter of sets. An element weighs the idf of its shingle, ``ln(1 + N / df)``, relative to that at a df of ``rare`` of all documents;
-  rarer shingles weigh 1. Shingles above ``rare`` are few whatever the corpus (their number is at most shingles per document / rare), and
+  rarer shingles weigh 1, and none weighs below ``least_weight``. Shingles above ``rare`` are few whatever the corpus (their number is at most shingles per document / rare), and
   they are found exactly: hashed counters over all documents name the heavy buckets, a second pass counts the shingles in those.
 * Consistent weighted sampling gives every text ``bands * rows`` samples; two texts agree in a sample with the probability of their
   weighted Jaccard similarity. Texts that agree in all rows of a band are candidates.
@@ -40,7 +40,8 @@ class Settings:
     rows: int = 4
     rare: float = 0.01
     bucket_bits: int = 18
-    likely: float = 0.55  # agreement of samples below which a candidate is not verified: six deviations under 0.8
+    least_weight: float = 0.5  # of any shingle: so copies agree in many samples even where their group is most of the corpus
+    likely: float = 0.5  # agreement of samples below which a candidate is not verified
     block: int = 512
 
 
@@ -147,7 +148,7 @@ def frequent_shingles(texts: DataFrame, n: int, settings: Settings) -> tuple[np.
     hashes, counts = rows["hash"].to_numpy().view(np.uint64), rows["n"].to_numpy()
     order = np.argsort(hashes)
     weights = np.log(1 + n / counts[order]) / np.log(1 + 1 / settings.rare)
-    return hashes[order], weights.astype(np.float32)
+    return hashes[order], np.maximum(weights, settings.least_weight).astype(np.float32)
 
 
 class Weights:
@@ -405,7 +406,8 @@ def near_duplicates(docs: DataFrame, settings: Settings = Settings(), key: str =
     labels = classes(docs, settings, text)
     ids = docs.select(F.col(key).alias("key"), digest(F.col(text)).alias("node"))
     known = ids.join(labels, "node", "left").select("key", F.coalesce("label", "node").alias("label"))
-    per = known.groupBy("label").agg(F.min("key").alias("class_id"), F.count(F.lit(1)).alias("class_size"))
+    # Stored, so that the join below deals both sides anew and a large class can be split.
+    per = stored(known.groupBy("label").agg(F.min("key").alias("class_id"), F.count(F.lit(1)).alias("class_size")), "near-classes")
     return known.join(per, "label").select(F.col("key").alias(key), "class_id", "class_size")
 
 
