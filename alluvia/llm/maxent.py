@@ -6,7 +6,7 @@ of their own, all others are put together by their endings; classes belong to cl
     P(cluster | history) * P(class | cluster, history) * P(word | class)
 
 The first two are softmaxes over sparse features of the history, each hashed to a few rows of weights: the last word, the last two
-words, the word before the last (a skip), the endings of the last three. The third follows from the counts. A token costs
+words, the word before the last (a skip), the endings of the last two. The third follows from the counts. A token costs
 two short softmaxes instead of one over the vocabulary, and all probabilities of a history sum to one, an unknown word per class
 included.
 
@@ -27,7 +27,6 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute  # noqa: F401
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -35,7 +34,7 @@ from pyspark.sql import types as T
 
 from alluvia.llm.store import stored
 from alluvia.llm.toxicity import id_bucket
-from alluvia.llm.words import Words, chunks, mixed
+from alluvia.llm.words import Words, mixed, text_batches
 from alluvia.queries.registry import table
 
 #: Additive smoothing of all counts.
@@ -46,16 +45,21 @@ ENDINGS = 12 * WIDE  # classes by ending, after those of single words
 SINGLES = WIDE * WIDE - ENDINGS
 END = np.uint64(0x5EED0F_E4D << 8)  # the end token's key, of ending class 0
 START = np.uint64(0x57A27_0 << 8)  # the history before a text
-#: Hashed rows of each feature: last word, last two words, word before the last, endings of the last three words.
-FEATURES = (1024, 1024, 512, 512, 512, 512)
-N_FEATURES = 1 + sum(FEATURES)
-BLOCK = 512 * (WIDE + 1)  # weight rows that travel together
+#: Hashed rows of each feature: last word, last two words, word before the last, endings of the last two words.
+FEATURES = (1024, 1024, 512, 512, 512)
+INSIDE = (0, 3, 4)  # those that also choose the class inside its cluster
+N_FEATURES = sum(FEATURES)  # times WIDE it stays below 2^16, so that rows sort by radix
+#: Rows of weights: the constant feature's for clusters and for the classes of each cluster, then all others' in that order.
+UPPER = 1 + WIDE
+LOWER = UPPER + N_FEATURES
+N_ROWS = LOWER + N_FEATURES * WIDE
+BLOCK = 8192  # weight rows that travel together
 
 
 @dataclass(frozen=True)
 class Settings:
     rounds: int = 2
-    batch: int = 2048
+    batch: int = 8192
     rate: float = 0.15
     head_bits: int = 21
 
@@ -69,7 +73,7 @@ class Counts:
     singles: np.ndarray  # keys of the classes that are single words, by count
     class_tokens: np.ndarray
     class_words: np.ndarray
-    weights: np.ndarray = field(default_factory=lambda: np.zeros((N_FEATURES * (WIDE + 1), WIDE), np.float32))
+    weights: np.ndarray = field(default_factory=lambda: np.zeros((N_ROWS, WIDE), np.float32))
 
     def __post_init__(self):
         order = np.argsort(self.singles)
@@ -104,7 +108,7 @@ def sequences(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarr
 
 
 def features(keys: np.ndarray, ends: np.ndarray, counts: np.ndarray) -> np.ndarray:
-    """Feature numbers of every token's history: the constant one, then one per hashed feature."""
+    """Feature numbers of every token's history, one per hashed feature."""
     nth = np.arange(len(keys)) - np.repeat(np.cumsum(counts) - counts, counts)
 
     def back(x, n, outside):
@@ -114,11 +118,11 @@ def features(keys: np.ndarray, ends: np.ndarray, counts: np.ndarray) -> np.ndarr
         return moved
 
     k1, k2 = back(keys, 1, START), back(keys, 2, START)
-    values = [k1, mixed(k1) ^ k2, k2, back(ends, 1, START), back(ends, 2, START), back(ends, 3, START)]
-    made = np.zeros((len(keys), 1 + len(FEATURES)), np.int64)
-    first = 1
+    values = [k1, mixed(k1) ^ k2, k2, back(ends, 1, START), back(ends, 2, START)]
+    made = np.empty((len(keys), len(FEATURES)), np.uint16)
+    first = 0
     for n, (value, size) in enumerate(zip(values, FEATURES, strict=True)):
-        made[:, n + 1] = first + (mixed(value + np.uint64(n)) % np.uint64(size)).astype(np.int64)
+        made[:, n] = first + (mixed(value + np.uint64(n)) % np.uint64(size)).astype(np.int64)
         first += size
     return made
 
@@ -130,28 +134,29 @@ def log_softmax(x: np.ndarray) -> np.ndarray:
 
 
 def row_pairs(feats: np.ndarray, cluster: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Weight rows of the cluster softmax and of the class softmax."""
-    upper = feats * (WIDE + 1)
-    return upper, upper + 1 + cluster[:, None]
+    """Rows of the hashed features, counted from ``UPPER`` and ``LOWER``; inside a cluster fewer of them say something new."""
+    return feats, feats[:, INSIDE] * np.uint16(WIDE) + cluster[:, None].astype(np.uint16)
 
 
-def summed(weights: np.ndarray, rows: np.ndarray) -> np.ndarray:
-    out = weights[rows[:, 0]]
+def summed(weights: np.ndarray, constant: np.ndarray, first: int, rows: np.ndarray) -> np.ndarray:
+    part = weights[first:]
+    out = part[rows[:, 0]]
+    out += constant
     for k in range(1, rows.shape[1]):
-        out += weights[rows[:, k]]
+        out += part[rows[:, k]]
     return out
 
 
 def class_log10(model: Counts, keys, ends, counts, batch: int = 8192) -> tuple[np.ndarray, np.ndarray]:
     """log10 P(class | history) of every token, and the classes."""
     feats, classes = features(keys, ends, counts), model.classes(keys)
-    made = np.empty(len(keys))
+    made, w = np.empty(len(keys)), model.weights
     for a in range(0, len(keys), batch):
         c = classes[a:a + batch]
         upper, lower = row_pairs(feats[a:a + batch], c // WIDE)
         nth = np.arange(len(c))
-        made[a:a + batch] = (log_softmax(summed(model.weights, upper))[nth, c // WIDE]
-                             + log_softmax(summed(model.weights, lower))[nth, c % WIDE])
+        made[a:a + batch] = (log_softmax(summed(w, w[0], UPPER, upper))[nth, c // WIDE]
+                             + log_softmax(summed(w, w[1 + c // WIDE], LOWER, lower))[nth, c % WIDE])
     return made / np.log(10), classes
 
 
@@ -167,24 +172,35 @@ class Learner:
     def learn(self, texts: list[str | None]) -> None:
         keys, ends, counts = sequences(texts)
         feats, classes = features(keys, ends, counts), self.model.classes(keys)
-        # The tokens of a step come from all over the chunk.
-        order = np.argsort(mixed(np.arange(len(keys), dtype=np.uint64)))
-        for a in range(0, len(order), self.settings.batch):
-            some = order[a:a + self.settings.batch]
+        steps = -(-len(keys) // self.settings.batch)
+        for a in range(steps):
+            some = slice(a, None, steps)  # the tokens of a step come from all over the chunk
             c = classes[some]
             nth = np.arange(len(c))
-            for rows, target in zip(row_pairs(feats[some], c // WIDE), (c // WIDE, c % WIDE), strict=True):
-                grad = -np.exp(log_softmax(summed(self.weights, rows)))
+            upper, lower = row_pairs(feats[some], c // WIDE)
+            chosen = (c // WIDE)[:, None] == np.arange(WIDE)
+            constants = (np.ones((1, len(c)), np.float32), chosen.T.astype(np.float32))
+            for rows, at, own, first, target in zip((upper, lower), (0, 1 + c // WIDE), constants, (UPPER, LOWER), (c // WIDE, c % WIDE), strict=True):
+                grad = -np.exp(log_softmax(summed(self.weights, self.weights[at], first, rows)))
                 grad[nth, target] += 1
-                flat = rows.ravel()
-                by_row = np.argsort(flat, kind="stable")
-                own = flat[by_row]
-                starts = np.flatnonzero(np.concatenate([[True], own[1:] != own[:-1]]))
-                total = np.add.reduceat(grad[by_row // rows.shape[1]], starts, axis=0)
-                own = own[starts]
-                self.met[own] += np.diff(np.append(starts, len(flat)))
-                self.seen[own] += total * total
-                self.weights[own] += self.settings.rate * total / np.sqrt(self.seen[own])
+                self.step(np.arange(len(own)) + (first == LOWER), own @ grad, own.sum(1))
+                self.move(rows, first, grad)
+
+    def move(self, rows: np.ndarray, first: int, grad: np.ndarray) -> None:
+        """Sums up the gradients of each row that a batch met."""
+        flat = rows.ravel()
+        by_row = np.argsort(flat, kind="stable")
+        own = flat[by_row]
+        starts = np.flatnonzero(np.concatenate([[True], own[1:] != own[:-1]]))
+        total = np.add.reduceat(grad[by_row // rows.shape[1]], starts, axis=0)
+        self.step(own[starts].astype(np.int64) + first, total, np.diff(np.append(starts, len(flat))))
+
+    def step(self, own: np.ndarray, total: np.ndarray, met: np.ndarray) -> None:
+        """One Adagrad step."""
+        self.met[own] += met.astype(np.int64)
+        seen = self.seen[own] + total * total
+        self.seen[own] = seen
+        self.weights[own] += self.settings.rate * total / np.sqrt(seen)
 
     def changes(self):
         """Blocks of changed rows: number, times met, change."""
@@ -210,14 +226,6 @@ def _averaged(group: pa.Table) -> pa.Table:
     return pa.table({"block": [group["block"][0].as_py()], "salt": pa.array([0], pa.int64()), "met": [met.tobytes()], "change": [mean.tobytes()]})
 
 
-def text_batches(batches, *columns):
-    """Chunks of the columns of Arrow batches, by the size of the first."""
-    for batch in batches:
-        source = batch.column(batch.schema.get_field_index(columns[0]))
-        for a, b in chunks(np.asarray(pa.compute.fill_null(pa.compute.binary_length(source), 0))):
-            yield [batch.column(batch.schema.get_field_index(c)).slice(a, b - a) for c in columns]
-
-
 def count_words(texts: DataFrame, held: int = 1_500_000) -> DataFrame:
     """(key, n) of every token of the column ``text``: counted in the tasks first, then added up in one shuffle."""
     def run(batches):
