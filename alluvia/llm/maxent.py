@@ -12,7 +12,7 @@ included.
 
 Counts are exact: tasks count locally, one shuffle adds up. Weights start from the counts of the classes. Every round gives each
 task the current weights; it takes gradient steps over its texts of the round and returns what it changed, and the changes are
-averaged, weighted by how often each row was met, in a two-level tree. Every training text is in one round.
+averaged, weighted by how often each row was met, in a tree of groups of bounded size. Every training text is in one round.
 
 For scoring, words of at least a ``2^-head_bits`` share of all tokens (so at most ``2^head_bits`` words, whatever the corpus) are
 broadcast with their counts; the others are joined by a shuffle. No table that grows with the corpus is broadcast or collected.
@@ -53,7 +53,8 @@ N_FEATURES = sum(FEATURES)  # times WIDE it stays below 2^16, so that rows sort
 UPPER = 1 + WIDE
 LOWER = UPPER + N_FEATURES
 N_ROWS = LOWER + N_FEATURES * WIDE
-BLOCK = 8192  # weight rows that travel together
+BLOCK = 1024  # weight rows that travel together
+FAN_IN = 64  # changes of one block that one group averages
 
 
 @dataclass(frozen=True)
@@ -223,7 +224,7 @@ def _averaged(group: pa.Table) -> pa.Table:
         met = met + n
         change = change + n[:, None] * np.frombuffer(c.as_buffer(), np.float16).reshape(-1, WIDE).astype(np.float32)
     mean = (change / np.maximum(met, 1)[:, None]).astype(np.float16)
-    return pa.table({"block": [group["block"][0].as_py()], "salt": pa.array([0], pa.int64()), "met": [met.tobytes()], "change": [mean.tobytes()]})
+    return pa.table({"block": [group["block"][0].as_py()], "salt": [group["salt"][0].as_py()], "met": [met.tobytes()], "change": [mean.tobytes()]})
 
 
 def count_words(texts: DataFrame, held: int = 1_500_000) -> DataFrame:
@@ -295,8 +296,14 @@ def learn(texts: DataFrame, model: Counts, settings: Settings) -> None:
                         _CHANGE.fieldNames())
 
         changes = texts.filter(F.col("round") == n).select("text").mapInArrow(run, _CHANGE)
-        tree = changes.withColumn("salt", F.floor(F.col("salt") / 64)).groupBy("block", "salt").applyInArrow(_averaged, _CHANGE)
-        for r in tree.groupBy("block").applyInArrow(_averaged, _CHANGE).collect():
+        # As many levels as the tasks ask for: a group never has more than FAN_IN changes of one block.
+        tree, width = changes, changes.rdd.getNumPartitions()
+        while True:
+            width = -(-width // FAN_IN)
+            tree = tree.withColumn("salt", F.floor(F.col("salt") / FAN_IN)).groupBy("block", "salt").applyInArrow(_averaged, _CHANGE)
+            if width <= 1:
+                break
+        for r in tree.collect():  # all weights once, whatever the corpus
             change = np.frombuffer(r["change"], np.float16).reshape(-1, WIDE)
             model.weights[r["block"]:r["block"] + len(change)] += change
         shared.unpersist()
