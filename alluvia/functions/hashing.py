@@ -22,7 +22,11 @@ def row_hash(columns: Sequence[str], strict: bool = False) -> Column:
 
 
 def surrogate_key(keys: Sequence[str], effective: Column) -> Column:
-    """``key_.._yyyyMMddHHmmssSSS_<hash>``: a pure function of key and time, so a replay repeats it."""
+    """``key_.._yyyyMMddHHmmssSSS_<hash>``: a pure function of key and time, so a replay repeats it.
+
+    The hash (64 bits of SHA-256 over the parts joined by ``||``) tells apart keys whose texts join to the same.
+    """
     stamp = F.date_format(effective, "yyyyMMddHHmmssSSS")
-    suffix = F.hex(F.xxhash64(*[F.col(k) for k in keys], effective))
-    return F.concat_ws("_", *[F.coalesce(F.col(k).cast("string"), F.lit("None")) for k in keys], stamp, suffix)
+    parts = [*[F.coalesce(F.col(k).cast("string"), F.lit("None")) for k in keys], stamp]
+    suffix = F.substring(F.sha2(F.concat_ws(SEPARATOR, *parts), 256), 1, 16)
+    return F.concat_ws("_", *parts, suffix)

@@ -2,8 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
-from contextlib import contextmanager
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -12,7 +11,7 @@ from pyspark.sql import types as T
 
 MEGABYTE = 1024 * 1024
 TARGET_BYTES = 256 * MEGABYTE
-SAMPLE_ROWS = 20_000  # bound on the rows that only help to place Z-order cut points
+MOST_BITS = 8  # fixed value: a rank is a CASE tree of up to 2**bits - 1 comparisons, which code generation must bear
 
 
 def table_stats(spark: SparkSession, location: str) -> DataFrame:
@@ -50,21 +49,6 @@ def compare_stats(before: DataFrame, after: DataFrame) -> DataFrame:
     })
 
 
-@contextmanager
-def settings(spark: SparkSession, values: dict[str, str]) -> Iterator[None]:
-    earlier = {name: spark.conf.get(name, None) for name in values}
-    try:
-        for name, value in values.items():
-            spark.conf.set(name, value)
-        yield
-    finally:
-        for name, value in earlier.items():
-            if value is None:
-                spark.conf.unset(name)
-            else:
-                spark.conf.set(name, value)
-
-
 def compact(
     spark: SparkSession,
     source: str,
@@ -84,12 +68,14 @@ def compact(
         "spark.sql.files.minPartitionNum": "1",
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_bytes),
     }
-    with settings(spark, packed):
-        rows = spark.read.parquet(source)
-        if partition_by:
-            rows.hint("rebalance", *partition_by).write.partitionBy(*partition_by).mode("overwrite").parquet(target)
-        else:
-            rows.write.mode("overwrite").parquet(target)
+    own = spark.newSession()  # streams of the caller's session go on planning with its settings
+    for name, value in packed.items():
+        own.conf.set(name, value)
+    rows = own.read.parquet(source)
+    if partition_by:
+        rows.hint("rebalance", *partition_by).write.partitionBy(*partition_by).mode("overwrite").parquet(target)
+    else:
+        rows.write.mode("overwrite").parquet(target)
 
 
 @dataclass(frozen=True)
@@ -114,26 +100,31 @@ class Cuts:
         return search(0, len(self.points)).cast("long")
 
 
-def find_cuts(df: DataFrame, columns: Sequence[str], bits: int, seed: int = 7) -> list[Cuts]:
-    """Equal-frequency cut points from a bounded sample. The sample only shapes the layout, never the rows.
+def find_cuts(df: DataFrame, columns: Sequence[str], bits: int) -> list[Cuts]:
+    """Equal-frequency cut points of whole columns: at most ``2**bits - 1`` values each come back from the cluster.
 
-    Each column comes back from the cluster as at most ``2**bits - 1`` values.
+    Numbers, dates and times go through one aggregation of mergeable quantile sketches over all rows. Other ordered types are dealt
+    into ``2**bits`` ranges, and the least value of each is a cut.
     """
-    total = df.count()
-    share = min(1.0, SAMPLE_ROWS / max(total, 1))
-    sampled = df.select(*columns)
-    if share < 1.0:
-        sampled = sampled.sample(fraction=share, seed=seed)
-    sampled = sampled.limit(2 * SAMPLE_ROWS)
     slots = 2**bits
-    positions = F.array(*[F.lit(i / slots) for i in range(1, slots)])
-
-    def quantiles(column: str) -> Column:
-        values = F.array_sort(F.collect_list(column))  # bounded: the sample has at most 2 * SAMPLE_ROWS rows
-        return F.array_distinct(F.transform(positions, lambda p: F.get(values, F.floor(p * F.size(values)).cast("int"))))
-
-    row = sampled.agg(*[quantiles(c).alias(c) for c in columns]).first()
-    return [Cuts(c, tuple(v for v in (row[c] or []) if v is not None)) for c in columns]
+    kinds = {f.name: f.dataType for f in df.schema.fields}
+    sketched = [c for c in columns if isinstance(kinds[c], (T.NumericType, T.DateType, T.TimestampType, T.TimestampNTZType))]
+    found: dict[str, list] = {}
+    if sketched:
+        shares = [i / slots for i in range(1, slots)]
+        row = df.agg(*[F.percentile_approx(c, shares, 100 * slots).alias(c) for c in sketched]).first()
+        found = {c: row[c] or [] for c in sketched}
+    for c in columns:
+        if c not in found:
+            ranges = df.select(c).filter(F.col(c).isNotNull()).repartitionByRange(slots, c)
+            starts = ranges.groupBy(F.spark_partition_id()).agg(F.min(c).alias(c)).collect()  # a row per range
+            found[c] = sorted(r[c] for r in starts)[1:]
+    return [Cuts(c, tuple(sorted(set(found[c])))) for c in columns]
+
+
+def bits_for(files: int, columns: int) -> int:
+    """Two bits finer than the grid that ``files`` boxes make; what is finer still is left to the sort inside a cell."""
+    return min(MOST_BITS, 62 // columns, -(-(max(files, 2) - 1).bit_length() // columns) + 2)
 
 
 def z_value(cuts: Sequence[Cuts], bits: int) -> Column:
@@ -148,12 +139,14 @@ def z_value(cuts: Sequence[Cuts], bits: int) -> Column:
     return z
 
 
-def zorder(df: DataFrame, columns: Sequence[str], files: int, bits: int = 4) -> DataFrame:
+def zorder(df: DataFrame, columns: Sequence[str], files: int, bits: int | None = None) -> DataFrame:
     """Rows arranged so that each of ``files`` tasks holds a compact box of the given columns.
 
-    Rows of one Z-value (a hot key, say) can spread over several tasks: the range partitioning goes on by a
-    hash of the whole row and by input partition, which also separates exact copies.
+    Inside a cell of the grid the rows are split by the columns. Rows that agree in all of them (a hot key, say) can still spread
+    over several tasks: the range partitioning goes on by a hash of the whole row and by input partition, which also separates
+    exact copies.
     """
+    bits = bits_for(files, len(columns)) if bits is None else bits
     if len(columns) * bits > 62:
         raise ValueError("the interleaved value must fit a BIGINT")
     cuts = find_cuts(df, columns, bits)
@@ -163,7 +156,7 @@ def zorder(df: DataFrame, columns: Sequence[str], files: int, bits: int = 4) ->
         "_spread": F.xxhash64(*df.columns, F.spark_partition_id()),
     })
     return (
-        marked.repartitionByRange(files, "_z", "_spread")
+        marked.repartitionByRange(files, "_z", *columns, "_spread")
         .sortWithinPartitions("_z", *columns)
         .select(*df.columns)
     )

@@ -68,8 +68,11 @@ def lake_bronze_matches(spark, folder):
                CASE WHEN o_orderkey % 5 = 0 THEN TIMESTAMP '2024-02-02' END AS end_date FROM orders
         UNION ALL
         SELECT * REPLACE ('X' AS o_orderstatus), TIMESTAMP '2024-02-02', NULL FROM orders WHERE o_orderkey % 5 = 0)
-    SELECT 'VN2_' || o_orderkey AS match_id, o_orderkey AS "gameId", o_totalprice AS game_length,
-           o_orderstatus AS tft_game_type, effective_date, end_date, end_date IS NULL AS is_current,
+    SELECT 'VN2_' || o_orderkey AS match_id, o_orderkey AS "gameId", CAST(epoch_ms(o_orderdate) AS DOUBLE) AS game_datetime,
+           o_totalprice AS game_length, o_orderpriority AS game_version, o_orderstatus AS tft_game_type,
+           CASE WHEN o_orderstatus <> 'O' THEN o_orderpriority END AS tft_set_core_name,
+           CAST(substr(o_orderpriority, 1, 1) AS INTEGER) AS tft_set_number,
+           effective_date, end_date, end_date IS NULL AS is_current, effective_date AS processed_ts,
            2024 AS "year", 2 AS "month", CAST(day(effective_date) AS INTEGER) AS "day"
     FROM opened""")
 def lake_match_history(spark, folder):
@@ -82,8 +85,8 @@ def lake_match_history(spark, folder):
     lake.deliver("match", match_messages(again)["match"], SECOND)
     history = silver.history_table(spark, lake.config, "match").read()
     return history.select(
-        "match_id", "gameId", "game_length", "tft_game_type", "effective_date", "end_date", "is_current",
-        "year", "month", "day",
+        "match_id", "gameId", "game_datetime", "game_length", "game_version", "tft_game_type", "tft_set_core_name", "tft_set_number",
+        "effective_date", "end_date", "is_current", "processed_ts", "year", "month", "day",
     )
 
 

@@ -57,11 +57,23 @@ def compact_table(spark, folder):
 def zorder_cluster(spark, folder):
     path = shared_folder(spark, "zorder")
     rows = table(spark, folder, "lineitem")
-    layout.zorder(rows, ["l_orderkey", "l_partkey"], files=8).write.parquet(path)
+    files = layout.files_for(spark, f"{folder}/lineitem.parquet", target_bytes=layout.MEGABYTE)
+    layout.zorder(rows, ["l_orderkey", "l_partkey"], files).write.parquet(path)
     return spark.read.parquet(path)
 
 
-@query("table_stats")
-def table_stats(spark, folder):
-    """Files and bytes of all tables of the folder; depends on the file system, so there is no SQL for it."""
-    return layout.table_stats(spark, folder).withColumn("seen", F.lit(True))
+@query("file_report", """
+    SELECT count(*) AS rows_before, count(*) AS rows_after, true AS fewer_files, true AS files_saved_pct_fits FROM lineitem""")
+def file_report(spark, folder):
+    """Many small files against their compacted copy: no row is lost, and the report is about the files there are."""
+    home = shared_folder(spark, "report")
+    table(spark, folder, "lineitem").repartition(24).write.parquet(f"{home}/small")
+    layout.compact(spark, f"{home}/small", f"{home}/large")
+    report = layout.compare_stats(layout.table_stats(spark, f"{home}/small"), layout.table_stats(spark, f"{home}/large"))
+    rows = lambda name: spark.read.parquet(f"{home}/{name}").agg(F.count(F.lit(1)).alias("n")).select(F.col("n").alias(f"rows_{name}"))
+    saved = F.round(100.0 * (F.col("before_num_files") - F.col("after_num_files")) / F.col("before_num_files"), 2)
+    told = report.select(
+        (F.col("after_num_files") < F.col("before_num_files")).alias("fewer_files"),
+        (F.col("files_saved_pct") == saved).alias("files_saved_pct_fits"))
+    return told.join(rows("small"), F.lit(True)).join(rows("large"), F.lit(True)).select(  # one row each
+        F.col("rows_small").alias("rows_before"), F.col("rows_large").alias("rows_after"), "fewer_files", "files_saved_pct_fits")

@@ -7,11 +7,13 @@ from pyspark.sql import functions as F
 from alluvia.functions import (
     array_text, contains_any, element_columns, first_label, leading_number, row_hash, safe_size, strip_markup,
 )
+from alluvia.functions.hashing import surrogate_key
 from alluvia.operators import envelope, reports, rows
 from alluvia.queries.registry import query, table
 from alluvia.session import shared_folder
 from alluvia.sinks.messages import write_message_files
-from alluvia.sources.files import read_lines
+from alluvia.sinks.tables import ensure_table, load_table, upsert_table
+from alluvia.sources.files import read_documents, read_lines
 
 TERMS = ["ring", "bolt", "gizmo"]
 WORD_RULES = [("Silver", ["small", "SILVER"]), ("Gold", ["red", "ring"]), ("Prismatic", ["old", "bolt"])]
@@ -160,3 +162,43 @@ def line_list_scan(spark, folder):
     path = shared_folder(spark, "lines")
     lines.write.text(path)
     return read_lines(spark, path, unique=True)
+
+
+@query("versioned_keys", """
+    SELECT o_orderkey, o_orderkey || '_' || o_orderstatus || '_' || o_orderpriority || '_' || strftime(o_orderdate, '%Y%m%d_%H%M%S') AS key
+    FROM orders""")
+def versioned_keys(spark, folder):
+    named = table(spark, folder, "orders").withColumn("puuid", F.col("o_orderkey").cast("string"))
+    key = envelope.summoner_key(F.col("o_orderstatus"), F.col("o_orderpriority"), F.col("o_orderdate"))
+    return named.select("o_orderkey", key.alias("key"))
+
+
+@query("surrogate_keys", """
+    WITH p AS (SELECT o_orderkey, o_orderkey::VARCHAR AS a, coalesce(nullif(o_orderstatus, 'P'), 'None') AS b,
+                      strftime(o_orderdate, '%Y%m%d%H%M%S000') AS moment FROM orders)
+    SELECT o_orderkey, a || '_' || b || '_' || moment || '_' || substr(sha256(a || '||' || b || '||' || moment), 1, 16) AS surrogate_key FROM p""")
+def surrogate_keys(spark, folder):
+    orders = table(spark, folder, "orders").withColumn("status", F.nullif("o_orderstatus", F.lit("P")))
+    return orders.select("o_orderkey", surrogate_key(["o_orderkey", "status"], F.col("o_orderdate")).alias("surrogate_key"))
+
+
+@query("document_scan", "SELECT o_orderkey, o_totalprice, o_orderstatus FROM orders")
+def document_scan(spark, folder):
+    """Files that are one JSON array each, spread over lines: one row per element."""
+    orders = table(spark, folder, "orders").select("o_orderkey", "o_totalprice", "o_orderstatus")
+    path = shared_folder(spark, "documents")
+    bodies = orders.groupBy((F.col("o_orderkey") % F.lit(16)).alias("part"), F.floor(F.col("o_orderkey") / 4000).alias("block")).agg(
+        F.to_json(F.collect_list(F.struct(*orders.columns)), {"pretty": "true"}).alias("body"))
+    bodies.select("body").write.option("maxRecordsPerFile", 1).text(path)
+    return read_documents(spark, path, orders.schema)
+
+
+@query("ensure_then_upsert", """
+    SELECT c_custkey, c_name, true AS was_empty FROM customer""")
+def ensure_then_upsert(spark, folder):
+    """A table that is created empty, found empty, and then filled."""
+    path, customers = shared_folder(spark, "ensured"), table(spark, folder, "customer").select("c_custkey", "c_name")
+    ensure_table(spark, path, customers.schema)
+    was_empty = load_table(spark, path).isEmpty()
+    upsert_table(customers, path, ["c_custkey"])
+    return load_table(spark, path).withColumn("was_empty", F.lit(was_empty))

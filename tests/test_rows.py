@@ -211,7 +211,7 @@ def test_reports(spark):
 
 def test_sorting_spreads_exact_copies(spark):
     copies = spark.range(0, 40_000, 1, 8).select(F.lit(1).alias("a"), F.lit("x").alias("b"))
-    from alluvia.operators.layout import settings
+    from tests.conf import settings
 
     with settings(spark, {"spark.sql.adaptive.enabled": "false"}):
         sizes = reports.sorted_rows(copies, ["a"]).groupBy(F.spark_partition_id()).count().collect()

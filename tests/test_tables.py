@@ -5,6 +5,7 @@ from alluvia.operators import layout
 from alluvia.schemas import INT, STRING, record
 from alluvia.sinks import catalog, tables
 from alluvia.sinks.upserts import UpsertTable
+from tests.conf import settings
 
 
 def rows(spark, count, value="a"):
@@ -92,7 +93,7 @@ def test_ensure_table(spark, here):
 
 
 def test_hot_partition_is_split_and_small_ones_merge(spark, here):
-    with layout.settings(spark, {
+    with settings(spark, {
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64KB",
         "spark.sql.adaptive.coalescePartitions.minPartitionSize": "1KB",
     }):
@@ -190,11 +191,20 @@ def test_zorder_narrows_every_file(spark, here):
     whole = source.agg(*[(F.max(c) - F.min(c)).alias(c) for c in columns]).first()
     spans = made.groupBy(F.input_file_name()).agg(*[(F.max(c) - F.min(c)).alias(c) for c in columns]).collect()
     assert len(spans) == 8
-    assert all(any(s[c] < 0.8 * whole[c] for c in columns) for s in spans)
+    # Eight boxes over two columns: a grid of two by four has a mean span of 3/8.
+    assert sum(s[c] / whole[c] for s in spans for c in columns) / (8 * 2) < 1.3 * 3 / 8
     text = layout.zorder(source, ["name", "l_shipdate"], files=4)
     assert text.exceptAll(source).count() == 0
 
 
+def test_cuts_of_whole_columns(spark):
+    rows = spark.range(0, 10_000, 1, 7).select("id", F.lpad(F.col("id").cast("string"), 5, "0").alias("name"))
+    for cuts in layout.find_cuts(rows, ["id", "name"], 3):
+        places = [int(p) for p in cuts.points]
+        assert len(places) == 7 and all(abs(p - 1250 * (i + 1)) < 400 for i, p in enumerate(places))
+    assert [layout.bits_for(n, 2) for n in (1, 8, 64, 1024, 10**6)] == [3, 4, 5, 7, 8]
+
+
 def test_zorder_spreads_a_hot_key(spark):
     hot = spark.range(0, 40_000, 1, 8).select(F.lit(7).alias("a"), F.lit("x").alias("b"))
     sizes = layout.zorder(hot, ["a", "b"], files=4).groupBy(F.spark_partition_id()).count().collect()
