@@ -70,10 +70,12 @@ def file_report(spark, folder):
     table(spark, folder, "lineitem").repartition(24).write.parquet(f"{home}/small")
     layout.compact(spark, f"{home}/small", f"{home}/large")
     report = layout.compare_stats(layout.table_stats(spark, f"{home}/small"), layout.table_stats(spark, f"{home}/large"))
-    rows = lambda name: spark.read.parquet(f"{home}/{name}").agg(F.count(F.lit(1)).alias("n")).select(F.col("n").alias(f"rows_{name}"))
+    sides = [spark.read.parquet(f"{home}/{name}").select(F.lit(name).alias("side")) for name in ("small", "large")]
+    counted = sides[0].union(sides[1]).agg(
+        F.count_if(F.col("side") == "small").alias("rows_before"), F.count_if(F.col("side") == "large").alias("rows_after"))
     saved = F.round(100.0 * (F.col("before_num_files") - F.col("after_num_files")) / F.col("before_num_files"), 2)
     told = report.select(
         (F.col("after_num_files") < F.col("before_num_files")).alias("fewer_files"),
         (F.col("files_saved_pct") == saved).alias("files_saved_pct_fits"))
-    return told.join(rows("small"), F.lit(True)).join(rows("large"), F.lit(True)).select(  # one row each
-        F.col("rows_small").alias("rows_before"), F.col("rows_large").alias("rows_after"), "fewer_files", "files_saved_pct_fits")
+    both = counted.unionByName(told, allowMissingColumns=True)  # two rows, each with half of the columns
+    return both.agg(*[F.max(c).alias(c) for c in both.columns])
