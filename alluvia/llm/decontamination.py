@@ -154,7 +154,8 @@ def leaking_texts(docs: DataFrame, items: DataFrame, settings: Settings = Settin
         "id", "version", "item", "edition", "n_windows", "item_ats", F.size(covered(F.col("item_ats"), F.col("size"))).alias("n_covered"),
         F.lit(0).alias("n_slots"), F.lit(True).alias("verbatim"))
     # The others are looked at again, in the texts that met them, for their words at the slots.
-    open_rows = told.filter("typed")
+    # Stored, so that the planner knows how few they are before it would deal out all texts.
+    open_rows = stored(told.filter("typed"), "leak-typed")
     again = texts.alias("t").join(
         open_rows.select(F.col("id").alias("met_id"), F.col("version").alias("met_version")).distinct().alias("m"),
         F.col("t.id").eqNullSafe(F.col("m.met_id")) & (F.col("t.version") == F.col("m.met_version")), "left_semi")
