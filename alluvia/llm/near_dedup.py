@@ -23,6 +23,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -32,6 +33,9 @@ from alluvia.llm.words import Words, mixed, text_batches
 from alluvia.queries.registry import table
 
 
+FAN_IN = 64  # blocks of counters that one group adds up
+
+
 @dataclass(frozen=True)
 class Settings:
     words: int = 5
@@ -115,18 +119,29 @@ def frequent_shingles(texts: DataFrame, n: int, settings: Settings) -> tuple[np.
             counts += np.bincount((shingles(column.to_pylist(), settings)[1] % np.uint64(size)).astype(np.int64), minlength=size)
         for at in range(0, size, part):
             if counts[at:at + part].any():
-                yield pa.RecordBatch.from_arrays([pa.array([at], pa.int64()), pa.array([counts[at:at + part].astype(np.int32).tobytes()])], ["at", "counts"])
+                own = [[at], [TaskContext.get().partitionId()], [counts[at:at + part].tobytes()]]
+                yield pa.RecordBatch.from_arrays([pa.array(own[0], pa.int64()), pa.array(own[1], pa.int64()), pa.array(own[2])], kind.fieldNames())
 
     def added(group: pa.Table) -> pa.Table:
         total = 0
         for c in group["counts"]:
-            total = total + np.frombuffer(c.as_buffer(), np.int32).astype(np.int64)
-        heavy = np.flatnonzero(total >= least) + group["at"][0].as_py()
-        return pa.table({"bucket": pa.array(heavy, pa.int64())})
+            total = total + np.frombuffer(c.as_buffer(), np.int64)
+        return pa.table({"at": [group["at"][0].as_py()], "salt": [group["salt"][0].as_py()], "counts": [total.tobytes()]})
 
-    kind = T.StructType([T.StructField("at", T.LongType()), T.StructField("counts", T.BinaryType())])
-    heavy = texts.select("text").mapInArrow(buckets, kind).groupBy("at").applyInArrow(
-        added, T.StructType([T.StructField("bucket", T.LongType())])).toArrow()["bucket"].to_numpy()
+    def heavy_buckets(batches):
+        for batch in batches:
+            for at, c in zip(batch.column(0).to_pylist(), batch.column(2).to_pylist(), strict=True):
+                yield pa.RecordBatch.from_arrays([pa.array(np.flatnonzero(np.frombuffer(c, np.int64) >= least) + at)], ["bucket"])
+
+    kind = T.StructType([T.StructField("at", T.LongType()), T.StructField("salt", T.LongType()), T.StructField("counts", T.BinaryType())])
+    sums = texts.select("text").mapInArrow(buckets, kind)
+    width = sums.rdd.getNumPartitions()
+    while True:  # as many levels as the tasks ask for: a group never adds more than FAN_IN blocks
+        width = -(-width // FAN_IN)
+        sums = sums.withColumn("salt", F.floor(F.col("salt") / FAN_IN)).groupBy("at", "salt").applyInArrow(added, kind)
+        if width <= 1:
+            break
+    heavy = sums.mapInArrow(heavy_buckets, T.StructType([T.StructField("bucket", T.LongType())])).toArrow()["bucket"].to_numpy()
     if not len(heavy):
         return np.zeros(0, np.uint64), np.zeros(0, np.float32)
     marked = np.zeros(size, bool)
@@ -264,10 +279,14 @@ def _pairs(made: list[tuple[int, int]]) -> pa.RecordBatch:
 
 
 def candidates(groups: DataFrame, settings: Settings) -> DataFrame:
-    """Pairs worth verifying from rows (band, node, samples): each group's forest."""
+    """Pairs worth verifying from rows (band, node, size, anchor, samples): each group's forest.
+
+    A large group is dealt into blocks by a hash of the node; its least node is in every block, so that what is near it meets.
+    """
+    most = 2 * settings.block
     def run(batches):
         found = []
-        for g in runs(batches, ["band"], 2 * settings.block):
+        for g in runs(batches, ["band", "block"], 2 * most):
             nodes = g["node"]
             s = np.stack([np.frombuffer(x, np.uint16) for x in g["samples"]])
             if len(nodes) == 2:
@@ -283,7 +302,11 @@ def candidates(groups: DataFrame, settings: Settings) -> DataFrame:
                 found = []
         yield _pairs(list(dict.fromkeys(found)))
 
-    dealt = groups.select("band", "node", "samples").repartition("band").sortWithinPartitions("band", "node")
+    blocks = F.ceil(F.col("size") / most).cast("long")
+    own = F.when(F.col("node") == F.col("anchor"), F.sequence(F.lit(0).cast("long"), blocks - 1)).otherwise(
+        F.array(F.pmod(F.xxhash64("node"), blocks)))
+    dealt = groups.select("band", F.explode(own).alias("block"), "node", "samples")
+    dealt = dealt.repartition("band", "block").sortWithinPartitions("band", "block", "node")
     return dealt.mapInArrow(run, _PAIR).distinct()
 
 
@@ -390,7 +413,7 @@ def classes(docs: DataFrame, settings: Settings = Settings(), text: str = "text"
     weights = Weights(*frequent_shingles(texts, texts.count(), settings))
     signs = stored(signed(texts, weights, settings), "near-signs")
     per_band = signs.select("node", F.explode("bands").alias("band")).distinct()
-    several = per_band.groupBy("band").agg(F.count(F.lit(1)).alias("size")).filter("size > 1").select("band")
+    several = per_band.groupBy("band").agg(F.count(F.lit(1)).alias("size"), F.min("node").alias("anchor")).filter("size > 1")
     groups = stored(per_band.join(several, "band"), "near-groups")
     wanted = groups.select("node").distinct()
     kept = signs.join(wanted, "node").dropDuplicates(["node"]).select("node", "samples", "elements", "weights")
