@@ -10,6 +10,7 @@ repeated ledger rows, an empty table an empty ledger, and a column named like th
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass
 
 import numpy as np
@@ -121,9 +122,7 @@ def fail_bits(rules: tuple[Rule, ...], struct: str) -> Column:
     """One bit for each rule that the measurements in ``struct`` fail."""
     bits = F.lit(0).cast("long")
     for r in rules:
-        fails = r.fails
-        for m in MEASURES:
-            fails = fails.replace(m, f"{struct}.{m}") if f"{struct}.{m}" not in fails else fails
+        fails = re.sub(rf"\b({'|'.join(MEASURES)})\b", rf"{struct}.\1", r.fails)
         bits = bits.bitwiseOR(F.when(F.expr(fails), F.lit(1 << r.bit).cast("long")).otherwise(F.lit(0).cast("long")))
     return bits
 

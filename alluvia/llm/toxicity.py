@@ -24,6 +24,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from alluvia.llm.store import stored
 from alluvia.llm.words import NOT_LETTERS, Words, chunks, map_texts, mixed
 from alluvia.queries.registry import table
 
@@ -217,7 +218,10 @@ def train(docs: DataFrame, labels: DataFrame, settings: Settings = Settings(), l
     of the texts, and no text that is not learned from is moved.
     """
     marked = labels.filter(F.col(label).isNotNull() & F.col(key).isNotNull()).groupBy(F.col(key).alias("id")).agg(F.max(label).alias("wanted"))
-    drawn = marked.orderBy(F.xxhash64(F.col("id").cast("string")), "id").limit(settings.sample)
+    marked = stored(marked.withColumn("order", F.shiftrightunsigned(F.xxhash64(F.col("id").cast("string")), 1)), "toxicity-labels")
+    # Twice the rows that are wanted have an order below this, so no task sorts more than those.
+    share = min(1.0, 2 * settings.sample / max(1, marked.count()))
+    drawn = marked.filter(F.col("order") <= share * 2.0**63).orderBy("order", "id").limit(settings.sample).drop("order")
     spoken = F.col(language) if language in docs.columns else F.lit(None).cast("string")
     rows = docs.select(F.col(key).alias("id"), F.col(text).alias("text"), spoken.alias("language"))
     rows = rows.join(F.broadcast(drawn), "id").select("id", "text", "language", F.col("wanted").cast("int"))
