@@ -6,7 +6,7 @@ of their own, all others are put together by their endings; classes belong to cl
     P(cluster | history) * P(class | cluster, history) * P(word | class)
 
 The first two are softmaxes over sparse features of the history, each hashed to a few rows of weights: the last word, the last two
-words, the word before the last (a skip), the endings of the last two. The third follows from the counts. A token costs
+words, the word before the last (a skip), the endings of the last three. The third follows from the counts. A token costs
 two short softmaxes instead of one over the vocabulary, and all probabilities of a history sum to one, an unknown word per class
 included.
 
@@ -45,10 +45,9 @@ ENDINGS = 12 * WIDE  # classes by ending, after those of single words
 SINGLES = WIDE * WIDE - ENDINGS
 END = np.uint64(0x5EED0F_E4D << 8)  # the end token's key, of ending class 0
 START = np.uint64(0x57A27_0 << 8)  # the history before a text
-#: Hashed rows of each feature: last word, last two words, word before the last, endings of the last two words.
-FEATURES = (1024, 1024, 512, 512, 512)
-INSIDE = (0, 3, 4)  # those that also choose the class inside its cluster
-N_FEATURES = sum(FEATURES)  # times WIDE it stays below 2^16, so that rows sort by radix
+#: Hashed rows of each feature: last word, last two words, word before the last, endings of the last three words.
+FEATURES = (1024, 1024, 512, 512, 512, 512)
+N_FEATURES = sum(FEATURES)  # times WIDE it is 2^16, so row numbers fit 16 bits and sort by radix
 #: Rows of weights: the constant feature's for clusters and for the classes of each cluster, then all others' in that order.
 UPPER = 1 + WIDE
 LOWER = UPPER + N_FEATURES
@@ -60,7 +59,7 @@ FAN_IN = 64  # changes of one block that one group averages
 @dataclass(frozen=True)
 class Settings:
     rounds: int = 2
-    batch: int = 8192
+    batch: int = 2048
     rate: float = 0.15
     head_bits: int = 21
 
@@ -119,7 +118,7 @@ def features(keys: np.ndarray, ends: np.ndarray, counts: np.ndarray) -> np.ndarr
         return moved
 
     k1, k2 = back(keys, 1, START), back(keys, 2, START)
-    values = [k1, mixed(k1) ^ k2, k2, back(ends, 1, START), back(ends, 2, START)]
+    values = [k1, mixed(k1) ^ k2, k2, back(ends, 1, START), back(ends, 2, START), back(ends, 3, START)]
     made = np.empty((len(keys), len(FEATURES)), np.uint16)
     first = 0
     for n, (value, size) in enumerate(zip(values, FEATURES, strict=True)):
@@ -135,8 +134,8 @@ def log_softmax(x: np.ndarray) -> np.ndarray:
 
 
 def row_pairs(feats: np.ndarray, cluster: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Rows of the hashed features, counted from ``UPPER`` and ``LOWER``; inside a cluster fewer of them say something new."""
-    return feats, feats[:, INSIDE] * np.uint16(WIDE) + cluster[:, None].astype(np.uint16)
+    """Rows of the hashed features, counted from ``UPPER`` and ``LOWER``."""
+    return feats, feats * np.uint16(WIDE) + cluster[:, None].astype(np.uint16)
 
 
 def summed(weights: np.ndarray, constant: np.ndarray, first: int, rows: np.ndarray) -> np.ndarray:

@@ -223,6 +223,28 @@ def test_probabilities_sum_to_one(llm):
     assert np.isclose((upper[:, None] * lower).sum(), 1)
 
 
+def test_skip_word_chooses_inside_a_cluster():
+    """Both words share a cluster, the last word and all endings: only the word before the last tells which one follows."""
+    said = ["redstone then apple", "bluestone then melon"] * 20
+    keys = maxent.sequences(said[:2])[0]
+    model = maxent.Counts(160, 6, np.sort(np.unique(keys)), np.full(256, 1.0), np.full(256, 1.0))
+    learner = maxent.Learner(model, maxent.Settings(batch=64))
+    for _ in range(60):
+        learner.learn(said)
+    model.weights = learner.weights
+    made, classes = maxent.class_log10(model, *maxent.sequences(said[:2]))
+    assert set(classes // maxent.WIDE) == {0} and (10 ** made[[2, 6]] > 0.9).all()
+
+
+def test_steps_and_features_of_the_learner():
+    assert maxent.Settings().batch <= 2048
+    keys, ends, counts = maxent.sequences(["one two three four", "five two three four"])
+    feats = maxent.features(keys, ends, counts)
+    assert (feats[3] != feats[8]).sum() == 1  # the third ending back
+    upper, lower = maxent.row_pairs(feats, np.full(len(keys), maxent.WIDE - 1))
+    assert lower.shape == upper.shape and int(lower.max()) < maxent.N_FEATURES * maxent.WIDE
+
+
 def test_odd_tables(llm, odd, nothing):
     rows = maxent.score(odd, F.lit(True)).collect()
     assert len(rows) == odd.count() and all(r.score <= 0 and r.base_score <= 0 for r in rows)
