@@ -2,8 +2,8 @@
 
 Base phrases are counted over words (runs of letters, digits and non-ASCII characters after A-Z are lower-cased). The rules are
 regular expressions, built from families of licenses, their versions and the forms in which a license is named: an SPDX tag, a
-notice, a URL, a title. A keyword gates every rule: a text is matched only against the rules whose keyword it contains, and only
-if it contains one of the triggers at all. Matches are intervals of the lower-cased text. One that lies inside an interval of a
+notice, a URL, a title. Gates save work and lose nothing, as every match implies them: a text is matched only against rules of which
+it holds a needle (one word of each name, the URL itself), and only if it holds one of the triggers at all. Matches are intervals of the lower-cased text. One that lies inside an interval of a
 rule before it in the order (SPDX tag, notice, URL, title; with a version before without; longer before shorter) is suppressed.
 
 Null and empty texts have no words, no places, empty labels and score 0. Texts are scanned whole; the only cost that is not linear is
@@ -13,6 +13,8 @@ columns that are not asked for are not looked at.
 
 from __future__ import annotations
 
+import re
+from collections import defaultdict
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -29,7 +31,7 @@ PHRASES = (
     ("mit license", "mit"),
 )
 
-# Families of licenses. Label, gating keyword, names, versions, URL.
+# Families of licenses. Label, keyword, names, versions, URL.
 FAMILIES = (
     ("agpl", "affero", ("gnu affero general public license", "affero general public license", "agpl"), ("3.0", "1.0"), "gnu.org/licenses/agpl"),
     ("lgpl", "lesser", ("gnu lesser general public license", "lesser general public license"), ("3.0", "2.1", "2.0"), "gnu.org/licenses/lgpl"),
@@ -93,8 +95,9 @@ FAMILIES = (
     ("mulan", "mulan", ("mulan permissive software license",), ("2.0",), ""),
     ("upl", "universal permissive", ("universal permissive license",), ("1.0",), ""),
 )
-#: A text whose words, one space around each, hold none of these has no license mention.
-TRIGGERS = ("licen", " cc ", "cc0", "creative", "gpl", "mpl", "gnu", "bsd", "wtfpl", "cecill", "eclipse")
+# Words that say little about which license a name names, and parts of names and URLs that serve several as triggers.
+COMMON = set("license licence public software free open source general project the and of distribution foundation".split())
+STEMS = ("licen", "creative", "gpl", "mpl", "bsd", "eclipse", "cc0", "cecill", "latex")
 #: The forms in their order, with the confidence that each gives.
 FORMS = (("tag", 1.0), ("notice", 0.95), ("url", 0.9), ("title", 0.75))
 BASE_CONFIDENCE = 0.5
@@ -104,24 +107,43 @@ _GRANTS = "(?:licen[cs]ed|released|distributed|available|published|provided|cove
 
 @dataclass(frozen=True)
 class Signature:
-    """``order`` decides which of two overlapping matches stays: the lower one."""
+    """``order`` decides which of two overlapping matches stays: the lower one. Every match holds one of ``needles``."""
 
     label: str
-    keyword: str
+    keyword: str  # words that go with the rule; it gates nothing
     pattern: str
     order: int
     confidence: float
+    needles: tuple[str, ...] = ()
 
 
 def spelled(name: str) -> str:
-    """Any separators between the words of a name."""
-    return r"\b" + r"[^0-9a-z]+".join(name.split()) + r"\b"
+    """Any separators between the words of a name; what may follow it is left to the rule."""
+    return r"\b" + r"[^0-9a-z]+".join(name.split())
+
+
+def needle_of(name: str) -> str:
+    """The word of a name that says most."""
+    words = name.split()
+    return max([w for w in words if w not in COMMON] or words, key=len)
+
+
+def triggers(families) -> tuple[str, ...]:
+    """Parts of words such that every name and URL, every tag and every base phrase holds one of them."""
+    made = {"licen"}
+    for _, _, names, _, url in families:
+        for said in (*names, *([url] if url else [])):
+            words = re.findall("[0-9a-z]+", said)
+            made.add(next((t for t in STEMS if any(t in w for w in words)), max(words, key=len)))
+    made.update("licen" if "license" in p.split() else needle_of(p) for p, _ in PHRASES)
+    return tuple(sorted(made))
 
 
 def versioned(version: str) -> str:
     whole, _, part = version.partition(".")
     tail = rf"(?:\.{part})?" if part == "0" else rf"\.{part}"
-    return rf"(?:[^0-9a-z]+(?:licen[cs]e|international|unported|public))*[^0-9a-z]{{1,3}}(?:version[^0-9a-z]{{1,3}}|v\.?\s?)?{whole}{tail}(?![0-9.]*[0-9])"
+    apart = r"\b(?:[^0-9a-z]+(?:licen[cs]e|international|unported|public))*[^0-9a-z]{1,3}(?:version[^0-9a-z]{1,3}|v\.?\s?)?"
+    return rf"(?:{apart}|v?){whole}{tail}(?![0-9.]*[0-9])"  # the version may be joined to the name: gplv3
 
 
 def signatures(families=FAMILIES) -> list[Signature]:
@@ -132,7 +154,7 @@ def signatures(families=FAMILIES) -> list[Signature]:
         for version in (*versions, ""):
             full = f"{label}-{version}" if version else label
             rank = 0 if version else 1
-            after = versioned(version) if version else ""
+            after = versioned(version) if version else r"(?:\b|(?=v?[0-9]))" if versions else r"\b"
             tag = full.replace(".", r"\.")
             patterns = {
                 "tag": rf"spdx-license-identifier:\s*{tag}(?:-only|-or-later)?(?![0-9a-z.-])",
@@ -142,10 +164,17 @@ def signatures(families=FAMILIES) -> list[Signature]:
             }
             for place, (form, confidence) in enumerate(FORMS):
                 if patterns[form]:
-                    rules.append(Signature(full, "spdx" if form == "tag" else keyword, patterns[form], 2 * place + rank, confidence))
+                    words, needles = {
+                        "tag": ("spdx", ("spdx-license-identifier:",)), "url": (" ".join(re.findall("[0-9a-z]+", url)), (url,)),
+                    }.get(form, (keyword, tuple(dict.fromkeys(map(needle_of, names)))))
+                    rules.append(Signature(full, words, patterns[form], 2 * place + rank, confidence, needles))
     return rules
 
 
+#: What a text must hold to be looked at; one of two letters is a trigger only as the start of a name.
+TRIGGERS = triggers(FAMILIES)
+
+
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _APART = "".join(chr(c) for c in range(0x80) if not (chr(c).isdigit() or chr(c).isalpha()))
 
@@ -211,11 +240,12 @@ def surviving(found: Column) -> Column:
 def scan(docs: DataFrame, text: str = "text", keep: list[str] | None = None, into: str = "license", families=FAMILIES) -> DataFrame:
     """The columns ``keep`` and a struct ``into``: n_words, n_base, first_word, last_word, base_labels, labels, score, spans."""
     keep = docs.columns if keep is None else keep
-    lower, plain, words, single, met, found = (free_name(docs, n) for n in ("_lower", "_plain", "_words", "_single", "_met", "_found"))
+    lower, plain, words, met, found = (free_name(docs, n) for n in ("_lower", "_plain", "_words", "_met", "_found"))
     rows = docs.select(*(docs[c] for c in keep), docs[text].alias(lower), apart(docs[text]).alias(plain))
-    padded, gate = F.concat(F.lit(" "), F.col(plain), F.lit(" ")), F.lit(False)
-    for t in TRIGGERS:
-        gate = gate | F.contains(padded if " " in t else F.col(plain), F.lit(t))
+    gate = F.lit(False)
+    for t in sorted(triggers(families), key=len, reverse=True):
+        held = F.contains(F.col(plain), F.lit(t))
+        gate = gate | (held & F.rlike(F.col(plain), F.lit("cc[^0-9a-z]")) if t == "cc" else held)
     listed = F.array_remove(F.split(F.col(plain), " "), "")
     total_words = free_name(docs, "_total")
     rows = rows.withColumn(plain, F.struct(gate.alias("gate"), listed.alias("words")))
@@ -223,13 +253,16 @@ def scan(docs: DataFrame, text: str = "text", keep: list[str] | None = None, int
     rows = rows.withColumn(total_words, F.size(f"{plain}.words").cast("long"))
     rows = rows.withColumn(words, F.when(F.col(f"{plain}.gate"), spaced(F.col(f"{plain}.words"))).otherwise(F.lit("")))
     rows = rows.withColumn(lower, F.when(F.col(f"{plain}.gate"), lowered(F.col(lower))).otherwise(F.lit(""))).drop(plain)
-    rows = rows.withColumn(single, F.replace(F.col(words), F.lit("  "), F.lit(" ")))
-    rules = F.array(*(F.struct(F.lit(f" {s.keyword} ").alias("keyword"), F.lit(s.pattern).alias("pattern"), F.lit(s.order).alias("order"),
-                               F.lit(s.label).alias("label"), F.lit(s.confidence).alias("confidence")) for s in signatures(families)))
-    flat = F.col(single)
+    by_needles = defaultdict(list)
+    for s in signatures(families):
+        by_needles[s.needles].append(F.struct(F.lit(s.pattern).alias("pattern"), F.lit(s.order).alias("order"), F.lit(s.label).alias("label"),
+                                              F.lit(s.confidence).alias("confidence")))
+    groups = F.array(*(F.struct(F.array(*map(F.lit, needles)).alias("needles"), F.array(*own).alias("rules")) for needles, own in by_needles.items()))
+    near = F.filter(groups, lambda g: F.exists(g["needles"], lambda n: F.contains(F.col(lower), n)))
+    rules = F.flatten(F.transform(near, lambda g: g["rules"]))
     none = F.array().cast("array<struct<start:int,end:int,order:int,label:string,confidence:double>>")
-    rows = rows.withColumn(met, F.when(flat != "", detections(F.col(lower), F.filter(
-        rules, lambda r: F.contains(flat, r["keyword"]) & F.rlike(F.col(lower), r["pattern"])))).otherwise(none))
+    rows = rows.withColumn(met, F.when(F.col(lower) != "", detections(F.col(lower), F.filter(
+        rules, lambda r: F.rlike(F.col(lower), r["pattern"])))).otherwise(none))
     rows = rows.withColumn(found, F.when(F.size(met) > 1, surviving(F.col(met))).otherwise(F.col(met)))
     w = F.col(words)
     counts = [places(w, p) for p, _ in PHRASES]

@@ -183,6 +183,28 @@ def test_licenses_by_hand(llm, odd, small):
     assert len(licenses.signatures()) > 300
 
 
+def test_gates_lose_no_match(llm):
+    """Against all rules without any gate."""
+    wanted = {
+        "see https://creativecommons.org/licenses/by-sa/4.0/": "cc-by-sa-4.0", "https://creativecommons.org/licenses/by-nc/3.0": "cc-by-nc-3.0",
+        "https://creativecommons.org/publicdomain/zero/1.0/": "cc0-1.0", "AGPL 3.0": "agpl-3.0", "an Expat License": "mit", "PSF License": "psf",
+        "Berkeley Software Distribution License": "bsd", "MIT No Attribution": "mit-0", "http://scripts.sil.org/OFL": "ofl",
+        "https://www.latex-project.org/lppl/": "lppl", "GPLv3": "gpl-3.0", "GPLv2": "gpl-2.0", "AGPLv3": "agpl-3.0", "LGPLv2.1": "lgpl-2.1",
+        "MPL2.0": "mpl-2.0", "GPLv9": "gpl", "CC—BY": "cc-by", "https://opendatacommons.org/licenses/pddl/1-0/": "pddl",
+    }
+    for _, _, names, _, url in licenses.FAMILIES:
+        for said in (*names, *([url] if url else [])):
+            wanted.setdefault(said.upper(), None)
+    inside = lambda d, e: e[0] <= d[0] and e[1] >= d[1] and (e[2] < d[2] or e[2] == d[2] and e[1] - e[0] > d[1] - d[0])
+    rules = licenses.signatures()
+    for r in licenses.scan(llm.createDataFrame([(x,) for x in wanted], "text string")).collect():
+        low = r.text.translate(LOWER)
+        met = [(m.start(), m.end(), s.order, s.label) for s in rules for m in re.finditer(s.pattern, low)]
+        labels = set(r.license.base_labels.split(",")) - {""} | {d[3] for d in met if not any(inside(d, e) for e in met)}
+        assert met and r.license.labels == ",".join(sorted(labels)), r.text
+        assert wanted[r.text] in (None, *r.license.labels.split(",")), r.text
+
+
 def test_scan_keeps_rows_and_names(odd, nothing):
     assert licenses.scan(odd, into="found").columns == [*odd.columns, "found"]
     assert licenses.scan(odd, into="found").count() == odd.count()
