@@ -7,8 +7,13 @@ original. Aligned windows of one document and item form an occurrence. Its slots
 and of the document must map one to one onto each other, otherwise the occurrence is chance.
 
 A document leaks an item when consistent occurrences cover ``min_share`` of the item's windows, or when one verbatim occurrence runs
-over ``min_words`` words. Items below ``window`` words are one window of their own length; items below ``shortest`` words say too
-little to be searched. A window needs ``literals`` words (half of a short one's) that are not placeholders.
+over ``min_words`` words. Items below ``window`` words are one window of their own length; templates below ``shortest`` words say too
+little to be searched. A template's window needs ``literals`` words (half of a short one's) that are not placeholders.
+
+Beside its templates every item is searched by its exact words (lower-cased, nothing typed, of any length), so verbatim copies of items
+made of numbers and names, of short items and of items behind a colon are found. A whole copy always counts; a part counts by the
+same shares, unless the template met the item there with values that do not map one to one. Where both find an item, the template's
+figures are reported.
 
 Benchmark windows are broadcast only when they are counted and at most ``broadcast_rows``; beyond that the join shuffles. Texts stay
 where they are: windows leave a document as (id, hash of the text, position, hash), and only texts that met a window are read again.
@@ -94,17 +99,32 @@ def windows(kinds: Column, any_typed: Column, size: int, literals: int) -> Colum
         any_typed, checked).otherwise(plain)
 
 
+def exact_words(text: Column) -> Column:
+    return F.array_remove(F.split(apart(F.lower(text)), " "), "")
+
+
+def exact_windows(words: Column, size: int) -> Column:
+    """Hash of the words at every position."""
+    return windows(words, F.lit(False), size, 0)
+
+
 def item_windows(items: DataFrame, settings: Settings, key: str, text: str) -> DataFrame:
-    """(item, edition, size, words, windows, n_windows, typed) of the benchmark: of windows that an item repeats, the first.
+    """(item, edition, exact, size, words, windows, n_windows, typed) of the benchmark, by templates and by exact words.
 
-    ``typed`` says whether a window at that place has a placeholder.
+    ``typed`` says whether the item has a placeholder.
     """
+    plain = items.select(F.col(key).alias("item"), exact_words(F.col(text)).alias("words")).filter(F.size("words") > 0)
+    plain = plain.withColumn("edition", F.xxhash64("words", F.lit("exact"))).dropDuplicates(["item", "edition"])
     rows = with_kinds(items, text, F.col(key).alias("item"), words_of(F.col(text)).alias("words"))
     rows = rows.filter(F.size("words") >= settings.shortest).withColumn("edition", F.xxhash64("words")).dropDuplicates(["item", "edition"])
     parts = []
     for size in range(settings.shortest, settings.window + 1):
         own = rows.filter(F.size("words") >= size if size == settings.window else F.size("words") == size)
-        parts.append(own.select("item", "edition", F.lit(size).alias("size"), "words", "typed", windows(F.col("kinds"), F.col("typed"), size, settings.literals).alias("windows")))
+        parts.append(own.select("item", "edition", F.lit(False).alias("exact"), F.lit(size).alias("size"), "words", "typed", windows(F.col("kinds"), F.col("typed"), size, settings.literals).alias("windows")))
+    for size in range(1, settings.window + 1):
+        own = plain.filter(F.size("words") >= size if size == settings.window else F.size("words") == size)
+        parts.append(own.select("item", "edition", F.lit(True).alias("exact"), F.lit(size).alias("size"), "words", F.lit(False).alias("typed"),
+                                exact_windows(F.col("words"), size).alias("windows")))
     every = parts[0]
     for part in parts[1:]:
         every = every.unionByName(part)
@@ -130,28 +150,30 @@ def leaking_texts(docs: DataFrame, items: DataFrame, settings: Settings = Settin
     """(id, version, item, matched, n_windows, verbatim, n_slots) of every leak."""
     item_rows = stored(item_windows(items, settings, item_key, item_text), "leak-items")
     hashes = stored(
-        item_rows.select("item", "edition", "size", F.posexplode("windows").alias("item_at", "hash")).filter("hash IS NOT NULL")
-        .groupBy("item", "edition", "size", "hash").agg(F.min("item_at").alias("item_at")), "leak-windows")
-    sizes = [r["size"] for r in hashes.select("size").distinct().collect()]  # of at most ``window`` values
+        item_rows.select("item", "edition", "exact", "size", F.posexplode("windows").alias("item_at", "hash")).filter("hash IS NOT NULL")
+        .groupBy("item", "edition", "exact", "size", "hash").agg(F.min("item_at").alias("item_at")), "leak-windows")
+    sizes = sorted((r["exact"], r["size"]) for r in hashes.select("exact", "size").distinct().collect())  # at most two for each of ``window``
     if hashes.count() <= settings.broadcast_rows:
         hashes = F.broadcast(hashes)
     texts = docs.select(F.col(key).alias("id"), version(F.col(text)).alias("version"), F.col(text).alias("text"))
     kinds = with_kinds(texts, "text", "id", "version")
+    plain = texts.select("id", "version", exact_words(F.col("text")).alias("words"))
     met = None
-    for size in sizes:
-        own = kinds.select("id", "version", F.posexplode(windows(F.col("kinds"), F.col("typed"), size, settings.literals)).alias("at", "hash"))
-        own = own.join(hashes.filter(F.col("size") == size), "hash").select("id", "version", "at", "item", "edition", "item_at", "size")
+    for exact, size in sizes:
+        hashed = exact_windows(F.col("words"), size) if exact else windows(F.col("kinds"), F.col("typed"), size, settings.literals)
+        own = (plain if exact else kinds).select("id", "version", F.posexplode(hashed).alias("at", "hash"))
+        own = own.join(hashes.filter((F.col("size") == size) & (F.col("exact") == exact)), "hash").select("id", "version", "at", "item", "edition", "item_at", "size")
         met = own if met is None else met.unionByName(own)
     if met is None:
         met = kinds.select("id", "version", F.lit(0).alias("at")).join(hashes, F.lit(False)).select("id", "version", "at", "item", "edition", "item_at", "size")
     aligned = stored(
         met.groupBy("id", "version", "item", "edition", "size", (F.col("at") - F.col("item_at")).alias("shift"))
         .agg(F.array_sort(F.collect_set("item_at")).alias("item_ats")), "leak-met")  # at most the windows of one item
-    told = aligned.join(item_rows.select("item", "edition", "n_windows", "typed"), ["item", "edition"])
+    told = aligned.join(item_rows.select("item", "edition", "exact", "n_windows", "typed"), ["item", "edition"])
     covered = lambda ats, size: F.array_distinct(F.flatten(F.transform(ats, lambda i: F.sequence(i + 1, i + size))))
     # Without placeholders in the item, equal templates are equal words.
     literal = told.filter(~F.col("typed")).select(
-        "id", "version", "item", "edition", "n_windows", "item_ats", F.size(covered(F.col("item_ats"), F.col("size"))).alias("n_covered"),
+        "id", "version", "item", "edition", "exact", "n_windows", "item_ats", F.size(covered(F.col("item_ats"), F.col("size"))).alias("n_covered"),
         F.lit(0).alias("n_slots"), F.lit(True).alias("verbatim"))
     # The others are looked at again, in the texts that met them, for their words at the slots.
     # Stored, so that the planner knows how few they are before it would deal out all texts.
@@ -167,18 +189,28 @@ def leaking_texts(docs: DataFrame, items: DataFrame, settings: Settings = Settin
     values = F.array_distinct(F.transform(
         F.filter(places, lambda i: typed(F.get("item_words", i - 1))),
         lambda i: F.struct(F.get("item_words", i - 1).alias("theirs"), F.get("words", i - 1 + F.col("shift")).alias("ours"))))
-    slots = pairs.select("id", "version", "item", "edition", "n_windows", "item_ats", F.size(places).alias("n_covered"), values.alias("slots"))
+    slots = stored(pairs.select(
+        "id", "version", "item", "edition", "exact", "n_windows", "item_ats", F.size(places).alias("n_covered"), values.alias("slots")), "leak-slots")
     one_to_one = (F.size(F.array_distinct(F.transform("slots", lambda s: s["theirs"]))) == F.size("slots")) & (
         F.size(F.array_distinct(F.transform("slots", lambda s: s["ours"]))) == F.size("slots"))
     occurrences = literal.unionByName(slots.filter(one_to_one).select(
-        "id", "version", "item", "edition", "n_windows", "item_ats", "n_covered", F.size("slots").alias("n_slots"),
+        "id", "version", "item", "edition", "exact", "n_windows", "item_ats", "n_covered", F.size("slots").alias("n_slots"),
         (~F.exists("slots", lambda s: s["theirs"] != s["ours"])).alias("verbatim")))
-    per_window = occurrences.withColumn("item_at", F.explode("item_ats")).groupBy("id", "version", "item", "edition", "n_windows", "item_at").agg(
+    per_window = occurrences.withColumn("item_at", F.explode("item_ats")).groupBy("id", "version", "item", "edition", "exact", "n_windows", "item_at").agg(
         F.max("verbatim").alias("verbatim"), F.max("n_slots").alias("n_slots"),
         F.max(F.when(F.col("verbatim"), F.col("n_covered")).otherwise(0)).alias("longest"))
-    found = per_window.groupBy("id", "version", "item", "edition", "n_windows").agg(
+    found = per_window.groupBy("id", "version", "item", "edition", "exact", "n_windows").agg(
         F.count(F.lit(1)).alias("matched"), F.min("verbatim").alias("verbatim"), F.max("n_slots").alias("n_slots"), F.max("longest").alias("longest"))
-    return found.filter((F.col("matched") >= settings.min_share * F.col("n_windows")) | (F.col("longest") >= settings.min_words))
+    leaked = (F.col("matched") >= settings.min_share * F.col("n_windows")) | (F.col("longest") >= settings.min_words)
+    names = ("matched", "n_windows", "verbatim", "n_slots")
+    judged = found.filter(leaked).select("id", "version", "item", "exact", F.lit(False).alias("chance"), *names)
+    chance = slots.filter(~one_to_one).select("id", "version", "item", F.lit(False).alias("exact"), F.lit(True).alias("chance")).distinct()
+    # Few rows: those that leak, and those that the template judged to be chance.
+    judged = judged.unionByName(chance, allowMissingColumns=True).groupBy("id", "version", "item").agg(
+        F.max("chance").alias("chance"), F.max(F.when(F.col("exact"), F.col("matched") == F.col("n_windows"))).alias("whole"),
+        *(F.max(F.when(F.col("exact") == exact, F.col(n))).alias(f"{kind}_{n}") for exact, kind in ((False, "typed"), (True, "exact")) for n in names))
+    judged = judged.filter(F.col("typed_matched").isNotNull() | F.col("whole") | (F.col("exact_matched").isNotNull() & ~F.col("chance")))
+    return judged.select("id", "version", "item", *(F.coalesce(f"typed_{n}", f"exact_{n}").alias(n) for n in names))
 
 
 def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

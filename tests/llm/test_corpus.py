@@ -125,6 +125,18 @@ def test_reparameterised_items(llm, text, verbatim):
     assert [(r.doc_id, r.item_id, r.verbatim) for r in got] == ([] if verbatim is None else [(7, 1, verbatim)])
 
 
+@pytest.mark.parametrize(("item", "text"), [
+    ("12 + 7 = 19, 3 x 4 = 12, 81 / 9 = 9", "so 12 + 7 = 19, 3 x 4 = 12, 81 / 9 = 9 it is"),  # hardly a literal word
+    ("What is the capital of France?", "Question: What is the capital of France? Answer: Paris"),  # typed in the document alone
+    ("boiling point helium", "we ask for the Boiling Point, helium of course"), ("zyzzyva", "a Zyzzyva!"),
+])
+def test_exact_copies_of_any_item(llm, item, text):
+    items = llm.createDataFrame([(1, item), (2, None), (3, "")], "item_id int, text string")
+    docs = llm.createDataFrame([(1, text), (2, "nothing of it: 12, capital, boiling"), (3, None)], "doc_id int, text string")
+    found = decontamination.leaks(docs, items).collect()
+    assert [(r.doc_id, r.item_id, r.verbatim) for r in found] == [(1, 1, True)]
+
+
 def test_broadcast_and_shuffle_agree(llm, small):
     docs, items = llm.read.parquet(f"{small}/documents.parquet"), llm.read.parquet(f"{small}/benchmark.parquet")
     plain = re.compile("[0-9A-Za-z\u0080-\U0010ffff]+")
