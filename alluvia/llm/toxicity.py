@@ -4,7 +4,7 @@ A word is a run of letters, digits and non-ASCII characters, A-Z lower-cased. It
 and for its first 3 to 6 bytes, so that unseen endings of a known stem are recognised. Filters of several widths run over the whole
 text, each keeps its largest response anywhere in it, and a logistic layer over these gives the score.
 
-Learning reads at most ``Settings.sample`` labelled rows, those of the lowest hashes of their ids; a part of them calibrates:
+Learning reads at most ``Settings.sample`` different labelled rows, by hashes of ids, then of ids and texts; a part of them calibrates:
 it shifts the logits to where the classes part, and sets one decision threshold per language (the overall one where a language
 has few labels). The language column only chooses the threshold; a score depends on the text alone.
 
@@ -210,12 +210,17 @@ def id_bucket(key: Column, n: int) -> Column:
     return F.crc32(F.coalesce(key.cast("string"), F.lit("")).cast("binary")) % n
 
 
+def digest(text: Column) -> Column:
+    """Tells texts of one id apart; null is empty."""
+    return F.xxhash64(F.coalesce(text, F.lit("")))
+
+
 def train(docs: DataFrame, labels: DataFrame, settings: Settings = Settings(), label: str = "toxic", key: str = "doc_id",
           text: str = "text", language: str = "lang") -> bytes:
     """Fit on a bounded sample, in one task.
 
-    The sample is drawn from the ids alone: their number is bounded by ``settings.sample``, so they are broadcast to the scan
-    of the texts, and no text that is not learned from is moved.
+    The sample is drawn from ids and digests alone: ids and rows are both bounded by ``settings.sample``, so they are broadcast to the
+    scan of the texts, and no text that is not learned from is moved.
     """
     marked = labels.filter(F.col(label).isNotNull() & F.col(key).isNotNull()).groupBy(F.col(key).alias("id")).agg(F.max(label).alias("wanted"))
     marked = stored(marked.withColumn("order", F.shiftrightunsigned(F.xxhash64(F.col("id").cast("string")), 1)), "toxicity-labels")
@@ -224,7 +229,14 @@ def train(docs: DataFrame, labels: DataFrame, settings: Settings = Settings(), l
     drawn = marked.filter(F.col("order") <= share * 2.0**63).orderBy("order", "id").limit(settings.sample).drop("order")
     spoken = F.col(language) if language in docs.columns else F.lit(None).cast("string")
     rows = docs.select(F.col(key).alias("id"), F.col(text).alias("text"), spoken.alias("language"))
-    rows = rows.join(F.broadcast(drawn), "id").select("id", "text", "language", F.col("wanted").cast("int"))
+    rows = rows.withColumn("digest", digest(F.col("text")))
+    # An id can have any number of rows: equal ones count once, and the others are drawn by a second hash before texts meet.
+    known = stored(rows.select("id", "digest").join(F.broadcast(drawn), "id").distinct().withColumn(
+        "order", F.shiftrightunsigned(F.xxhash64(F.col("id").cast("string"), "digest"), 1)), "toxicity-rows")
+    share = min(1.0, 2 * settings.sample / max(1, known.count()))
+    known = stored(known.filter(F.col("order") <= share * 2.0**63).orderBy("order", "id", "digest").limit(settings.sample).drop("order"), "toxicity-sample")
+    lessons = rows.join(F.broadcast(known), ["id", "digest"]).groupBy("id", "digest").agg(
+        F.min("text").alias("text"), F.min("language").alias("language"), F.max(F.col("wanted").cast("int")).alias("wanted"))
 
     def run(batches):
         parts = pa.Table.from_batches(list(batches), pa.schema([("id", pa.string()), ("text", pa.string()), ("language", pa.string()), ("wanted", pa.int32())]))
@@ -232,7 +244,7 @@ def train(docs: DataFrame, labels: DataFrame, settings: Settings = Settings(), l
         model = learn(parts["text"].to_pylist(), parts["wanted"].to_numpy(), parts["language"].to_pylist(), settings)
         yield pa.RecordBatch.from_arrays([pa.array([model], pa.binary())], ["model"])
 
-    one = rows.select(F.col("id").cast("string"), "text", "language", "wanted").repartition(1).mapInArrow(
+    one = lessons.select(F.col("id").cast("string"), "text", "language", "wanted").repartition(1).mapInArrow(
         run, T.StructType([T.StructField("model", T.BinaryType())]))
     got = one.collect()
     return bytes(got[0]["model"]) if got else learn([], np.zeros(0), [], settings)

@@ -190,6 +190,16 @@ def test_unseen_endings_and_held_out_rows(llm):
     assert toxicity.train(docs, labels.filter(toxicity.id_bucket(F.col("doc_id"), 4) != 2)) == model
 
 
+def test_sample_bounds_rows(llm, monkeypatch):
+    """One id with most rows, equal and different ones."""
+    monkeypatch.setattr(toxicity, "learn", lambda texts, wanted, languages, settings: repr(sorted(texts)).encode())
+    docs = llm.createDataFrame([(1, "same", "en")] * 300 + [(1, f"text {k}", "en") for k in range(50)] + [(2, "fine", "en")], "doc_id int, text string, lang string")
+    labels = llm.createDataFrame([(1, 1), (2, 0)], "doc_id int, toxic int")
+    read = eval(toxicity.train(docs, labels, toxicity.Settings(sample=20)))
+    assert len(read) == len(set(read)) == 20
+    assert len(eval(toxicity.train(docs, labels, toxicity.Settings(sample=200)))) == 52
+
+
 def test_no_labels(llm, odd, nothing):
     labels = llm.createDataFrame([(1, 0)], "doc_id bigint, toxic int")
     for few in (labels, labels.limit(0)):
