@@ -4,9 +4,9 @@ A word is a run of letters, digits and non-ASCII characters, A-Z lower-cased. It
 and for its first 3 to 6 bytes, so that unseen endings of a known stem are recognised. Filters of several widths run over the whole
 text, each keeps its largest response anywhere in it, and a logistic layer over these gives the score.
 
-Learning reads at most ``Settings.sample`` different labelled rows, by hashes of ids, then of ids and texts; a part of them calibrates:
-it shifts the logits to where the classes part, and sets one decision threshold per language (the overall one where a language
-has few labels). The language column only chooses the threshold; a score depends on the text alone.
+Learning reads at most ``Settings.sample`` different labelled rows, by hashes of ids, then of ids and texts. All
+labelled rows outside this sample calibrate: they shift the logits to where the classes part, and set one decision threshold per
+language (the overall one where a language has few labels). Where they are few, the rows that were learned from count as well. The language column only chooses the threshold; a score depends on the text alone.
 
 Null and empty texts get the score of a text in which no filter responds. Without labelled rows of both classes every score is the
 share of toxic labels (0 without labels). Conflicting labels of one document count as toxic; labels that are null are no labels.
@@ -29,6 +29,10 @@ from alluvia.llm.words import NOT_LETTERS, Words, chunks, map_texts, mixed
 from alluvia.queries.registry import table
 
 
+#: Fixed value: bins of logits in one unit.
+BINS = 50
+
+
 @dataclass(frozen=True)
 class Settings:
     """``sample`` bounds the labelled rows that are learned from, whatever the table's size."""
@@ -152,19 +156,22 @@ class Network:
                 self.step(ids[words], counts[rows], wanted[rows], state)
 
 
-def parting(logits: np.ndarray, wanted: np.ndarray) -> float:
-    """The logit that misplaces the fewest rows; the middle of the widest gap among those."""
+def parting(logits: np.ndarray, wanted: np.ndarray, times: np.ndarray | None = None) -> float:
+    """The logit that misplaces the fewest rows; the middle of the widest gap among those. A row can stand for several."""
     order = np.argsort(logits, kind="stable")
-    x, y = logits[order], wanted[order]
-    wrong = np.concatenate([[0], np.cumsum(y)]) + (len(y) - y.sum() - np.concatenate([[0], np.cumsum(1 - y)]))
+    n = np.ones(len(logits)) if times is None else times[order]
+    x, y = logits[order], wanted[order] * n
+    below = np.concatenate([[0], np.cumsum(n - y)])
+    wrong = np.concatenate([[0], np.cumsum(y)]) + below[-1] - below
+    wrong[1:-1][x[1:] == x[:-1]] = np.inf  # equal logits cannot be parted
     edges = np.concatenate([[x[0] - 1], x, [x[-1] + 1]])
     gaps = np.where(wrong == wrong.min(), edges[1:] - edges[:-1], -1)
     k = int(gaps.argmax())
     return float((edges[k] + edges[k + 1]) / 2)
 
 
-def learn(texts: list[str | None], wanted: np.ndarray, languages: list[str | None], settings: Settings) -> bytes:
-    """A model as bytes: network, shift of the logits, thresholds by language (None: all others)."""
+def learn(texts: list[str | None], wanted: np.ndarray, settings: Settings) -> bytes:
+    """A model as bytes: the network, before it is calibrated."""
     wanted = wanted.astype(np.float64)
     if not len(wanted) or wanted.min() == wanted.max():
         return pickle.dumps({"constant": float(wanted.mean()) if len(wanted) else 0.0, "thresholds": {None: 0.5}})
@@ -174,17 +181,8 @@ def learn(texts: list[str | None], wanted: np.ndarray, languages: list[str | Non
     del parts
     network = Network(settings)
     network.fit(ids, counts, wanted)
-    logits = np.concatenate([network.logits(ids[b - n:b], np.array([n])) for b, n in zip(np.cumsum(counts), counts, strict=True)])
-    # The score 0.3 lies where the classes part.
-    shift = np.log(0.3 / 0.7) - parting(logits, wanted)
-    thresholds: dict = {None: 0.3}
-    known = np.array([x or "" for x in languages])
-    for language in sorted(set(known.tolist()) - {""}):
-        own = known == language
-        if min(wanted[own].sum(), (1 - wanted[own]).sum()) >= settings.few_labels:
-            thresholds[language] = float(1 / (1 + np.exp(-(parting(logits[own], wanted[own]) + shift))))
     used = np.flatnonzero(np.any(network.table != Network(settings).table, 1))  # other rows follow from the seed
-    return pickle.dumps({"settings": settings, "shift": shift, "thresholds": thresholds, "used": used, "rows": network.table[used],
+    return pickle.dumps({"settings": settings, "shift": 0.0, "thresholds": {None: 0.3}, "used": used, "rows": network.table[used],
                          "filters": network.filters, "bias": network.bias, "out": network.out, "base": network.base})
 
 
@@ -197,12 +195,59 @@ class Scorer:
             n.table[m["used"]] = m["rows"]
             n.filters, n.bias, n.out, n.base = m["filters"], m["bias"], m["out"], m["base"]
 
+    def logits(self, texts: list[str | None]) -> np.ndarray:
+        ids, counts = word_ids(texts, self.model["settings"])
+        return self.network.logits(ids, counts).astype(np.float64) + self.model["shift"]
+
     def __call__(self, texts: list[str | None]) -> np.ndarray:
         if "constant" in self.model:
             return np.full(len(texts), self.model["constant"])
-        ids, counts = word_ids(texts, self.model["settings"])
-        logits = self.network.logits(ids, counts).astype(np.float64) + self.model["shift"]
-        return 1 / (1 + np.exp(-np.clip(logits, -30, 30)))
+        return 1 / (1 + np.exp(-np.clip(self.logits(texts), -30, 30)))
+
+
+def calibrated(model: bytes, rows: DataFrame, marked: DataFrame, known: DataFrame, settings: Settings) -> bytes:
+    """The model with its shift and its thresholds by language (None: all others), from all labelled rows.
+
+    ``rows`` has id, text, digest and language; ``known`` the id and digest of rows that were learned from. Rows are counted by bins of
+    their logits, so the driver gets at most a few thousand counts of each language.
+    """
+    m = pickle.loads(model)
+    if "constant" in m:
+        return model
+    shared = rows.sparkSession.sparkContext.broadcast(model)
+    held: list[Scorer] = []
+
+    def compute(texts):
+        if not held:
+            held.append(Scorer(shared.value))
+        return [np.floor(np.clip(held[0].logits(texts), -60, 60) * BINS).astype(np.int32)]
+
+    binned = map_texts(rows, "text", compute, [T.StructField("bin", T.IntegerType())], "_logit", ["id", "digest", "language"])
+    binned = binned.select("id", "digest", "language", F.col("_logit.bin").alias("bin")).distinct()
+    binned = binned.join(F.broadcast(known.select("id", "digest", F.lit(True).alias("learned"))), ["id", "digest"], "left")
+    # Counted by id first: an id with very many rows meets its label as a few counts.
+    counts = binned.groupBy("id", "language", "learned", "bin").count().join(marked.select("id", "wanted"), "id")
+    counts = counts.groupBy("language", "learned", "bin", F.col("wanted").cast("int").alias("wanted")).agg(F.sum("count").alias("n")).collect()
+    table_ = np.array([[(c.bin + 0.5) / BINS, c.wanted, c.n, bool(c.learned)] for c in counts], np.float64).reshape(-1, 4)
+    spoken = np.array([c.language or "" for c in counts])
+
+    def part(own: np.ndarray) -> float | None:
+        for some in (own & (table_[:, 3] == 0), own):
+            x, wanted, n, _ = table_[some].T
+            if min((wanted * n).sum(), ((1 - wanted) * n).sum()) >= settings.few_labels:
+                return parting(x, wanted, n)
+        return None
+
+    every = np.ones(len(table_), bool)
+    overall = part(every)
+    # With few labels in all, what there is.
+    m["shift"] = float(np.log(0.3 / 0.7) - (parting(*table_[:, :3].T) if overall is None else overall))
+    m["thresholds"] = {None: 0.3}
+    for language in sorted(set(spoken.tolist()) - {""}):
+        own = part(spoken == language)
+        if own is not None:
+            m["thresholds"][language] = float(1 / (1 + np.exp(-(own + m["shift"]))))
+    return pickle.dumps(m)
 
 
 def id_bucket(key: Column, n: int) -> Column:
@@ -236,18 +281,19 @@ def train(docs: DataFrame, labels: DataFrame, settings: Settings = Settings(), l
     share = min(1.0, 2 * settings.sample / max(1, known.count()))
     known = stored(known.filter(F.col("order") <= share * 2.0**63).orderBy("order", "id", "digest").limit(settings.sample).drop("order"), "toxicity-sample")
     lessons = rows.join(F.broadcast(known), ["id", "digest"]).groupBy("id", "digest").agg(
-        F.min("text").alias("text"), F.min("language").alias("language"), F.max(F.col("wanted").cast("int")).alias("wanted"))
+        F.min("text").alias("text"), F.max(F.col("wanted").cast("int")).alias("wanted"))
 
     def run(batches):
-        parts = pa.Table.from_batches(list(batches), pa.schema([("id", pa.string()), ("text", pa.string()), ("language", pa.string()), ("wanted", pa.int32())]))
+        parts = pa.Table.from_batches(list(batches), pa.schema([("id", pa.string()), ("text", pa.string()), ("wanted", pa.int32())]))
         parts = parts.sort_by([("id", "ascending"), ("text", "ascending")])
-        model = learn(parts["text"].to_pylist(), parts["wanted"].to_numpy(), parts["language"].to_pylist(), settings)
+        model = learn(parts["text"].to_pylist(), parts["wanted"].to_numpy(), settings)
         yield pa.RecordBatch.from_arrays([pa.array([model], pa.binary())], ["model"])
 
-    one = lessons.select(F.col("id").cast("string"), "text", "language", "wanted").repartition(1).mapInArrow(
+    one = lessons.select(F.col("id").cast("string"), "text", "wanted").repartition(1).mapInArrow(
         run, T.StructType([T.StructField("model", T.BinaryType())]))
     got = one.collect()
-    return bytes(got[0]["model"]) if got else learn([], np.zeros(0), [], settings)
+    model = bytes(got[0]["model"]) if got else learn([], np.zeros(0), settings)
+    return calibrated(model, rows, marked, known, settings)
 
 
 def score(docs: DataFrame, model: bytes, text: str = "text", keep: list[str] | None = None, into: str = "toxicity") -> DataFrame:

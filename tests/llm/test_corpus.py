@@ -192,7 +192,8 @@ def test_unseen_endings_and_held_out_rows(llm):
 
 def test_sample_bounds_rows(llm, monkeypatch):
     """One id with most rows, equal and different ones."""
-    monkeypatch.setattr(toxicity, "learn", lambda texts, wanted, languages, settings: repr(sorted(texts)).encode())
+    monkeypatch.setattr(toxicity, "learn", lambda texts, wanted, settings: repr(sorted(texts)).encode())
+    monkeypatch.setattr(toxicity, "calibrated", lambda model, *_: model)
     docs = llm.createDataFrame([(1, "same", "en")] * 300 + [(1, f"text {k}", "en") for k in range(50)] + [(2, "fine", "en")], "doc_id int, text string, lang string")
     labels = llm.createDataFrame([(1, 1), (2, 0)], "doc_id int, toxic int")
     read = eval(toxicity.train(docs, labels, toxicity.Settings(sample=20)))
@@ -200,6 +201,18 @@ def test_sample_bounds_rows(llm, monkeypatch):
     assert len(eval(toxicity.train(docs, labels, toxicity.Settings(sample=200)))) == 52
 
 
+def test_thresholds_come_from_all_labelled_rows(llm):
+    """A rare language has hardly a row in the sample, but enough labels outside it."""
+    rows = [(k, f"{'awful stupid' if k % 2 else 'kind gentle'} words {k}", "xx" if k % 50 < 2 else "en", k % 2) for k in range(4000)]
+    docs = llm.createDataFrame(rows, "doc_id int, text string, lang string, toxic int")
+    settings = toxicity.Settings(sample=300)
+    model = toxicity.train(docs.drop("toxic"), docs.select("doc_id", "toxic"), settings)
+    found = toxicity.Scorer(model).thresholds
+    assert set(found) == {None, "xx", "en"}
+    told = toxicity.score(docs, model).filter((F.col("toxicity.score") >= toxicity.threshold(model, F.col("lang"))) != (F.col("toxic") == 1))
+    assert told.count() == 0
+
+
 def test_no_labels(llm, odd, nothing):
     labels = llm.createDataFrame([(1, 0)], "doc_id bigint, toxic int")
     for few in (labels, labels.limit(0)):
