@@ -3,8 +3,9 @@
 The standard library's parser gives events; block elements cut the page into lines. A line has its text, the number of tags met
 in it, its characters inside links and the blocks it lies in. Lines inside elements that name themselves as something else
 (navigation, footers, forms, adverts, comments ...) go first. Over the others the text-to-tag ratio is smoothed by a Gaussian and
-cut at one standard deviation; runs of lines above it are clusters. Content is the block that holds the clusters: an ``article`` or
-``main`` element, else their closest common block; without one, everything from the first to the last cluster line.
+cut at one standard deviation; runs of lines above it are clusters. Content is the region that holds the clusters, with all its lines:
+the outermost ``article`` or ``main`` elements with their siblings of that kind, else the closest common section or ``div`` of more
+than one line, else the page.
 
 Null and empty pages have the empty text. Unclosed elements and stray end tags are taken as browsers do; nothing is capped.
 Repeated rows are extracted again; an empty table gives an empty result; other columns are not looked at.
@@ -29,6 +30,7 @@ VOID = set("area base br col embed hr img input link meta param source track wbr
 BLOCK = set("""address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure footer
     form h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol optgroup option p pre search section summary table
     tbody td tfoot th thead title tr ul""".split())
+REGIONS = set("center div section".split())
 NOT_CONTENT = set("""aside button datalist dialog footer form head iframe input math menu nav noscript object search script select
     style svg template textarea title""".split())
 CLOSES_P = BLOCK - set("body html dd dt li option optgroup caption tbody td tfoot th thead tr title".split())
@@ -84,7 +86,7 @@ class PageLines(HTMLParser):
     def _hides(self, tag: str, attrs) -> bool:
         if tag in NOT_CONTENT:
             return True
-        if tag in CONTENT_NAMES or tag in ("html", "body"):
+        if tag in ("html", "body"):
             return False
         if tag == "header":
             return not self.held
@@ -179,16 +181,17 @@ def main_text(html: str | None) -> str:
         return ""
     ratios = smoothed(np.array([len(t) / max(1, x.tags) for x, t in lines]))
     dense = np.flatnonzero(ratios >= min(ratios.std(), ratios.max()))
-    chosen = {n for k in dense for n in lines[k][0].path if parser.kinds[n] in CONTENT_NAMES}
-    chosen = chosen and {n for n in chosen if parser.kinds[n] == "article"} or chosen
-    if not chosen:
-        shared = set(lines[dense[0]][0].path).intersection(*(lines[k][0].path for k in dense))
-        chosen = {n for n in shared if parser.kinds[n] not in ("html", "body")}
-        chosen = {max(chosen)} if chosen else chosen
+    # Each line's outermost article or main, named by what surrounds it.
+    around = [next((x.path[:k] for k, n in enumerate(x.path) if parser.kinds[n] in CONTENT_NAMES), None) for x, _ in lines]
+    chosen = {around[k] for k in dense} - {None}
     if chosen:
-        return " ".join(t for x, t in lines if not chosen.isdisjoint(x.path))
-    wordy = [k for k in range(dense[0], dense[-1] + 1) if 2 * lines[k][0].linked <= len(lines[k][1])]
-    return " ".join(lines[k][1] for k in wordy)
+        return " ".join(t for (_, t), own in zip(lines, around, strict=True) if own in chosen)
+    shared = set(lines[dense[0]][0].path).intersection(*(lines[k][0].path for k in dense))
+    for region in sorted((n for n in shared if parser.kinds[n] in REGIONS), reverse=True):
+        held = [t for x, t in lines if region in x.path]
+        if len(held) > 1:
+            return " ".join(held)
+    return " ".join(t for _, t in lines)
 
 
 def extract(pages: DataFrame, html: str = "html", keep: list[str] | None = None, into: str = "content") -> DataFrame:

@@ -126,6 +126,22 @@ def test_article_of_a_page(element):
     assert html.main_text(PAGE % (element, element.split()[0])) == ARTICLE
 
 
+LONG = "This is a long paragraph of the story with many words in it and hardly a tag, so that it is dense enough to be found"
+
+
+@pytest.mark.parametrize(("body", "wanted"), [
+    (f"<main><p>{LONG} 1<p>{LONG} 2<article class=related><p>{LONG} card</article><p>End.</main>", f"{LONG} 1 {LONG} 2 End."),
+    (f"<main><p>{LONG} 1<article><p>{LONG} 2</article><p>End.</main>", f"{LONG} 1 {LONG} 2 End."),
+    (f"<article><p>{LONG} 1<article class=comment><p>{LONG} reader</article></article>", f"{LONG} 1"),
+    (f"<article hidden><p>{LONG} old</article><main><p>{LONG} new</main>", f"{LONG} new"),
+    (f"<article><p>{LONG} 1</article><article><p>Short.</article>", f"{LONG} 1 Short."),
+    (f"<p>{LONG} 1<p>{LONG} 2<p><a href=/>all of it a link</a><p>{LONG} 3<p>Short.<p>End.", f"{LONG} 1 {LONG} 2 all of it a link {LONG} 3 Short. End."),
+    (f"<div><p>Short.<p>{LONG} 1<p>End.</div>", f"Short. {LONG} 1 End."),
+])
+def test_whole_regions(body, wanted):
+    assert html.main_text(f"<html><body><nav><a>x</a></nav>{body}</body></html>") == wanted
+
+
 def test_odd_pages(llm):
     assert [html.main_text(x) for x in (None, "", "<p>", "<nav>only</nav>", "plain text")] == ["", "", "", "", "plain text"]
     rows = llm.createDataFrame([(None, 1), ("<p>a</p>", 2), ("<p>a</p>", 2)], "html string, content int")
