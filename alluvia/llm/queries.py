@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from alluvia.llm import alignment, chat, decontamination, html, licenses, maxent, mixing, near_dedup, quality, tokens, toxicity
+from alluvia.llm import alignment, chat, compression, decontamination, html, licenses, maxent, mixing, near_dedup, quality, tokens, toxicity
 from alluvia.llm.workers import reachable
 
 
@@ -17,6 +17,7 @@ _OPERATORS = {
     "op8_license_scan": licenses.op8_license_scan,
     "op9_toxicity": toxicity.op9_toxicity,
     "op10_lm_score": maxent.op10_lm_score,
+    "op11_quality_classifier": compression.op11_quality_classifier,
     "op13_tokenizer_alignment": alignment.op13_tokenizer_alignment,
 }
 
