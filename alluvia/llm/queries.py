@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from alluvia.llm import alignment, chat, compression, decontamination, html, licenses, maxent, mixing, near_dedup, quality, tokens, toxicity
+from alluvia.llm import alignment, chat, compression, decontamination, html, licenses, maxent, mixing, near_dedup, quality, tokens, toxicity, trie
 from alluvia.llm.workers import reachable
 
 
@@ -18,6 +18,7 @@ _OPERATORS = {
     "op9_toxicity": toxicity.op9_toxicity,
     "op10_lm_score": maxent.op10_lm_score,
     "op11_quality_classifier": compression.op11_quality_classifier,
+    "op12_prefix_trie": trie.op12_prefix_trie,
     "op13_tokenizer_alignment": alignment.op13_tokenizer_alignment,
 }
 
@@ -27,4 +28,5 @@ ORACLES = {
     "op1_quality_rules": quality.OP1_SQL,
     "op2_chat_format": chat.OP2_SQL,
     "op6_source_mixing": mixing.OP6_SQL,
+    "op12_prefix_trie": trie.OP12_SQL,
 }
