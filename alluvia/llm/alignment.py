@@ -26,6 +26,7 @@ import os
 import pickle
 import re
 from dataclasses import dataclass
+from itertools import chain, compress, islice
 
 import numpy as np
 import pyarrow as pa
@@ -49,8 +50,8 @@ class Settings:
 
     documents: int = 1 << 16  # a document's number inside its block fits 16 bits
     text_bytes: int = 16_000_000
-    remembered: int = 200_000
-    remembered_length: int = 200
+    remembered: int = 500_000  # segments
+    remembered_length: int = 20_000_000  # characters
 
 
 def byte_level_characters() -> dict[str, int]:
@@ -82,48 +83,57 @@ class Tokenizers:
         self.whole = any(SPACE in p.lstrip(SPACE) for p in pieces)
         size = self.size = max(len(self.bytes_a), len(self.bytes_b))
         self.written = [str(n).encode() + mark for mark in (b",", b"|", b";", b"") for n in range(size)]
+        self.written_length = np.array(list(map(len, self.written)), np.int64)
 
     def segments(self, text: str) -> list[str]:
         return [text] if self.whole else SAFE_CUT.split(text)
 
-    def aligned(self, segments: list[str]) -> list[tuple | None]:
-        """For each segment ``(tokens of A, tokens of B, groups, groups as text, pair of every link)``; None when bytes differ."""
+    def aligned(self, segments: list[str]) -> Aligned:
+        raw = [b" " + s.encode() for s in segments]
+        size = np.fromiter(map(len, raw), np.int64, len(raw))
         ids_a = [e.ids for e in self.a.encode_batch_fast([" " + s for s in segments], add_special_tokens=False)]
         ids_b = self.b.encode(segments, num_threads=1)
-        result: list[tuple | None] = [None] * len(segments)
-        good = []
-        for n, (s, a, b) in enumerate(zip(segments, ids_a, ids_b, strict=True)):
-            wanted = b" " + s.encode()
-            if b"".join(map(self.bytes_a.__getitem__, a)) == wanted == b"".join(map(self.bytes_b.__getitem__, b)):
-                good.append(n)
-        if not good:
-            return result
-        n_a, n_b = (np.array([len(ids[n]) for n in good]) for ids in (ids_a, ids_b))
-        a, b = (np.array([x for n in good for x in ids[n]], np.int64) for ids in (ids_a, ids_b))
+        n_a, n_b = (np.fromiter(map(len, ids), np.int64, len(raw)) for ids in (ids_a, ids_b))
+        good = np.ones(len(raw), bool)
+        for ids, bytes_of, lengths, n in ((ids_a, self.bytes_a, self.length_a, n_a), (ids_b, self.bytes_b, self.length_b, n_b)):
+            flat = np.fromiter(chain.from_iterable(ids), np.int64, int(n.sum()))
+            ends = np.concatenate([[0], np.cumsum(lengths[flat])])
+            # Equal as a whole, and every segment as long as its tokens: then each segment is equal.
+            if not (np.array_equal(ends[np.cumsum(n)], np.cumsum(size)) and b"".join(map(bytes_of.__getitem__, flat.tolist())) == b"".join(raw)):
+                good &= [b"".join(map(bytes_of.__getitem__, x)) == r for x, r in zip(ids, raw, strict=True)]
+        n_a, n_b = n_a * good, n_b * good
+        a, b = (np.fromiter(chain.from_iterable(compress(ids, good)), np.int64, int(n.sum())) for ids, n in ((ids_a, n_a), (ids_b, n_b)))
         end_a, end_b = np.cumsum(self.length_a[a]), np.cumsum(self.length_b[b])
-        segment_ends = end_a[np.cumsum(n_a) - 1]
+        segment_ends = np.cumsum(size * good)
         # Between two neighbouring ends, of whichever tokenizer, lie one token of A and one of B: that is a link.
-        ends = np.union1d(end_a, end_b)
+        ends = np.sort(np.concatenate([end_a, end_b]))
+        ends = ends[np.diff(ends, prepend=0) != 0]
         pairs = a[np.searchsorted(end_a, ends)] * len(self.bytes_b) + b[np.searchsorted(end_b, ends)]
-        links = np.searchsorted(ends, segment_ends, side="right")
+        links = np.diff(np.searchsorted(ends, segment_ends, side="right"), prepend=0)
         common = np.intersect1d(end_a, end_b, assume_unique=True)
-        groups = np.searchsorted(common, segment_ends, side="right")
+        groups = np.diff(np.searchsorted(common, segment_ends, side="right"), prepend=0)
         group_a, group_b = np.searchsorted(common, end_a), np.searchsorted(common, end_b)
         # Of each group first its tokens of A, then those of B; the mark behind a token says what comes next.
         code = np.empty(len(a) + len(b), np.int64)
         last_a, last_b = np.diff(group_a, append=-1) != 0, np.diff(group_b, append=-1) != 0
         code[np.arange(len(a)) + np.searchsorted(group_b, group_a)] = a + self.size * last_a
         mark_b = 2 * last_b
-        mark_b[np.cumsum(n_b) - 1] = 3
+        mark_b[np.cumsum(n_b)[good] - 1] = 3
         code[np.arange(len(b)) + np.searchsorted(group_a, group_b, side="right")] = b + self.size * mark_b
-        code = code.tolist()
-        at = link = group = 0
-        for k, n in enumerate(good):
-            to = at + int(n_a[k] + n_b[k])
-            text = b"".join(map(self.written.__getitem__, code[at:to]))
-            result[n] = (int(n_a[k]), int(n_b[k]), int(groups[k]) - group, text, pairs[link:links[k]].copy())
-            at, link, group = to, int(links[k]), int(groups[k])
-        return result
+        text = b"".join(map(self.written.__getitem__, code.tolist()))
+        at = np.concatenate([[0], np.cumsum(self.written_length[code])])[np.cumsum(n_a + n_b)].tolist()
+        return Aligned(np.stack([n_a, n_b, groups, links], 1), good, pairs, [text[x:y] for x, y in zip([0, *at[:-1]], at, strict=True)] if at else [])
+
+
+@dataclass
+class Aligned:
+    """Segments: tokens of A, of B, groups and links of each; whether its bytes came back (else all zeros); the pairs of all links in
+    order; its groups as text."""
+
+    figures: np.ndarray
+    good: np.ndarray
+    pairs: np.ndarray
+    groups: list[bytes]
 
 
 class Bitmaps:
@@ -132,7 +142,8 @@ class Bitmaps:
     def __init__(self, pairs: np.ndarray, documents: np.ndarray, n_documents: int):
         """From entries ``(pair, document)`` in any order; an entry given twice is one bit."""
         self.n_documents = n_documents
-        entries = np.unique(pairs.astype(np.int64) << 16 | documents.astype(np.int64))
+        entries = np.sort(pairs.astype(np.int64) << 16 | documents.astype(np.int64))
+        entries = entries[np.diff(entries, prepend=-1) != 0]
         pair, document = entries >> 16, (entries & 0xFFFF).astype(np.uint16)
         starts = np.flatnonzero(np.diff(pair, prepend=-1))
         self.pairs, self.counts = pair[starts], np.diff(starts, append=len(pair))
@@ -210,46 +221,51 @@ class Chunks:
 
     def __init__(self, tokenizers: Tokenizers, settings: Settings):
         self.tokenizers, self.settings = tokenizers, settings
-        self.seen: dict[str, tuple | None] = {}
+        self.forget()
+
+    def forget(self) -> None:
+        self.seen: dict[str, int] = {}
+        self.length = 0
+        self.known = Aligned(np.zeros((0, 4), np.int64), np.zeros(0, bool), np.zeros(0, np.int64), [])
 
     def read(self, texts: list[str | None]) -> tuple[list[np.ndarray], list[str], Postings]:
         """Tokens of A, of B, groups and links of each text; its groups' digest; the postings of all."""
-        s, numbers = self.settings, {}
-        code, lengths = [], []
+        if len(self.seen) > self.settings.remembered or self.length > self.settings.remembered_length:
+            self.forget()
+        seen, known, n = self.seen, self.known, len(texts)
+        lengths, code, before = [], [], len(seen)
         for t in texts:
             cut = self.tokenizers.segments(t) if t else []
             lengths.append(len(cut))
-            code += [numbers.setdefault(x, len(numbers)) for x in cut]
-        fresh = [x for x in numbers if x not in self.seen]
-        known = [self.seen.get(x) for x in numbers]
-        if fresh:
-            made = dict(zip(fresh, self.tokenizers.aligned(fresh), strict=True))
-            known = [made[x] if x in made else k for x, k in zip(numbers, known, strict=True)]
-            if len(self.seen) > s.remembered:
-                self.seen.clear()
-            self.seen.update((x, k) for x, k in made.items() if len(x) <= s.remembered_length)
-        n = len(texts)
+            code += [seen.setdefault(x, len(seen)) for x in cut]
+        if len(seen) > before:
+            fresh = list(islice(seen, before, None))
+            made = self.tokenizers.aligned(fresh)
+            self.length += sum(map(len, fresh))
+            known.figures, known.good, known.pairs = (np.concatenate(x) for x in (
+                (known.figures, made.figures), (known.good, made.good), (known.pairs, made.pairs)))
+            known.groups += made.groups
         text = np.repeat(np.arange(n), lengths)
-        code_ = np.array(code, np.int64)
+        used = np.array(code, np.int64)
         bad = np.zeros(n, bool)
-        bad[text[np.array([k is None for k in known], bool)[code_]]] = True
-        figures = np.array([(0, 0, 0, 0) if k is None else (*k[:3], len(k[4])) for k in known], np.int64).reshape(-1, 4)
+        bad[text[~known.good[used]]] = True
         sums = np.zeros((n, 4), np.int64)
-        np.add.at(sums, text, figures[code_])
+        np.add.at(sums, text, known.figures[used])
         sums[bad] = 0
         digests, at = [], 0
         for k, m in enumerate(lengths):
             whole = m and not bad[k]
-            digests.append(hashlib.sha256(b";".join([known[c][3] for c in code[at:at + m]])).hexdigest() if whole else "")
+            digests.append(hashlib.sha256(b";".join(map(known.groups.__getitem__, code[at:at + m]))).hexdigest() if whole else "")
             at += m
         # Every segment's pairs, once for each time that a text has it.
-        flat = np.concatenate([np.zeros(0, np.int64), *(k[4] for k in known if k is not None)])
-        sizes = figures[:, 3]
+        sizes = known.figures[:, 3]
         begins = np.cumsum(sizes) - sizes
-        used = code_[~bad[text]]
-        owner = np.repeat(text[~bad[text]], sizes[used])
+        used, text = used[~bad[text]], text[~bad[text]]
+        owner = np.repeat(text, sizes[used])
         place = np.repeat(begins[used] - (np.cumsum(sizes[used]) - sizes[used]), sizes[used]) + np.arange(len(owner))
-        entries, times = np.unique(flat[place] << 16 | owner, return_counts=True)
+        entries = np.sort(known.pairs[place] << 16 | owner)
+        starts = np.flatnonzero(np.diff(entries, prepend=-1))
+        entries, times = entries[starts], np.diff(starts, append=len(entries))
         return list(sums.T), digests, Postings.of(entries >> 16, entries & 0xFFFF, times, n)
 
 

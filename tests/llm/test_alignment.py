@@ -84,7 +84,7 @@ def test_against_all_pairs_of_tokens(llm):
 
 
 def test_blocks_of_few_documents(llm):
-    same(llm, TEXTS, alignment.Settings(documents=7, text_bytes=500, remembered=5, remembered_length=3), parts=2)
+    same(llm, TEXTS, alignment.Settings(documents=7, text_bytes=500, remembered=5, remembered_length=50), parts=2)
 
 
 def test_given_tables(llm, small):
