@@ -66,7 +66,7 @@ def stack(first: DataFrame, *others: DataFrame) -> DataFrame:
     return first
 
 
-def upsert_merge(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
+def upsert_merge(target: DataFrame, source: DataFrame, keys: Sequence[str], nullable: Sequence[str] = ()) -> DataFrame:
     """The target after update-all / insert-all: source rows win, other target rows stay."""
-    untouched = target.join(source.select(*keys), list(keys), "left_anti")
+    untouched = key_join(target, source.select(*keys), keys, "left_anti", nullable)
     return stack(untouched, source)

@@ -31,11 +31,11 @@ def history_table(spark: SparkSession, config: LakeConfig, kind: str) -> History
 
 def history_stream(
     spark: SparkSession, config: LakeConfig, kind: str, every: str | None = "60 seconds",
-    max_bytes: int | None = BATCH_BYTES, batch_time=clock, fold_every: int = 50,
+    max_bytes: int | None = BATCH_BYTES, batch_time=clock,
 ) -> StreamingQuery:
     plan = HISTORIES[kind]
     rows = plan.project(_bronze(spark, config, plan.source, max_bytes))
-    handler = history_handler(history_table(spark, config, kind), batch_time, fold_every)
+    handler = history_handler(history_table(spark, config, kind), batch_time)
     checkpoint = config.paths("silver", plan.table).checkpoint
     return batch_stream(rows, handler, checkpoint, every, name=f"silver_{plan.table}")
 

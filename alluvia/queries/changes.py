@@ -118,9 +118,8 @@ def upsert_into_table(spark, folder):
 
 @query("upsert_batches", UPSERT_SQL)
 def upsert_batches(spark, folder):
-    """The same upsert without rewriting the target, and once more after a fold."""
-    stored = UpsertTable(spark, shared_folder(spark, "upserts"), KEYS, partition_by=["o_orderpriority"])
-    stored.upsert(stored_orders(spark, folder), 0)
-    stored.fold()
-    stored.upsert(incoming_orders(spark, folder), 1)
+    """The same upsert into a table of key buckets, where it rewrites those of its keys."""
+    stored = UpsertTable(spark, shared_folder(spark, "upserts"), KEYS)
+    stored.upsert(stored_orders(spark, folder))
+    stored.upsert(incoming_orders(spark, folder))
     return shown(stored.read())

@@ -99,11 +99,24 @@ def scd2_insert(spark, folder):
 
 @query("scd2_incremental", PERIOD_SQL)
 def scd2_incremental(spark, folder):
-    """Period after period into a stored table, folding on the way."""
+    """Period after period into a stored table."""
     events = table(spark, folder, "events")
     stored = HistoryTable(spark, shared_folder(spark, "history"), USERS)
     for number in periods(events):
-        stored.apply(in_period(events, number), period_start(number), number)
-        if number == 2:
-            stored.fold()
+        stored.apply(in_period(events, number), period_start(number))
+    return stored.read().select(*SHOWN)
+
+
+@query("scd2_backfill", PERIOD_SQL)
+def scd2_backfill(spark, folder):
+    """The first half of the log rebuilt into the stored table in one pass, the periods after it applied batch by batch."""
+    events = table(spark, folder, "events")
+    numbers = periods(events)
+    half = len(numbers) // 2
+    number = F.floor(F.datediff("ts", F.expr(ORIGIN)) / PERIOD_DAYS)
+    log = events.withColumn("at", F.expr(ORIGIN) + F.make_dt_interval(days=(number * PERIOD_DAYS).cast("int")))
+    stored = HistoryTable(spark, shared_folder(spark, "backfill"), USERS)
+    stored.backfill(log, "at", period_start(half))
+    for later in numbers[half:]:
+        stored.apply(in_period(events, later), period_start(later))
     return stored.read().select(*SHOWN)

@@ -54,7 +54,7 @@ def scd2_stream(spark, folder):
     home = shared_folder(spark, "scd2")
     events = table(spark, folder, "events")
     stored = HistoryTable(spark, f"{home}/history", USERS)
-    handler = history_handler(stored, batch_time=lambda batch, number: period_start(number), fold_every=4)
+    handler = history_handler(stored, batch_time=lambda batch, number: period_start(number))
 
     def start():
         return batch_stream(stream_table(spark, f"{home}/in", events.schema), handler, f"{home}/checkpoint", every=None)

@@ -7,6 +7,7 @@ from __future__ import annotations
 
 from pyspark.sql import SparkSession
 
+
 def _path(spark: SparkSession, location: str):
     path = spark._jvm.org.apache.hadoop.fs.Path(location)
     return path, path.getFileSystem(spark._jsc.hadoopConfiguration())
@@ -21,6 +22,22 @@ def is_complete(spark: SparkSession, location: str) -> bool:
     return exists(spark, f"{location}/_SUCCESS")
 
 
+def matching(spark: SparkSession, pattern: str) -> list[str]:
+    """Files and directories that match a glob pattern."""
+    path, fs = _path(spark, pattern)
+    return [status.getPath().toString() for status in fs.globStatus(path) or []]
+
+
+def make(spark: SparkSession, location: str) -> None:
+    path, fs = _path(spark, location)
+    fs.mkdirs(path)
+
+
+def remove(spark: SparkSession, location: str) -> None:
+    path, fs = _path(spark, location)
+    fs.delete(path, True)
+
+
 def committed(spark: SparkSession, pattern: str) -> list[str]:
     """Committed directories that match a glob pattern."""
     path, fs = _path(spark, f"{pattern}/_SUCCESS")

@@ -1,144 +1,97 @@
-"""A stored type-2 table.
+"""A stored type-2 table, divided by buckets of its keys.
 
-A batch adds the versions it opens, nothing else: ``is_current`` and ``end_date`` of recently touched keys
-follow from the tail at read time, so there is no moment at which a key is closed but not reopened. A fold
-writes the rows that are current, and those it found closed, under
-``is_current=<true|false>/year=/month=/day=``; rows once folded as closed are never rewritten.
+Below its bucket a current row lies in ``closed_on=open``, a closed one under the day on which it was closed. A batch reads the current
+rows of the buckets that its keys fall into. Where it opens a version, the bucket's current rows and those closed on the same day are
+replaced; rows closed on earlier days are never read or written again.
 """
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from alluvia.operators.changes import HASH, change_detect, current_for_batch, stack
-from alluvia.operators.scd2 import HistorySpec, last_of_batch, stamp
-from alluvia.sinks.batchlog import BatchLog, State
+from alluvia.operators.changes import change_detect, stack
+from alluvia.operators.scd2 import HistorySpec, close_versions, last_of_batch, rebuild_history, stamp
+from alluvia.sinks.buckets import BUCKET, BucketTable
+from alluvia.sinks.folders import matching
 
+CLOSED_ON, OPEN = "closed_on", "open"
 
-class HistoryTable(BatchLog):
-    fold_partitions = ("is_current", "year", "month", "day")
 
-    def __init__(self, spark: SparkSession, path: str, spec: HistorySpec):
-        super().__init__(spark, path)
+def day_of(at: str) -> Column:
+    return F.date_format(at, "yyyy-MM-dd")
+
+
+class HistoryTable(BucketTable):
+    levels = (BUCKET, CLOSED_ON)
+
+    def __init__(self, spark: SparkSession, path: str, spec: HistorySpec, buckets: int = 16):
+        super().__init__(spark, path, spec.keys, buckets)
         self.spec = spec
         self._columns: T.StructType | None = None
 
-    # -- rows ----------------------------------------------------------------------------------
-
-    def _schema(self, place: str) -> T.StructType:
-        """The stored columns. They are the same in every file, so one look saves a job per later read."""
+    def reader(self):
+        """Every file has the same columns, so one look at one file saves a job per later read."""
         if self._columns is None:
-            found = self.spark.read.parquet(place).schema
-            kinds = {f.name: f.dataType for f in found.fields} | {"is_current": T.BooleanType()}
-            self._columns = T.StructType([T.StructField(name, kinds[name]) for name in self.spec.layout])
-        return self._columns
-
-    def read_tail(self, places: list[str]) -> DataFrame:
-        schema = T.StructType([*self._schema(places[0]).fields, T.StructField("seq", T.LongType())])
-        return self.spark.read.schema(schema).option("basePath", f"{self.path}/tail").parquet(*places)
-
-    def _folded(self, upto: int) -> DataFrame:
-        """Everything folded so far, with ``upto``; ``is_current`` and the dates prune directories."""
-        home = f"{self.path}/folded"
-        schema = T.StructType([*self._schema(f"{home}/upto={upto}").fields, T.StructField("upto", T.LongType())])
-        return self.spark.read.schema(schema).parquet(home).filter(F.col("upto") <= upto)
-
-    def _open(self, upto: int) -> DataFrame:
-        """The rows that were current at the last fold, one per key."""
-        rows = self._folded(upto).filter((F.col("upto") == upto) & F.col("is_current"))
-        return rows.withColumn("seq", F.col("upto"))
-
-    def _candidates(self, state: State, columns: list[str]) -> DataFrame:
-        """The rows current at the last fold and all versions since."""
-        tail = self.tail(state)
-        parts = [self._open(state.upto)] if state.upto else []
-        parts += [tail] if tail is not None else []
-        return stack(*[rows.select(*columns) for rows in parts])
-
-    def resolved(self, state: State) -> DataFrame:
-        """Those rows with their ends worked out.
-
-        The window holds one row per batch that changed the key since the last fold, so folding bounds it.
-        """
-        layout = self.spec.layout
-        rows = self._candidates(state, [*layout, "seq"])
-        if state.last == state.upto:
-            return rows.select(*layout)
-        versions = Window.partitionBy(*self.spec.keys).orderBy("seq")
-        return (
-            rows.withColumn("end_date", F.lead("effective_date").over(versions))
-            .withColumn("is_current", F.col("end_date").isNull())
-            .select(*layout)
-        )
-
-    def _stored_hashes(self, state: State, incoming: DataFrame) -> DataFrame:
-        """Current hash of each incoming key that is stored.
-
-        Only keys and hashes are read. They are cut down to the incoming keys first: a small batch is
-        broadcast, so the stored rows are filtered where they lie and only matches are shuffled.
-        """
-        keys = list(self.spec.keys)
-        rows = self._candidates(state, [*keys, HASH, "seq"])
-        matched = current_for_batch(rows, incoming, keys, unique=True, nullable=self.spec.nullable)
-        if state.last == state.upto:
-            return matched
-        return matched.groupBy(*keys).agg(F.max_by(HASH, "seq").alias(HASH))
+            kinds = {f.name: f for f in self.spark.read.parquet(self.rows if self._has_rows() else self.pending).schema.fields}
+            self._columns = T.StructType([kinds[name] for name in self.spec.layout])
+        directories = [T.StructField(BUCKET, T.IntegerType()), T.StructField(CLOSED_ON, T.StringType())]
+        return self.spark.read.schema(T.StructType([*self._columns.fields, *directories]))
+
+    def _has_rows(self) -> bool:
+        return bool(matching(self.spark, f"{self.rows}/{BUCKET}=*"))
 
     # -- write ---------------------------------------------------------------------------------
 
-    def apply(self, batch: DataFrame, batch_ts: datetime | Column, batch_id: int, writer_id: str = "batch") -> bool:
-        """Apply one micro-batch; False when this writer's batch was applied before (a replay)."""
-        state = self.state()
-        if self.was_applied(state, batch_id, writer_id):
-            return False
-        incoming = stamp(last_of_batch(batch, self.spec), self.spec, batch_ts)
-        if not state.last:
-            self.add(incoming, state, batch_id, writer_id)
-            return True
-        incoming.persist()
+    def _placed(self, rows: DataFrame) -> DataFrame:
+        return rows.withColumn(CLOSED_ON, F.when(F.col("is_current"), OPEN).otherwise(day_of("end_date")))
+
+    def apply(self, batch: DataFrame, batch_ts: datetime | Column) -> bool:
+        """Apply one micro-batch; False when it opened no version, as when it is applied again."""
+        self.settle()
+        incoming = self.with_bucket(stamp(last_of_batch(batch, self.spec), self.spec, batch_ts)).persist()
+        opened = incoming
         try:
-            stored = self._stored_hashes(state, incoming)
-            opened = change_detect(incoming, stored, self.spec.keys, kind=None, nullable=self.spec.nullable)
-            self.add(opened, state, batch_id, writer_id)
+            touched = [r[0] for r in incoming.select(BUCKET).distinct().collect()]  # at most one for each bucket
+            current = self.stored_in(touched, f"/{CLOSED_ON}={OPEN}") if touched else None
+            if current is not None:
+                opened = change_detect(incoming, current, self.keys, None, self.spec.nullable).persist()
+            days = {r.bucket: r.day for r in opened.groupBy(BUCKET).agg(F.max(day_of("effective_date")).alias("day")).collect()}
+            if not days:
+                return False
+            if current is None:
+                self.replace(self._placed(opened))
+                return True
+            kept = close_versions(current.filter(F.col(BUCKET).isin(*days)), opened, self.keys, self.spec.nullable)
+            changed = self._placed(stack(kept.drop(CLOSED_ON), opened))
+            same_day = self.stored_in(days, f"/{CLOSED_ON}={max(days.values())}")
+            self.replace(changed if same_day is None else stack(changed, same_day))
         finally:
             incoming.unpersist()
+            opened.unpersist()
         return True
 
+    def backfill(self, log: DataFrame, effective: str, until: datetime | Column, segment: Column | None = None) -> None:
+        """Begin the table with the history of all batches of a change log before ``until``; later batches go on from there."""
+        if self.exists():
+            raise ValueError(f"{self.path} has rows already")
+        at = until if isinstance(until, Column) else F.lit(until)
+        self.replace(self._placed(self.with_bucket(rebuild_history(log.filter(F.col(effective) < at), self.spec, effective, segment))))
+
     # -- read ----------------------------------------------------------------------------------
 
     def read(self) -> DataFrame:
         """Every version of every key."""
-        state = self.stored_state()
-        resolved = self.resolved(state)
-        if not state.upto:
-            return resolved
-        closed = self._folded(state.upto).filter(~F.col("is_current"))
-        return stack(closed.select(*self.spec.layout), resolved)
+        return self.stored().select(*self.spec.layout)
 
     def current(self) -> DataFrame:
-        """Current rows only; the closed history is not touched."""
-        return self.resolved(self.stored_state()).filter("is_current")
-
-    def view_sql(self) -> str:
-        """The same rows as ``read`` as a SELECT over the directories, for a view other sessions can query.
-
-        It names the fold it builds on and finds later batches by itself. Renew it after a fold: the window
-        stays small, and a view keeps reading the state it was made from.
-        """
-        upto = self.stored_state().upto
-        layout = ", ".join(f"`{c}`" for c in self.spec.layout)
-        kept = ", ".join(f"`{c}`" for c in self.spec.layout if c not in ("is_current", "end_date"))
-        keys = ", ".join(f"`{k}`" for k in self.spec.keys)
-        recent = f"SELECT {kept}, CAST(seq AS BIGINT) AS seq FROM parquet.`{self.path}/tail` WHERE seq > {upto}"
-        closed = ""
-        if upto:
-            folded = f"parquet.`{self.path}/folded`"
-            recent = f"SELECT {kept}, upto AS seq FROM {folded} WHERE upto = {upto} AND is_current = 'true' UNION ALL {recent}"
-            past = layout.replace("`is_current`", "false AS is_current")
-            closed = f" UNION ALL SELECT {past} FROM {folded} WHERE upto <= {upto} AND is_current = 'false'"
-        ended = f"SELECT *, lead(effective_date) OVER (PARTITION BY {keys} ORDER BY seq) AS end_date FROM ({recent})"
-        return f"SELECT {layout.replace('`is_current`', 'end_date IS NULL AS is_current')} FROM ({ended}){closed}"
+        """Current rows only; the directories of closed ones are pruned."""
+        return self.stored().filter(F.col(CLOSED_ON) == OPEN).select(*self.spec.layout)
+
+    def view_sql(self, columns: Sequence[str] = ()) -> str:
+        """The same rows as ``read`` as a SELECT over the directory, for a view other sessions can query; it needs no renewal."""
+        return f"SELECT {', '.join(f'`{c}`' for c in columns or self.spec.layout)} FROM parquet.`{self.rows}`"

@@ -1,41 +1,30 @@
-"""A stored table with update-all / insert-all semantics whose upserts never rewrite the target.
-
-An upsert adds its rows as a batch; reading lets the newest batch win per key. Folding rewrites the table
-once for many upserts.
-"""
+"""A stored table with update-all / insert-all semantics: an upsert rewrites the buckets of its keys and no other."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 
 from alluvia.operators.changes import upsert_merge
 from alluvia.operators.rows import latest_per_key
-from alluvia.sinks.batchlog import BatchLog, State
-
-
-class UpsertTable(BatchLog):
-    def __init__(self, spark: SparkSession, path: str, keys: Sequence[str], partition_by: Sequence[str] = ()):
-        super().__init__(spark, path)
-        self.keys = list(keys)
-        self.fold_partitions = tuple(partition_by)
-
-    def upsert(self, rows: DataFrame, batch_id: int, writer_id: str = "batch", order: Sequence[str] = ()) -> bool:
-        """Add one batch, its last row per key; False when this writer's batch was applied before."""
-        state = self.state()
-        if self.was_applied(state, batch_id, writer_id):
-            return False
-        self.add(latest_per_key(rows, self.keys, order), state, batch_id, writer_id)
+from alluvia.sinks.buckets import BUCKET, BucketTable
+
+
+class UpsertTable(BucketTable):
+    def upsert(self, rows: DataFrame, order: Sequence[str] = ()) -> bool:
+        """Add the last row per key; False when there was none. Doing it again changes nothing. NULL is a key like any other."""
+        self.settle()
+        source = self.with_bucket(latest_per_key(rows, self.keys, order)).persist()
+        try:
+            touched = [r[0] for r in source.select(BUCKET).distinct().collect()]  # at most one for each bucket
+            if not touched:
+                return False
+            stored = self.stored_in(touched)
+            self.replace(source if stored is None else upsert_merge(stored, source, self.keys, self.keys))
+        finally:
+            source.unpersist()
         return True
 
-    def resolved(self, state: State) -> DataFrame:
-        tail = self.tail(state)
-        base = self.spark.read.parquet(f"{self.path}/folded/upto={state.upto}") if state.upto else None
-        if tail is None:
-            return base
-        newest = latest_per_key(tail, self.keys, ["seq"], tie_break=False).drop("seq")
-        return newest if base is None else upsert_merge(base, newest, self.keys)
-
     def read(self) -> DataFrame:
-        return self.resolved(self.stored_state())
+        return self.stored().drop(BUCKET)

@@ -78,13 +78,11 @@ def clock(batch: DataFrame, batch_id: int) -> datetime:
     return datetime.now(timezone.utc)
 
 
-def history_handler(table: HistoryTable, batch_time=clock, fold_every: int = 50) -> BatchHandler:
-    """Apply micro-batches to a type-2 table; after every ``fold_every`` applied batches fold its tail."""
+def history_handler(table: HistoryTable, batch_time=clock) -> BatchHandler:
+    """Apply micro-batches to a type-2 table. A replayed batch finds its versions there and opens none."""
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        applied = table.apply(batch, batch_time(batch, batch_id), batch_id, stream_id(batch))
-        if applied and fold_every and (batch_id + 1) % fold_every == 0:
-            table.fold()
+        table.apply(batch, batch_time(batch, batch_id))
 
     return handle
 

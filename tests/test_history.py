@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from alluvia.operators import scd2
 from alluvia.operators.neighbours import with_neighbour
 from alluvia.sinks.history import HistoryTable
-from alluvia.sinks.folders import exists
+from alluvia.sinks.folders import exists, remove
 from alluvia.sinks.tables import COMMIT_MARKER
 
 SPEC = scd2.HistorySpec(keys=("id", "region"), tracked=("tier", "wins"), carried=("note",), order=("t",))
@@ -95,12 +95,10 @@ def applied(spark, batches):
     return history
 
 
-def stored(spark, path, batches, fold_after=()):
-    table = HistoryTable(spark, path, SPEC)
+def stored(spark, path, batches, buckets=3):
+    table = HistoryTable(spark, path, SPEC, buckets)
     for number, batch in enumerate(batches):
-        assert table.apply(spark.createDataFrame(batch, DDL), at(number), number)
-        if number in fold_after:
-            table.fold()
+        table.apply(spark.createDataFrame(batch, DDL), at(number))
     return table
 
 
@@ -110,7 +108,7 @@ def test_three_ways_agree(spark, here):
     assert facts(rebuilt) == wanted
     check_invariants(rebuilt)
     assert facts(applied(spark, BATCHES)) == wanted
-    table = stored(spark, f"{here}/h", BATCHES, fold_after=(1, 3))
+    table = stored(spark, f"{here}/h", BATCHES)
     assert facts(table.read()) == wanted
     assert facts(table.current()) == [r for r in wanted if r[-1]]
     check_invariants(table.read())
@@ -119,7 +117,7 @@ def test_three_ways_agree(spark, here):
 
 def test_hash_and_layout_agree_with_rebuild(spark, here):
     stable = ["id", "region", "hash_key", "surrogate_key", "effective_date", "year", "month", "day", "note"]
-    one = stored(spark, f"{here}/h", BATCHES, fold_after=(2,)).read().select(*stable)
+    one = stored(spark, f"{here}/h", BATCHES).read().select(*stable)
     two = scd2.rebuild_history(log_of(spark, BATCHES), SPEC, "at").select(*stable)
     assert one.exceptAll(two).count() == 0 and two.exceptAll(one).count() == 0
 
@@ -150,9 +148,7 @@ def test_optional_keys_treat_null_as_a_value(spark, here):
     table, history = HistoryTable(spark, f"{here}/h", spec), None
     for number, batch in enumerate(batches):
         df = spark.createDataFrame(batch, DDL)
-        table.apply(df, at(number), number)
-        if number == 1:
-            table.fold()
+        table.apply(df, at(number))
         history = (
             scd2.apply_batch(history, df, spec, at(number)) if history
             else scd2.stamp(scd2.last_of_batch(df, spec), spec, at(number))
@@ -181,73 +177,111 @@ def test_segments_split_a_hot_key(spark):
 def test_replay_changes_nothing(spark, here):
     table = stored(spark, f"{here}/h", BATCHES[:2])
     before = facts(table.read())
-    assert not table.apply(spark.createDataFrame(BATCHES[1], DDL), at(1), 1)
+    assert not table.apply(spark.createDataFrame(BATCHES[1], DDL), at(1))
+    assert not table.apply(spark.createDataFrame(BATCHES[1], DDL), at(6))
+    assert not table.apply(spark.createDataFrame([], DDL), at(7))
     assert facts(table.read()) == before
-    table.fold()
-    assert not table.apply(spark.createDataFrame(BATCHES[1], DDL), at(1), 1)
-    assert facts(table.read()) == before
-
 
-def test_a_new_writer_starts_its_own_numbers(spark, here):
-    table = stored(spark, f"{here}/h", BATCHES[:2])
-    assert table.apply(spark.createDataFrame([(1, "a", "new", 5, "n", 1)], DDL), at(7), 0, writer_id="other")
-    assert [r.tier for r in table.current().filter("id = 1 AND region = 'a'").collect()] == ["new"]
-    check_invariants(table.read())
 
-
-def test_a_batch_that_died_is_invisible_and_retried(spark, here):
+def places(spark, path):
+    """Files of a table with what they hold, by directory."""
+    rows = spark.read.parquet(f"{path}/rows").select("*", F.input_file_name().alias("file"))
+    found = {}
+    for r in rows.collect():
+        found.setdefault((r.bucket, str(r.closed_on)), set()).add(r.file)
+    return found
+
+
+def test_a_batch_touches_its_own_buckets_only(spark, here):
+    table = HistoryTable(spark, f"{here}/h", SPEC, 8)
+    table.apply(spark.createDataFrame([(n, "a", "x", 1, "n", 1) for n in range(80)], DDL), at(0))
+    before = places(spark, f"{here}/h")
+    assert len(before) == 8
+    bucket = table.read().transform(table.with_bucket).filter("id = 7").first().bucket
+    # The batch holds a second bucket's key too, as it was: read, but not replaced.
+    same = table.read().transform(table.with_bucket).filter(F.col("bucket") != bucket).first().id
+    assert table.apply(spark.createDataFrame([(7, "a", "y", 1, "n", 1), (same, "a", "x", 1, "n", 1)], DDL), at(30))
+    after = places(spark, f"{here}/h")
+    assert {k: v for k, v in after.items() if k[0] != bucket} == {k: v for k, v in before.items() if k[0] != bucket}
+    assert after[bucket, "open"] != before[bucket, "open"] and (bucket, "2024-01-02") in after
+    # A later day leaves the rows closed on the earlier one where they are.
+    assert table.apply(spark.createDataFrame([(7, "a", "z", 1, "n", 1)], DDL), at(60))
+    last = places(spark, f"{here}/h")
+    assert last[bucket, "2024-01-02"] == after[bucket, "2024-01-02"] and (bucket, "2024-01-03") in last
+    assert [(r.tier, r.is_current) for r in table.read().filter("id = 7").orderBy("effective_date").collect()] == [
+        ("x", False), ("y", False), ("z", True)]
+
+
+def test_a_change_that_was_written_is_finished(spark, here):
     table = stored(spark, f"{here}/h", BATCHES[:1])
-    before = facts(table.read())
-    # What a killed job leaves behind: files without the marker of a committed job.
-    unmarked = spark.createDataFrame(BATCHES[1], DDL).write.option(COMMIT_MARKER, "false")
-    unmarked.parquet(f"{here}/h/tail/seq=2/writer_id=batch/batch_id=1")
-    assert facts(table.read()) == before
-    assert table.apply(spark.createDataFrame(BATCHES[1], DDL), at(1), 1)
+    # A job that died between writing its change and copying it: the change is certain, and the next look finishes it.
+    table.settle, finish = lambda: None, table.settle
+    table.apply(spark.createDataFrame(BATCHES[1], DDL), at(1))
+    assert exists(spark, f"{here}/h/pending") and facts(table.read()) == by_hand(BATCHES[:1])
+    table.settle = finish
+    assert facts(HistoryTable(spark, f"{here}/h", SPEC).read()) == by_hand(BATCHES[:2])
+    assert not exists(spark, f"{here}/h/pending")
+    assert not table.apply(spark.createDataFrame(BATCHES[1], DDL), at(1))
+    # One that died while copying has lost a bucket of the table, not of the change.
+    table.settle = lambda: None
+    table.apply(spark.createDataFrame(BATCHES[3], DDL), at(3))
+    remove(spark, f"{here}/h/rows/bucket={table.read().transform(table.with_bucket).filter('id = 2').first().bucket}/closed_on=open")
+    table.settle = finish
+    assert facts(table.read()) == by_hand([*BATCHES[:2], [], BATCHES[3]])
+
+
+def test_a_change_without_a_marker_is_dropped(spark, here):
+    table = stored(spark, f"{here}/h", BATCHES[:1])
+    unmarked = table.read().transform(table.with_bucket).withColumn("closed_on", F.lit("open")).withColumn("tier", F.lit("?"))
+    unmarked.write.option(COMMIT_MARKER, "false").partitionBy("bucket", "closed_on").parquet(f"{here}/h/pending")
+    assert facts(table.read()) == by_hand(BATCHES[:1])
+    assert table.apply(spark.createDataFrame(BATCHES[1], DDL), at(1))
     assert facts(table.read()) == by_hand(BATCHES[:2])
 
 
+def test_a_table_keeps_its_number_of_buckets(spark, here):
+    stored(spark, f"{here}/h", BATCHES[:2], buckets=3)
+    again = HistoryTable(spark, f"{here}/h", SPEC, 50)
+    for number in (2, 3, 4):
+        again.apply(spark.createDataFrame(BATCHES[number], DDL), at(number))
+    assert again.buckets == 3 and facts(again.read()) == by_hand(BATCHES)
+
+
 def test_a_failing_batch_keeps_the_table(spark, here):
     table = stored(spark, f"{here}/h", BATCHES[:2])
     before = facts(table.read())
     broken = spark.createDataFrame(BATCHES[3], DDL).withColumn("wins", F.raise_error(F.lit("broken")).cast("int"))
     with pytest.raises(Exception, match="broken"):
-        table.apply(broken, at(2), 2)
+        table.apply(broken, at(2))
     assert facts(table.read()) == before
 
 
 def test_view_needs_no_renewal(spark, here):
     table = stored(spark, f"{here}/h", BATCHES[:2])
-    plain = table.view_sql()
-    table.fold()
-    folded = table.view_sql()
+    early = table.view_sql()
     for number in (2, 3, 4):
-        table.apply(spark.createDataFrame(BATCHES[number], DDL), at(number), number)
-    wanted = table.read()
-    for select in (plain, folded, table.view_sql()):
-        view = spark.sql(select)
-        assert view.columns == SPEC.layout
-        assert view.exceptAll(wanted).count() == 0 and wanted.exceptAll(view).count() == 0
-    table.fold()
-    assert facts(spark.sql(table.view_sql())) == facts(spark.sql(plain)) == by_hand(BATCHES)
-
-
-def test_untouched_rows_stay_where_they_are(spark, here):
-    table = stored(spark, f"{here}/h", BATCHES, fold_after=(3,))
-    folded = spark.read.parquet(f"{here}/h/folded/upto=4")
-    assert table.fold() == 5 and exists(spark, f"{here}/h/folded/upto=5")
-    assert spark.read.parquet(f"{here}/h/folded/upto=4").exceptAll(folded).count() == 0
-    assert table.fold() == 5
-    # Closed rows of the first fold are not written again by the second.
-    again = spark.read.parquet(f"{here}/h/folded/upto=5").filter("is_current = 'false'")
-    assert {r.effective_date for r in again.collect()} <= {at(n) for n in range(5)}
-    assert facts(table.read()) == by_hand(BATCHES)
+        table.apply(spark.createDataFrame(BATCHES[number], DDL), at(number))
+    view, wanted = spark.sql(early), table.read()
+    assert view.columns == SPEC.layout
+    assert view.exceptAll(wanted).count() == 0 and wanted.exceptAll(view).count() == 0
+    assert facts(spark.sql(early)) == by_hand(BATCHES)
+
+
+def test_backfill_then_batches(spark, here):
+    for cut in range(1, len(BATCHES) + 1):
+        table = HistoryTable(spark, f"{here}/h{cut}", SPEC, 3)
+        table.backfill(log_of(spark, BATCHES), "at", at(cut))
+        for number in range(cut, len(BATCHES)):
+            table.apply(spark.createDataFrame(BATCHES[number], DDL), at(number))
+        assert facts(table.read()) == by_hand(BATCHES)
+        with pytest.raises(ValueError):
+            table.backfill(log_of(spark, BATCHES), "at", at(cut))
 
 
 def test_current_rows_prune_closed_directories(spark, here):
-    table = stored(spark, f"{here}/h", BATCHES, fold_after=(1, 4))
+    table = stored(spark, f"{here}/h", BATCHES)
     text = table.current()._jdf.queryExecution().executedPlan().toString()
-    filters = text[text.index("PartitionFilters"):]
-    assert "upto" in filters and "is_current" in filters
+    assert "closed_on" in text[text.index("PartitionFilters"):].split("PushedFilters")[0]
 
 
 def test_missing_table(spark, here):
@@ -255,4 +289,3 @@ def test_missing_table(spark, here):
     assert not table.exists()
     with pytest.raises(FileNotFoundError):
         table.read()
-    assert table.fold() == 0

@@ -59,7 +59,7 @@ def test_history_stream_with_restart_and_forced_replay(spark, here):
     def batch_time(batch, number):
         return datetime(2024, 2, 1 + number)
 
-    handler = sinks.history_handler(table, batch_time, fold_every=2)
+    handler = sinks.history_handler(table, batch_time)
 
     def recorded(batch, number):
         calls.append((sinks.stream_id(batch), number))

@@ -50,20 +50,37 @@ def test_upsert_batches(spark, here):
         table.read()
     ddl = "id int, name string"
 
-    def put(rows, number):
-        return table.upsert(spark.createDataFrame(rows, ddl), number)
+    def put(rows, kind=ddl):
+        return table.upsert(spark.createDataFrame(rows, kind))
 
     def seen():
-        return sorted(map(tuple, table.read().collect()))
+        return sorted(map(tuple, table.read().collect()), key=str)
 
-    assert put([(1, "a"), (2, "b")], 0) and put([(2, "c"), (3, "d"), (3, "d")], 1)
+    assert put([(1, "a"), (2, "b")]) and put([(2, "c"), (3, "d"), (3, "d")])
     assert seen() == [(1, "a"), (2, "c"), (3, "d")]
-    assert not put([(2, "late")], 1)
-    assert table.fold() == 2 and seen() == [(1, "a"), (2, "c"), (3, "d")]
-    assert put([(1, "z"), (4, "e")], 2)
-    assert seen() == [(1, "z"), (2, "c"), (3, "d"), (4, "e")]
-    assert not put([(9, "replay")], 2) and put([(5, "f")], 3)
-    assert table.fold() == 4 and len(seen()) == 5
+    assert put([(2, "c")]) and seen() == [(1, "a"), (2, "c"), (3, "d")]
+    assert not put([])
+    assert put([(None, "x"), (4, "e")]) and put([(None, "y")])
+    assert seen() == [(1, "a"), (2, "c"), (3, "d"), (4, "e"), (None, "y")]
+    # A batch may have one more column.
+    assert put([(1, "z", True)], "id int, name string, more boolean")
+    assert ("1", "z", "True") in [tuple(map(str, r)) for r in table.read().select("id", "name", "more").collect()]
+    assert table.read().filter("more IS NULL").count() == 4
+
+
+def test_an_upsert_rewrites_its_own_buckets(spark, here):
+    table = UpsertTable(spark, f"{here}/u", ["id"], 8)
+    table.upsert(spark.range(100).withColumn("v", F.lit(0)))
+
+    def files():
+        rows = spark.read.parquet(f"{here}/u/rows").select("bucket", F.input_file_name().alias("file")).distinct().collect()
+        return {r.bucket: r.file for r in rows}
+
+    before = files()
+    table.upsert(spark.range(5, 6).withColumn("v", F.lit(1)))
+    after = files()
+    assert len(before) == 8 and sum(before[b] != after[b] for b in before) == 1
+    assert table.read().filter("v = 1").count() == 1 and table.read().count() == 100
 
 
 def test_uncommitted_batches_are_not_read(spark, here):
