@@ -10,7 +10,7 @@ from pyspark.sql.streaming import StreamingQuery
 from alluvia.config import LakeConfig
 from alluvia.functions.audit import with_audit
 from alluvia.operators.envelope import decode_messages
-from alluvia.plans.tables import MESSAGE_TABLES
+from alluvia.plans.tables import MESSAGE_TABLES, MessageTable
 from alluvia.sinks.catalog import ensure_database, register_table
 from alluvia.sinks.folders import exists
 from alluvia.streaming.lifecycle import run_together
@@ -20,15 +20,19 @@ from alluvia.streaming.sinks import append_stream
 Source = Callable[[str], DataFrame]
 
 
-def bronze_stream(config: LakeConfig, source: Source, kind: str, every: str | None = "30 seconds") -> StreamingQuery:
-    plan = MESSAGE_TABLES[kind]
+def bronze_stream(
+    config: LakeConfig, source: Source, kind: str, every: str | None = "30 seconds", plan: MessageTable | None = None
+) -> StreamingQuery:
+    """``plan`` stands in for the known table, as when its messages have come to hold more fields: a stream that is started again with
+    it goes on from its checkpoint, and earlier files have NULL there."""
+    plan = plan or MESSAGE_TABLES[kind]
     paths = config.paths("bronze", plan.table)
     rows = with_audit(decode_messages(source(plan.topic), plan.schema))
     return append_stream(rows, paths.data, paths.checkpoint, every, name=f"bronze_{plan.table}")
 
 
 def register_bronze(spark: SparkSession, config: LakeConfig) -> list[str]:
-    """Make every bronze message table that holds data known to the catalog; returns their names."""
+    """Make every bronze message table that holds data known to the catalog, with the columns of all its files; returns their names."""
     known = []
     for plan in MESSAGE_TABLES.values():
         paths = config.paths("bronze", plan.table)
@@ -42,5 +46,5 @@ def register_bronze(spark: SparkSession, config: LakeConfig) -> list[str]:
 def run_bronze(
     spark: SparkSession, config: LakeConfig, source: Source, kinds: Sequence[str] = ("match", "participant", "unit")
 ) -> None:
-    """All message streams in one session, until one of them ends."""
+    """All message streams in one session; the first that fails stops the others."""
     run_together(spark, [lambda kind=kind: bronze_stream(config, source, kind) for kind in kinds])

@@ -8,7 +8,7 @@ from pyspark.sql import SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from alluvia.config import LakeConfig, TablePaths
-from alluvia.plans.tables import APPENDS, HISTORIES, MESSAGE_TABLES
+from alluvia.plans.tables import APPENDS, HISTORIES, MESSAGE_TABLES, AppendPlan, HistoryPlan, MessageTable
 from alluvia.sinks.catalog import ensure_database, register_view
 from alluvia.sinks.history import HistoryTable
 from alluvia.sinks.tables import has_batches
@@ -19,34 +19,37 @@ from alluvia.streaming.sinks import append_handler, batch_stream, clock, history
 BATCH_BYTES = 50 * 1024 * 1024  # fixed value: bound on one micro-batch
 
 
-def _bronze(spark: SparkSession, config: LakeConfig, kind: str, max_bytes: int | None):
-    path = config.paths("bronze", MESSAGE_TABLES[kind].table).data
-    return stream_table(spark, path, max_bytes=max_bytes)
+def _bronze(spark: SparkSession, config: LakeConfig, kind: str, max_bytes: int | None, table: MessageTable | None = None):
+    """The bronze table as a stream. Its schema is known, so silver may start before bronze has written anything."""
+    table = table or MESSAGE_TABLES[kind]
+    return stream_table(spark, config.paths("bronze", table.table).data, table.stored, max_bytes=max_bytes)
 
 
-def history_table(spark: SparkSession, config: LakeConfig, kind: str) -> HistoryTable:
-    plan = HISTORIES[kind]
-    return HistoryTable(spark, config.paths("silver", plan.table).data, plan.spec)
+def history_table(spark: SparkSession, config: LakeConfig, kind: str, plan: HistoryPlan | None = None) -> HistoryTable:
+    plan = plan or HISTORIES[kind]
+    return HistoryTable(spark, config.paths("silver", plan.table).data, plan.spec, config.key_buckets)
 
 
 def history_stream(
     spark: SparkSession, config: LakeConfig, kind: str, every: str | None = "60 seconds",
-    max_bytes: int | None = BATCH_BYTES, batch_time=clock,
+    max_bytes: int | None = BATCH_BYTES, batch_time=clock, plan: HistoryPlan | None = None, bronze: MessageTable | None = None,
 ) -> StreamingQuery:
-    plan = HISTORIES[kind]
-    rows = plan.project(_bronze(spark, config, plan.source, max_bytes))
-    handler = history_handler(history_table(spark, config, kind), batch_time)
+    """``plan`` and ``bronze`` stand in for the known tables, as when both have come to hold more columns."""
+    plan = plan or HISTORIES[kind]
+    rows = plan.project(_bronze(spark, config, plan.source, max_bytes, bronze))
+    handler = history_handler(history_table(spark, config, kind, plan), batch_time)
     checkpoint = config.paths("silver", plan.table).checkpoint
     return batch_stream(rows, handler, checkpoint, every, name=f"silver_{plan.table}")
 
 
 def append_table_stream(
     spark: SparkSession, config: LakeConfig, kind: str, every: str | None = "60 seconds",
-    max_bytes: int | None = BATCH_BYTES, batch_time=clock, cross_batch: bool = False,
+    max_bytes: int | None = BATCH_BYTES, batch_time=clock, cross_batch: bool = False, plan: AppendPlan | None = None,
+    bronze: MessageTable | None = None,
 ) -> StreamingQuery:
-    plan = APPENDS[kind]
+    plan = plan or APPENDS[kind]
     paths = config.paths("silver", plan.table)
-    rows = _bronze(spark, config, plan.source, max_bytes)
+    rows = _bronze(spark, config, plan.source, max_bytes, bronze)
     handler = append_handler(
         paths.data, plan.keys, plan.columns, required=plan.required, batch_time=batch_time, cross_batch=cross_batch
     )

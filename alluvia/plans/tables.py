@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -22,6 +22,15 @@ class MessageTable:
     schema: T.StructType
     cluster_by: tuple[str, ...]
 
+    @property
+    def stored(self) -> T.StructType:
+        """The table's columns: envelope, payload, audit."""
+        return T.StructType([*schemas.MESSAGE_HEAD.fields, *self.schema.fields, *schemas.AUDIT.fields])
+
+    def with_fields(self, *more: T.StructField) -> MessageTable:
+        """The same table once its messages have more payload fields."""
+        return replace(self, schema=T.StructType([*self.schema.fields, *more]))
+
 
 MESSAGE_TABLES = {
     "match": MessageTable("tft_matches", "tft_match", schemas.MATCH, ("match_id", "gameId")),

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from alluvia.functions import row_hash
-from alluvia.operators import changes, rows
+from alluvia.operators import changes, rows, sketch
 from alluvia.queries.registry import query, table
 from alluvia.session import shared_folder
 from alluvia.sinks.tables import live_version, overwrite_table, upsert_table
@@ -88,14 +88,29 @@ def new_keys(spark, folder):
     return shown(changes.new_rows(incoming_orders(spark, folder), stored_orders(spark, folder), KEYS))
 
 
-@query("unseen_ids", """
+UNSEEN_SQL = """
     SELECT DISTINCT l_orderkey AS o_orderkey FROM lineitem
-    WHERE l_orderkey NOT IN (SELECT o_orderkey FROM orders WHERE o_orderdate < TIMESTAMP '2000-01-01')""")
+    WHERE l_orderkey NOT IN (SELECT o_orderkey FROM orders WHERE o_orderdate < TIMESTAMP '2000-01-01')"""
+
+
+@query("unseen_ids", UNSEEN_SQL)
 def unseen_ids(spark, folder):
     wanted = table(spark, folder, "lineitem").select(F.col("l_orderkey").alias("o_orderkey"))
     return rows.unseen_ids(wanted, stored_orders(spark, folder), ["o_orderkey"])
 
 
+@query("unseen_ids_sketched", UNSEEN_SQL)
+def unseen_ids_sketched(spark, folder):
+    """The same ids by way of a Bloom sketch of the stored ones, merged from the sketches of two deliveries."""
+    key = ["o_orderkey"]
+    wanted = table(spark, folder, "lineitem").select(F.col("l_orderkey").alias("o_orderkey"))
+    stored = stored_orders(spark, folder).select(*key, "o_orderstatus")
+    shape = sketch.Shape.for_keys(stored.count())
+    done = F.col("o_orderstatus") == "F"
+    built = sketch.merged(*(sketch.sketch(part, key, shape) for part in rows.routed(stored, done)))
+    return sketch.unseen_by_sketch(wanted, stored, key, built, shape)
+
+
 UPSERT_SQL = f"""
     WITH {ORDERS_SQL}
     SELECT * FROM shown_incoming UNION ALL
@@ -119,7 +134,7 @@ def upsert_into_table(spark, folder):
 @query("upsert_batches", UPSERT_SQL)
 def upsert_batches(spark, folder):
     """The same upsert into a table of key buckets, where it rewrites those of its keys."""
-    stored = UpsertTable(spark, shared_folder(spark, "upserts"), KEYS)
+    stored = UpsertTable(spark, shared_folder(spark, "upserts"), KEYS, 4)
     stored.upsert(stored_orders(spark, folder))
     stored.upsert(incoming_orders(spark, folder))
     return shown(stored.read())

@@ -12,6 +12,7 @@ from alluvia.sinks.history import HistoryTable
 USERS = scd2.HistorySpec(keys=("user_id",), tracked=("event_type",), carried=("event_id",), order=("ts", "event_id"))
 ORIGIN = "TIMESTAMP_NTZ '2024-01-01 00:00:00'"
 PERIOD_DAYS = 5
+BUCKETS = 4
 
 SHOWN = [
     "user_id", "event_type", "is_current", "effective_date", "end_date", "hash_key", "event_id", "processed_ts",
@@ -101,7 +102,7 @@ def scd2_insert(spark, folder):
 def scd2_incremental(spark, folder):
     """Period after period into a stored table."""
     events = table(spark, folder, "events")
-    stored = HistoryTable(spark, shared_folder(spark, "history"), USERS)
+    stored = HistoryTable(spark, shared_folder(spark, "history"), USERS, BUCKETS)
     for number in periods(events):
         stored.apply(in_period(events, number), period_start(number))
     return stored.read().select(*SHOWN)
@@ -115,7 +116,7 @@ def scd2_backfill(spark, folder):
     half = len(numbers) // 2
     number = F.floor(F.datediff("ts", F.expr(ORIGIN)) / PERIOD_DAYS)
     log = events.withColumn("at", F.expr(ORIGIN) + F.make_dt_interval(days=(number * PERIOD_DAYS).cast("int")))
-    stored = HistoryTable(spark, shared_folder(spark, "backfill"), USERS)
+    stored = HistoryTable(spark, shared_folder(spark, "backfill"), USERS, BUCKETS)
     stored.backfill(log, "at", period_start(half))
     for later in numbers[half:]:
         stored.apply(in_period(events, later), period_start(later))

@@ -19,6 +19,7 @@ from alluvia.sinks.messages import write_message_files
 from alluvia.sinks.tables import load_appended
 from alluvia.sources.streams import stream_messages
 
+BUCKETS = 4  # the game tables are small
 FIRST, SECOND = "TIMESTAMP_NTZ '2024-02-01 00:00:00'", "TIMESTAMP_NTZ '2024-02-02 00:00:00'"
 
 
@@ -28,7 +29,7 @@ class Delivery:
     def __init__(self, spark):
         self.spark = spark
         self.home = shared_folder(spark, "lake")
-        self.config = LakeConfig(f"{self.home}/lake")
+        self.config = LakeConfig(f"{self.home}/lake", key_buckets=BUCKETS)
 
     def messages(self, topic):
         return stream_messages(self.spark, f"{self.home}/messages/{topic}")

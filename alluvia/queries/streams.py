@@ -3,16 +3,20 @@
 from __future__ import annotations
 
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from alluvia.operators.envelope import decode_messages, to_messages
-from alluvia.queries.history import PERIOD_SQL, SHOWN, USERS, in_period, period_start, periods
+from alluvia.queries.history import BUCKETS, ORIGIN, PERIOD_SQL, SHOWN, USERS, in_period, period_start, periods
 from alluvia.queries.registry import query, table
 from alluvia.session import shared_folder
+from alluvia.sinks import catalog
 from alluvia.sinks.history import HistoryTable
 from alluvia.sinks.messages import write_message_files
 from alluvia.sinks.tables import load_appended
 from alluvia.sources.streams import stream_messages, stream_table
+from alluvia.streaming.metrics import BatchMetrics, observed
 from alluvia.streaming.sinks import append_handler, append_stream, batch_stream, history_handler
+from alluvia.streaming.state import dedup_within
 
 
 @query("stream_file_source", "SELECT event_id, ts, user_id, event_type, value FROM events")
@@ -53,7 +57,7 @@ def staged_runs(events, home, start):
 def scd2_stream(spark, folder):
     home = shared_folder(spark, "scd2")
     events = table(spark, folder, "events")
-    stored = HistoryTable(spark, f"{home}/history", USERS)
+    stored = HistoryTable(spark, f"{home}/history", USERS, BUCKETS)
     handler = history_handler(stored, batch_time=lambda batch, number: period_start(number))
 
     def start():
@@ -83,3 +87,59 @@ def partitioned_append(spark, folder):
 
     staged_runs(events, home, start)
     return load_appended(spark, f"{home}/out").drop("processed_ts")
+
+
+HALF = "TIMESTAMP_NTZ '2024-01-16 00:00:00'"
+
+
+@query("schema_evolution", """
+    SELECT CAST(event_id AS VARCHAR) AS message_key, user_id, event_type,
+           CASE WHEN ts >= TIMESTAMP '2024-01-16' THEN value END AS value FROM events""")
+def schema_evolution(spark, folder):
+    """Messages that come to hold one more field: the stream goes on from its checkpoint, the registered table gets the column."""
+    home, name = shared_folder(spark, "evolution"), "alluvia_check.evolving_events"
+    events = table(spark, folder, "events")
+    old = T.StructType([f for f in events.schema.fields if f.name in ("user_id", "event_type")])
+    new = T.StructType([*old.fields, events.schema["value"]])
+    catalog.ensure_database(spark, "alluvia_check")
+    for payload, part in ((old, events.filter(F.col("ts") < F.expr(HALF))), (new, events.filter(F.col("ts") >= F.expr(HALF)))):
+        write_message_files(to_messages(part.select(*payload.names, "event_id"), F.col("event_id").cast("string"), F.current_timestamp(),
+                                        payload.names), f"{home}/in")
+        decoded = decode_messages(stream_messages(spark, f"{home}/in"), payload)
+        append_stream(decoded, f"{home}/bronze", f"{home}/checkpoint", every=None).awaitTermination()
+        catalog.register_table(spark, name, f"{home}/bronze")
+    return spark.table(name).select("message_key", *new.names)
+
+
+@query("stream_dedup_watermark", "SELECT event_id, ts, user_id, event_type, value FROM events")
+def stream_dedup_watermark(spark, folder):
+    """Three deliveries of ten days. Each repeats a third of its own rows and a third of the rows before it, and the stream is started
+    again for each; ids are forgotten after thirty days of event time."""
+    home = shared_folder(spark, "watermark")
+    events = table(spark, folder, "events").select("event_id", F.col("ts").cast("timestamp").alias("ts"), "user_id", "event_type", "value")
+    decade = F.least(F.floor(F.datediff("ts", F.expr(ORIGIN)) / 10), F.lit(2))
+    for number in range(3):
+        fresh = events.filter(decade == number)
+        again = events.filter((decade.between(number - 1, number)) & (F.col("event_id") % 3 == number))
+        fresh.unionByName(again).write.mode("append").parquet(f"{home}/in")
+        rows = dedup_within(stream_table(spark, f"{home}/in", events.schema), ["event_id"], "ts", "30 days")
+        append_stream(rows, f"{home}/out", f"{home}/checkpoint", every=None).awaitTermination()
+    return spark.read.parquet(f"{home}/out").withColumn("ts", F.col("ts").cast("timestamp_ntz"))
+
+
+@query("stream_metrics", """
+    SELECT date_diff('day', TIMESTAMP '2024-01-01', ts) // 5 AS batch_id, count(*) AS "rows", count(*) AS input_rows,
+           count(*) FILTER (WHERE event_type = 'purchase') AS purchases, CAST(max(event_id) AS BIGINT) AS last_event
+    FROM events GROUP BY ALL""")
+def stream_metrics(spark, folder):
+    """One row for each micro-batch, told by the running query to a listener while it writes the batch; nothing is read twice."""
+    home = shared_folder(spark, "metrics")
+    events = table(spark, folder, "events")
+    figures = {"purchases": F.count_if(F.col("event_type") == "purchase"), "last_event": F.max(F.col("event_id").cast("long"))}
+    kinds = T.StructType([T.StructField(n, T.LongType()) for n in figures])
+    with BatchMetrics(spark, "batches", f"{home}/metrics", kinds) as metrics:
+        for number in periods(events):
+            in_period(events, number).coalesce(1).write.mode("append").parquet(f"{home}/in")
+            rows = observed(stream_table(spark, f"{home}/in", events.schema), "batches", figures)
+            metrics.wait(append_stream(rows, f"{home}/out", f"{home}/checkpoint", every=None, name="events"))
+    return metrics.read().select("batch_id", "rows", "input_rows", *figures)

@@ -18,6 +18,8 @@ def many(kind: T.DataType) -> T.ArrayType:
 
 
 ENVELOPE = record((STRING, "key value"), (TIMESTAMP, "timestamp"))
+MESSAGE_HEAD = record((STRING, "message_key"), (TIMESTAMP, "kafka_timestamp"))
+AUDIT = record((TIMESTAMP, "processed_ts"), (INT, "year month day"))
 
 MATCH = record(
     (STRING, "match_id"), (LONG, "gameId"), (DOUBLE, "game_datetime game_length"),

@@ -17,6 +17,7 @@ from collections.abc import Iterable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from alluvia.sinks.folders import is_complete, make, matching, remove
 from alluvia.sinks.tables import write_new
@@ -73,13 +74,14 @@ class BucketTable:
         if not matching(self.spark, f"{self.path}/buckets=*"):
             make(self.spark, f"{self.path}/buckets={self.buckets}")
         write_new(rows, self.pending, self.levels)
-        self.settle()
+        self.settle(rows.schema)
 
-    def settle(self) -> None:
+    def settle(self, columns: T.StructType | None = None) -> None:
         """Finish a change that had been written when a job died; does nothing otherwise."""
         if not is_complete(self.spark, self.pending):
             return
         # Each file of a change lies in one directory, so copying needs no shuffle.
-        change = self.reader().parquet(self.pending)
+        reader = self.spark.read if columns is None else self.spark.read.schema(columns)
+        change = reader.parquet(self.pending)
         change.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*self.levels).parquet(self.rows)
         remove(self.spark, self.pending)

@@ -35,12 +35,19 @@ class HistoryTable(BucketTable):
         self._columns: T.StructType | None = None
 
     def reader(self):
-        """Every file has the same columns, so one look at one file saves a job per later read."""
+        """Files have the same columns unless the history's have changed, so one look at one of them usually does for all reads."""
         if self._columns is None:
-            kinds = {f.name: f for f in self.spark.read.parquet(self.rows if self._has_rows() else self.pending).schema.fields}
-            self._columns = T.StructType([kinds[name] for name in self.spec.layout])
+            place = self.rows if self._has_rows() else self.pending
+            for merge in ("false", "true"):
+                kinds = {f.name: f for f in self.spark.read.option("mergeSchema", merge).parquet(place).schema.fields}
+                self._columns = T.StructType([kinds[name] for name in self.spec.layout if name in kinds])
+                if len(self._columns) == len(self.spec.layout):
+                    break
         directories = [T.StructField(BUCKET, T.IntegerType()), T.StructField(CLOSED_ON, T.StringType())]
-        return self.spark.read.schema(T.StructType([*self._columns.fields, *directories]))
+        columns = self._columns
+        if len(columns) < len(self.spec.layout):  # not stored yet, the next change may bring them
+            self._columns = None
+        return self.spark.read.schema(T.StructType([*columns.fields, *directories]))
 
     def _has_rows(self) -> bool:
         return bool(matching(self.spark, f"{self.rows}/{BUCKET}=*"))
@@ -56,8 +63,10 @@ class HistoryTable(BucketTable):
         incoming = self.with_bucket(stamp(last_of_batch(batch, self.spec), self.spec, batch_ts)).persist()
         opened = incoming
         try:
-            touched = [r[0] for r in incoming.select(BUCKET).distinct().collect()]  # at most one for each bucket
-            current = self.stored_in(touched, f"/{CLOSED_ON}={OPEN}") if touched else None
+            current = None
+            if self.exists():
+                touched = [r[0] for r in incoming.select(BUCKET).distinct().collect()]  # at most one for each bucket
+                current = self.stored_in(touched, f"/{CLOSED_ON}={OPEN}") if touched else None
             if current is not None:
                 opened = change_detect(incoming, current, self.keys, None, self.spec.nullable).persist()
             days = {r.bucket: r.day for r in opened.groupBy(BUCKET).agg(F.max(day_of("effective_date")).alias("day")).collect()}
@@ -86,12 +95,15 @@ class HistoryTable(BucketTable):
 
     def read(self) -> DataFrame:
         """Every version of every key."""
-        return self.stored().select(*self.spec.layout)
+        return self._shown(self.stored())
+
+    def _shown(self, rows: DataFrame) -> DataFrame:
+        return rows.select(*[c for c in self.spec.layout if c in rows.columns])
 
     def current(self) -> DataFrame:
         """Current rows only; the directories of closed ones are pruned."""
-        return self.stored().filter(F.col(CLOSED_ON) == OPEN).select(*self.spec.layout)
+        return self._shown(self.stored().filter(F.col(CLOSED_ON) == OPEN))
 
     def view_sql(self, columns: Sequence[str] = ()) -> str:
         """The same rows as ``read`` as a SELECT over the directory, for a view other sessions can query; it needs no renewal."""
-        return f"SELECT {', '.join(f'`{c}`' for c in columns or self.spec.layout)} FROM parquet.`{self.rows}`"
+        return f"SELECT {', '.join(f'`{c}`' for c in columns or self.read().columns)} FROM parquet.`{self.rows}`"

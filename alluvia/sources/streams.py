@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from alluvia.schemas import ENVELOPE
+from alluvia.sinks.folders import make
+from alluvia.sources.files import read_table
 
 
 def topic_options(topic: str, broker: Mapping[str, str]) -> dict[str, str]:
@@ -39,9 +41,13 @@ def stream_table(
     """A growing parquet directory as a stream, with a bound on each micro-batch.
 
     Only newly added files are read: files rewritten or removed upstream are ignored, so the stream
-    tolerates upstream changes without extra switches.
+    tolerates upstream changes without extra switches. With a schema, the directory need not hold anything yet, and columns that a
+    file lacks are NULL; without one, the schemas of all files there are merged.
     """
-    schema = schema or spark.read.parquet(path).schema
+    if schema is None:
+        schema = read_table(spark, path, evolve=True).schema
+    else:
+        make(spark, path)
     return _bounded(spark.readStream.schema(schema), max_files, max_bytes).parquet(path)
 
 

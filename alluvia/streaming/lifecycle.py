@@ -90,12 +90,12 @@ def watch(
 
 
 def run_together(spark: SparkSession, starters: Iterable[Callable[[], StreamingQuery]]) -> None:
-    """Start all queries, and stop all as soon as one ends or fails."""
+    """Start all queries and wait until all have ended; the first failure stops the others and is raised."""
     with StopOnSignal() as guard:
-        for start in starters:
-            guard.add(start())
         try:
-            spark.streams.awaitAnyTermination()
+            for start in starters:
+                guard.add(start())
+            watch(spark, guard.queries)
         finally:
             stop_all(guard.queries)
 

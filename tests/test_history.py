@@ -215,7 +215,7 @@ def test_a_batch_touches_its_own_buckets_only(spark, here):
 def test_a_change_that_was_written_is_finished(spark, here):
     table = stored(spark, f"{here}/h", BATCHES[:1])
     # A job that died between writing its change and copying it: the change is certain, and the next look finishes it.
-    table.settle, finish = lambda: None, table.settle
+    table.settle, finish = lambda *_: None, table.settle
     table.apply(spark.createDataFrame(BATCHES[1], DDL), at(1))
     assert exists(spark, f"{here}/h/pending") and facts(table.read()) == by_hand(BATCHES[:1])
     table.settle = finish
@@ -223,7 +223,7 @@ def test_a_change_that_was_written_is_finished(spark, here):
     assert not exists(spark, f"{here}/h/pending")
     assert not table.apply(spark.createDataFrame(BATCHES[1], DDL), at(1))
     # One that died while copying has lost a bucket of the table, not of the change.
-    table.settle = lambda: None
+    table.settle = lambda *_: None
     table.apply(spark.createDataFrame(BATCHES[3], DDL), at(3))
     remove(spark, f"{here}/h/rows/bucket={table.read().transform(table.with_bucket).filter('id = 2').first().bucket}/closed_on=open")
     table.settle = finish

@@ -1,14 +1,16 @@
 """Whole jobs on small inputs."""
 
 import json
+from dataclasses import replace
 from datetime import datetime
 
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from alluvia.config import LakeConfig
 from alluvia.operators import nested
 from alluvia.plans import bronze, demo, dimensions, ingest, maintenance, silver
-from alluvia.plans.tables import DIMENSIONS, HISTORIES, MESSAGE_TABLES
+from alluvia.plans.tables import APPENDS, DIMENSIONS, HISTORIES, MESSAGE_TABLES
 from alluvia.sinks.messages import write_message_files
 from alluvia.sinks.tables import load_appended
 from alluvia.sources.streams import stream_messages
@@ -157,3 +159,52 @@ def test_optimize_bronze(spark, here):
         spark, lake.paths("bronze", "tft_matches").data, f"{here}/compacted"
     )
     assert report.first().files_saved == 11
+
+
+def test_silver_starts_before_bronze(spark, here):
+    lake = LakeConfig(f"{here}/lake")
+    silver.run_silver(spark, lake, ["match", "participant", "unit"], together=False)
+    assert not silver.history_table(spark, lake, "match").exists()
+    send(spark, here, MATCH_BODIES)
+    catch_up(spark, here, lake)
+    assert silver.history_table(spark, lake, "match").current().count() == 3
+
+
+def test_a_payload_with_one_more_field(spark, here):
+    """Bronze, the catalog, silver histories and silver appends see NULL before and values after."""
+    lake = LakeConfig(f"{here}/lake", databases={"bronze": "t_evolve", "silver": "t_evolve_silver"})
+    level = T.StructField("server", T.StringType())
+    histories = HISTORIES["match"]
+    wide = replace(histories, spec=replace(histories.spec, carried=("server",)))
+    players = replace(APPENDS["participant"], columns=(*APPENDS["participant"].columns, "server"))
+
+    def deliver(topic_of, body, plan=None):
+        rows = spark.createDataFrame([(json.loads(body).get("gameId"), body)], "id int, value string")
+        messages = rows.select(F.col("id").cast("string").alias("key"), "value", F.current_timestamp().alias("timestamp"))
+        write_message_files(messages, f"{here}/messages/{MESSAGE_TABLES[topic_of].topic}")
+        source = lambda topic: stream_messages(spark, f"{here}/messages/{topic}")
+        bronze.bronze_stream(lake, source, topic_of, None, plan).awaitTermination()
+
+    for kind, body in (("match", {"gameId": 1, "game_length": 5.0}), ("participant", {"gameId": 1, "puuid": "p"})):
+        deliver(kind, json.dumps(body))
+    silver.history_stream(spark, lake, "match", None).awaitTermination()
+    silver.append_table_stream(spark, lake, "participant", None).awaitTermination()
+    assert bronze.register_bronze(spark, lake)
+    assert "server" not in spark.table("t_evolve.tft_matches").columns
+
+    tables = {kind: MESSAGE_TABLES[kind].with_fields(level) for kind in ("match", "participant")}
+    deliver("match", json.dumps({"gameId": 2, "game_length": 5.0, "server": "eu"}), tables["match"])
+    deliver("match", json.dumps({"gameId": 1, "game_length": 6.0, "server": "us"}), tables["match"])
+    deliver("participant", json.dumps({"gameId": 2, "puuid": "p", "server": "eu"}), tables["participant"])
+    silver.history_stream(spark, lake, "match", None, plan=wide, bronze=tables["match"]).awaitTermination()
+    silver.append_table_stream(spark, lake, "participant", None, plan=players, bronze=tables["participant"]).awaitTermination()
+
+    bronze.register_bronze(spark, lake)
+    for rows in (spark.table("t_evolve.tft_matches"), spark.read.option("mergeSchema", "true").parquet(lake.paths("bronze", "tft_matches").data)):
+        assert sorted((r.gameId, r.game_length, r.server) for r in rows.collect()) == [(1, 5.0, None), (1, 6.0, "us"), (2, 5.0, "eu")]
+    history = silver.history_table(spark, lake, "match", wide)
+    got = sorted((r.gameId, r.game_length, r.server, r.is_current) for r in history.read().collect())
+    assert got == [(1, 5.0, None, False), (1, 6.0, "us", True), (2, 5.0, "eu", True)]
+    assert silver.register_silver(spark, lake)
+    appended = load_appended(spark, lake.paths("silver", "tft_match_participants").data, evolve=True)
+    assert sorted((r.gameId, r.server or "") for r in appended.collect()) == [(1, ""), (2, "eu")]

@@ -1,5 +1,6 @@
 import os
 import signal
+import time
 from datetime import datetime
 
 import pytest
@@ -10,6 +11,8 @@ from alluvia.sinks.history import HistoryTable
 from alluvia.sinks.tables import load_appended
 from alluvia.sources.streams import read_rate_events, stream_table
 from alluvia.streaming import lifecycle, sinks
+from alluvia.streaming.metrics import BatchMetrics, observed
+from alluvia.streaming.state import dedup_within
 
 DDL = "k int, v string, kafka_timestamp timestamp"
 SPEC = HistorySpec(keys=("k",), tracked=("v",), order=("kafka_timestamp",))
@@ -201,3 +204,46 @@ def test_in_turn(spark, here):
 
     lifecycle.run_in_turn([starter("x"), starter("y")])
     assert order == ["x", "y"] and spark.read.parquet(f"{here}/y").count() == 1
+
+
+def test_streams_run_together_in_a_session_that_had_streams(spark, here):
+    feed(spark, f"{here}/in", [(1, "a")])
+    sinks.append_stream(source(spark, here), f"{here}/before", f"{here}/c_before", None).awaitTermination()
+    began, slow = time.time(), []
+
+    def pause(batch, number):
+        time.sleep(3)
+        slow.append(number)
+
+    lifecycle.run_together(spark, [
+        lambda: sinks.batch_stream(source(spark, here), pause, f"{here}/c_slow", None),
+        lambda: sinks.append_stream(source(spark, here), f"{here}/quick", f"{here}/c_quick", None)])
+    assert slow == [0] and time.time() - began >= 3
+    assert spark.read.parquet(f"{here}/quick").count() == 1
+
+
+def test_state_is_forgotten_after_the_delay(spark, here):
+    ddl = "k int, at timestamp"
+
+    def deliver(*rows):
+        spark.createDataFrame([(k, datetime(2024, 1, day)) for k, day in rows], ddl).coalesce(1).write.mode("append").parquet(f"{here}/in")
+        stream = stream_table(spark, f"{here}/in", spark.createDataFrame([], ddl).schema)
+        sinks.append_stream(dedup_within(stream, ["k"], "at", "5 days"), f"{here}/out", f"{here}/c", None).awaitTermination()
+        return sorted((r.k or 0, r["at"].day) for r in spark.read.parquet(f"{here}/out").collect())
+
+    assert deliver((1, 1), (1, 1), (None, 1), (None, 1)) == [(0, 1), (1, 1)]
+    assert deliver((1, 2), (2, 3)) == [(0, 1), (1, 1), (2, 3)]  # known after the restart
+    assert deliver((3, 20), (1, 4)) == [(0, 1), (1, 1), (2, 3), (3, 20)]
+    assert deliver((4, 2), (1, 21)) == [(0, 1), (1, 1), (1, 21), (2, 3), (3, 20)]  # too old; forgotten, so it counts anew
+
+
+def test_metrics_are_rows_of_a_table(spark, here):
+    kinds = spark.createDataFrame([], "least int").schema
+    with BatchMetrics(spark, "seen", f"{here}/m", kinds) as metrics:
+        for rows in ([(5, "a"), (3, "b")], [(7, "c")], []):
+            feed(spark, f"{here}/in", rows)
+            stream = observed(source(spark, here), "seen", {"least": F.min("k")})
+            assert metrics.wait(sinks.append_stream(stream, f"{here}/out", f"{here}/c", None, name="n"))
+        assert metrics.flush() >= 2 and metrics.flush() == 0
+    got = {r.batch_id: (r.query, r.rows, r.least) for r in metrics.read().collect()}
+    assert got[0] == ("n", 2, 3) and got[1] == ("n", 1, 7)

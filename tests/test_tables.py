@@ -236,3 +236,31 @@ def test_z_value_interleaves(spark):
         assert r.z == wanted
     with pytest.raises(ValueError):
         layout.zorder(df, ["a", "b"], 2, bits=40)
+
+
+def test_a_registered_table_is_never_missing(spark, here):
+    """Columns come, the location moves and partitions follow, while the entry stays; only a changed type makes it anew."""
+    catalog.ensure_database(spark, "t_gap")
+    name, made = "t_gap.parts", []
+    kept = spark.sql
+
+    def watched(text, *rest, **more):
+        made.append(text.split(" ", 1)[0])
+        return kept(text, *rest, **more)
+
+    def version(n, rows, ddl, *parts):
+        spark.createDataFrame(rows, ddl).write.partitionBy(*parts).parquet(f"{here}/v{n}")
+        catalog.register_table(spark, name, f"{here}/v{n}")
+        return sorted((tuple(r) for r in spark.table(name).collect()), key=str)
+
+    ddl = "k int, p string, q int"
+    assert version(1, [(1, "a b", 1), (2, "c", 1), (3, None, 2)], ddl, "p", "q") == [(1, "a b", 1), (2, "c", 1), (3, None, 2)]
+    spark.sql = watched
+    try:
+        assert version(2, [(4, "a b", 1), (5, "d'/", 1), (6, None, 2)], ddl, "p", "q") == [(4, "a b", 1), (5, "d'/", 1), (6, None, 2)]
+        assert "DROP" not in made and "CREATE" not in made
+        wider = version(3, [(7, "a b", 1, 9)], "k int, p string, q int, more int", "p", "q")
+        assert "DROP" not in made and wider == [(7, 9, "a b", 1)]
+    finally:
+        del spark.sql
+    assert version(4, [("x", "a b", 1)], "k string, p string, q int", "p", "q") == [("x", "a b", 1)]
