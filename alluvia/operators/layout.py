@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -14,26 +16,54 @@ TARGET_BYTES = 256 * MEGABYTE
 MOST_BITS = 8  # fixed value: a rank is a CASE tree of up to 2**bits - 1 comparisons, which code generation must bear
 
 
-def table_stats(spark: SparkSession, location: str) -> DataFrame:
-    """Number of data files and their size in bytes, MB and GB.
+class Listing(NamedTuple):
+    files: int
+    bytes: int
 
-    Lists files as rows; the ``content`` column is pruned, so no file is opened.
-    """
-    files = (
-        spark.read.format("binaryFile")
-        .option("recursiveFileLookup", "true")
-        .option("pathGlobFilter", "*.parquet")
-        .load(location)
-    )
-    size = F.coalesce(F.sum("length"), F.lit(0))
-    return files.agg(
-        F.count("path").alias("num_files"),
+
+def listing(spark: SparkSession, location: str) -> Listing:
+    """Data files of a table as Spark's file index lists them for a scan; no job runs and no file is opened."""
+    try:
+        rows = spark.read.schema("none int").option("pathGlobFilter", "*.parquet").parquet(location)
+    except AnalysisException as problem:
+        if problem.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return Listing(0, 0)
+    count = len(rows._jdf.inputFiles())
+    return Listing(count, int(str(rows._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())) if count else 0)
+
+
+def table_stats(spark: SparkSession, location: str) -> DataFrame:
+    """Number of data files and their size in bytes, MB and GB, from the listing."""
+    files, size = (F.lit(n).cast("long") for n in listing(spark, location))
+    return spark.range(1).select(
+        files.alias("num_files"),
         size.alias("size_in_bytes"),
         F.round(size / MEGABYTE, 2).alias("size_in_mb"),
         F.round(size / (1024 * MEGABYTE), 2).alias("size_in_gb"),
     )
 
 
+def file_sizes(spark: SparkSession, location: str) -> DataFrame:
+    """``path, folder, bytes, rows`` of every data file, from its metadata and footer: no column is read. Paths are URIs."""
+    files = spark.read.parquet(location).groupBy(
+        F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_size").alias("bytes")).agg(F.count("*").alias("rows"))
+    return files.select("path", F.regexp_replace("path", "/[^/]*$", "").alias("folder"), "bytes", "rows")
+
+
+def small_files(files: DataFrame, target_bytes: int) -> DataFrame:
+    """Files that are worth rewriting, with the ``bin`` they are packed into.
+
+    Within a folder the files below the target are laid end to end and cut at its multiples; a bin of one file is left alone. Folders that
+    hold very many files bound nothing else here: a window has one narrow row for each of them.
+    """
+    each = Window.partitionBy("folder")
+    before = F.sum("bytes").over(each.orderBy("path")) - F.col("bytes")
+    packed = files.filter(F.col("bytes") < target_bytes).withColumn("bin", F.floor(before / target_bytes))
+    together = packed.withColumn("others", F.count("*").over(Window.partitionBy("folder", "bin")) - 1)
+    return together.filter("others > 0").drop("others")
+
+
 def compare_stats(before: DataFrame, after: DataFrame) -> DataFrame:
     """One row on what a rewrite saved; the reduction is NULL for an empty table."""
     both = before.withColumn("_when", F.lit("before")).unionByName(after.withColumn("_when", F.lit("after")))
@@ -62,20 +92,25 @@ def compact(
     size (and cuts large files at row groups), and every split is written as one file. A partitioned table
     is rebalanced on its partition columns, which merges small and splits large partitions.
     """
-    packed = {
+    rows = packing_session(spark, target_bytes).read.parquet(source)
+    if partition_by:
+        rows.hint("rebalance", *partition_by).write.partitionBy(*partition_by).mode("overwrite").parquet(target)
+    else:
+        rows.write.mode("overwrite").parquet(target)
+
+
+def packing_session(spark: SparkSession, target_bytes: int) -> SparkSession:
+    """A session whose scans pack small files into splits of the target size; streams of the caller's session go on planning with its
+    own settings."""
+    own = spark.newSession()
+    for name, value in {
         "spark.sql.files.maxPartitionBytes": str(target_bytes),
         "spark.sql.files.openCostInBytes": str(min(target_bytes // 64, 4 * MEGABYTE)),
         "spark.sql.files.minPartitionNum": "1",
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_bytes),
-    }
-    own = spark.newSession()  # streams of the caller's session go on planning with its settings
-    for name, value in packed.items():
+    }.items():
         own.conf.set(name, value)
-    rows = own.read.parquet(source)
-    if partition_by:
-        rows.hint("rebalance", *partition_by).write.partitionBy(*partition_by).mode("overwrite").parquet(target)
-    else:
-        rows.write.mode("overwrite").parquet(target)
+    return own
 
 
 @dataclass(frozen=True)
@@ -173,8 +208,7 @@ class RankColumn:
 
 
 def files_for(spark: SparkSession, location: str, target_bytes: int = TARGET_BYTES) -> int:
-    size = table_stats(spark, location).first()["size_in_bytes"]
-    return max(1, -(-size // target_bytes))
+    return max(1, -(-listing(spark, location).bytes // target_bytes))
 
 
 def clusterable(df: DataFrame, columns: Sequence[str]) -> list[str]:

@@ -10,6 +10,7 @@ from pyspark.sql.streaming import StreamingQuery
 from alluvia.config import LakeConfig
 from alluvia.functions.audit import with_audit
 from alluvia.operators.envelope import decode_messages
+from alluvia.plans.maintenance import optimized_upto, publish
 from alluvia.plans.tables import MESSAGE_TABLES, MessageTable
 from alluvia.sinks.catalog import ensure_database, register_table
 from alluvia.sinks.folders import exists
@@ -34,17 +35,21 @@ def bronze_stream(
 def register_bronze(spark: SparkSession, config: LakeConfig) -> list[str]:
     """Make every bronze message table that holds data known to the catalog, with the columns of all its files; returns their names."""
     known = []
-    for plan in MESSAGE_TABLES.values():
+    for kind, plan in MESSAGE_TABLES.items():
         paths = config.paths("bronze", plan.table)
         if exists(spark, paths.data):
             ensure_database(spark, paths.database)
-            register_table(spark, paths.name, paths.data)
+            if optimized_upto(spark, config.paths("bronze", f"{plan.table}_optimized").data) is None:
+                register_table(spark, paths.name, paths.data)
+            else:
+                publish(spark, config, kind)
             known.append(paths.name)
     return known
 
 
 def run_bronze(
-    spark: SparkSession, config: LakeConfig, source: Source, kinds: Sequence[str] = ("match", "participant", "unit")
+    spark: SparkSession, config: LakeConfig, source: Source, kinds: Sequence[str] = ("match", "participant", "unit"),
+    every: str | None = "30 seconds",
 ) -> None:
     """All message streams in one session; the first that fails stops the others."""
-    run_together(spark, [lambda kind=kind: bronze_stream(config, source, kind) for kind in kinds])
+    run_together(spark, [lambda kind=kind: bronze_stream(config, source, kind, every) for kind in kinds])

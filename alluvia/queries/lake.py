@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from alluvia.config import LakeConfig
 from alluvia.operators import nested
-from alluvia.plans import bronze, ingest, silver
+from alluvia.plans import bronze, ingest, maintenance, silver
 from alluvia.plans.tables import APPENDS, HISTORIES, MESSAGE_TABLES
 from alluvia.queries.nested import league_responses, match_documents
 from alluvia.queries.registry import query, table
@@ -26,10 +26,10 @@ FIRST, SECOND = "TIMESTAMP_NTZ '2024-02-01 00:00:00'", "TIMESTAMP_NTZ '2024-02-0
 class Delivery:
     """A lake in a fresh folder, filled by message files."""
 
-    def __init__(self, spark):
+    def __init__(self, spark, database="alluvia_lake"):
         self.spark = spark
         self.home = shared_folder(spark, "lake")
-        self.config = LakeConfig(f"{self.home}/lake", key_buckets=BUCKETS)
+        self.config = LakeConfig(f"{self.home}/lake", databases={"bronze": database}, key_buckets=BUCKETS)
 
     def messages(self, topic):
         return stream_messages(self.spark, f"{self.home}/messages/{topic}")
@@ -148,3 +148,21 @@ def lake_summoner_history(spark, folder):
     return history.select(
         "puuid", "region", "tier", "rank", "leaguepoints", "wins", "losses", "effective_date", "end_date", "is_current"
     )
+
+
+@query("lake_optimized", """
+    SELECT 'VN2_' || o_orderkey AS match_id, o_orderkey AS "gameId", o_orderstatus AS tft_game_type FROM orders
+    UNION ALL SELECT 'VN2_' || o_orderkey, o_orderkey, CASE WHEN o_orderkey % 5 = 0 THEN 'X' ELSE o_orderstatus END
+    FROM orders WHERE o_orderkey % 5 = 0 OR o_orderkey % 7 = 0""")
+def lake_optimized(spark, folder):
+    """The bronze table as the catalog shows it: optimized after the first delivery, with the second read from where it fell."""
+    lake, orders = Delivery(spark, "alluvia_optimized"), table(spark, folder, "orders")
+    lake.deliver("match", match_messages(orders)["match"])
+    outcome = maintenance.optimize_bronze(spark, lake.config, ["match"])
+    if outcome.failed:
+        raise RuntimeError(outcome.failed)
+    changed = F.col("o_orderkey") % 5 == 0
+    again = orders.filter(changed | (F.col("o_orderkey") % 7 == 0)).withColumn(
+        "o_orderstatus", F.when(changed, "X").otherwise(F.col("o_orderstatus")))
+    lake.deliver("match", match_messages(again)["match"])
+    return spark.table(lake.config.paths("bronze", MESSAGE_TABLES["match"].table).name).select("match_id", "gameId", "tft_game_type")

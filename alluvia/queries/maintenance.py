@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from alluvia.operators import layout
 from alluvia.queries.registry import query, table
 from alluvia.session import shared_folder
-from alluvia.sinks import catalog
+from alluvia.sinks import catalog, compaction
 from alluvia.sinks.tables import live_version, load_table, overwrite_table
 
 DATABASE = "alluvia_check"
@@ -53,6 +53,27 @@ def compact_table(spark, folder):
     return spark.read.parquet(f"{home}/large")
 
 
+@query("compact_incremental", "SELECT * FROM lineitem")
+def compact_incremental(spark, folder):
+    """One large file and many small ones: only the small ones are packed."""
+    path = f"{shared_folder(spark, 'incremental')}/t"
+    rows = table(spark, folder, "lineitem")
+    rows.filter("l_returnflag = 'N'").coalesce(1).write.parquet(path)
+    rows.filter("l_returnflag <> 'N'").repartition(24).write.mode("append").parquet(path)
+    compaction.compact_incremental(spark, path, layout.MEGABYTE // 4)
+    return spark.read.parquet(path)
+
+
+@query("file_sizes", "SELECT count(*) AS \"rows\", 24 AS files, true AS bytes_fit FROM lineitem")
+def file_sizes(spark, folder):
+    """Rows and bytes of every file from footers, against the listing."""
+    path = f"{shared_folder(spark, 'sizes')}/t"
+    table(spark, folder, "lineitem").repartition(24).write.parquet(path)
+    return layout.file_sizes(spark, path).agg(
+        F.sum("rows").alias("rows"), F.count("*").cast("int").alias("files"),
+        (F.sum("bytes") == layout.listing(spark, path).bytes).alias("bytes_fit"))
+
+
 @query("zorder_cluster", "SELECT * FROM lineitem")
 def zorder_cluster(spark, folder):
     path = shared_folder(spark, "zorder")

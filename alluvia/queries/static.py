@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from alluvia.config import LakeConfig
 from alluvia.operators import static_data
+from alluvia.plans import dimensions
 from alluvia.queries.registry import query, table
 from alluvia.schemas import STATIC_DATA
 from alluvia.session import shared_folder
@@ -149,3 +152,35 @@ def csv_schema_load(spark, folder):
     shuffled = wanted.select("s_acctbal", "s_name", F.col("s_nationkey").cast("double").alias("s_nationkey"), "s_suppkey")
     path = write_csv(shuffled, shared_folder(spark, "csv"), ["s_nationkey", "s_name"])
     return read_csv_strict(spark, path, wanted.schema)
+
+
+@query("load_dimensions", """
+    SELECT 'SUCCESS' AS status, 'items' AS name, count(*) AS "count" FROM part
+    UNION ALL SELECT 'FAILED', 'units', NULL""")
+def load_dimensions(spark, folder):
+    """Dimensions loaded from CSV into the catalog, with what became of each: one of the files is not there."""
+    home = shared_folder(spark, "dimensions")
+    items = static_data.item_dimension(static_documents(spark, folder))
+    write_csv(items, f"{home}/items.csv", static_data.ITEM_SORT)
+    config = LakeConfig(f"{home}/lake", databases={"bronze": "alluvia_dimensions"})
+    outcome = dimensions.load_dimensions(spark, config, home, ["items", "units"])
+    rows = [(told["status"], name, told.get("count")) for name, told in outcome.items()]
+    return spark.createDataFrame(rows, "status string, name string, count bigint")
+
+
+@query("csv_sink_order", """
+    SELECT count(*) AS "rows", CAST(0 AS BIGINT) AS out_of_order FROM part""")
+def csv_sink_order(spark, folder):
+    """A sorted CSV sink read back in the order of its files and lines: no line comes before one that it should follow."""
+    path = shared_folder(spark, "csv_order")
+    parts = table(spark, folder, "part").select("p_size", "p_name", "p_partkey")
+    write_csv(parts.repartition(5), path, ["p_size", "p_name", "p_partkey"])
+    lines = spark.read.schema(parts.schema).option("header", "true").option("escape", '"').csv(path)
+    # Of each file its first and last key and the breaks inside; files follow one another by name.
+    placed = lines.select(F.struct("p_size", "p_name", "p_partkey").alias("key"), F.col("_metadata.file_name").alias("file"),
+                          F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("at"))
+    inside = Window.partitionBy("file").orderBy("block", "at")
+    breaks = placed.withColumn("before", F.lag("key").over(inside)).groupBy("file").agg(
+        F.count("*").alias("rows"), F.count_if(F.col("before") > F.col("key")).alias("wrong"), F.min("key").alias("low"), F.max("key").alias("high"))
+    joined = breaks.withColumn("wrong", F.col("wrong") + (F.coalesce(F.lag("high").over(Window.orderBy("file")) > F.col("low"), F.lit(False))).cast("long"))
+    return joined.agg(F.sum("rows").alias("rows"), F.sum("wrong").alias("out_of_order"))

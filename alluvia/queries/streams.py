@@ -13,7 +13,8 @@ from alluvia.sinks import catalog
 from alluvia.sinks.history import HistoryTable
 from alluvia.sinks.messages import write_message_files
 from alluvia.sinks.tables import load_appended
-from alluvia.sources.streams import stream_messages, stream_table
+from alluvia.sources.streams import events_from_rate, read_rate_batches, stream_messages, stream_table
+from alluvia.streaming.lifecycle import run_batches
 from alluvia.streaming.metrics import BatchMetrics, observed
 from alluvia.streaming.sinks import append_handler, append_stream, batch_stream, history_handler
 from alluvia.streaming.state import dedup_within
@@ -143,3 +144,22 @@ def stream_metrics(spark, folder):
             rows = observed(stream_table(spark, f"{home}/in", events.schema), "batches", figures)
             metrics.wait(append_stream(rows, f"{home}/out", f"{home}/checkpoint", every=None, name="events"))
     return metrics.read().select("batch_id", "rows", "input_rows", *figures)
+
+
+@query("rate_stream", """
+    WITH n AS (SELECT count(*) AS events FROM events), per AS (SELECT CAST(ceil(events / 4.0) AS BIGINT) AS size FROM n)
+    SELECT i AS id, 'User_' || i AS name, CASE i % 3 WHEN 0 THEN 'purchase' WHEN 1 THEN 'view' ELSE 'click' END AS event_type,
+           CAST(i % 1000 AS INTEGER) AS amount, TIMESTAMP '2024-01-01' + to_seconds(CAST(60 * (i // size) AS BIGINT)) AS ingest_ts
+    FROM per, n, range(0, 4 * (SELECT size FROM per)) AS r(i)""")
+def rate_stream(spark, folder):
+    """As many demo events as there are events, in four micro-batches of an interval trigger, with a restart after the second."""
+    home = shared_folder(spark, "rate")
+    size = -(-table(spark, folder, "events").count() // 4)
+    start = 1_704_067_200_000  # 2024-01-01
+    for batches in (2, 4):
+        ticks = read_rate_batches(spark, size, start, 60_000)
+        rows = events_from_rate(ticks, (F.col("value") % 1000))
+        run_batches(append_stream(rows, f"{home}/out", f"{home}/checkpoint", every="100 milliseconds"), batches)
+    # The interval may have fired once more than asked.
+    made = spark.read.parquet(f"{home}/out").filter(F.col("id") < 4 * size)
+    return made.withColumn("ingest_ts", F.expr("TIMESTAMP_NTZ '1970-01-01 00:00:00'") + F.make_dt_interval(secs=F.unix_millis("ingest_ts") / 1000))

@@ -33,6 +33,11 @@ def make(spark: SparkSession, location: str) -> None:
     fs.mkdirs(path)
 
 
+def move(spark: SparkSession, location: str, to: str) -> None:
+    path, fs = _path(spark, location)
+    fs.rename(path, spark._jvm.org.apache.hadoop.fs.Path(to))
+
+
 def remove(spark: SparkSession, location: str) -> None:
     path, fs = _path(spark, location)
     fs.delete(path, True)

@@ -74,6 +74,15 @@ def events_from_rate(ticks: DataFrame, amount: Column | None = None) -> DataFram
     )
 
 
+def read_rate_batches(
+    spark: SparkSession, rows_per_batch: int, start_ms: int = 0, advance_ms: int = 1000, partitions: int | None = None
+) -> DataFrame:
+    """Ticks that are the same in every run: micro-batch n has the next ``rows_per_batch`` values, all at ``start_ms + n * advance_ms``."""
+    reader = spark.readStream.format("rate-micro-batch").option("rowsPerBatch", rows_per_batch).option("startTimestamp", start_ms)
+    reader = reader.option("advanceMillisPerBatch", advance_ms)
+    return (reader.option("numPartitions", partitions) if partitions else reader).load()
+
+
 def read_rate_events(spark: SparkSession, rows_per_second: int = 5) -> DataFrame:
     ticks = spark.readStream.format("rate").option("rowsPerSecond", rows_per_second).load()
     return events_from_rate(ticks)

@@ -109,6 +109,19 @@ def run_in_turn(starters: Iterable[Callable[[], StreamingQuery]]) -> None:
                 return
 
 
+def run_batches(query: StreamingQuery, batches: int, look_every: float = 0.1) -> StreamingQuery:
+    """Let a query with an interval trigger finish at least ``batches`` micro-batches, then stop it. A failure is raised."""
+    try:
+        while query.isActive and ((latest := query.lastProgress) is None or latest["batchId"] < batches - 1):
+            time.sleep(look_every)
+    finally:
+        stop_all([query])
+    problem = query.exception()
+    if problem is not None:
+        raise problem
+    return query
+
+
 def progress(spark: SparkSession, *queries: StreamingQuery) -> DataFrame:
     """The recent micro-batches of the queries, one row each (Spark keeps a bounded number)."""
     rows = []

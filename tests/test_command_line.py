@@ -3,11 +3,12 @@
 import os
 import subprocess
 import sys
+from datetime import datetime
 from pathlib import Path
 
 from alluvia.__main__ import broker_options, named
 from alluvia.sources.streams import topic_options
-from tests.test_rows import STATIC_BODY
+from tests.test_rows import MATCH_BODIES, STATIC_BODY
 
 ROOT = Path(__file__).resolve().parents[1]
 
@@ -37,3 +38,23 @@ def test_static_document_to_dimensions(here):
     assert code == 0 and text.count("SUCCESS") == 4
     assert run(here, "load-dimensions", "--root", f"{here}/lake", "--folder", f"{here}/missing")[0] == 1
     assert "skipped=['tft_matches'" in run(here, "optimize", *lake)[1]
+
+
+def test_documents_to_silver(here):
+    with open(f"{here}/documents.json", "w") as out:
+        out.write("\n".join(body.replace("\n", " ") for body in MATCH_BODIES))
+    lake = ["--root", f"{here}/lake", "--messages", f"{here}/messages"]
+    assert run(here, "ingest", "--documents", f"{here}/documents.json", *lake)[0] == 0
+    assert run(here, "bronze", "--once", *lake)[0] == 0
+    assert run(here, "silver", "--in-turn", *lake)[0] == 0
+    code, text = run(here, "register", *lake)
+    assert code == 0 and all(name in text for name in ("bronze.tft_matches", "silver.tft_matches_scd2", "silver.tft_participant_units"))
+
+
+def test_events_to_reports(spark, here):
+    rows = [(i, f"User_{i}", "view", 100 * i, datetime(2024, 1, 7, 13)) for i in range(5)]
+    spark.createDataFrame(rows, "id bigint, name string, event_type string, amount int, ingest_ts timestamp").write.parquet(
+        f"{here}/lake/bronze/streaming_events")
+    assert run(here, "process-events", "--once", "--root", f"{here}/lake")[0] == 0
+    code, text = run(here, "reports", "--root", f"{here}/lake")
+    assert code == 0 and "processed: by_tier" in text and "events: total" in text

@@ -141,10 +141,10 @@ def test_demo_reports(spark, here):
 
 
 def test_optimize_bronze(spark, here):
-    lake = LakeConfig(f"{here}/lake")
+    lake = LakeConfig(f"{here}/lake", databases={"bronze": "t_optimize"})
     rows = spark.range(2000).select(
         F.concat(F.lit("M"), F.col("id").cast("string")).alias("match_id"), F.col("id").alias("gameId"),
-        (F.col("id") % 7).cast("string").alias("puuid"),
+        (F.col("id") % 7).cast("string").alias("puuid"), F.lit(datetime(2024, 1, 1)).alias("processed_ts"),
     )
     for kind in ("match", "participant"):
         path = lake.paths("bronze", MESSAGE_TABLES[kind].table).data
@@ -153,8 +153,20 @@ def test_optimize_bronze(spark, here):
     assert outcome.optimized == ["tft_matches", "tft_match_participants"]
     assert outcome.skipped == ["tft_participant_units"] and not outcome.failed
     assert outcome.reports["tft_matches"]["after_num_files"] == 1
-    made = spark.read.parquet(f"{lake.paths('bronze', 'tft_matches_optimized').data}/v=0000000001")
+    made = spark.read.parquet(lake.paths("bronze", "tft_matches_optimized").data).drop("upto")
     assert made.exceptAll(rows).count() == 0 and made.count() == 2000
+    assert maintenance.optimize_bronze(spark, lake).unchanged == ["tft_matches", "tft_match_participants"]
+    # What comes later is seen at once, and only it is written by the next run; a column that came is NULL before.
+    later = rows.limit(30).withColumn("processed_ts", F.lit(datetime(2024, 1, 2))).withColumn("more", F.lit(1))
+    later.write.mode("append").parquet(lake.paths("bronze", "tft_matches").data)
+    assert bronze.register_bronze(spark, lake)
+    for runs in (1, 2):
+        table = spark.table("t_optimize.tft_matches")
+        assert (table.count(), table.filter("more = 1").count(), table.select("match_id", "processed_ts").distinct().count()) == (2030, 30, 2030)
+        plan = table.filter("more = 1")._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("GreaterThan(processed_ts") == 1
+        assert runs == 2 or maintenance.optimize_bronze(spark, lake).optimized == ["tft_matches"]
+    assert spark.read.parquet(lake.paths("bronze", "tft_matches_optimized").data).groupBy("upto").count().count() == 2
     report = maintenance.optimize_table(
         spark, lake.paths("bronze", "tft_matches").data, f"{here}/compacted"
     )
