@@ -1,8 +1,9 @@
 """Main text of web pages from streaming parser events.
 
 The standard library's parser gives events; block elements cut the page into lines. A line has its text, the number of tags met
-in it, its characters inside links and the blocks it lies in. Lines inside elements that name themselves as something else
-(navigation, footers, forms, adverts, comments ...) go first. Over the others the text-to-tag ratio is smoothed by a Gaussian and
+in it, its characters inside links and the block it lies in. Lines inside elements that name themselves as something else
+(navigation, footers, forms, adverts, comments ...) go first; a name of a state or layout (``has-sidebar``, ``menu-closed``) names nothing, and
+an element that holds all articles of the page, or without those most of its text, isn't believed its name unless that is of readers. Over the others the text-to-tag ratio is smoothed by a Gaussian and
 cut at one standard deviation; runs of lines above it are clusters. Content is the region that holds the clusters, with all its lines:
 the outermost ``article`` or ``main`` elements with their siblings of that kind, else the closest common section or ``div`` of more
 than one line, else the page.
@@ -14,6 +15,7 @@ Repeated rows are extracted again; an empty table gives an empty result; other c
 from __future__ import annotations
 
 import re
+from collections import Counter
 from html.parser import HTMLParser
 
 import numpy as np
@@ -48,32 +50,58 @@ NAMES_OTHER = set("""ad ads adbox adslot advert adverts advertisement advertisem
 ROLES_OTHER = set("alert alertdialog banner complementary contentinfo dialog form menu menubar navigation note search toolbar".split())
 PAGE_HEADER = {"header"}
 
+#: Words that make a name say how a page is set up or what state it is in, not what the element is.
+STATES = set("""has have with without no not open opened closed free enabled disabled on off active inactive collapsed expanded visible
+    layout template theme""".split())
+READERS = set("comment commentlist comments discussion disqus replies reply responses".split())
+
 _TOKEN = re.compile("[a-z]+")
 
 
+def other_names(value: str) -> set[str]:
+    """The words of a class or id that name an element as something else; a name like ``has-sidebar`` or ``menu-closed`` has none."""
+    found: set[str] = set()
+    for name in value.lower().split():
+        words = _TOKEN.findall(name)
+        if not STATES.intersection(words):
+            found.update(words)
+    return found
+
+
 class Line:
-    __slots__ = ("parts", "tags", "linked", "path")
+    __slots__ = ("parts", "tags", "linked", "block")
 
-    def __init__(self, path: tuple[int, ...]):
-        self.parts: list[str] = []
+    def __init__(self, block: int):
+        self.parts: list[tuple[int, str]] = []  # the innermost named element that a piece of text is in, and the piece
         self.tags = 0
         self.linked = 0
-        self.path = path
+        self.block = block
 
 
 class PageLines(HTMLParser):
-    """Collects the lines of a page that are not inside elements named as something else."""
+    """Collects the lines of a page. Elements are numbered as they open and know their parent, so nesting costs nothing.
+
+    What lies in elements of other kinds (navigation, forms, scripts ...) or hidden ones is dropped at once. Elements that are merely
+    *named* as something else are judged at the end of the page.
+    """
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
-        self.stack: list[tuple[str, int, bool]] = []  # tag, number of the element, whether it hides its content
+        self.stack: list[tuple[str, int, bool, int, int]] = []  # tag, number, whether it hides, the block and the named element before
+        self.open: Counter[str] = Counter()
         self.hidden = 0
         self.links = 0
         self.held = 0  # articles and mains that are open
-        self.born = 0
-        self.kinds: dict[int, str] = {}
+        self.block = 0  # the innermost open block, 0 is the page
+        self.named = 0  # the innermost open named element
+        self.parent = [0]  # of each block: the block around it
+        self.kinds = [""]
+        self.surroundings: list[int | None] = [None]  # of each element: what is around the outermost article or main that it lies in
+        self.named_in: dict[int, int] = {0: 0}  # of each named element: the named element around it
+        self.is_readers: set[int] = set()
+        self.regions: list[int] = []  # of each article or main that is none of these itself: the named element it lies in
         self.lines: list[Line] = []
-        self.line = Line(())
+        self.line = Line(0)
 
     def updatepos(self, i, j):  # line numbers are not needed
         return j
@@ -81,43 +109,68 @@ class PageLines(HTMLParser):
     def _break(self) -> None:
         if self.line.parts:
             self.lines.append(self.line)
-        self.line = Line(tuple(n for tag, n, _ in self.stack if tag in BLOCK))
+        self.line = Line(self.block)
 
-    def _hides(self, tag: str, attrs) -> bool:
+    def _judged(self, tag: str, attrs) -> tuple[bool, set[str]]:
+        """Whether an element hides its content for certain, and the names it has of something else."""
         if tag in NOT_CONTENT:
-            return True
+            return True, set()
         if tag in ("html", "body"):
-            return False
+            return False, set()
         if tag == "header":
-            return not self.held
+            return not self.held, set()
         named: set[str] = set()
         for key, value in attrs:
             if key in ("hidden", "aria-modal") or key == "aria-hidden" and value == "true":
-                return True
+                return True, set()
             if not value:
                 continue
             if key in ("class", "id"):
-                named.update(_TOKEN.findall(value.lower()))
+                named |= other_names(value)
             elif key == "role" and value.strip().lower() in ROLES_OTHER:
-                return True
+                return True, set()
             elif key == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value.lower()):
-                return True
-        return bool(named & NAMES_OTHER) or (not self.held and bool(named & PAGE_HEADER))
+                return True, set()
+        return False, named & (NAMES_OTHER if self.held else NAMES_OTHER | PAGE_HEADER)
 
     def _pop(self, to: int) -> None:
         while len(self.stack) > to:
-            tag, _, hides = self.stack.pop()
+            tag, _, hides, self.block, self.named = self.stack.pop()
+            self.open[tag] -= 1
             self.hidden -= hides
             self.links -= tag == "a"
             self.held -= tag in CONTENT_NAMES
 
     def _close(self, tags: set[str], scope: set[str]) -> None:
+        if not any(self.open[t] for t in tags):
+            return
         for k in range(len(self.stack) - 1, -1, -1):
             if self.stack[k][0] in tags:
                 return self._pop(k)
             if self.stack[k][0] in scope:
                 return None
-        return None
+
+    def _born(self, tag: str, attrs) -> None:
+        hides, names = self._judged(tag, attrs)
+        number = len(self.kinds)
+        self.stack.append((tag, number, hides, self.block, self.named))
+        self.open[tag] += 1
+        self.hidden += hides
+        self.links += tag == "a"
+        self.kinds.append(tag)
+        self.parent.append(self.block)
+        around = self.surroundings[self.block]
+        self.surroundings.append(self.block if around is None and tag in CONTENT_NAMES else around)
+        if names:
+            self.named_in[number] = self.named
+            self.named = number
+            if names & READERS:
+                self.is_readers.add(number)
+        elif tag in CONTENT_NAMES and not self.hidden:
+            self.regions.append(self.named)
+        self.held += tag in CONTENT_NAMES
+        if tag in BLOCK:
+            self.block = number
 
     def handle_starttag(self, tag, attrs):
         if tag in BLOCK:
@@ -126,17 +179,11 @@ class PageLines(HTMLParser):
             if tag in SIBLINGS:
                 self._close(SIBLINGS[tag], SCOPES[tag])
         if tag not in VOID:
-            hides = self._hides(tag, attrs)
-            self.born += 1
-            self.stack.append((tag, self.born, hides))
-            self.hidden += hides
-            self.links += tag == "a"
-            self.held += tag in CONTENT_NAMES
-            self.kinds[self.born] = tag
+            self._born(tag, attrs)
         if tag in BLOCK:
             self._break()
         elif tag == "br" and not self.hidden and self.line.parts:
-            self.line.parts.append(" ")
+            self.line.parts.append((self.named, " "))
         self.line.tags += 1
 
     def handle_startendtag(self, tag, attrs):
@@ -145,20 +192,42 @@ class PageLines(HTMLParser):
             self.handle_endtag(tag)
 
     def handle_endtag(self, tag):
-        for k in range(len(self.stack) - 1, -1, -1):
-            if self.stack[k][0] == tag:
-                self._pop(k)
-                break
+        if self.open[tag]:
+            for k in range(len(self.stack) - 1, -1, -1):
+                if self.stack[k][0] == tag:
+                    self._pop(k)
+                    break
         self.line.tags += 1
         if tag in BLOCK:
             self._break()
 
     def handle_data(self, data):
         if not self.hidden:
-            self.line.parts.append(data)
+            self.line.parts.append((self.named, data))
             if self.links:
                 self.line.linked += len(data)
 
+    def shown(self) -> set[int]:
+        """Named elements whose content counts all the same (0: outside of all).
+
+        Such are those that hold every ``article`` and ``main`` of the page or, when it has none, most of its text; never those of readers.
+        """
+        text, articles = Counter(), Counter(self.regions)
+        for line in self.lines:
+            for named, piece in line.parts:
+                text[named] += len(piece.split())
+        most = sum(text.values()) / 2
+        for e in sorted(self.named_in, reverse=True):  # inner elements come after the ones around them
+            if e:
+                text[self.named_in[e]] += text[e]
+                articles[self.named_in[e]] += articles[e]
+        shown = {0}
+        for e in sorted(self.named_in):
+            if e and self.named_in[e] in shown and e not in self.is_readers:
+                if articles[e] == len(self.regions) if self.regions else text[e] > most:
+                    shown.add(e)
+        return shown
+
 
 def smoothed(ratios: np.ndarray, sigma: float = 1.0) -> np.ndarray:
     """Gaussian smoothing; at the edges over the lines that exist."""
@@ -176,22 +245,32 @@ def main_text(html: str | None) -> str:
     parser.feed(html)
     parser.close()
     parser._break()
-    lines = [(x, t) for x in parser.lines if (t := " ".join("".join(x.parts).split()))]
+    shown = parser.shown()
+    lines = [(x, t) for x in parser.lines if (t := " ".join("".join(piece for named, piece in x.parts if named in shown).split()))]
     if not lines:
         return ""
     ratios = smoothed(np.array([len(t) / max(1, x.tags) for x, t in lines]))
     dense = np.flatnonzero(ratios >= min(ratios.std(), ratios.max()))
     # Each line's outermost article or main, named by what surrounds it.
-    around = [next((x.path[:k] for k, n in enumerate(x.path) if parser.kinds[n] in CONTENT_NAMES), None) for x, _ in lines]
+    around = [parser.surroundings[x.block] for x, _ in lines]
     chosen = {around[k] for k in dense} - {None}
     if chosen:
         return " ".join(t for (_, t), own in zip(lines, around, strict=True) if own in chosen)
-    shared = set(lines[dense[0]][0].path).intersection(*(lines[k][0].path for k in dense))
-    for region in sorted((n for n in shared if parser.kinds[n] in REGIONS), reverse=True):
-        held = [t for x, t in lines if region in x.path]
-        if len(held) > 1:
-            return " ".join(held)
-    return " ".join(t for _, t in lines)
+    # Lines and dense lines of each element with all inside: elements come after the ones around them.
+    held, held_dense = [0] * len(parser.kinds), [0] * len(parser.kinds)
+    for x, _ in lines:
+        held[x.block] += 1
+    for k in dense:
+        held_dense[lines[k][0].block] += 1
+    for n in range(len(held) - 1, 0, -1):
+        held[parser.parent[n]] += held[n]
+        held_dense[parser.parent[n]] += held_dense[n]
+    region = next((n for n in range(len(held) - 1, 0, -1)
+                   if held_dense[n] == len(dense) and held[n] > 1 and parser.kinds[n] in REGIONS), 0)
+    inside = [region == 0] * len(held)
+    for n in range(1, len(held)):
+        inside[n] = n == region or inside[parser.parent[n]]
+    return " ".join(t for x, t in lines if inside[x.block])
 
 
 def extract(pages: DataFrame, html: str = "html", keep: list[str] | None = None, into: str = "content") -> DataFrame:

@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import random
 import re
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -142,6 +143,46 @@ def test_whole_regions(body, wanted):
     assert html.main_text(f"<html><body><nav><a>x</a></nav>{body}</body></html>") == wanted
 
 
+@pytest.mark.parametrize("element", [
+    'main class="content has-sidebar"', 'div class="content with-sidebar"', 'article class="post comments-open"',
+    'div id="page" class="site menu-closed"', 'div class="sidebar-layout"', 'section class="no-ads nav-off"'])
+def test_names_of_states_and_layouts(element):
+    tag = element.split()[0]
+    body = f"<{element}><p>{LONG} 1<p>{LONG} 2<div class='ad-slot'>Buy now</div></{tag}><div class='left-sidebar'><p>{LONG} beside</div>"
+    assert html.main_text(f"<html><body><nav><a>x</a></nav>{body}</body></html>") == f"{LONG} 1 {LONG} 2"
+
+
+@pytest.mark.parametrize(("body", "wanted"), [
+    (f"<div class='widget'><article><p>{LONG} 1<p>{LONG} 2</article></div><p>{LONG} out", f"{LONG} 1 {LONG} 2"),
+    (f"<div class='search'><p>{LONG} 1<p>{LONG} 2<div class=promo>Buy</div></div><form>Out.</form>", f"{LONG} 1 {LONG} 2"),
+    (f"<article><p>{LONG} 1</article><div class=comments><p>{LONG} a<p>{LONG} b<p>{LONG} c</div>", f"{LONG} 1"),
+    (f"<div><p>{LONG} 1<p>More.</div><div class=comments><p>{LONG} a<p>{LONG} b<p>{LONG} c</div>", f"{LONG} 1 More."),
+])
+def test_a_name_is_not_believed_of_the_whole_article(body, wanted):
+    assert html.main_text(f"<html><body>{body}</body></html>") == wanted
+
+
+def test_deep_pages_take_linear_time():
+    for opened in ("<div>" * 50_000, "<section><p>" * 25_000, "<b>" * 50_000 + "</i>" * 50_000, "<ul><li>" * 25_000):
+        began = time.time()
+        assert html.main_text(f"<body>{opened}{LONG}") == LONG
+        assert time.time() - began < 3
+
+
+def test_generated_pages_with_known_articles():
+    """Pages put together from parts that are known to be content or not, in all orders."""
+    rng = random.Random(12)
+    for _ in range(150):
+        said = [f"{LONG} {n}" if rng.random() < 0.7 else f"Short {n}." for n in range(rng.randint(2, 7))]
+        said[rng.randrange(len(said))] = f"{LONG} certain"
+        inner = "".join(rng.choice([f"<p>{t}</p>", f"<p>{t}", f"<div>{t}</div>", f"<ul><li>{t}</ul>", f"<h2>{t}</h2>"])
+                        + rng.choice(["", "<div class='ad-slot'>Buy</div>", "<script>x</script>", "<aside>Aside</aside>"]) for t in said)
+        tag, names = rng.choice([("article", ""), ("main", " class='has-sidebar'"), ("div", " class='content comments-closed'"), ("div", "")])
+        around = [rng.choice(["", "<nav><a>Menu</a></nav>", "<header>Head</header>", "<div class=sidebar><p>Beside</div>", "<form>Form</form>"]),
+                  rng.choice(["", "<footer>Foot</footer>", f"<section id=comments><p>{LONG} reader</section>", "<div class='cookie-notice'>Cookies</div>"])]
+        assert html.main_text(f"<html><body>{around[0]}<{tag}{names}>{inner}</{tag}>{around[1]}</body></html>") == " ".join(said)
+
+
 def test_odd_pages(llm):
     assert [html.main_text(x) for x in (None, "", "<p>", "<nav>only</nav>", "plain text")] == ["", "", "", "", "plain text"]
     rows = llm.createDataFrame([(None, 1), ("<p>a</p>", 2), ("<p>a</p>", 2)], "html string, content int")
