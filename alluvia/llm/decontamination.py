@@ -87,27 +87,31 @@ def with_kinds(rows: DataFrame, text: str, *keep: Column | str) -> DataFrame:
     return told.select(*names, F.array_remove(F.split("told", " "), "").alias("kinds"), F.contains("told", F.lit("#")).alias("typed"))
 
 
-def windows(kinds: Column, any_typed: Column, size: int, literals: int) -> Column:
-    """Hash of the window at every position of a template; null where too few words are literal."""
+def hashes_of(words: Column) -> Column:
+    """A hash of each word: windows are then hashes of eight numbers, whatever the words' lengths."""
+    return F.transform(words, lambda w: F.xxhash64(w))
+
+
+def windows(hashed: Column, size: int) -> Column:
+    """Hash of the window of words at every position."""
+    at = F.sequence(F.lit(1), F.size(hashed) - size + 1)
+    return F.when(F.size(hashed) < size, F.array().cast("array<bigint>")).otherwise(
+        F.transform(at, lambda i: F.xxhash64(F.slice(hashed, i, size), F.lit(size))))
+
+
+def typed_windows(kinds: Column, hashed: Column, size: int, literals: int) -> Column:
+    """The same over a template; null where too few words are literal."""
     need = min(literals, (size + 1) // 2)
-    typed = lambda w: F.size(F.filter(w, lambda x: F.startswith(x, F.lit("#"))))
-    at = F.sequence(F.lit(1), F.size(kinds) - size + 1)
-    hashed = lambda i: F.xxhash64(F.slice(kinds, i, size), F.lit(size))
-    checked = F.transform(at, lambda i: F.when(typed(F.slice(kinds, i, size)) <= size - need, hashed(i)))
-    plain = F.transform(at, hashed)
-    return F.when(F.size(kinds) < size, F.array().cast("array<bigint>")).when(
-        any_typed, checked).otherwise(plain)
+    literal = lambda w: F.size(F.filter(w, lambda x: ~F.startswith(x, F.lit("#"))))
+    at = F.sequence(F.lit(1), F.size(hashed) - size + 1)
+    return F.when(F.size(hashed) < size, F.array().cast("array<bigint>")).otherwise(
+        F.transform(at, lambda i: F.when(literal(F.slice(kinds, i, size)) >= need, F.xxhash64(F.slice(hashed, i, size), F.lit(size)))))
 
 
 def exact_words(text: Column) -> Column:
     return F.array_remove(F.split(apart(F.lower(text)), " "), "")
 
 
-def exact_windows(words: Column, size: int) -> Column:
-    """Hash of the words at every position."""
-    return windows(words, F.lit(False), size, 0)
-
-
 def item_windows(items: DataFrame, settings: Settings, key: str, text: str) -> DataFrame:
     """(item, edition, exact, size, words, windows, n_windows, typed) of the benchmark, by templates and by exact words.
 
@@ -117,14 +121,17 @@ def item_windows(items: DataFrame, settings: Settings, key: str, text: str) -> D
     plain = plain.withColumn("edition", F.xxhash64("words", F.lit("exact"))).dropDuplicates(["item", "edition"])
     rows = with_kinds(items, text, F.col(key).alias("item"), words_of(F.col(text)).alias("words"))
     rows = rows.filter(F.size("words") >= settings.shortest).withColumn("edition", F.xxhash64("words")).dropDuplicates(["item", "edition"])
+    plain = plain.withColumn("hashed", hashes_of(F.col("words")))
+    rows = rows.withColumn("hashed", hashes_of(F.col("kinds")))
     parts = []
     for size in range(settings.shortest, settings.window + 1):
         own = rows.filter(F.size("words") >= size if size == settings.window else F.size("words") == size)
-        parts.append(own.select("item", "edition", F.lit(False).alias("exact"), F.lit(size).alias("size"), "words", "typed", windows(F.col("kinds"), F.col("typed"), size, settings.literals).alias("windows")))
+        parts.append(own.select("item", "edition", F.lit(False).alias("exact"), F.lit(size).alias("size"), "words", "typed",
+                                typed_windows(F.col("kinds"), F.col("hashed"), size, settings.literals).alias("windows")))
     for size in range(1, settings.window + 1):
         own = plain.filter(F.size("words") >= size if size == settings.window else F.size("words") == size)
         parts.append(own.select("item", "edition", F.lit(True).alias("exact"), F.lit(size).alias("size"), "words", F.lit(False).alias("typed"),
-                                exact_windows(F.col("words"), size).alias("windows")))
+                                windows(F.col("hashed"), size).alias("windows")))
     every = parts[0]
     for part in parts[1:]:
         every = every.unionByName(part)
@@ -136,6 +143,33 @@ def version(text: Column) -> Column:
     return F.xxhash64(F.coalesce(text, F.lit("")))
 
 
+def met_windows(texts: DataFrame, hashes: DataFrame, sizes: list[tuple[bool, int]], settings: Settings) -> DataFrame:
+    """(id, version, at, item, edition, item_at, size) of every window of a text that is one of the benchmark's.
+
+    Texts are read once: the windows of all sizes, by exact words and, where a text has placeholders, by its template, stand in one
+    array one after the other. A text without placeholders is its own template, so its exact windows count as both.
+    """
+    columns = ["id", "version", "at", "item", "edition", "item_at", "size"]
+    if not sizes:
+        return texts.select("id", "version", F.lit(0).alias("at")).join(hashes, F.lit(False)).select(columns)
+    rows = texts.select("id", "version", exact_words(F.col("text")).alias("words"), template(said(F.col("text"))).alias("told"))
+    rows = rows.withColumn("typed", F.contains("told", F.lit("#")))
+    rows = rows.withColumn("kinds", F.when(F.col("typed"), F.array_remove(F.split("told", " "), "")).otherwise(F.array().cast("array<string>")))
+    rows = rows.select("id", "version", "typed", "kinds", hashes_of(F.col("words")).alias("hashed"), hashes_of(F.col("kinds")).alias("hashed_kinds"))
+    parts = [(exact, size) for size in sorted({n for _, n in sizes}) for exact in (True, False)
+             if exact or (False, size) in sizes]
+    made = [windows(F.col("hashed"), n) if exact else typed_windows(F.col("kinds"), F.col("hashed_kinds"), n, settings.literals) for exact, n in parts]
+    rows = rows.select("id", "version", "typed", *(w.alias(f"w{k}") for k, w in enumerate(made)))
+    lengths = [F.size(f"w{k}") for k in range(len(parts))]
+    ends = F.array(*(sum(lengths[1:k + 1], lengths[0]) for k in range(len(parts))))
+    placed = rows.select("id", "version", "typed", ends.alias("ends"), F.posexplode(F.concat(*(F.col(f"w{k}") for k in range(len(parts))))).alias("pos", "hash"))
+    found = placed.join(hashes, "hash").withColumn("part", F.size(F.filter("ends", lambda e: e <= F.col("pos"))))
+    found = found.withColumn("at", F.col("pos") - F.when(F.col("part") == 0, 0).otherwise(F.get("ends", F.col("part") - 1)))
+    by_words = F.get(F.array(*(F.lit(exact) for exact, _ in parts)), F.col("part"))
+    same_size = F.get(F.array(*(F.lit(n) for _, n in parts)), F.col("part")) == F.col("size")
+    return found.filter(same_size & (F.col("exact") == by_words) | same_size & by_words & ~F.col("exact") & ~F.col("typed")).select(columns)
+
+
 def leaks(docs: DataFrame, items: DataFrame, settings: Settings = Settings(), key: str = "doc_id", text: str = "text",
           item_key: str = "item_id", item_text: str = "text") -> DataFrame:
     """(key, item_key, matched, n_windows, verbatim, n_slots) of every document and item that it leaks."""
@@ -156,16 +190,7 @@ def leaking_texts(docs: DataFrame, items: DataFrame, settings: Settings = Settin
     if hashes.count() <= settings.broadcast_rows:
         hashes = F.broadcast(hashes)
     texts = docs.select(F.col(key).alias("id"), version(F.col(text)).alias("version"), F.col(text).alias("text"))
-    kinds = with_kinds(texts, "text", "id", "version")
-    plain = texts.select("id", "version", exact_words(F.col("text")).alias("words"))
-    met = None
-    for exact, size in sizes:
-        hashed = exact_windows(F.col("words"), size) if exact else windows(F.col("kinds"), F.col("typed"), size, settings.literals)
-        own = (plain if exact else kinds).select("id", "version", F.posexplode(hashed).alias("at", "hash"))
-        own = own.join(hashes.filter((F.col("size") == size) & (F.col("exact") == exact)), "hash").select("id", "version", "at", "item", "edition", "item_at", "size")
-        met = own if met is None else met.unionByName(own)
-    if met is None:
-        met = kinds.select("id", "version", F.lit(0).alias("at")).join(hashes, F.lit(False)).select("id", "version", "at", "item", "edition", "item_at", "size")
+    met = met_windows(texts, hashes, sizes, settings)
     aligned = stored(
         met.groupBy("id", "version", "item", "edition", "size", (F.col("at") - F.col("item_at")).alias("shift"))
         .agg(F.array_sort(F.collect_set("item_at")).alias("item_ats")), "leak-met")  # at most the windows of one item
