@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from alluvia.llm.words import Words, free_name, map_texts, mixed
+from alluvia.llm.words import Words, free_name, map_texts, mixed, span_hashes
 from alluvia.queries.registry import table
 
 #: Words of the windows that count as repeated when a text has them twice.
@@ -74,7 +74,7 @@ _SYMBOL[list(b"#*$%&|<>")] = True
 def measure(texts: list[str | None]) -> list[np.ndarray]:
     """The arrays of ``MEASURES`` for some texts."""
     w = Words(texts)
-    data, hashes = w.data, w.hashes()
+    data, hashes = w.data, span_hashes(w.data, w.starts, w.ends)
     word_chars = w.per_text(~w.gap & ((data & 0xC0) != 0x80))
 
     breaks = np.flatnonzero(data == 10)  # every text ends in one that joined it to the next
@@ -83,7 +83,7 @@ def measure(texts: list[str | None]) -> list[np.ndarray]:
     line_starts, line_ends = line_starts[has_word], breaks[has_word]
     line_text = np.searchsorted(w.text_starts, line_starts, "right") - 1
     n_lines = np.bincount(line_text, minlength=w.n_texts)
-    own = mixed(w.spans.hashes(line_starts, line_ends) + line_text.astype(np.uint64))
+    own = mixed(span_hashes(data, line_starts, line_ends) + line_text.astype(np.uint64))
     distinct = line_text[np.unique(own, return_index=True)[1]]
     n_dup_lines = n_lines - np.bincount(distinct, minlength=w.n_texts)
 

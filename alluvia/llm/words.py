@@ -68,6 +68,36 @@ class Spans:
         return mixed((self.sums[ends] - self.sums[starts]) * self.down[starts])
 
 
+_PLACES = mixed(np.arange(1, 9, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+
+
+def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Hashes of spans of bytes for which no two texts are known to collide, as the running polynomial has them for texts built for it.
+
+    A tree: eight bytes make a number, and level by level eight numbers, each mixed with its place, make one. Spans may overlap; the
+    work grows with their lengths.
+    """
+    sizes = ends - starts
+    # Empty spans have no leaf: they keep the hash of their size.
+    real = np.flatnonzero(sizes)
+    size = sizes[real]
+    at = np.repeat(starts[real] - (np.cumsum(size) - size), size) + np.arange(int(size.sum()))
+    values = data[at].astype(np.uint64)
+    result = np.zeros(len(sizes), np.uint64)
+    owner, leaf = real, True
+    while len(owner):
+        place = (np.arange(len(values)) - np.repeat(np.cumsum(size) - size, size)) & 7
+        values = values << (place.astype(np.uint64) << np.uint64(3)) if leaf else mixed(values ^ _PLACES[place])
+        values = mixed(np.add.reduceat(values, np.flatnonzero(place == 0)))
+        size, leaf = (size + 7) // 8, False
+        done = size == 1
+        begin = np.cumsum(size) - size
+        result[owner[done]] = values[begin[done]]
+        values = values[np.repeat(~done, size)]
+        owner, size = owner[~done], size[~done]
+    return mixed(result + mixed(sizes.astype(np.uint64) ^ np.uint64(0xD1B54A32D192ED03)))
+
+
 class Words:
     """The words of some texts: ``starts``/``ends`` in ``data``, and the range of words of each text."""
 

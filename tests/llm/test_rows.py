@@ -7,10 +7,11 @@ import random
 import re
 import time
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from alluvia.llm import chat, html, licenses, quality, tokens
+from alluvia.llm import chat, html, licenses, quality, tokens, words
 from alluvia.llm.queries import ORACLES, QUERIES
 from tests.oracle import connect, differences
 
@@ -51,6 +52,30 @@ def test_random_texts(llm):
                == measured_by_hand(r.text) for r in rows)
 
 
+def test_texts_built_to_collide():
+    """Thue-Morse strings: two that differ everywhere collide in every polynomial hash modulo a power of two."""
+    for size in (8, 64, 1024, 65_536):
+        one = "".join("ab"[bin(n).count("1") % 2] for n in range(size))
+        other = one.translate(str.maketrans("ab", "ba"))
+        for text in (f"{one}\n{other}", f"{one} {other}"):
+            measures = dict(zip(quality.MEASURES, quality.measure([text]), strict=True))
+            assert measures["n_dup_lines"][0] == 0 and all(measures[m][0] == 0 for m in measures if "stutter" in m)
+        assert dict(zip(quality.MEASURES, quality.measure([f"{one}\n{other}\n{one}"]), strict=True))["n_dup_lines"][0] == 1
+
+
+def test_span_hashes_tell_spans_apart():
+    rng = np.random.default_rng(5)
+    data = rng.integers(0, 3, 4000).astype(np.uint8)
+    starts = rng.integers(0, 3990, 3000)
+    ends = np.minimum(starts + rng.choice([0, 1, 2, 7, 8, 9, 63, 64, 65, 511, 512, 513, 600], 3000), 4000)
+    hashes = words.span_hashes(data, starts, ends)
+    by_text = {}
+    for a, b, h in zip(starts, ends, hashes.tolist()):
+        assert by_text.setdefault(data[a:b].tobytes(), h) == h
+    assert len(set(by_text.values())) == len(by_text)
+    assert len(words.span_hashes(data, starts[:0], ends[:0])) == 0
+
+
 def test_policies_and_ablations(llm):
     rows = llm.createDataFrame([(0,), (1,), (3,), (4,), (4,)], "fail_bits bigint").select(F.struct("fail_bits").alias("ledger"))
     policy = quality.Policy("t", ("few_words", "repeated_windows"))
