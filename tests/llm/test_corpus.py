@@ -306,6 +306,25 @@ def test_stages_take_odd_tables(llm, odd, nothing, small):
             docs = stored(made, f"test-{name}")
 
 
+def test_repeated_rows_are_mixed_once(llm, small):
+    """Five equal rows are one document: its source takes what it should, and no row is met more often than it may be."""
+    rng = random.Random(3)
+    rows = [(i, "ab"[i % 2], prose(rng, rng.randrange(5, 30))) for i in range(400)]
+    rows += [(9, "a", "one text that is repeated")] * 5 + [(9, "b", "one text that is repeated")] * 2 + [(None, None, None)] * 3
+    docs = llm.createDataFrame(rows, "doc_id bigint, source string, text string")
+    made = corpus_pipeline.mix_sources(llm, docs, small).collect()
+    keys = [(r.doc_id, r.text, r.copy) for r in made]
+    assert len(keys) == len(set(keys))
+    distinct = {(i, t): s for i, s, t in sorted(rows, key=str)}
+    sizes, taken = Counter(), Counter()
+    for (_, t), s in distinct.items():
+        sizes[s] += len(WORD.findall(t or ""))
+    for r in made:
+        taken[distinct[r.doc_id, r.text]] += len(WORD.findall(r.text))
+    targets = {"a": sum(sizes.values()) / 3, "b": sum(sizes.values()) * 2 / 3}
+    assert all(abs(taken[s] - targets[s]) <= 30 for s in targets)
+
+
 def test_pipeline_decisions(llm, small):
     docs = llm.read.parquet(f"{small}/documents.parquet")
     labels = {r.doc_id: r for r in llm.read.parquet(f"{small}/labels.parquet").collect()}
