@@ -55,15 +55,25 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that leak no benchmark item."""
     found = decontamination.leaking_texts(docs, table(reachable(spark), sf_dir, "benchmark")).select("id", "version").distinct()
+    found = stored(found, "pipeline-leaking")  # written, so that Spark knows its size: small, it is broadcast and the texts stay where they are
     return docs.join(found, docs["doc_id"].eqNullSafe(found["id"]) & (decontamination.version(docs["text"]) == found["version"]), "left_anti")
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row for each time that training meets a document, range-sorted by that time."""
     reachable(spark)
-    key, copy, time = free_name(docs, "_key"), free_name(docs, "copy"), free_name(docs, "time")
+    key, copy, time, once = (free_name(docs, n) for n in ("_key", "copy", "time", "_once"))
     rows = docs.withColumn(key, F.struct(F.col("doc_id").alias("id"), decontamination.version(F.col("text")).alias("version")))
-    mixed = mixing.mix(rows, key=key).filter("copies > 0").groupBy(f"{key}.id", f"{key}.version").agg(F.max("times").alias("times"))
+    # Rows that repeat an id and its text are one document, of their least source.
+    sizes = rows.select(key, "source", mixing.word_count(F.col("text")).alias("size")).groupBy(key).agg(
+        F.min("source").alias("source"), F.max("size").alias("size"), F.count("*").alias("n"))
+    sizes = stored(sizes, "pipeline-sizes")
+    repeated = sizes.filter("n > 1").select(F.col(f"{key}.id").alias("id"), F.col(f"{key}.version").alias("version"))
+    again = rows[key]["id"].eqNullSafe(repeated["id"]) & (rows[key]["version"] == repeated["version"])
+    first = Window.partitionBy(key).orderBy(F.xxhash64(*(rows[c] for c in docs.columns)))  # which of them is met does not matter
+    others = rows.join(repeated, again, "left_semi").withColumn(once, F.row_number().over(first)).filter(F.col(once) == 1).drop(once)
+    rows = rows.join(repeated, again, "left_anti").unionByName(others)
+    mixed = mixing.mix(sizes, key=key, size=F.col("size")).filter("copies > 0").select(f"{key}.id", f"{key}.version", "times")
     met = rows.join(mixed, rows[key]["version"].eqNullSafe(mixed["version"]) & rows[key]["id"].eqNullSafe(mixed["id"]))
     copies = met.select(*(met[c] for c in docs.columns), F.posexplode("times").alias(copy, time))
     return copies.repartitionByRange(time, "doc_id", copy).sortWithinPartitions(time, "doc_id", copy)
