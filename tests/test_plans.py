@@ -170,7 +170,7 @@ def test_optimize_bronze(spark, here):
     report = maintenance.optimize_table(
         spark, lake.paths("bronze", "tft_matches").data, f"{here}/compacted"
     )
-    assert report.first().files_saved == 11
+    assert report.first().files_saved == 12
 
 
 def test_silver_starts_before_bronze(spark, here):
