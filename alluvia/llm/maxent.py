@@ -140,10 +140,12 @@ def row_pairs(feats: np.ndarray, cluster: np.ndarray) -> tuple[np.ndarray, np.nd
 
 def summed(weights: np.ndarray, constant: np.ndarray, first: int, rows: np.ndarray) -> np.ndarray:
     part = weights[first:]
-    out = part[rows[:, 0]]
+    out = np.take(part, rows[:, 0], axis=0, mode="clip")  # every row number is in range; "clip" spares the test and a copy
     out += constant
+    met = np.empty_like(out)
     for k in range(1, rows.shape[1]):
-        out += part[rows[:, k]]
+        np.take(part, rows[:, k], axis=0, out=met, mode="clip")
+        out += met
     return out
 
 
@@ -160,6 +162,22 @@ def class_log10(model: Counts, keys, ends, counts, batch: int = 8192) -> tuple[n
     return made / np.log(10), classes
 
 
+def run_sums(x: np.ndarray, starts: np.ndarray, sizes: np.ndarray, short: int = 6) -> np.ndarray:
+    """Sum of every run of rows. Most runs are short: their second rows are added all at once, then their third ones, and so on."""
+    total = np.take(x, starts, axis=0)
+    some = np.flatnonzero((sizes > 1) & (sizes <= short))
+    for k in range(1, short):
+        some = some[sizes[some] > k]
+        if not len(some):
+            break
+        total[some] += np.take(x, starts[some] + k, axis=0)
+    long = np.flatnonzero(sizes > short)
+    if len(long):
+        size = sizes[long]
+        total[long] = np.add.reduceat(x[np.repeat(sizes > short, sizes)], np.cumsum(size) - size, axis=0)
+    return total
+
+
 class Learner:
     """Gradient steps of one task, from shared weights."""
 
@@ -192,15 +210,21 @@ class Learner:
         by_row = np.argsort(flat, kind="stable")
         own = flat[by_row]
         starts = np.flatnonzero(np.concatenate([[True], own[1:] != own[:-1]]))
-        total = np.add.reduceat(grad[by_row // rows.shape[1]], starts, axis=0)
-        self.step(own[starts].astype(np.int64) + first, total, np.diff(np.append(starts, len(flat))))
+        sizes = np.diff(np.append(starts, len(flat)))
+        total = run_sums(np.take(grad, by_row // rows.shape[1], axis=0, mode="clip"), starts, sizes)
+        self.step(own[starts].astype(np.int64) + first, total, sizes)
 
     def step(self, own: np.ndarray, total: np.ndarray, met: np.ndarray) -> None:
         """One Adagrad step."""
         self.met[own] += met.astype(np.int64)
-        seen = self.seen[own] + total * total
+        seen = np.take(self.seen, own, axis=0, mode="clip")
+        seen += total * total
         self.seen[own] = seen
-        self.weights[own] += self.settings.rate * total / np.sqrt(seen)
+        np.sqrt(seen, out=seen)
+        np.divide(total, seen, out=seen)
+        seen *= self.settings.rate
+        seen += np.take(self.weights, own, axis=0, mode="clip")
+        self.weights[own] = seen
 
     def changes(self):
         """Blocks of changed rows: number, times met, change."""
