@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from alluvia.config import LakeConfig
 from alluvia.operators.layout import TARGET_BYTES, clusterable, compact, compare_stats, files_for, table_stats, zorder
 from alluvia.plans.tables import MESSAGE_TABLES
-from alluvia.sinks.catalog import ensure_database, register_view
+from alluvia.sinks.catalog import ensure_database, quoted, register_table, register_view
 from alluvia.sinks.folders import exists, numbered
 from alluvia.sinks.tables import write_new
 from alluvia.sources.files import read_table
@@ -89,7 +89,10 @@ def optimize_bronze(
 
 
 def published_sql(spark: SparkSession, config: LakeConfig, kind: str) -> str:
-    """A bronze table as a SELECT over its optimized runs and the files that came after the last of them."""
+    """A bronze table as a SELECT over its optimized runs and the files that came after the last of them.
+
+    The bronze files are read through a catalog entry of their own, which has the columns of all of them; a path in SQL has those of one.
+    """
     plan = MESSAGE_TABLES[kind]
     source, home = (config.paths("bronze", name).data for name in (plan.table, f"{plan.table}_optimized"))
     columns = read_table(spark, source, evolve=True).schema
@@ -103,14 +106,19 @@ def published_sql(spark: SparkSession, config: LakeConfig, kind: str) -> str:
                          for f in columns.fields)
 
     parts = [f"SELECT {shown(present)} FROM parquet.`{home}/{{{','.join(places)}}}`" for present, places in alike.items()]
-    tail = f"SELECT {shown(columns.names)} FROM parquet.`{source}`"
+    tail = f"SELECT {shown(columns.names)} FROM {quoted(files_name(config, kind))}"
     parts.append(f"{tail} WHERE processed_ts > timestamp_micros({max(runs)})" if runs else tail)
     return " UNION ALL ".join(parts)
 
 
+def files_name(config: LakeConfig, kind: str) -> str:
+    return f"{config.paths('bronze', MESSAGE_TABLES[kind].table).name}_files"
+
+
 def publish(spark: SparkSession, config: LakeConfig, kind: str) -> str:
     """Let the catalog's entry of a bronze table read the optimized rows."""
     paths = config.paths("bronze", MESSAGE_TABLES[kind].table)
     ensure_database(spark, paths.database)
+    register_table(spark, files_name(config, kind), paths.data)
     register_view(spark, paths.name, published_sql(spark, config, kind))
     return paths.name
