@@ -24,6 +24,8 @@ from alluvia.queries.registry import table
 SPACE = "▁"
 #: Counted pre-tokens that a task remembers; beyond that it starts anew, which only costs time.
 REMEMBERED = 300_000
+#: Pre-tokens of more symbols also merge at places that nothing else can disturb.
+LONG = 64
 NO_RANK = np.iinfo(np.int32).max
 
 
@@ -62,6 +64,7 @@ class Vocabulary:
         np.minimum.at(reached, self.keys // (self.n + 1), self.rank)
         np.minimum.at(reached, self.keys % (self.n + 1), self.rank)
         self.calm = reached > own
+        self.longest = max(map(len, pieces), default=1) + 1
         joined = {c for p in pieces if len(p) > 1 for c in p}
         alone = "".join(c for c in "\n\t\r" if c not in joined)
         crossing = any(SPACE in p.lstrip(SPACE) for p in pieces)
@@ -76,6 +79,25 @@ class Vocabulary:
         at[self.keys[at] != wanted] = -1
         return at
 
+    def undisturbed(self, rank: np.ndarray) -> np.ndarray:
+        """Places that are merged whatever happens elsewhere: no lower rank is near, and none as low before it.
+
+        What could come first is a pair of a lower rank with a symbol beside the place. Such a symbol is a piece, so all merges that make
+        it lie within the longest piece's reach, and the first of them is a pair that is there already.
+        """
+        reach = self.longest
+
+        def least(x):  # of the ``reach`` places before each
+            padded = np.concatenate([np.full(reach, NO_RANK, x.dtype), x])
+            width, lowest = 1, padded
+            while width < reach:  # minima over doubling widths, from each place on
+                step = min(width, reach - width)
+                lowest = np.minimum(lowest[:len(lowest) - step], lowest[step:])
+                width += step
+            return lowest[:len(x)]
+
+        return np.flatnonzero((rank != NO_RANK) & (rank < least(rank)) & (rank <= least(rank[::-1])[::-1]))
+
     def count(self, words: list[str]) -> np.ndarray:
         """Tokens of each pre-token."""
         chars = np.frombuffer("".join(words).encode("utf-32-le"), np.uint32)
@@ -104,6 +126,7 @@ class Vocabulary:
                     break
             low = np.repeat(best, sizes)[:-1] == rank
             low &= rank != NO_RANK
+            alone = self.undisturbed(rank) if sizes.max() > LONG else None
             place = np.flatnonzero(low)
             # Of overlapping places the left one goes first: every second one of a run of neighbours.
             run_start = np.concatenate([[True], np.diff(place) != 1])
@@ -116,6 +139,9 @@ class Vocabulary:
             restless[word[place[~self.calm[made]]]] = True
             go = first | ~restless[word[place]]
             place, made = place[go], made[go]
+            if alone is not None:
+                place = np.union1d(place, alone)
+                made = self.piece[at[place]]
             symbol[place] = made
             cost[place] = 1
             keep = np.ones(len(symbol), bool)

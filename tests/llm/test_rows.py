@@ -135,6 +135,26 @@ def test_counts_equal_the_library(llm, odd, small):
         assert (r.tokens.n_tokens, r.tokens.n_bytes) == (len(library.encode(r.text or "")), len((r.text or "").encode()))
 
 
+def test_long_texts_without_spaces():
+    import public_tokenizers
+    import sentencepiece
+
+    file = public_tokenizers.path("piece_bpe_32k.model")
+    library, vocabulary = sentencepiece.SentencePieceProcessor(model_file=file), tokens.Vocabulary(file)
+    rng = random.Random(7)
+
+    def counted(text):
+        return int(vocabulary.count(vocabulary.cut(tokens.SPACE + text.replace(" ", tokens.SPACE))).sum())
+
+    for alphabet in ("abcdefghijklmnopqrstuvwxyz", "ab", "etaoins", "日本語の文章", "<>=/-_.0", "aAbB日é", "lo"):
+        for size in (65, 150, 700):
+            text = "".join(rng.choice(alphabet) for _ in range(size))
+            assert counted(text) == len(library.encode(text)), text
+    text = "".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(100_000))
+    began = time.time()
+    assert counted(text) == len(library.encode(text)) and time.time() - began < 3
+
+
 # -- pages -------------------------------------------------------------------------------------
 
 PAGE = """<html><head><title>no</title><style>p{}</style></head><body><header><a href=/>Home</a></header><nav><ul><li>menu</li></ul></nav>
