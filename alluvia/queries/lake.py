@@ -165,4 +165,5 @@ def lake_optimized(spark, folder):
     again = orders.filter(changed | (F.col("o_orderkey") % 7 == 0)).withColumn(
         "o_orderstatus", F.when(changed, "X").otherwise(F.col("o_orderstatus")))
     lake.deliver("match", match_messages(again)["match"])
+    bronze.register_bronze(spark, lake.config)  # this session has listed the files before, as of any external table
     return spark.table(lake.config.paths("bronze", MESSAGE_TABLES["match"].table).name).select("match_id", "gameId", "tft_game_type")
