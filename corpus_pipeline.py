@@ -68,7 +68,8 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     sizes = rows.select(key, "source", mixing.word_count(F.col("text")).alias("size")).groupBy(key).agg(
         F.min("source").alias("source"), F.max("size").alias("size"), F.count("*").alias("n"))
     sizes = stored(sizes, "pipeline-sizes")
-    repeated = sizes.filter("n > 1").select(F.col(f"{key}.id").alias("id"), F.col(f"{key}.version").alias("version"))
+    # Written by themselves: as few as they are, they are broadcast, and texts that stand alone stay where they are.
+    repeated = stored(sizes.filter("n > 1").select(F.col(f"{key}.id").alias("id"), F.col(f"{key}.version").alias("version")), "pipeline-repeated")
     again = rows[key]["id"].eqNullSafe(repeated["id"]) & (rows[key]["version"] == repeated["version"])
     first = Window.partitionBy(key).orderBy(F.xxhash64(*(rows[c] for c in docs.columns)))  # which of them is met does not matter
     others = rows.join(repeated, again, "left_semi").withColumn(once, F.row_number().over(first)).filter(F.col(once) == 1).drop(once)
