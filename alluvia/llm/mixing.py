@@ -89,15 +89,15 @@ def moment(share: Column, slope: Column) -> Column:
 
 
 def mix(docs: DataFrame, plan: Curriculum = Curriculum(), key: str = "doc_id", text: str = "text", source: str = "source",
-        per_slice: int = PER_SLICE, size: Column | None = None) -> DataFrame:
+        per_slice: int = PER_SLICE, size: Column | None = None, rows: int | None = None) -> DataFrame:
     """One row per document: its key, size, source_size, target, taken, copies and the times of its copies.
 
-    ``size`` is the number of words where it is known already; the texts are then not needed.
+    ``size`` is the number of words where it is known already; the texts are then not needed. ``rows`` is the number of rows, likewise.
     """
     digest = F.md5(F.coalesce(F.col(key).cast("string"), F.lit("")).cast("binary"))
     sized = stored(docs.select(
         F.col(key).alias("key"), F.col(source).alias("source"), (word_count(F.col(text)) if size is None else size).alias("size"),
-        F.conv(F.substring(digest, 1, 15), 16, 10).cast("long").alias("order")), "mix-sizes")  # texts are read once
+        F.conv(F.substring(digest, 1, 15), 16, 10).cast("long").alias("order")), "mix-sizes", rows)  # texts are read once
     fine = F.shiftright("order", 40)  # the first 20 of 60 bits
     stats = sized.groupBy("source").agg(F.sum("size").alias("source_size"), F.count(F.lit(1)).alias("n_docs"))
     plan_rows = targets(stats, plan).withColumn("slices", F.least(F.lit(1 << 20), F.ceil(F.col("n_docs") / per_slice)).cast("long"))

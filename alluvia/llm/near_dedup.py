@@ -315,15 +315,15 @@ def verified(pairs: DataFrame, rows: DataFrame, settings: Settings) -> DataFrame
     return pairs.join(left, "a").join(right, "b").select("a", "b", "ea", "wa", "eb", "wb").mapInArrow(run, _PAIR)
 
 
-def components(links: DataFrame) -> DataFrame:
-    """(node, label) of every node that has a link: the least node it is connected with."""
-    edges = stored(links.union(links.select("b", "a")).distinct(), "near-edges")
-    labels = stored(edges.groupBy("a").agg(F.min("b").alias("low")).select(F.col("a").alias("node"), F.least("a", "low").alias("label")), "near-labels")
+def components(links: DataFrame, n: int | None = None) -> DataFrame:
+    """(node, label) of every node that has a link: the least node it is connected with. ``n`` is the number of texts."""
+    edges = stored(links.union(links.select("b", "a")).distinct(), "near-edges", n)
+    labels = stored(edges.groupBy("a").agg(F.min("b").alias("low")).select(F.col("a").alias("node"), F.least("a", "low").alias("label")), "near-labels", n)
     while True:
         seen = edges.join(labels.select(F.col("node").alias("b"), "label"), "b").groupBy(F.col("a").alias("node")).agg(F.min("label").alias("near"))
         jump = labels.select(F.col("node").alias("label"), F.col("label").alias("far"))
         moved = stored(labels.join(seen, "node").join(jump, "label").select(
-            "node", F.least("label", "near", "far").alias("label"), (F.least("label", "near", "far") < F.col("label")).alias("moved")), "near-labels")
+            "node", F.least("label", "near", "far").alias("label"), (F.least("label", "near", "far") < F.col("label")).alias("moved")), "near-labels", n)
         if moved.filter("moved").isEmpty():
             return moved.select("node", "label")
         labels = moved.select("node", "label")
@@ -360,7 +360,7 @@ def linked_in_block(nodes, labels, elements, weights, settings: Settings) -> lis
     return [(nodes[i[p]], nodes[j[p]]) for p in pick]
 
 
-def remaining(groups: DataFrame, labels: DataFrame, rows: DataFrame, settings: Settings) -> DataFrame:
+def remaining(groups: DataFrame, labels: DataFrame, rows: DataFrame, settings: Settings, n: int | None = None) -> DataFrame:
     """Links between components inside groups of three and more, compared exactly block against block."""
     named = groups.select("band", "node").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     mixed_groups = named.groupBy("band").agg(F.count(F.lit(1)).alias("size"), F.min("label").alias("low"), F.max("label").alias("high"),
@@ -369,7 +369,7 @@ def remaining(groups: DataFrame, labels: DataFrame, rows: DataFrame, settings: S
     open_groups = mixed_groups.filter("size > 2 AND low < high").groupBy("members", "size").agg(F.min("band").alias("band"))
     numbered = named.join(open_groups.select("band", "size"), "band").withColumn(
         "block", F.floor(F.rand(5) * F.ceil(F.col("size") / settings.block)))
-    numbered = stored(numbered, "near-blocks")  # the drawn blocks must not change
+    numbered = stored(numbered, "near-blocks", n)  # the drawn blocks must not change
     blocks = F.ceil(F.col("size") / settings.block)
     pair = lambda x: F.struct(F.least("block", x).alias("i"), F.greatest("block", x).alias("j"))
     dealt = numbered.withColumn("p", F.explode(F.transform(F.sequence(F.lit(0), blocks - 1), lambda x: pair(x.cast("long")))))
@@ -387,18 +387,19 @@ def remaining(groups: DataFrame, labels: DataFrame, rows: DataFrame, settings: S
 def classes(docs: DataFrame, settings: Settings = Settings(), text: str = "text") -> DataFrame:
     """(node, label) for texts that are near others; ``digest`` of a text is its node, and its own label where it is not listed."""
     texts = docs.select(F.col(text).alias("text"), digest(F.col(text)).alias("node"))
-    weights = Weights(*frequent_shingles(texts, texts.count(), settings))
-    signs = stored(signed(texts, weights, settings), "near-signs")
+    n = texts.count()
+    weights = Weights(*frequent_shingles(texts, n, settings))
+    signs = stored(signed(texts, weights, settings), "near-signs", n)
     per_band = signs.select("node", F.explode("bands").alias("band")).distinct()
     several = per_band.groupBy("band").agg(F.count(F.lit(1)).alias("size")).filter("size > 1").select("band")
-    groups = stored(per_band.join(several, "band"), "near-groups")
+    groups = stored(per_band.join(several, "band"), "near-groups", n)
     wanted = groups.select("node").distinct()
     kept = signs.join(wanted, "node").dropDuplicates(["node"]).select("node", "samples", "elements", "weights")
-    rows = stored(kept, "near-rows")
-    links = stored(verified(candidates(groups.join(rows.select("node", "samples"), "node"), settings), rows, settings), "near-links")
-    labels = components(links)
-    more = stored(remaining(groups, labels, rows, settings), "near-more")
-    return labels if more.isEmpty() else components(links.union(more))
+    rows = stored(kept, "near-rows", n)
+    links = stored(verified(candidates(groups.join(rows.select("node", "samples"), "node"), settings), rows, settings), "near-links", n)
+    labels = components(links, n)
+    more = stored(remaining(groups, labels, rows, settings, n), "near-more", n)
+    return labels if more.isEmpty() else components(links.union(more), n)
 
 
 def near_duplicates(docs: DataFrame, settings: Settings = Settings(), key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -407,7 +408,7 @@ def near_duplicates(docs: DataFrame, settings: Settings = Settings(), key: str =
     ids = docs.select(F.col(key).alias("key"), digest(F.col(text)).alias("node"))
     known = ids.join(labels, "node", "left").select("key", F.coalesce("label", "node").alias("label"))
     # Stored, so that the join below deals both sides anew and a large class can be split.
-    per = stored(known.groupBy("label").agg(F.min("key").alias("class_id"), F.count(F.lit(1)).alias("class_size")), "near-classes")
+    per = stored(known.groupBy("label").agg(F.min("key").alias("class_id"), F.count(F.lit(1)).alias("class_size")), "near-classes", docs.count())
     return known.join(per, "label").select(F.col("key").alias(key), "class_id", "class_size")
 
 

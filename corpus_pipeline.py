@@ -67,14 +67,15 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     # Rows that repeat an id and its text are one document, of their least source.
     sizes = rows.select(key, "source", mixing.word_count(F.col("text")).alias("size")).groupBy(key).agg(
         F.min("source").alias("source"), F.max("size").alias("size"), F.count("*").alias("n"))
-    sizes = stored(sizes, "pipeline-sizes")
+    n = docs.count()
+    sizes = stored(sizes, "pipeline-sizes", n)
     # Written by themselves: as few as they are, they are broadcast, and texts that stand alone stay where they are.
-    repeated = stored(sizes.filter("n > 1").select(F.col(f"{key}.id").alias("id"), F.col(f"{key}.version").alias("version")), "pipeline-repeated")
+    repeated = stored(sizes.filter("n > 1").select(F.col(f"{key}.id").alias("id"), F.col(f"{key}.version").alias("version")), "pipeline-repeated", n)
     again = rows[key]["id"].eqNullSafe(repeated["id"]) & (rows[key]["version"] == repeated["version"])
     first = Window.partitionBy(key).orderBy(F.xxhash64(*(rows[c] for c in docs.columns)))  # which of them is met does not matter
     others = rows.join(repeated, again, "left_semi").withColumn(once, F.row_number().over(first)).filter(F.col(once) == 1).drop(once)
     rows = rows.join(repeated, again, "left_anti").unionByName(others)
-    mixed = mixing.mix(sizes, key=key, size=F.col("size")).filter("copies > 0").select(f"{key}.id", f"{key}.version", "times")
+    mixed = mixing.mix(sizes, key=key, size=F.col("size"), rows=n).filter("copies > 0").select(f"{key}.id", f"{key}.version", "times")
     met = rows.join(mixed, rows[key]["version"].eqNullSafe(mixed["version"]) & rows[key]["id"].eqNullSafe(mixed["id"]))
     copies = met.select(*(met[c] for c in docs.columns), F.posexplode("times").alias(copy, time))
     return copies.repartitionByRange(time, "doc_id", copy).sortWithinPartitions(time, "doc_id", copy)

@@ -13,9 +13,10 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from alluvia.llm import decontamination, maxent, mixing, near_dedup, toxicity
+from alluvia.llm import decontamination, maxent, mixing, near_dedup, store, toxicity
 from alluvia.llm.queries import QUERIES
-from alluvia.llm.store import stored
+from alluvia.llm.store import LEAST_TASKS, stored
+from tests.conf import settings
 
 WORD = re.compile("[^\x20\x09-\x0d]+")
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -105,6 +106,20 @@ def test_frequent_shingles_are_exact(llm):
     assert len(hashes) == 3 and np.allclose(weights, math.log(1 + 100 / 40) / math.log(1 + 1 / 0.1)) and weights[0] > 0.5
 
 
+def test_small_intermediates_are_few_files(llm, tmp_path, monkeypatch):
+    """A task costs its files, however wide the shuffles before it are."""
+    rng = random.Random(5)
+    base = prose(rng, 120)
+    rows = [(i, base + f" end{i}" if i % 3 else prose(rng, 60)) for i in range(300)]
+    docs = llm.createDataFrame(rows, "doc_id bigint, text string").repartition(40)
+    monkeypatch.setattr(store, "shared_folder", lambda spark, purpose: f"{tmp_path}/{len(list(tmp_path.iterdir()))}-{purpose}")
+    with settings(llm, {"spark.sql.shuffle.partitions": "64", "spark.sql.adaptive.coalescePartitions.enabled": "false"}):
+        classes = {r.doc_id: r.class_id for r in near_dedup.near_duplicates(docs).collect()}
+    assert len(classes) == 300 and {classes[i] for i in range(300) if i % 3} == {1}
+    written = Counter(p.parent.name for p in tmp_path.rglob("*.parquet"))
+    assert written and max(written.values()) <= LEAST_TASKS
+
+
 # -- decontamination ---------------------------------------------------------------------------
 
 ITEM = "A farmer named Anna has 12 apples and gives 5 kg of pears to her friend Tom who lives in old Berlin near the river"
