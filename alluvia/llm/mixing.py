@@ -8,7 +8,8 @@ Every source has a base weight and a schedule: its share of the mix changes line
   A target of ``q`` times the source's size is ``floor(q)`` whole passes and a last one that ends where the target is reached;
   the document across that point is in when most of it lies before, so a source misses its target by less than one document.
 * Positions. The integral of a source's schedule, divided by its target, is its cumulative demand; inverting it at the offset of
-  each copy gives the time in [0, 1) at which training meets the copy. ``curriculum`` range-sorts the copies by that time.
+  each copy gives the time in [0, 1) at which training meets the copy. ``in_training_order`` range-sorts the copies by that time: that is
+  the mix, and the query's figures are counted in it.
 
 Running sums never put a source into one task: documents are dealt by hash into ``slices`` per source, the slices are summed
 first, and the running sum inside a slice starts from the sum of the slices before. A source's slices are as many as its
@@ -90,14 +91,15 @@ def moment(share: Column, slope: Column) -> Column:
 
 def mix(docs: DataFrame, plan: Curriculum = Curriculum(), key: str = "doc_id", text: str = "text", source: str = "source",
         per_slice: int = PER_SLICE, size: Column | None = None, rows: int | None = None) -> DataFrame:
-    """One row per document: its key, size, source_size, target, taken, copies and the times of its copies.
+    """One row per document: its key, size, source_size, target, taken, copies, the times of its copies, and a number of its row.
 
     ``size`` is the number of words where it is known already; the texts are then not needed. ``rows`` is the number of rows, likewise.
     """
     digest = F.md5(F.coalesce(F.col(key).cast("string"), F.lit("")).cast("binary"))
     sized = stored(docs.select(
         F.col(key).alias("key"), F.col(source).alias("source"), (word_count(F.col(text)) if size is None else size).alias("size"),
-        F.conv(F.substring(digest, 1, 15), 16, 10).cast("long").alias("order")), "mix-sizes", rows)  # texts are read once
+        F.conv(F.substring(digest, 1, 15), 16, 10).cast("long").alias("order"),
+        F.monotonically_increasing_id().alias("row")), "mix-sizes", rows)  # texts are read once
     fine = F.shiftright("order", 40)  # the first 20 of 60 bits
     stats = sized.groupBy("source").agg(F.sum("size").alias("source_size"), F.count(F.lit(1)).alias("n_docs"))
     plan_rows = targets(stats, plan).withColumn("slices", F.least(F.lit(1 << 20), F.ceil(F.col("n_docs") / per_slice)).cast("long"))
@@ -106,7 +108,7 @@ def mix(docs: DataFrame, plan: Curriculum = Curriculum(), key: str = "doc_id", t
     per = sliced.groupBy("rank", "slice").agg(F.sum("size").alias("slice_size"))
     running = Window.partitionBy("rank").orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
     starts = per.select("rank", "slice", F.coalesce(F.sum("slice_size").over(running), F.lit(0)).alias("slice_start"))
-    inside = Window.partitionBy("rank", "slice").orderBy("order", "key", "size").rowsBetween(Window.unboundedPreceding, -1)
+    inside = Window.partitionBy("rank", "slice").orderBy("order", "key", "size", "row").rowsBetween(Window.unboundedPreceding, -1)
     placed = (
         sliced.withColumn("before", F.coalesce(F.sum("size").over(inside), F.lit(0)))
         .join(starts, ["rank", "slice"])
@@ -122,19 +124,31 @@ def mix(docs: DataFrame, plan: Curriculum = Curriculum(), key: str = "doc_id", t
         lambda p: moment(F.least(F.lit(1.0), (F.col("offset") + p * F.col("source_size")) / F.col("target")), F.col("slope")),
     )).otherwise(F.array().cast("array<double>"))
     return taken.select(F.col("key").alias(key), "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"),
-                        "copies", times.alias("times"))
+                        "copies", times.alias("times"), "row")
+
+
+def in_training_order(mixed: DataFrame, key: str = "doc_id", unmet: bool = False) -> DataFrame:
+    """Rows of ``mix``, one for each copy, range-sorted by time, so that files hold the training order.
+
+    ``unmet`` also keeps the documents that training does not meet, once each and before all others, without ``copy`` and ``time``.
+    """
+    made = F.posexplode_outer("times") if unmet else F.posexplode("times")
+    copies = mixed.select(*[c for c in mixed.columns if c != "times"], made.alias("copy", "time"))
+    order = ["time", key, "copy", "row"]
+    return copies.repartitionByRange(*order).sortWithinPartitions(*order)
 
 
 def curriculum(docs: DataFrame, plan: Curriculum = Curriculum(), key: str = "doc_id", text: str = "text",
                source: str = "source") -> DataFrame:
-    """The mix itself: (key, copy, time) of every copy, range-sorted by time, so that files hold the training order."""
-    copies = mix(docs, plan, key, text, source).select(key, F.posexplode("times").alias("copy", "time"))
-    return copies.repartitionByRange("time", key, "copy").sortWithinPartitions("time", key, "copy")
+    """The mix itself: (key, copy, time) of every copy in training order."""
+    return in_training_order(mix(docs, plan, key, text, source), key).select(key, "copy", "time")
 
 
 def op6_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mix(table(spark, sf_dir, "documents")).select(
-        "doc_id", "size", "source_size", "target", "taken", "copies", F.round(F.get("times", F.lit(0)), 6).alias("first_time"))
+    order = stored(in_training_order(mix(table(spark, sf_dir, "documents")).drop("taken", "copies"), unmet=True), "mix-order")
+    met = order.groupBy("row", "doc_id", "size", "source_size", "target").agg(
+        F.count("copy").cast("int").alias("copies"), F.round(F.min("time"), 6).alias("first_time"))
+    return met.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"), "copies", "first_time")
 
 
 OP6_SQL = """

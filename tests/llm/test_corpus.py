@@ -321,6 +321,20 @@ def test_stages_take_odd_tables(llm, odd, nothing, small):
             docs = stored(made, f"test-{name}")
 
 
+def test_query_counts_the_mix_in_training_order(llm, small, tmp_path, monkeypatch):
+    """What the query says of a document is what the written training order holds."""
+    monkeypatch.setattr(mixing, "stored", lambda df, purpose, rows=None: df.write.parquet(f"{tmp_path}/{purpose}") or llm.read.parquet(f"{tmp_path}/{purpose}"))
+    told = {r.doc_id: (r.copies, r.taken, r.first_time) for r in QUERIES["op6_source_mixing"](llm, small).collect()}
+    parts = sorted((tmp_path / "mix-order").glob("*.parquet"))
+    files = [[(r.time, r.doc_id, r.copy, r.size) for r in llm.read.parquet(str(p)).collect()] for p in parts]
+    met = [row for rows in files for row in rows if row[0] is not None]
+    assert met == sorted(met) and len(met) == sum(c for c, _, _ in told.values()) > 100
+    again = defaultdict(list)
+    for time, doc, _, size in met:
+        again[doc].append((time, size))
+    assert told == {d: (len(again[d]), sum(s for _, s in again[d]), round(min(again[d])[0], 6) if again[d] else None) for d in told}
+
+
 def test_repeated_rows_are_mixed_once(llm, small):
     """Five equal rows are one document: its source takes what it should, and no row is met more often than it may be."""
     rng = random.Random(3)
