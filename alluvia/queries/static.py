@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from alluvia.config import LakeConfig
 from alluvia.operators import static_data
 from alluvia.plans import dimensions
-from alluvia.queries.registry import query, table
+from alluvia.queries.registry import query, spread, table
 from alluvia.schemas import STATIC_DATA
 from alluvia.session import shared_folder
 from alluvia.sinks.messages import write_csv
@@ -71,7 +71,7 @@ def static_documents(spark, folder):
     body = F.to_json(F.struct(
         F.create_map(size.cast("string"), members, F.lit("mutators"), members).alias("sets"), items.alias("items")
     ))
-    texts = table(spark, folder, "part").select(body.alias("body"))
+    texts = spread(spark, folder, "part", "p_partkey").select(body.alias("body"))
     return texts.select(F.from_json("body", STATIC_DATA).alias("d")).select("d.*")
 
 

@@ -5,7 +5,10 @@ from pyspark.sql import functions as F
 from alluvia.functions import row_hash
 from alluvia.operators import changes, nested, profile, reports, rows, static_data
 from alluvia.operators.league import summoner_rows
+from alluvia.queries import registry
+from alluvia.queries import static as static_queries
 from alluvia.schemas import MATCH_DOCUMENT, STATIC_DATA
+from tests.conftest import SMALL
 
 
 def plan(df):
@@ -218,3 +221,15 @@ def test_sorting_spreads_exact_copies(spark):
         assert max(s["count"] for s in sizes) < 20_000
     mixed = spark.createDataFrame([(3, "c"), (1, "b"), (1, "a"), (2, "z")], "n int, t string")
     assert [tuple(r) for r in reports.sorted_rows(mixed, ["n"]).collect()] == [(1, "a"), (1, "b"), (2, "z"), (3, "c")]
+
+
+def test_documents_are_made_by_many_tasks(spark):
+    """A narrow table is one split of a scan; its documents are not the work of one task."""
+    made = static_queries.static_documents(spark, SMALL)
+    assert made.rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism > 1
+    assert made.count() == spark.read.parquet(f"{SMALL}/part.parquet").count()
+
+
+def test_spread_follows_the_size(spark, tmp_path):
+    spark.range(3000).select("id", F.sha2(F.col("id").cast("string"), 256).alias("h")).write.parquet(f"{tmp_path}/t.parquet")
+    assert registry.spread(spark, str(tmp_path), "t", "id", task_bytes=1024).rdd.getNumPartitions() > 100
