@@ -22,6 +22,11 @@ def publish_messages(messages: DataFrame, broker: Mapping[str, str], topic: str)
 
 def write_csv(df: DataFrame, path: str, order: Sequence[str] = ()) -> str:
     """CSV with header, globally sorted across its part files; embedded quotes are doubled."""
-    rows = sorted_rows(df, order) if order else df
-    rows.write.mode("overwrite").option("header", "true").option("escape", '"').csv(path)
+    kept = df.persist() if order else df  # a global sort reads its rows twice: first for the bounds of its ranges
+    try:
+        rows = sorted_rows(kept, order) if order else kept
+        rows.write.mode("overwrite").option("header", "true").option("escape", '"').csv(path)
+    finally:
+        if order:
+            kept.unpersist()
     return path

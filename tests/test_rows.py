@@ -8,6 +8,7 @@ from alluvia.operators.league import summoner_rows
 from alluvia.queries import registry
 from alluvia.queries import static as static_queries
 from alluvia.schemas import MATCH_DOCUMENT, STATIC_DATA
+from alluvia.sinks.messages import write_csv
 from tests.conftest import SMALL
 
 
@@ -233,3 +234,11 @@ def test_documents_are_made_by_many_tasks(spark):
 def test_spread_follows_the_size(spark, tmp_path):
     spark.range(3000).select("id", F.sha2(F.col("id").cast("string"), 256).alias("h")).write.parquet(f"{tmp_path}/t.parquet")
     assert registry.spread(spark, str(tmp_path), "t", "id", task_bytes=1024).rdd.getNumPartitions() > 100
+
+
+def test_sorted_csv_makes_its_rows_once(spark, tmp_path):
+    made = spark.sparkContext.accumulator(0)
+    seen = F.udf(lambda x: made.add(1) or x, "long").asNondeterministic()
+    write_csv(spark.range(500).select(seen("id").alias("id")), f"{tmp_path}/out.csv", ["id"])
+    assert made.value == 500
+    assert spark.read.option("header", "true").csv(f"{tmp_path}/out.csv").count() == 500
