@@ -55,12 +55,16 @@ def compact_table(spark, folder):
 
 @query("compact_incremental", "SELECT * FROM lineitem")
 def compact_incremental(spark, folder):
-    """One large file and many small ones: only the small ones are packed."""
+    """Large files and many small ones: only the small ones are packed. What is large follows the table's size, up to a bound, and beyond
+    it the number of files does; no task reads more than four times the target."""
     path = f"{shared_folder(spark, 'incremental')}/t"
-    rows = table(spark, folder, "lineitem")
-    rows.filter("l_returnflag = 'N'").coalesce(1).write.parquet(path)
-    rows.filter("l_returnflag <> 'N'").repartition(24).write.mode("append").parquet(path)
-    compaction.compact_incremental(spark, path, layout.MEGABYTE // 4)
+    size = layout.listing(spark, f"{folder}/lineitem.parquet").bytes
+    target = min(64 * layout.MEGABYTE, max(layout.MEGABYTE // 4, size // 40))
+    rows = table(layout.packing_session(spark, 4 * target), folder, "lineitem")
+    rows.filter("l_returnflag = 'N'").write.parquet(path)
+    small = max(24, -(-5 * size // (2 * target)))  # so that a target holds two and more
+    table(spark, folder, "lineitem").filter("l_returnflag <> 'N'").repartition(small).write.mode("append").parquet(path)
+    compaction.compact_incremental(spark, path, target)
     return spark.read.parquet(path)
 
 

@@ -2,6 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from alluvia.operators import layout
+from alluvia.queries import maintenance as maintenance_queries
 from alluvia.schemas import INT, STRING, record
 from alluvia.sinks import catalog, compaction, tables
 from alluvia.sinks.upserts import UpsertTable
@@ -301,3 +302,15 @@ def test_packing_keeps_folders_and_survives_a_crash(spark, here):
     assert {(r.part, r.word): r["count"] for r in table.groupBy("part", "word").count().collect()} == {(0, "a b"): 150, (1, "a b"): 150}
     finish(spark, f"{here}/p")
     assert compaction.compact_incremental(spark, f"{here}/p", partition_by=["part", "word"]) == 0
+
+
+def test_large_files_are_not_one_task(spark, tmp_path):
+    """The query's large files are as many as the table is large; the small ones are packed among themselves."""
+    rows = spark.read.parquet("/root/testdata/sf0.1/lineitem.parquet")
+    rows.repartition(12).write.parquet(f"{tmp_path}/lineitem.parquet")
+    made = maintenance_queries.compact_incremental(spark, str(tmp_path))
+    assert made.count() == rows.count()
+    files = made.groupBy(F.col("_metadata.file_path").alias("f"), (F.col("l_returnflag") == "N").alias("n")).count().collect()
+    large, packed = ([r for r in files if r.n is n] for n in (True, False))
+    assert len({r.f for r in files}) == len(files)  # a file that was large is not rewritten
+    assert 1 < len(large) <= 12 and 1 < len(packed) < 60  # of 100
