@@ -13,6 +13,7 @@ from pyspark.sql import types as T
 
 MEGABYTE = 1024 * 1024
 TARGET_BYTES = 256 * MEGABYTE
+TASK_BYTES = 192 * MEGABYTE  # rows that one task sorts, unpacked: Parquet may hold ten times as many in a file of the target size
 MOST_BITS = 8  # fixed value: a rank is a CASE tree of up to 2**bits - 1 comparisons, which code generation must bear
 
 
@@ -207,8 +208,26 @@ class RankColumn:
         return F.col(self.column)
 
 
-def files_for(spark: SparkSession, location: str, target_bytes: int = TARGET_BYTES) -> int:
-    return max(1, -(-listing(spark, location).bytes // target_bytes))
+def unpacked_bytes(rows: DataFrame) -> int:
+    """What all rows take in memory, about: eight bytes a column, and texts, binaries and nested columns as long as they are."""
+    def long(f: T.StructField) -> Column:
+        plain = isinstance(f.dataType, (T.StringType, T.BinaryType))
+        return F.coalesce(F.octet_length(F.col(f"`{f.name}`") if plain else F.to_json(F.struct(F.col(f"`{f.name}`")))).cast("long"), F.lit(0))
+
+    fixed = (T.NumericType, T.BooleanType, T.DateType, T.TimestampType, T.TimestampNTZType, T.NullType)
+    sums = [F.coalesce(F.sum(long(f)), F.lit(0)) for f in rows.schema.fields if not isinstance(f.dataType, fixed)]
+    row = rows.agg(F.count("*") * (8 * len(rows.columns)), *sums).first()
+    return int(sum(row))
+
+
+def files_for(
+    spark: SparkSession, location: str, target_bytes: int = TARGET_BYTES, rows: DataFrame | None = None, task_bytes: int = TASK_BYTES
+) -> int:
+    """Files of about ``target_bytes``; of ``rows`` that are given, also so many that a task sorts no more than about ``task_bytes`` of them."""
+    files = -(-listing(spark, location).bytes // target_bytes)
+    if rows is not None:
+        files = max(files, -(-unpacked_bytes(rows) // task_bytes))
+    return max(1, files)
 
 
 def clusterable(df: DataFrame, columns: Sequence[str]) -> list[str]:

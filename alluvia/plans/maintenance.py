@@ -36,7 +36,7 @@ def optimize_table(
     rows = spark.read.parquet(source)
     columns = clusterable(rows, cluster_by)
     if columns:
-        write_new(zorder(rows, columns, files_for(spark, source, target_bytes)), target)
+        write_new(zorder(rows, columns, files_for(spark, source, target_bytes, rows)), target)
     else:
         compact(spark, source, target, target_bytes)
     return compare_stats(table_stats(spark, source), table_stats(spark, target))
@@ -78,7 +78,7 @@ def optimize_bronze(
                 target = f"{home}/upto={upto:020d}"
                 settled = rows.filter(F.col("processed_ts") <= F.timestamp_micros(F.lit(upto)))
                 columns = clusterable(settled, plan.cluster_by)
-                write_new(zorder(settled, columns, files_for(spark, paths.data, target_bytes)) if columns else settled, target)
+                write_new(zorder(settled, columns, files_for(spark, paths.data, target_bytes, settled)) if columns else settled, target)
                 report = compare_stats(table_stats(spark, paths.data), table_stats(spark, home))
                 outcome.reports[plan.table] = report.first().asDict()  # a single row
                 outcome.optimized.append(plan.table)

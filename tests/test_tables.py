@@ -314,3 +314,15 @@ def test_large_files_are_not_one_task(spark, tmp_path):
     large, packed = ([r for r in files if r.n is n] for n in (True, False))
     assert len({r.f for r in files}) == len(files)  # a file that was large is not rewritten
     assert 1 < len(large) <= 12 and 1 < len(packed) < 60  # of 100
+
+
+def test_files_follow_what_a_task_sorts(spark, tmp_path):
+    """Text that Parquet packs to almost nothing is as long as ever in the memory of the task that sorts it."""
+    path = f"{tmp_path}/t"
+    same = spark.range(20_000, numPartitions=1).select("id", F.repeat(F.lit("same "), 100).alias("text"), F.array(F.lit("x"), F.lit(None)).alias("a"))
+    same.write.parquet(path)
+    rows = spark.read.parquet(path)
+    assert layout.listing(spark, path).bytes < layout.MEGABYTE
+    assert layout.files_for(spark, path, layout.MEGABYTE) == layout.files_for(spark, path, layout.MEGABYTE, rows) == 1
+    assert 10 <= layout.files_for(spark, path, layout.MEGABYTE, rows, task_bytes=layout.MEGABYTE) < 20
+    assert layout.files_for(spark, path, layout.MEGABYTE, rows.filter("id < 0"), layout.MEGABYTE) == 1
