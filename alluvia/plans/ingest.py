@@ -9,11 +9,16 @@ from alluvia.operators import envelope, league, nested
 from alluvia.schemas import SUMMONER
 
 
+def header_messages(documents: DataFrame) -> DataFrame:
+    """The messages on matches alone; documents that were parsed without their participants do."""
+    return envelope.to_messages(nested.match_rows(documents), envelope.match_key(), F.current_timestamp())
+
+
 def match_messages(documents: DataFrame) -> dict[str, DataFrame]:
     """The three message sets of parsed match documents, by message table."""
     now = F.current_timestamp()
     return {
-        "match": envelope.to_messages(nested.match_rows(documents), envelope.match_key(), now),
+        "match": header_messages(documents),
         "participant": envelope.to_messages(nested.participant_rows(documents), envelope.participant_key(), now),
         "unit": envelope.to_messages(nested.unit_rows(documents), envelope.unit_key(), now),
     }

@@ -13,7 +13,7 @@ from alluvia.operators import nested
 from alluvia.plans import bronze, ingest, maintenance, silver
 from alluvia.plans.tables import APPENDS, HISTORIES, MESSAGE_TABLES
 from alluvia.queries.nested import league_responses, match_documents
-from alluvia.queries.registry import query, table
+from alluvia.queries.registry import query, spread, table
 from alluvia.session import shared_folder
 from alluvia.sinks.messages import write_message_files
 from alluvia.sinks.tables import load_appended
@@ -48,7 +48,17 @@ class Delivery:
 
 
 def match_messages(orders):
-    return ingest.match_messages(nested.parse_match_documents(match_documents(orders)))
+    """Messages on matches; the participants in the documents are passed over."""
+    return ingest.header_messages(nested.parse_match_documents(match_documents(orders), header_only=True))
+
+
+def participant_messages(orders):
+    return ingest.match_messages(nested.parse_match_documents(match_documents(orders)))["participant"]
+
+
+def order_rows(spark, folder):
+    """Orders in tasks of about 60,000, as each becomes a document."""
+    return spread(spark, folder, "orders", "o_orderkey", 1024 * 1024)
 
 
 @query("lake_bronze_matches", """
@@ -58,7 +68,7 @@ def match_messages(orders):
     FROM orders""")
 def lake_bronze_matches(spark, folder):
     lake = Delivery(spark)
-    lake.deliver("match", match_messages(table(spark, folder, "orders"))["match"])
+    lake.deliver("match", match_messages(order_rows(spark, folder)))
     rows = spark.read.parquet(lake.config.paths("bronze", MESSAGE_TABLES["match"].table).data)
     return rows.select("message_key", "match_id", "gameId", "game_datetime", "game_length", "tft_game_type")
 
@@ -77,13 +87,13 @@ def lake_bronze_matches(spark, folder):
            2024 AS "year", 2 AS "month", CAST(day(effective_date) AS INTEGER) AS "day"
     FROM opened""")
 def lake_match_history(spark, folder):
-    lake, orders = Delivery(spark), table(spark, folder, "orders")
-    lake.deliver("match", match_messages(orders)["match"], FIRST)
+    lake, orders = Delivery(spark), order_rows(spark, folder)
+    lake.deliver("match", match_messages(orders), FIRST)
     changed = F.col("o_orderkey") % 5 == 0
     again = orders.filter(changed | (F.col("o_orderkey") % 7 == 0)).withColumn(
         "o_orderstatus", F.when(changed, "X").otherwise(F.col("o_orderstatus"))
     )
-    lake.deliver("match", match_messages(again)["match"], SECOND)
+    lake.deliver("match", match_messages(again), SECOND)
     history = silver.history_table(spark, lake.config, "match").read()
     return history.select(
         "match_id", "gameId", "game_datetime", "game_length", "game_version", "tft_game_type", "tft_set_core_name", "tft_set_number",
@@ -100,7 +110,7 @@ def lake_match_history(spark, folder):
 def lake_participants(spark, folder):
     """Every message is delivered twice; the micro-batch keeps one of each."""
     lake = Delivery(spark)
-    messages = match_messages(table(spark, folder, "orders"))["participant"]
+    messages = participant_messages(order_rows(spark, folder))
     lake.deliver("participant", messages.withColumn("_copy", F.explode(F.array(F.lit(1), F.lit(2)))).drop("_copy"), FIRST)
     rows = load_appended(spark, lake.config.paths("silver", APPENDS["participant"].table).data)
     return rows.select(
@@ -156,14 +166,14 @@ def lake_summoner_history(spark, folder):
     FROM orders WHERE o_orderkey % 5 = 0 OR o_orderkey % 7 = 0""")
 def lake_optimized(spark, folder):
     """The bronze table as the catalog shows it: optimized after the first delivery, with the second read from where it fell."""
-    lake, orders = Delivery(spark, "alluvia_optimized"), table(spark, folder, "orders")
-    lake.deliver("match", match_messages(orders)["match"])
+    lake, orders = Delivery(spark, "alluvia_optimized"), order_rows(spark, folder)
+    lake.deliver("match", match_messages(orders))
     outcome = maintenance.optimize_bronze(spark, lake.config, ["match"])
     if outcome.failed:
         raise RuntimeError(outcome.failed)
     changed = F.col("o_orderkey") % 5 == 0
     again = orders.filter(changed | (F.col("o_orderkey") % 7 == 0)).withColumn(
         "o_orderstatus", F.when(changed, "X").otherwise(F.col("o_orderstatus")))
-    lake.deliver("match", match_messages(again)["match"])
+    lake.deliver("match", match_messages(again))
     bronze.register_bronze(spark, lake.config)  # this session has listed the files before, as of any external table
     return spark.table(lake.config.paths("bronze", MESSAGE_TABLES["match"].table).name).select("match_id", "gameId", "tft_game_type")

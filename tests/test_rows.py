@@ -5,8 +5,10 @@ from pyspark.sql import functions as F
 from alluvia.functions import row_hash
 from alluvia.operators import changes, nested, profile, reports, rows, static_data
 from alluvia.operators.league import summoner_rows
-from alluvia.queries import registry
+from alluvia.plans import ingest
+from alluvia.queries import lake, registry
 from alluvia.queries import static as static_queries
+from alluvia.queries.nested import match_documents
 from alluvia.schemas import MATCH_DOCUMENT, STATIC_DATA
 from alluvia.sinks.messages import write_csv
 from tests.conftest import SMALL
@@ -242,3 +244,13 @@ def test_sorted_csv_makes_its_rows_once(spark, tmp_path):
     write_csv(spark.range(500).select(seen("id").alias("id")), f"{tmp_path}/out.csv", ["id"])
     assert made.value == 500
     assert spark.read.option("header", "true").csv(f"{tmp_path}/out.csv").count() == 500
+
+
+def test_match_documents_are_made_by_many_tasks(spark):
+    orders = lake.order_rows(spark, SMALL)
+    assert orders.rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism > 1
+    assert orders.exceptAll(spark.read.parquet(f"{SMALL}/orders.parquet")).isEmpty()
+    messages = lake.match_messages(orders)
+    assert plan(messages).count("from_json(") == 1
+    whole = ingest.match_messages(nested.parse_match_documents(match_documents(orders)))["match"]
+    assert messages.select("key", "value").exceptAll(whole.select("key", "value")).isEmpty() and messages.count() == whole.count()
