@@ -29,6 +29,7 @@ from pyspark.sql import types as T
 
 from alluvia.llm.store import stored
 from alluvia.llm.words import Words, mixed, text_batches
+from alluvia.llm.workers import small_batches
 from alluvia.queries.registry import table
 
 
@@ -386,6 +387,11 @@ def remaining(groups: DataFrame, labels: DataFrame, rows: DataFrame, settings: S
 
 def classes(docs: DataFrame, settings: Settings = Settings(), text: str = "text") -> DataFrame:
     """(node, label) for texts that are near others; ``digest`` of a text is its node, and its own label where it is not listed."""
+    with small_batches(docs.sparkSession):  # rows with the elements of two texts are long
+        return _classes(docs, settings, text)
+
+
+def _classes(docs: DataFrame, settings: Settings, text: str) -> DataFrame:
     texts = docs.select(F.col(text).alias("text"), digest(F.col(text)).alias("node"))
     n = texts.count()
     weights = Weights(*frequent_shingles(texts, n, settings))

@@ -1,7 +1,8 @@
-"""Python workers find this package."""
+"""Python workers find this package and get their rows in small batches."""
 
 from __future__ import annotations
 
+from contextlib import contextmanager
 from pathlib import Path
 
 from pyspark.sql import SparkSession
@@ -18,3 +19,23 @@ def reachable(spark: SparkSession) -> SparkSession:
     if root not in known:
         environment["PYTHONPATH"] = ":".join([root, *known])
     return spark
+
+
+#: Fixed value: bytes of rows that pass to a Python worker at once.
+BATCH_BYTES = 4 << 20
+
+
+@contextmanager
+def small_batches(spark: SparkSession):
+    """Inside the block, tasks hand rows to Python workers in Arrow batches of about ``BATCH_BYTES``, a larger row by itself.
+
+    A task holds a batch as vectors, once more as a stream (both outside the heap, in buffers that double) and again in its worker: with
+    Spark's 64 MB that is several hundred MB. For work that ends inside the block; the session's own setting holds again after it.
+    """
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    earlier = spark.conf.get(name)
+    spark.conf.set(name, str(BATCH_BYTES))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, earlier)

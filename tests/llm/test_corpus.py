@@ -9,11 +9,12 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from alluvia.llm import decontamination, maxent, mixing, near_dedup, store, toxicity
+from alluvia.llm import decontamination, maxent, mixing, near_dedup, store, toxicity, workers
 from alluvia.llm.queries import QUERIES
 from alluvia.llm.store import LEAST_TASKS, stored
 from tests.conf import settings
@@ -120,6 +121,43 @@ def test_small_intermediates_are_few_files(llm, tmp_path, monkeypatch):
     assert written and max(written.values()) <= LEAST_TASKS
 
 
+BATCH = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+def test_near_copies_pass_in_small_batches(llm, monkeypatch):
+    """Every step that writes runs with small batches; their size changes no class, and the session's setting comes back."""
+    rng = random.Random(6)
+    bases = [prose(rng, 300) for _ in range(6)]
+    rows = [(i, bases[i % 6] + f" end{i}" if i % 4 else prose(rng, 80)) for i in range(240)]
+    docs, seen = llm.createDataFrame(rows, "doc_id bigint, text string").repartition(3), []
+
+    def watched(df, purpose, rows=None):
+        seen.append(int(df.sparkSession.conf.get(BATCH).rstrip("b")))
+        return stored(df, purpose, rows)
+
+    monkeypatch.setattr(near_dedup, "stored", watched)
+    found = []
+    with settings(llm, {BATCH: "32000000b"}):
+        for size in (workers.BATCH_BYTES, 3_000):  # the smaller cuts every group of candidates
+            monkeypatch.setattr(workers, "BATCH_BYTES", size)
+            seen.clear()
+            labels = near_dedup.classes(docs)
+            assert llm.conf.get(BATCH) == "32000000b" and seen and set(seen) == {size} and size <= 4 << 20
+            found.append({(r.node, r.label) for r in labels.collect()})
+    assert found[0] == found[1] and len({label for _, label in found[0]}) == 6 and len(found[0]) == 180
+
+
+def test_small_batches_bound_what_a_worker_gets(llm):
+    def sizes(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([b.num_rows]), pa.array([b.nbytes])], ["n", "size"])
+
+    wide = llm.range(0, 2_000, 1, 1).select(F.repeat(F.lit("abcdefgh"), 1_250).alias("text"))
+    with workers.small_batches(llm):
+        got = wide.mapInArrow(sizes, "n long, size long").collect()
+    assert sum(r.n for r in got) == 2_000 and max(r.size for r in got) < workers.BATCH_BYTES + 20_000
+
+
 # -- decontamination ---------------------------------------------------------------------------
 
 ITEM = "A farmer named Anna has 12 apples and gives 5 kg of pears to her friend Tom who lives in old Berlin near the river"
