@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from alluvia.llm.store import stored
-from alluvia.llm.words import Words, mixed, text_batches
+from alluvia.llm.words import SMALL_CHUNK_BYTES, Words, mixed, text_batches
 from alluvia.llm.workers import small_batches
 from alluvia.queries.registry import table
 
@@ -112,7 +112,7 @@ def frequent_shingles(texts: DataFrame, n: int, settings: Settings) -> tuple[np.
 
     def buckets(batches):
         counts = np.zeros(size, np.int64)
-        for (column,) in text_batches(batches, "text"):
+        for (column,) in text_batches(batches, "text", most=SMALL_CHUNK_BYTES):
             counts += np.bincount((shingles(column.to_pylist(), settings)[1] % np.uint64(size)).astype(np.int64), minlength=size)
         for at in range(0, size, part):
             if counts[at:at + part].any():
@@ -137,7 +137,7 @@ def frequent_shingles(texts: DataFrame, n: int, settings: Settings) -> tuple[np.
     def counted(batches):
         wanted = np.unpackbits(shared.value).astype(bool)
         keys, counts = np.zeros(0, np.uint64), np.zeros(0, np.int64)
-        for (column,) in text_batches(batches, "text"):
+        for (column,) in text_batches(batches, "text", most=SMALL_CHUNK_BYTES):
             h = shingles(column.to_pylist(), settings)[1]
             h = h[wanted[(h % np.uint64(size)).astype(np.int64)]]
             keys, inverse = np.unique(np.concatenate([keys, h]), return_inverse=True)
@@ -177,7 +177,7 @@ def signed(texts: DataFrame, weights: Weights, settings: Settings) -> DataFrame:
 
     def run(batches):
         sampler, idf, met = Sampler(settings.bands * settings.rows), shared.value, set()
-        for column, nodes in text_batches(batches, "text", "node"):
+        for column, nodes in text_batches(batches, "text", "node", most=SMALL_CHUNK_BYTES):
             kept = [(n, t) for n, t in zip(nodes.to_pylist(), column.to_pylist(), strict=True) if not (n in met or met.add(n))]
             if not kept:
                 continue

@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from alluvia.llm.words import Words, free_name, map_texts, mixed, span_hashes
+from alluvia.llm.words import SMALL_CHUNK_BYTES, Words, free_name, map_texts, mixed, span_hashes
 from alluvia.queries.registry import table
 
 #: Words of the windows that count as repeated when a text has them twice.
@@ -114,7 +114,7 @@ def ledger(docs: DataFrame, text: str = "text", keep: list[str] | None = None, i
     """The columns ``keep`` (all by default) and a struct ``into``: the measurements and ``fail_bits``."""
     fields = [T.StructField(m, T.LongType()) for m in MEASURES]
     hidden = free_name(docs, "_measured")
-    measured = map_texts(docs, text, measure, fields, hidden, keep)
+    measured = map_texts(docs, text, measure, fields, hidden, keep, SMALL_CHUNK_BYTES)
     return measured.withColumn(into, F.struct(f"{hidden}.*", fail_bits(rules, hidden).alias("fail_bits"))).drop(hidden)
 
 

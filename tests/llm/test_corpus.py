@@ -5,6 +5,7 @@ from __future__ import annotations
 import math
 import random
 import re
+import tracemalloc
 import zlib
 from collections import Counter, defaultdict
 
@@ -14,7 +15,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from alluvia.llm import decontamination, maxent, mixing, near_dedup, store, toxicity, workers
+from alluvia.llm import decontamination, maxent, mixing, near_dedup, quality, store, toxicity, workers
 from alluvia.llm.queries import QUERIES
 from alluvia.llm.store import LEAST_TASKS, stored
 from tests.conf import settings
@@ -147,6 +148,40 @@ def test_near_copies_pass_in_small_batches(llm, monkeypatch):
     assert found[0] == found[1] and len({label for _, label in found[0]}) == 6 and len(found[0]) == 180
 
 
+def test_workers_hold_small_arrays(llm, monkeypatch):
+    """What the pipeline's Python steps take for one Arrow batch of 4 MB, texts and results included."""
+    rng = random.Random(7)
+    texts = [prose(rng, 300) for _ in range(2_400)]
+    assert sum(map(len, texts)) > 3_500_000
+    docs = llm.createDataFrame([(i, texts[0] if i < 9 else t) for i, t in enumerate(texts[:60])], "node bigint, text string")
+    taken, real = {}, type(docs).mapInArrow
+
+    def watched(df, func, schema, *rest, **more):
+        taken.setdefault(func.__qualname__.split(".")[0] + " " + func.__name__ + f" {len(df.columns)}", func)
+        return real(df, func, schema, *rest, **more)
+
+    monkeypatch.setattr(type(docs), "mapInArrow", watched)
+    model = toxicity.learn(texts[:40], np.arange(40) % 2, toxicity.Settings(epochs=1))
+    weights = near_dedup.Weights(*near_dedup.frequent_shingles(docs, 60, near_dedup.Settings(rare=0.1)))
+    near_dedup.signed(docs, weights, near_dedup.Settings())
+    steps = dict(taken)
+    for name, made in (("quality", lambda: quality.ledger(docs)), ("toxicity", lambda: toxicity.score(docs, model))):
+        taken.clear()
+        made()
+        (steps[name],) = taken.values()
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts)), pa.int64()), pa.array(texts)], ["node", "text"])
+    assert len(steps) == 5
+    for name, step in steps.items():
+        for _ in step(iter([batch.slice(0, 30)])):  # what every worker holds once
+            pass
+        tracemalloc.start()
+        for _ in step(iter([batch])):
+            pass
+        peak = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        assert peak < 40_000_000, name
+
+
 def test_small_batches_bound_what_a_worker_gets(llm):
     def sizes(batches):
         for b in batches:
