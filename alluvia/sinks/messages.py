@@ -8,10 +8,13 @@ from pyspark.sql import DataFrame
 
 from alluvia.operators.reports import sorted_rows
 
+FILE_MESSAGES = 100_000  # fixed value: a packed file is read by one task, so this bounds the least work of a task
+
 
 def write_message_files(messages: DataFrame, path: str) -> str:
-    """Messages as JSON lines, readable by ``stream_messages``."""
-    messages.write.mode("append").json(path)
+    """Messages as JSON lines, readable by ``stream_messages``; packed, as every line repeats the names of all fields."""
+    writer = messages.write.mode("append").option("compression", "gzip").option("maxRecordsPerFile", str(FILE_MESSAGES))
+    writer.json(path)
     return path
 
 

@@ -1,4 +1,6 @@
+import os
 from datetime import datetime
+from glob import glob
 
 import pytest
 from pyspark.sql import functions as F
@@ -7,9 +9,11 @@ from alluvia.config import LakeConfig
 from alluvia.operators.envelope import decode_messages, match_key, participant_key, summoner_key, to_messages
 from alluvia.schemas import ITEMS_CSV, MATCH, TRAITS_CSV, record, STRING, INT
 from alluvia.session import PROFILES, profile_settings, shared_folder
+from alluvia.sinks import messages as message_files
 from alluvia.sinks.messages import write_csv
 from alluvia.sources.files import read_csv_strict, read_documents, read_lines
-from alluvia.sources.streams import events_from_rate, read_rate_events, stream_table, topic_options
+from alluvia.sources.streams import events_from_rate, read_rate_events, stream_messages, stream_table, topic_options
+from alluvia.streaming.sinks import append_stream
 
 
 def test_lake_paths():
@@ -138,5 +142,27 @@ def test_stream_bounds_exclude_each_other(spark, here):
         stream_table(spark, here, ticks_schema(), max_files=1, max_bytes=1)
 
 
+def test_message_files_are_packed_and_bounded(spark, here, monkeypatch):
+    """Plain lines are many times the values in them, and a packed file goes to one reader. Plain files from before are read as well."""
+    monkeypatch.setattr(message_files, "FILE_MESSAGES", 500, raising=False)
+    games = spark.range(4000, numPartitions=2).select(
+        F.concat(F.lit("VN2_"), F.col("id").cast("string")).alias("match_id"), F.col("id").alias("gameId"), F.sha1(F.col("id").cast("string")).alias("tft_game_type"))
+    odd = spark.createDataFrame([("a\nb", "{}"), ("k", None), (None, '{"gameId": "\u00e9\U0001f3b2\\n"}')], "key string, value string")
+    at = F.lit(datetime(2024, 2, 1, 3, 4, 5)).alias("timestamp")
+    sent = to_messages(games, match_key()).unionByName(odd).withColumn("timestamp", at)
+    message_files.write_message_files(sent, f"{here}/in")
+    sizes = [os.path.getsize(name) for name in glob(f"{here}/in/part-*")]
+    sent.write.json(f"{here}/plain")
+    assert sum(sizes) < sum(os.path.getsize(name) for name in glob(f"{here}/plain/part-*")) / 2
+    assert max(r["count"] for r in spark.read.text(f"{here}/in").groupBy(F.input_file_name()).count().collect()) <= 500
+
+    games.limit(10).select(F.lit("old").alias("key"), F.lit("{}").alias("value"), at).write.mode("append").json(f"{here}/in")
+    append_stream(stream_messages(spark, f"{here}/in"), f"{here}/out", f"{here}/checkpoint", None).awaitTermination()
+    got = spark.read.parquet(f"{here}/out")
+    assert got.filter("key = 'old'").count() == 10 and got.count() == 4013
+    new = got.filter("key IS DISTINCT FROM 'old'")
+    assert new.exceptAll(sent).isEmpty() and sent.exceptAll(new).isEmpty()
+
+
 def ticks_schema():
     return record((INT, "a"))
